@@ -167,4 +167,6 @@ def clean_legacy(df: DataFrame, passthrough: list[str] | None = None,
     out = with_address(out)
     out = strip_address(out)
     out = fill_coordinates(out, gazetteer)
+    # The older store keeps the alias list as JSON text.
+    out = out.withColumn("categories", F.to_json("categories"))
     return out.select(*LEGACY_CLEAN_COLUMNS, *(passthrough or []))

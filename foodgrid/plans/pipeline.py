@@ -20,10 +20,10 @@ def raw_rows(hits: DataFrame, cities: DataFrame, taxonomy: Taxonomy = DEFAULT_TA
              gazetteer: DataFrame | None = None, passthrough: list[str] | None = None) -> DataFrame:
     """Nested hits (with ``term``) -> raw rows with the routing column
     ``feed`` (first word of the term, S14)."""
-    extra = ["term"] + [c for c in (passthrough or []) if c != "term"]
+    keep = list(passthrough or [])
+    extra = ["term"] + [c for c in keep if c != "term"]
     out = clean.clean_businesses(hits, cities, taxonomy, gazetteer, passthrough=extra)
-    return out.withColumn("feed", C.first_word("term")).select(
-        *RAW_COLUMNS, "feed", *[c for c in extra if c != "term"])
+    return out.withColumn("feed", C.first_word("term")).select(*RAW_COLUMNS, "feed", *keep)
 
 
 def build_fact(raw: DataFrame, cities: DataFrame, counties: DataFrame) -> DataFrame:

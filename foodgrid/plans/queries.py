@@ -97,3 +97,329 @@ def q_dim_counties(spark, d):
 @query("clean_all")
 def q_clean_all(spark, d):
     return _json_arrays(raw(spark, d))
+
+
+# --- sources ------------------------------------------------------------------------
+
+from ..functions import columns as C  # noqa: E402
+from ..functions import taxonomy as TX  # noqa: E402
+from ..operators import keyterm as K, quality  # noqa: E402
+from ..operators.dedup import asc, first_per_key  # noqa: E402
+from ..sinks import writers  # noqa: E402
+from ..sources import files, search  # noqa: E402
+
+DECLARED_FEEDS = staging.RESTAURANT_FEEDS + staging.CAFE_FEEDS + staging.DESSERT_FEEDS
+
+
+@query("raw_scan")
+def q_raw_scan(spark, d):
+    """The four declared sources of the raw table."""
+    return _json_arrays(staging.select_feeds(raw(spark, d), DECLARED_FEEDS))
+
+
+@query("json_parse")
+def q_json_parse(spark, d):
+    """JSON text -> typed struct (events.props)."""
+    ev = A.table(spark, d, "events").select("event_id", "event_type", "props")
+    parsed = files.parse_json_columns(ev, {"props": "struct<k:bigint>"})
+    return parsed.select("event_id", "event_type", F.col("props.k").alias("k"))
+
+
+@query("request_plan")
+def q_request_plan(spark, d):
+    """S8 over the full location list."""
+    return search.request_plan(A.search_locations(spark, d))
+
+
+@query("location_slice")
+def q_location_slice(spark, d):
+    """O1 with the default slice [0, 459)."""
+    return search.location_slice(A.search_locations(spark, d))
+
+
+@query("location_stride")
+def q_location_stride(spark, d):
+    """O2: every 48th location."""
+    return search.location_stride(A.search_locations(spark, d))
+
+
+def landed_pages(spark, d) -> DataFrame:
+    """F6 pages derived from orders: order k is page ``k % 22`` (offset
+    50 * (k % 22), so offsets run past the 1000 cap) of location ``k div 22``;
+    its hits are the page's businesses, and orders with ``k % 7 == 3`` land
+    as empty pages.  Pages are bounded by the order size."""
+    o = A.table(spark, d, "orders").select("o_orderkey")
+    h = hits(spark, d).drop("term", "location_index")
+    biz = F.struct(*[F.col(c) for c in h.columns if c != "l_orderkey"])
+    keep = (F.col("o_orderkey") % 7 != 3) & F.col("id").isNotNull()
+    loc = F.expr("o_orderkey div 22")
+    j = o.join(h, o["o_orderkey"] == h["l_orderkey"], "left")
+    pages = j.groupBy("o_orderkey").agg(F.collect_list(F.when(keep, biz)).alias("businesses"))
+    terms = F.array(*[F.lit(t) for t in search.SEARCH_TERMS[:5]])
+    return pages.select(
+        F.element_at(terms, (loc % 5 + 1).cast("int")).alias("term"),
+        loc.cast("int").alias("location_index"),
+        ((F.col("o_orderkey") % 22) * search.PAGE_SIZE).cast("int").alias("offset"),
+        "businesses")
+
+
+@query("page_assembly")
+def q_page_assembly(spark, d):
+    """S9 on pages landed per (term, location)."""
+    out = search.assemble_pages(landed_pages(spark, d))
+    return out.select("term", "location_index", "offset", "id", "name", "review_count", "price")
+
+
+@query("term_routing")
+def q_term_routing(spark, d):
+    """Rows per (term, feed)."""
+    h = hits(spark, d)
+    return (h.select("term", C.first_word("term").alias("feed"))
+             .groupBy("term", "feed").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+def _legacy_hits(spark, d):
+    return writers.legacy_raw_rows(hits(spark, d))
+
+
+@query("insert_if_absent")
+def q_insert_if_absent(spark, d):
+    """The legacy raw table after loading every non-Restaurants hit into
+    a table that already holds the Restaurants hits (one row per id), first
+    arrival (order key, line number) winning."""
+    rows = _legacy_hits(spark, d)
+    arrival = [asc("l_orderkey"), asc("distance"), asc("review_count")]
+    target = first_per_key(rows.filter(F.col("term") == "Restaurants"), "id", arrival)
+    target = target.select(*writers.LEGACY_RAW_COLUMNS)
+    batch = rows.filter(F.col("term") != "Restaurants")
+    new = writers.insert_if_absent(target, batch, arrival, columns=writers.LEGACY_RAW_COLUMNS)
+    return target.unionByName(new)
+
+
+@query("insert_if_absent_clean")
+def q_insert_if_absent_clean(spark, d):
+    """The same load for the cleaned 12-column table of the older version."""
+    leg = clean.clean_legacy(_legacy_hits(spark, d), passthrough=["term", "l_orderkey", "distance"])
+    arrival = [asc("l_orderkey"), asc("distance"), asc("review_count")]
+    cols = list(clean.LEGACY_CLEAN_COLUMNS)
+    target = first_per_key(leg.filter(F.col("term") == "Restaurants"), "id", arrival).select(*cols)
+    new = writers.insert_if_absent(target, leg.filter(F.col("term") != "Restaurants"),
+                                   arrival, columns=cols)
+    return target.unionByName(new)
+
+
+# --- cleaning operators ---------------------------------------------------------------
+
+def _aliased(spark, d):
+    return clean.with_aliases(hits(spark, d))
+
+
+@query("category_aliases")
+def q_category_aliases(spark, d):
+    return _aliased(spark, d).select("id", "term", F.to_json("categories").alias("categories"))
+
+
+@query("category_allow")
+def q_category_allow(spark, d):
+    return clean.keep_food_and_bars(_aliased(spark, d)).select("id", "term")
+
+
+@query("category_deny")
+def q_category_deny(spark, d):
+    return clean.drop_denied(_aliased(spark, d)).select("id", "term")
+
+
+@query("ethnic_category")
+def q_ethnic_category(spark, d):
+    return (clean.with_ethnic_category(_aliased(spark, d))
+            .select("id", "term", F.to_json("ethnic_category").alias("ethnic_category")))
+
+
+@query("category_class")
+def q_category_class(spark, d):
+    """Every alias seen in the hits with its taxonomy membership."""
+    ex = hits(spark, d).select(F.explode("categories.alias").alias("alias"))
+    return (ex.groupBy("alias").agg(F.count(F.lit(1)).alias("n_hits"))
+              .select("alias", "n_hits", TX.classify_alias(F.col("alias")).alias("c"))
+              .select("alias", "n_hits", "c.*"))
+
+
+@query("coord_flatten")
+def q_coord_flatten(spark, d):
+    return clean.with_flat_coordinates(hits(spark, d)).select("id", "latitude", "longitude")
+
+
+@query("geo_filter")
+def q_geo_filter(spark, d):
+    kept = clean.keep_known_cities(hits(spark, d), cities(spark, d))
+    return kept.select("id", "term", F.col("location.city").alias("city"))
+
+
+@query("geo_filter_zip")
+def q_geo_filter_zip(spark, d):
+    kept = clean.keep_zip_prefix(hits(spark, d))
+    return kept.select("id", "term", F.col("location.zip_code").alias("zip_code"))
+
+
+@query("city_normalize")
+def q_city_normalize(spark, d):
+    return hits(spark, d).select("id", C.normalize_city("location.city").alias("city"))
+
+
+@query("address_build")
+def q_address_build(spark, d):
+    return hits(spark, d).select("id", C.build_address("location").alias("address"))
+
+
+@query("address_lstrip")
+def q_address_lstrip(spark, d):
+    return hits(spark, d).select(
+        "id", C.lstrip_address(C.build_address("location")).alias("address"))
+
+
+@query("geo_fill")
+def q_geo_fill(spark, d):
+    """Cleaned rows whose coordinates were both missing, after the
+    gazetteer fill (a miss stays NULL)."""
+    rows = clean.with_address(clean.with_flat_coordinates(hits(spark, d)))
+    rows = rows.filter(F.col("latitude").isNull() & F.col("longitude").isNull())
+    filled = clean.fill_coordinates(rows.select("id", "address", "latitude", "longitude"),
+                                    A.gazetteer(spark, d))
+    return filled
+
+
+# --- staging operators ----------------------------------------------------------------
+
+@query("dedup_by_id")
+def q_dedup_by_id(spark, d):
+    """O20 over every feed of the raw table."""
+    return staging.stage(raw(spark, d), ["Restaurants", "Food", "Coffee", "Desserts", "Bakeries"])
+
+
+@query("stg_casts")
+def q_stg_casts(spark, d):
+    """O21-O23 without the de-duplication (one row per raw row)."""
+    r = raw(spark, d)
+    return r.select(*staging.staged_columns(r), "feed")
+
+
+@query("array_to_string")
+def q_array_to_string(spark, d):
+    r = raw(spark, d)
+    return r.select("id", C.array_to_string("categories").alias("categories"),
+                    C.array_to_string("ethnic_category").alias("ethnic_category"))
+
+
+@query("coordinate_key")
+def q_coordinate_key(spark, d):
+    return raw(spark, d).select("id", C.coordinate_key("latitude", "longitude").alias("coordinate"))
+
+
+@query("stg_limited")
+def q_stg_limited(spark, d):
+    """O3: the dev-run cap (100 rows, ordered by id)."""
+    return staging.stg_restaurants(raw(spark, d), limit=100)
+
+
+@query("category_unnest")
+def q_category_unnest(spark, d):
+    """Staged restaurants, one row per category."""
+    return staging.unnest_categories(staging.stg_restaurants(raw(spark, d))).select("id", "category")
+
+
+# --- marts operators ------------------------------------------------------------------
+
+def _branches(spark, d):
+    r = raw(spark, d)
+    return (staging.stg_restaurants(r), marts.cafes_filtered(staging.stg_cafes(r)),
+            marts.desserts_filtered(staging.stg_desserts(r)))
+
+
+@query("desserts_filtered")
+def q_desserts_filtered(spark, d):
+    return marts.desserts_filtered(staging.stg_desserts(raw(spark, d)))
+
+
+@query("cafes_filtered")
+def q_cafes_filtered(spark, d):
+    return marts.cafes_filtered(staging.stg_cafes(raw(spark, d)))
+
+
+@query("restaurants_anti")
+def q_restaurants_anti(spark, d):
+    r, c, de = _branches(spark, d)
+    return marts.restaurants_anti(r, marts.exclusion_ids(de, c))
+
+
+@query("typed_union")
+def q_typed_union(spark, d):
+    r, c, de = _branches(spark, d)
+    return marts.typed_union(marts.restaurants_anti(r, marts.exclusion_ids(de, c)), de, c)
+
+
+@query("listings_all")
+def q_listings_all(spark, d):
+    r, c, de = _branches(spark, d)
+    return marts.listings_all(
+        marts.typed_union(marts.restaurants_anti(r, marts.exclusion_ids(de, c)), de, c))
+
+
+@query("listings_fused")
+def q_listings_fused(spark, d):
+    """O29-O35 fused into one aggregation (the fact's plan)."""
+    return marts.pick_listings(raw(spark, d))
+
+
+@query("fact_city_join")
+def q_fact_city_join(spark, d):
+    """O36 alone."""
+    facts = marts.fact_columns(marts.pick_listings(raw(spark, d)))
+    return marts.join_city_dim(facts, marts.dim_coordinates(cities(spark, d)))
+
+
+@query("fact_county_join")
+def q_fact_county_join(spark, d):
+    """O37 alone (multiplies on a city with two zips, drops unmatched)."""
+    facts = marts.fact_columns(marts.pick_listings(raw(spark, d)))
+    return marts.join_county_dim(facts, marts.dim_counties(counties(spark, d)))
+
+
+# --- quality and counters -------------------------------------------------------------
+
+@query("dq_unique")
+def q_dq_unique(spark, d):
+    """O31 unique(id) on the raw table: the repeated ids and their counts."""
+    return quality.assert_unique(raw(spark, d), "id", severity="warn")
+
+
+@query("dq_not_null")
+def q_dq_not_null(spark, d):
+    """O31 not_null on the raw table's price column (warn)."""
+    v = quality.assert_not_null(raw(spark, d), "price", severity="warn")
+    return v.select("id", "feed", "review_count")
+
+
+@query("load_counts")
+def q_load_counts(spark, d):
+    """Rows loaded per (term, location) and the running total."""
+    r = pipeline.raw_rows(hits(spark, d), cities(spark, d), passthrough=["term", "location_index"])
+    return quality.load_counts(r, search.SEARCH_TERMS)
+
+
+# --- keyterm (older analysis) ---------------------------------------------------------
+
+@query("cat_len")
+def q_cat_len(spark, d):
+    h = hits(spark, d).withColumn("categories_text", K.category_titles_text("categories"))
+    return h.select("id", "categories_text", K.cat_len("categories_text").alias("cat_len"))
+
+
+@query("keyterm_drop")
+def q_keyterm_drop(spark, d):
+    h = hits(spark, d).withColumn("categories_text", K.category_titles_text("categories"))
+    return h.filter(K.keyterm_keep("categories_text")).select("id", "categories_text")
+
+
+@query("keyterm_label")
+def q_keyterm_label(spark, d):
+    return K.keyterms(hits(spark, d)).select("id", "name", "categories_text", "cat_len", "keyterm")
