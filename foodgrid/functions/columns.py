@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from .taxonomy import DEFAULT_TAXONOMY, NO_ETHNIC_LABEL, Taxonomy, literal_array
 
-# Characters Python's str.rstrip() removes (str.isspace); Java's \s covers
-# only the ASCII subset, so the class is spelled out.
-_PY_SPACE = r"[\s\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# Characters Python's str.rstrip() removes (the str.isspace set; all lie
+# below U+3001).  Java's \s covers only the ASCII subset, so the set is built
+# from Python's own rule and used with rtrim(str, chars).
+_PY_SPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 
 def _c(c) -> Column:
@@ -23,28 +24,30 @@ def _c(c) -> Column:
 # --- categories -------------------------------------------------------------
 
 def category_aliases(categories) -> Column:
-    """``array<struct<alias,title>>`` -> ``array<string>`` of aliases."""
-    return F.transform(_c(categories), lambda x: x["alias"])
+    """``array<struct<alias,title>>`` -> ``array<string>`` of aliases
+    (field extraction over the array; code-generated, no lambda)."""
+    return _c(categories).getField("alias")
 
 
-def any_in(values, members: Column) -> Column:
-    """True when any element of ``values`` is in ``members``.
+def any_in(values, members) -> Column:
+    """True when any element of ``values`` is in ``members`` (a list).
 
-    ``arrays_overlap`` yields NULL for a NULL element without a hit; the
-    Python rule it mirrors treats such an element as "not in the set", so the
-    NULL collapses to false.
+    ``x IN (literals)`` becomes a hash-set lookup (InSet) in the optimizer.
+    A NULL element is "not in the set", as in the Python rule, so the NULL
+    that ``exists`` yields for it collapses to false.
     """
-    return F.coalesce(F.arrays_overlap(_c(values), members), F.lit(False))
+    members = list(members)
+    return F.coalesce(F.exists(_c(values), lambda x: x.isin(*members)), F.lit(False))
 
 
 def allowed(aliases, taxonomy: Taxonomy = DEFAULT_TAXONOMY) -> Column:
     """Keep when any alias is a food or bar category."""
-    return any_in(aliases, taxonomy.allow_col())
+    return any_in(aliases, taxonomy.allow)
 
 
 def not_denied(aliases, taxonomy: Taxonomy = DEFAULT_TAXONOMY) -> Column:
     """Drop when any alias is on the deny-list."""
-    return ~any_in(aliases, taxonomy.deny_col())
+    return ~any_in(aliases, taxonomy.deny)
 
 
 def ethnic_subset(aliases, taxonomy: Taxonomy = DEFAULT_TAXONOMY) -> Column:
@@ -52,8 +55,8 @@ def ethnic_subset(aliases, taxonomy: Taxonomy = DEFAULT_TAXONOMY) -> Column:
 
     ``filter`` (not ``array_intersect``, which de-duplicates).
     """
-    eth = taxonomy.ethnic_col()
-    sub = F.filter(_c(aliases), lambda x: F.coalesce(F.array_contains(eth, x), F.lit(False)))
+    eth = list(taxonomy.ethnic)
+    sub = F.filter(_c(aliases), lambda x: F.coalesce(x.isin(*eth), F.lit(False)))
     return F.when(F.size(sub) > 0, sub).otherwise(literal_array([NO_ETHNIC_LABEL]))
 
 
@@ -66,7 +69,7 @@ def array_to_string(arr, sep: str = ", ") -> Column:
 
 def rstrip_space(s) -> Column:
     """Python ``str.rstrip()``: drop trailing whitespace of any kind."""
-    return F.regexp_replace(_c(s), _PY_SPACE + r"+$", "")
+    return F.rtrim(_c(s), F.lit(_PY_SPACE))
 
 
 def squeeze_city(s) -> Column:
