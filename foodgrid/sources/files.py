@@ -49,7 +49,7 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
     """Every landing file under ``path`` in one scan.
 
     Each file is one JSON array of D3 records (multi-line, so a file is one
-    split; files hold at most 1000 records).  ``term``, ``location`` and
+    split; files hold at most 1000 records).  ``term``, ``search_location`` and
     ``location_index`` come from the file name.
     """
     df = (spark.read.schema(BUSINESS).option("multiLine", True)
@@ -58,7 +58,7 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
     return df.select(
         "*",
         F.regexp_extract(fname, LANDING_NAME, 1).alias("term"),
-        F.regexp_extract(fname, LANDING_NAME, 2).alias("location"),
+        F.regexp_extract(fname, LANDING_NAME, 2).alias("search_location"),
         F.regexp_extract(fname, LANDING_NAME, 3).cast("int").alias("location_index"))
 
 
