@@ -28,23 +28,41 @@ def query(name: str):
 
 
 # --- shared inputs ------------------------------------------------------------
+#
+# Inputs are plans, not data: they are built (and their size probes run)
+# once per session and table folder, then shared by every query.
+
+_PLANS: dict = {}
+
+
+def _shared(name: str, spark, d, build):
+    key = (spark.sparkContext.applicationId, id(spark), d, name)
+    if key not in _PLANS:
+        _PLANS[key] = build()
+    return _PLANS[key]
+
 
 def hits(spark, d):
-    return A.search_hits(spark, d)
+    return _shared("hits", spark, d, lambda: A.search_hits(spark, d))
 
 
 def cities(spark, d):
-    return A.city_locations(spark, d)
+    return _shared("cities", spark, d, lambda: A.city_locations(spark, d))
 
 
 def counties(spark, d):
-    return A.county_cities(spark, d)
+    return _shared("counties", spark, d, lambda: A.county_cities(spark, d))
+
+
+def gazetteer(spark, d):
+    return _shared("gazetteer", spark, d, lambda: A.gazetteer(spark, d))
 
 
 def raw(spark, d):
     """The raw table as the loader would append it (cleaned, with ``feed``),
     coordinates filled from the gazetteer."""
-    return pipeline.raw_rows(hits(spark, d), cities(spark, d), gazetteer=A.gazetteer(spark, d))
+    return _shared("raw", spark, d, lambda: pipeline.raw_rows(
+        hits(spark, d), cities(spark, d), gazetteer=gazetteer(spark, d)))
 
 
 def _json_arrays(df: DataFrame) -> DataFrame:
@@ -284,7 +302,7 @@ def q_geo_fill(spark, d):
     rows = clean.with_address(clean.with_flat_coordinates(hits(spark, d)))
     rows = rows.filter(F.col("latitude").isNull() & F.col("longitude").isNull())
     filled = clean.fill_coordinates(rows.select("id", "address", "latitude", "longitude"),
-                                    A.gazetteer(spark, d))
+                                    gazetteer(spark, d))
     return filled
 
 

@@ -208,3 +208,18 @@ def test_streaming_load_matches_batch(spark, world):
                         os.path.join(tmp, "sckpt"), world["cities"], world["gaz"])
     q2.awaitTermination(120)
     assert read_streamed_raw(spark, os.path.join(tmp, "sraw")).count() == streamed.count()
+
+
+def test_jobs_ingest_and_model(spark, tmp):
+    from foodgrid.plans import jobs
+    land = landing(tmp)
+    cities = FX.write(tmp, "cities.csv", FX.CITY_CSV)
+    counties = FX.write(tmp, "counties.csv", FX.COUNTY_CSV)
+    raw = os.path.join(tmp, "raw")
+    counts = jobs.ingest(spark, land, cities, raw, report=True)
+    assert counts.agg(F.max("total_rows")).first()[0] == files.read_raw(spark, raw).count()
+    out = jobs.model(spark, raw, cities, counties, os.path.join(tmp, "models"))
+    fact = spark.read.parquet(out["fact_all"])
+    assert fact.count() == 10 and spark.table("stg_cafes").count() > 0
+    jobs.copy_reference_files(spark, cities, counties, os.path.join(tmp, "lake"))
+    assert spark.read.option("header", True).csv(os.path.join(tmp, "lake", "city_locations")).count() == 5
