@@ -161,30 +161,27 @@ def q_location_stride(spark, d):
     return search.location_stride(A.search_locations(spark, d))
 
 
-def landed_pages(spark, d) -> DataFrame:
-    """F6 pages derived from orders: order k is page ``k % 22`` (offset
-    50 * (k % 22), so offsets run past the 1000 cap) of location ``k div 22``;
-    its hits are the page's businesses, and orders with ``k % 7 == 3`` land
-    as empty pages.  Pages are bounded by the order size."""
+def landed_page_rows(spark, d) -> DataFrame:
+    """Flat landed pages derived from orders: order k is page ``k % 22``
+    (offset 50 * (k % 22), so offsets run past the 1000 cap) of location
+    ``k div 22``; its hits are the page's businesses, and orders with
+    ``k % 7 == 3`` (or without hits) land as an empty page (one NULL row)."""
     o = A.table(spark, d, "orders").select("o_orderkey")
     h = hits(spark, d).drop("term", "location_index")
-    biz = F.struct(*[F.col(c) for c in h.columns if c != "l_orderkey"])
-    keep = (F.col("o_orderkey") % 7 != 3) & F.col("id").isNotNull()
+    j = o.join(h, (o["o_orderkey"] == h["l_orderkey"]) & (o["o_orderkey"] % 7 != 3), "left")
     loc = F.expr("o_orderkey div 22")
-    j = o.join(h, o["o_orderkey"] == h["l_orderkey"], "left")
-    pages = j.groupBy("o_orderkey").agg(F.collect_list(F.when(keep, biz)).alias("businesses"))
     terms = F.array(*[F.lit(t) for t in search.SEARCH_TERMS[:5]])
-    return pages.select(
+    return j.select(
         F.element_at(terms, (loc % 5 + 1).cast("int")).alias("term"),
         loc.cast("int").alias("location_index"),
         ((F.col("o_orderkey") % 22) * search.PAGE_SIZE).cast("int").alias("offset"),
-        "businesses")
+        *[c for c in h.columns if c != "l_orderkey"])
 
 
 @query("page_assembly")
 def q_page_assembly(spark, d):
     """S9 on pages landed per (term, location)."""
-    out = search.assemble_pages(landed_pages(spark, d))
+    out = search.assemble_page_rows(landed_page_rows(spark, d))
     return out.select("term", "location_index", "offset", "id", "name", "review_count", "price")
 
 

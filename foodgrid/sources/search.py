@@ -75,3 +75,23 @@ def assemble_pages(pages: DataFrame, cap: int = RESULT_CAP,
                  .filter(F.col("offset") < stop))
     return kept.select(*keys, "offset", F.explode("businesses").alias("b")).select(
         *keys, "offset", "b.*")
+
+
+def assemble_page_rows(rows: DataFrame, cap: int = RESULT_CAP, keys=("term", "location_index"),
+                       present: str = "id") -> DataFrame:
+    """S9 on flat landed pages: one row per (page, business), an empty page
+    being one row whose ``present`` column is NULL.
+
+    Nothing is gathered per page: page sizes and the first empty offset are
+    map-side combined counts and minima, so a page or (term, location) that
+    holds a third of all rows is never collected into one task.
+    """
+    keys = list(keys)
+    sizes = (rows.groupBy(*keys, "offset")
+                 .agg(F.count(F.col(present)).alias("_n"))
+                 .filter(F.col("_n") == 0)
+                 .groupBy(*keys).agg(F.min("offset").alias("_first_empty")))
+    stop = F.least(F.coalesce(F.col("_first_empty"), F.lit(cap)), F.lit(cap))
+    return (rows.join(broadcast_if_small(sizes), keys, "left")
+                .filter((F.col("offset") < stop) & F.col(present).isNotNull())
+                .drop("_first_empty"))

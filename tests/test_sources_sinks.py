@@ -132,3 +132,17 @@ def test_required_columns_raise(spark, tmp):
                        F.lit(None).cast(f.dataType).alias(f.name) for f in RAW.fields])
     with pytest.raises(ValueError):
         writers.append_raw(bad.withColumn("feed", F.lit("Food")), os.path.join(tmp, "raw"))
+
+
+def test_page_assembly_flat_form_matches_nested(spark):
+    from foodgrid.schemas import LANDED_PAGE
+    b = lambda i, n: [FX.biz(f"{i}-{k}", ["pizza"]) for k in range(n)]
+    pages = [("Food", 0, 0, b("a", 2)), ("Food", 0, 50, []), ("Food", 0, 100, b("c", 1)),
+             ("Food", 1, 0, b("d", 3)), ("Food", 1, 1000, b("e", 1))]
+    nested = spark.createDataFrame(pages, LANDED_PAGE)
+    flat = nested.select("term", "location_index", "offset",
+                         F.explode_outer("businesses").alias("b")).select(
+        "term", "location_index", "offset", "b.*")
+    want = sorted(r["id"] for r in search.assemble_pages(nested).collect())
+    got = sorted(r["id"] for r in search.assemble_page_rows(flat).collect())
+    assert got == want == ["a-0", "a-1", "d-0", "d-1", "d-2"]
