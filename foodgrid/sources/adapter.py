@@ -59,11 +59,6 @@ def _case_mod(key: Column, n: int, values: list) -> Column:
     return expr
 
 
-def _title(alias: Column) -> Column:
-    titles = F.create_map(*[x for kv in CATEGORY_TITLES.items() for x in map(F.lit, kv)])
-    return F.coalesce(F.element_at(titles, alias), F.initcap(alias))
-
-
 def _term(line: Column) -> Column:
     expr = None
     for upto, term in TERMS_BY_LINE:
@@ -103,32 +98,21 @@ def _location(f: dict) -> Column:
                     f["zip_code"].alias("zip_code"))
 
 
-def search_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D3 records with ``term`` and ``location_index`` (the searched city).
-
-    ``part`` grows with the data (one row per 30 hits), so it is joined the
-    way it must be at scale: a sort-merge join on the part key, whose skewed
-    keys AQE splits.  Hashing the hits over the shuffle partitions also
-    spreads the cleaning work evenly whatever the scan's file layout (a
-    single large row group would otherwise feed one task).
-    """
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
+def businesses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per part: every attribute of the business that does not depend
+    on the individual search hit, computed once per business."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
-    j = li.join(part.hint("merge"), li["l_partkey"] == part["p_partkey"])
     p = F.col("p_partkey")
-    f = business_fields(p, F.col("p_name"), F.col("p_size"), F.col("l_quantity"))
-    cats = F.split(f["cats"], ",")
-    return j.select(
+    f = business_fields(p, F.col("p_name"), F.col("p_size"), F.lit(0))
+    return part.select(
+        p.alias("b_partkey"),
         f["id"].alias("id"),
         f["alias"].alias("alias"),
         f["name"].alias("name"),
         F.concat(F.lit("img/"), f["id"], F.lit(".jpg")).alias("image_url"),
         F.lit(False).alias("is_closed"),
         F.concat(F.lit("biz/"), f["alias"]).alias("url"),
-        f["review_count"].cast("bigint").alias("review_count"),
-        F.transform(cats, lambda a: F.struct(a.alias("alias"), _title(a).alias("title")))
-         .alias("categories"),
+        _categories(p).alias("categories"),
         f["rating"].alias("rating"),
         F.struct(f["latitude"].cast("double").alias("latitude"),
                  f["longitude"].cast("double").alias("longitude")).alias("coordinates"),
@@ -137,7 +121,44 @@ def search_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
         f["price"].alias("price"),
         _location(f).alias("location"),
         F.concat(F.lit("+1555"), F.lpad(_s(p % 10000000), 7, "0")).alias("phone"),
-        F.concat(F.lit("(555) "), F.lpad(_s(p % 10000000), 7, "0")).alias("display_phone"),
+        F.concat(F.lit("(555) "), F.lpad(_s(p % 10000000), 7, "0")).alias("display_phone"))
+
+
+def _categories(p: Column) -> Column:
+    """``array<struct<alias,title>>`` by ``p % 13``: each branch is a literal
+    array, so the optimizer folds any function of it (aliases, set tests)
+    branch by branch instead of evaluating it per row."""
+    branches = [F.array(*[F.struct(F.lit(a).alias("alias"),
+                                   F.lit(CATEGORY_TITLES.get(a, a.title())).alias("title"))
+                          for a in cats.split(",")])
+                for cats in CATEGORY_LISTS]
+    return _case_mod(p, 13, branches)
+
+
+def search_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3 records with ``term`` and ``location_index`` (the searched city).
+
+    Business attributes come from :func:`businesses` (one row per part) and
+    only the per-hit fields from ``lineitem``.  Filters on business
+    attributes therefore run once per business on the part side: they
+    reference computed part-side columns, so the optimizer cannot copy them
+    onto the line items through the join key.
+
+    ``part`` grows with the data (one row per 30 hits), so it is joined the
+    way it must be at scale: a sort-merge join on the part key, whose skewed
+    keys AQE splits.  Hashing the hits over the shuffle partitions also
+    spreads the cleaning work evenly whatever the scan's file layout (a
+    single large row group would otherwise feed one task).
+    """
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
+    biz = businesses(spark, sf_dir)
+    j = li.join(biz.hint("merge"), li["l_partkey"] == biz["b_partkey"])
+    cols = [c for c in biz.columns if c != "b_partkey"]
+    return j.select(
+        *[F.col(c) for c in cols[:6]],
+        F.col("l_quantity").cast("int").cast("bigint").alias("review_count"),
+        *[F.col(c) for c in cols[6:]],
         (F.col("l_linenumber").cast("double") * F.lit(250.0)).alias("distance"),
         _term(F.col("l_linenumber")).alias("term"),
         (F.col("l_suppkey") % 25).cast("int").alias("location_index"),
