@@ -19,12 +19,25 @@ LANDING_NAME = r"^([^-]*)-(.*)-(\d+)\.json$"
 
 
 def with_position(df: DataFrame, name: str = "position") -> DataFrame:
-    """Attach the 0-based row position in file order (``zipWithIndex``:
-    partitions of one file come in offset order; the indices are computed
-    with one distributed count per partition, not on the driver)."""
-    schema = T.StructType(df.schema.fields + [T.StructField(name, T.LongType(), False)])
-    rdd = df.rdd.zipWithIndex().map(lambda ri: tuple(ri[0]) + (ri[1],))
-    return df.sparkSession.createDataFrame(rdd, schema)
+    """Attach the 0-based row position in file order, JVM-side.
+
+    ``monotonically_increasing_id`` is (partition << 33) + row-in-partition;
+    one aggregate counts rows per input partition (one row per partition,
+    so the running offsets and their broadcast stay small whatever the file
+    size), and position = offset of the partition + row-in-partition.  The
+    splits of one file are planned in offset order, so this is the file
+    position.
+    """
+    from pyspark.sql import Window
+    tagged = df.withColumn("_mid", F.monotonically_increasing_id())
+    pid = F.shiftright(F.col("_mid"), 33)
+    counts = tagged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    within = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+    return (tagged.join(F.broadcast(offsets), pid == F.col("_pid"))
+                  .withColumn(name, (F.col("_off") + within).cast("long"))
+                  .drop("_mid", "_pid", "_off"))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

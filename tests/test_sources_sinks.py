@@ -146,3 +146,16 @@ def test_page_assembly_flat_form_matches_nested(spark):
     want = sorted(r["id"] for r in search.assemble_pages(nested).collect())
     got = sorted(r["id"] for r in search.assemble_page_rows(flat).collect())
     assert got == want == ["a-0", "a-1", "d-0", "d-1", "d-2"]
+
+
+def test_positions_exact_across_many_splits(spark, tmp):
+    lines = ["Name,Latitude,Longitude"] + [f"City{i},{i / 10},{-i / 10}" for i in range(3000)]
+    p = FX.write(tmp, "many.csv", "\n".join(lines) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = files.read_city_locations(spark, p).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted(r["position"] for r in rows) == list(range(3000))
+    assert all(r["Name"] == f"City{r['position']}" for r in rows)
