@@ -47,7 +47,11 @@ def start_raw_load(spark: SparkSession, landing_dir: str, raw_path: str, checkpo
                    taxonomy: Taxonomy = DEFAULT_TAXONOMY, available_now: bool = True,
                    processing_time: str | None = None) -> StreamingQuery:
     """Start the incremental load.  ``available_now`` processes everything
-    present and stops (a scheduled run); otherwise it keeps polling."""
+    present and stops (a scheduled run); otherwise it keeps polling.
+
+    ``cities`` and ``gazetteer`` are the static sides of stream-static joins;
+    read the city list with ``position=False`` (streaming plans admit no
+    positional ids)."""
     cleaned = raw_rows(landing_stream(spark, landing_dir), cities, taxonomy, gazetteer)
     w = (cleaned.writeStream.foreachBatch(_batch_writer(raw_path))
          .option("checkpointLocation", checkpoint))
