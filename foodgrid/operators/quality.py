@@ -42,15 +42,17 @@ def assert_not_null(df: DataFrame, column: str = "id", severity: str = "warn") -
     return _enforce(not_null_violations(df, column), f"not_null({column})", severity)
 
 
-def load_counts(raw: DataFrame, terms: list[str], term_col: str = "term",
+def load_counts(raw: DataFrame, terms: list[str] | None = None, term_col: str = "term",
                 location_col: str = "location_index") -> DataFrame:
     """Rows loaded per (term, location) and the running total in load
     order (term order of the run, then location), reset per run only.
+    Without ``terms`` the run order is the term name.
 
     The running frame works on the per-pair counts (one row per request
     pair, bounded by the request plan), never on the rows themselves.
     """
-    order = F.array_position(F.array(*[F.lit(t) for t in terms]), F.col(term_col))
+    order = (F.array_position(F.array(*[F.lit(t) for t in terms]), F.col(term_col))
+             if terms else F.lit(0))
     counts = (raw.groupBy(term_col, location_col).agg(F.count(F.lit(1)).alias("row_count"))
                  .withColumn("term_order", order.cast("int")))
     w = Window.orderBy("term_order", term_col, location_col).rowsBetween(Window.unboundedPreceding, 0)

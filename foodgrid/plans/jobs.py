@@ -36,12 +36,7 @@ def ingest(spark: SparkSession, landing_dir: str, cities_csv: str, raw_path: str
     writers.append_raw(rows, raw_path)
     if not report:
         return None
-    return quality.load_counts(rows, sorted_terms(hits))
-
-
-def sorted_terms(hits: DataFrame) -> list[str]:
-    """Terms of a run in name order (bounded: one per search term)."""
-    return sorted(r[0] for r in hits.select("term").distinct().limit(10_000).collect())
+    return quality.load_counts(rows)
 
 
 def model(spark: SparkSession, raw_path: str, cities_csv: str, counties_csv: str,
