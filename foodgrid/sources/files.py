@@ -103,6 +103,14 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict,
                            properties=properties)
 
 
+def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame:
+    """S6 without a database server: the full table from the catalog (a
+    name) or from storage (a path); the scan is split like any file scan."""
+    if "/" in name_or_path or ":" in name_or_path:
+        return spark.read.format(fmt).load(name_or_path)
+    return spark.table(name_or_path)
+
+
 def parse_json_columns(df: DataFrame, schemas: dict) -> DataFrame:
     """JSON text columns -> typed columns (``from_json``); a malformed
     value gives NULL for that row."""

@@ -225,3 +225,65 @@ def test_jobs_ingest_and_model(spark, tmp):
     assert fact.count() == 10 and spark.table("stg_cafes").count() > 0
     jobs.copy_reference_files(spark, cities, counties, os.path.join(tmp, "lake"))
     assert spark.read.option("header", True).csv(os.path.join(tmp, "lake", "city_locations")).count() == 5
+
+
+def test_older_relational_path(spark, world):
+    """Raw 15-column rows with JSON text -> path-backed table -> older clean
+    (state + zip prefix, no ethnic column) -> insert-if-absent twice."""
+    from foodgrid.operators import clean
+    from foodgrid.operators.dedup import asc
+    tmp = world["tmp"]
+    legacy = writers.legacy_raw_rows(world["hits"])
+    assert legacy.columns[:15] == list(writers.LEGACY_RAW_COLUMNS)
+    raw_path, out_path = os.path.join(tmp, "yelp_cafe"), os.path.join(tmp, "yelp_cafe_cleaned")
+    first = writers.insert_if_absent(spark.createDataFrame([], "id string"), legacy,
+                                     [asc("term"), asc("location_index")],
+                                     columns=list(writers.LEGACY_RAW_COLUMNS))
+    first.write.parquet(raw_path)
+    stored = files.read_table(spark, raw_path)
+    assert stored.count() == stored.select("id").distinct().count()
+    cleaned = clean.clean_legacy(stored)
+    assert cleaned.columns == list(clean.LEGACY_CLEAN_COLUMNS)
+    got = {r["id"]: r for r in cleaned.collect()}
+    assert "r5" not in got and "r10" in got          # NV dropped; zip prefix, not city list
+    assert got["r1"]["categories"] == '["coffee","desserts"]'   # first arrival: 'Coffee & Tea'
+    cleaned.limit(0).write.parquet(out_path)
+    for _ in range(2):
+        writers.append_if_absent(out_path, clean.clean_legacy(stored), [asc("id")])
+    final = spark.read.parquet(out_path)
+    assert final.count() == cleaned.count() == final.select("id").distinct().count()
+
+
+def test_fact_unique_per_id_and_zip(world):
+    fact = pipeline.build_fact(world["raw"], world["cities"], world["counties"])
+    assert fact.groupBy("id", "county", "county_zipcode").count().filter("count > 1").count() == 0
+
+
+def test_per_key_picks_are_combined_before_the_shuffle(world):
+    """Every per-key pick aggregates map-side (partial) before its exchange,
+    so a hot id ships at most one row per map task."""
+    import contextlib
+    import io
+    for df in (staging.stg_restaurants(world["raw"]), marts.pick_listings(world["raw"])):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+        plan = buf.getvalue()
+        ex = plan.index("Exchange hashpartitioning(id")
+        assert "partial_min" in plan[ex:], plan          # partial aggregate below the exchange
+
+
+def test_hot_id_dedup(spark):
+    """One id holding a third of all rows: the pick is exact."""
+    from foodgrid.operators.dedup import desc
+    n = 30000
+    rows = [("hot" if i % 3 == 0 else f"id{i}", i % 1000, f"a{i % 7}") for i in range(n)]
+    df = spark.createDataFrame(rows, "id string, review_count long, alias string").repartition(8)
+    out = {r["id"]: r for r in first_per_key(df, "id", [desc("review_count"), asc_("alias")]).collect()}
+    assert out["hot"]["review_count"] == 999 and out["hot"]["alias"] == "a0"
+    assert len(out) == 1 + (n - n // 3)
+
+
+def asc_(c):
+    from foodgrid.operators.dedup import asc
+    return asc(c)
