@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions.taxonomy import DEFAULT_TAXONOMY, Taxonomy
 from ..schemas import LEGACY_CLEAN_COLUMNS, RAW_COLUMNS
-from ..session import broadcast_if_small, is_small
+from ..session import is_small
 
 
 def with_price(df: DataFrame) -> DataFrame:
@@ -61,7 +61,10 @@ def keep_known_cities(df: DataFrame, cities: DataFrame, state: str = "CA",
     broadcast when the list is proven small."""
     names = cities.select(F.col(name_col).alias("_city")).filter(F.col("_city").isNotNull())
     keyed = df.filter(F.col("location.state") == F.lit(state)).withColumn("_city", F.col(city_col))
-    return keyed.join(broadcast_if_small(names.distinct()), "_city", "left_semi").drop("_city")
+    # The probe reads the list itself (it stops early); the distinct names
+    # are never more rows than that.
+    side = F.broadcast(names.distinct()) if is_small(names) else names.distinct()
+    return keyed.join(side, "_city", "left_semi").drop("_city")
 
 
 def keep_zip_prefix(df: DataFrame, state: str = "CA", prefix: str = "9") -> DataFrame:
@@ -101,13 +104,16 @@ def fill_coordinates(df: DataFrame, gazetteer: DataFrame | None,
         return df
     need = F.col("latitude").isNull() & F.col("longitude").isNull()
     cols = df.columns
-    hits = (gazetteer.filter(F.col("address").isNotNull())
-                     .groupBy("address")
+    entries = gazetteer.filter(F.col("address").isNotNull())
+    # Probe the entries, not the aggregate: the probe stops early on a scan,
+    # and one row per address is never more rows than the entries.
+    small = is_small(entries, max_broadcast_rows)
+    hits = (entries.groupBy("address")
                      .agg(F.min(F.struct("latitude", "longitude")).alias("_g"))
                      .select(F.col("address").alias("_gaddr"),
                              F.col("_g.latitude").alias("_glat"),
                              F.col("_g.longitude").alias("_glon")))
-    if is_small(hits, max_broadcast_rows):
+    if small:
         flagged = df.withColumn("_need", need)
         key = F.when(F.col("_need"), F.col("address"))
         filled = F.col("_need") & F.col("_gaddr").isNotNull()

@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
 
 # FIXED VALUES of the search client.
 PAGE_SIZE = 50          # rows per call; the offset advances by this
@@ -64,14 +63,15 @@ def assemble_pages(pages: DataFrame, cap: int = RESULT_CAP,
     below the cap.
 
     The first empty offset per (term, location) comes from a map-side
-    combined aggregate; the result has one row per pair (bounded by the
-    request plan) and is broadcast back when proven small.
+    combined aggregate with one row per pair.  Its size is only known once
+    it has run, so the join back is left to AQE, which broadcasts it from the
+    measured size (a probe here would cost a second pass over all pages).
     """
     keys = list(keys)
     first_empty = (pages.filter(F.coalesce(F.size("businesses"), F.lit(0)) <= 0)
                         .groupBy(*keys).agg(F.min("offset").alias("_first_empty")))
     stop = F.least(F.coalesce(F.col("_first_empty"), F.lit(cap)), F.lit(cap))
-    kept = (pages.join(broadcast_if_small(first_empty), keys, "left")
+    kept = (pages.join(first_empty, keys, "left")
                  .filter(F.col("offset") < stop))
     return kept.select(*keys, "offset", F.explode("businesses").alias("b")).select(
         *keys, "offset", "b.*")
@@ -84,7 +84,9 @@ def assemble_page_rows(rows: DataFrame, cap: int = RESULT_CAP, keys=("term", "lo
 
     Nothing is gathered per page: page sizes and the first empty offset are
     map-side combined counts and minima, so a page or (term, location) that
-    holds a third of all rows is never collected into one task.
+    holds a third of all rows is never collected into one task.  As above,
+    AQE decides from the measured size whether the per-pair table is
+    broadcast; a hot pair on a shuffled join is split by AQE's skew handling.
     """
     keys = list(keys)
     sizes = (rows.groupBy(*keys, "offset")
@@ -92,6 +94,6 @@ def assemble_page_rows(rows: DataFrame, cap: int = RESULT_CAP, keys=("term", "lo
                  .filter(F.col("_n") == 0)
                  .groupBy(*keys).agg(F.min("offset").alias("_first_empty")))
     stop = F.least(F.coalesce(F.col("_first_empty"), F.lit(cap)), F.lit(cap))
-    return (rows.join(broadcast_if_small(sizes), keys, "left")
+    return (rows.join(sizes, keys, "left")
                 .filter((F.col("offset") < stop) & F.col(present).isNotNull())
                 .drop("_first_empty"))
