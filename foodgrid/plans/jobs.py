@@ -21,32 +21,43 @@ from ..sources import files
 from . import pipeline
 
 
-def ingest(spark: SparkSession, landing_dir: str, cities_csv: str, raw_path: str,
-           gazetteer_path: str | None = None, report: bool = False) -> DataFrame | None:
+def _is_path(raw: str) -> bool:
+    return "/" in raw or ":" in raw
+
+
+def ingest(spark: SparkSession, landing_dir: str, cities_csv: str, raw: str,
+           gazetteer_path: str | None = None, report: bool = False,
+           buckets: int = 512) -> DataFrame | None:
     """Clean every landing file in one scan and append to the raw table.
 
-    With ``report`` it also returns the per-(term, location) load counts with
-    the running total; that is a second pass over the landing data, so it is
-    off by default.
+    ``raw`` is a path (parquet partitioned by feed) or a catalog table name
+    (also bucketed by id into ``buckets``, so model builds need no shuffle
+    of it).  With ``report`` it also returns the per-(term, location) load
+    counts with the running total; that is a second pass over the landing
+    data, so it is off by default.
     """
     cities = files.read_city_locations(spark, cities_csv, position=False)
     gaz = spark.read.parquet(gazetteer_path) if gazetteer_path else None
     hits = files.read_landing(spark, landing_dir)
     rows = pipeline.raw_rows(hits, cities, gazetteer=gaz, passthrough=["term", "location_index"])
-    writers.append_raw(rows, raw_path)
+    if _is_path(raw):
+        writers.append_raw(rows, raw)
+    else:
+        writers.append_raw_table(rows, raw, buckets)
     if not report:
         return None
     return quality.load_counts(rows)
 
 
-def model(spark: SparkSession, raw_path: str, cities_csv: str, counties_csv: str,
+def model(spark: SparkSession, raw: str, cities_csv: str, counties_csv: str,
           out_dir: str, dev_limit: int | None = None) -> dict[str, str]:
-    """Build the staging views and the dimension and fact tables.
+    """Build the staging views and the dimension and fact tables from the raw
+    table (a path or a bucketed catalog table, see :func:`ingest`).
 
     The staging views are temporary views (no data moves); dimensions and
     the fact are rebuilt in full.  The id tests run with severity warn.
     """
-    raw = files.read_raw(spark, raw_path)
+    raw = files.read_raw(spark, raw) if _is_path(raw) else files.read_raw_table(spark, raw)
     cities = files.read_city_locations(spark, cities_csv, position=False)
     counties = files.read_county_cities(spark, counties_csv)
     views = {"stg_restaurants": staging.stg_restaurants(raw, dev_limit),
@@ -80,19 +91,19 @@ def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="foodgrid.plans.jobs")
     sub = ap.add_subparsers(dest="cmd", required=True)
     a = sub.add_parser("ingest")
-    a.add_argument("landing_dir"), a.add_argument("cities_csv"), a.add_argument("raw_path")
-    a.add_argument("--gazetteer")
+    a.add_argument("landing_dir"), a.add_argument("cities_csv"), a.add_argument("raw")
+    a.add_argument("--gazetteer"), a.add_argument("--buckets", type=int, default=512)
     m = sub.add_parser("model")
-    m.add_argument("raw_path"), m.add_argument("cities_csv"), m.add_argument("counties_csv")
+    m.add_argument("raw"), m.add_argument("cities_csv"), m.add_argument("counties_csv")
     m.add_argument("out_dir"), m.add_argument("--dev-limit", type=int)
     args = ap.parse_args(argv)
     from ..session import build_session
     spark = build_session("foodgrid-" + args.cmd)
     if args.cmd == "ingest":
-        ingest(spark, args.landing_dir, args.cities_csv, args.raw_path, args.gazetteer,
-               report=True).show(50)
+        ingest(spark, args.landing_dir, args.cities_csv, args.raw, args.gazetteer,
+               report=True, buckets=args.buckets).show(50)
     else:
-        print(model(spark, args.raw_path, args.cities_csv, args.counties_csv, args.out_dir,
+        print(model(spark, args.raw, args.cities_csv, args.counties_csv, args.out_dir,
                     args.dev_limit))
 
 

@@ -57,6 +57,24 @@ def append_raw(df: DataFrame, path: str, check: bool = True) -> None:
     out.write.mode("append").partitionBy("feed").parquet(path)
 
 
+def append_raw_table(df: DataFrame, table: str, buckets: int, check: bool = True) -> None:
+    """S13 into a catalog table bucketed by ``id`` (and partitioned by feed).
+
+    Every staging view and the fact group by id; on a table bucketed by id
+    that grouping needs no shuffle, so the largest table is never exchanged
+    when the models are rebuilt.  The new rows are hash-partitioned into
+    ``buckets`` tasks first (the same hash as the buckets), so each append
+    writes one file per bucket and feed instead of one per task and bucket.
+    """
+    out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW.fields])
+    if check:
+        check_required(out)
+    (out.repartition(buckets, "id")
+        .write.mode("append").format("parquet")
+        .partitionBy("feed").bucketBy(buckets, "id").sortBy("id")
+        .saveAsTable(table))
+
+
 def materialize(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Rebuild a model table in full."""
     df.write.mode("overwrite").format(fmt).save(path)

@@ -90,6 +90,13 @@ def read_raw(spark: SparkSession, path: str, feeds=None) -> DataFrame:
     return df.filter(F.col("feed").isin(list(feeds))) if feeds else df
 
 
+def read_raw_table(spark: SparkSession, table: str, feeds=None) -> DataFrame:
+    """S5 for the bucketed catalog table written by
+    :func:`foodgrid.sinks.writers.append_raw_table`."""
+    df = spark.table(table)
+    return df.filter(F.col("feed").isin(list(feeds))) if feeds else df
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict,
               partition_column: str | None = None, lower_bound: int | None = None,
               upper_bound: int | None = None, num_partitions: int = 8) -> DataFrame:

@@ -15,6 +15,9 @@ def spark():
     # Tests run locally, so a scratch folder is an acceptable checkpoint dir;
     # build_session applies it only where the session has none.
     ckpt = tempfile.mkdtemp(prefix="foodgrid-test-ckpt-", dir="/tmp")
+    os.environ["PYSPARK_SUBMIT_ARGS"] = (
+        "--conf spark.ui.showConsoleProgress=false "
+        f"--conf spark.sql.warehouse.dir={ckpt}/warehouse pyspark-shell")
     s = build_session("tests", master="local[4]", shuffle_partitions=4, checkpoint_dir=ckpt)
     s.sparkContext.setLogLevel("ERROR")
     yield s

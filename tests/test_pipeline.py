@@ -287,3 +287,33 @@ def test_hot_id_dedup(spark):
 def asc_(c):
     from foodgrid.operators.dedup import asc
     return asc(c)
+
+
+def test_bucketed_raw_table_needs_no_shuffle_for_models(spark, world):
+    import contextlib
+    import io
+    out = world["raw"].drop("location_index")
+    writers.append_raw_table(out, "raw_bucketed_t", buckets=4)
+    writers.append_raw_table(out, "raw_bucketed_t", buckets=4)   # rerun duplicates rows
+    raw_b = files.read_raw_table(spark, "raw_bucketed_t")
+    assert raw_b.count() == 2 * out.count()
+    for fn in (staging.stg_restaurants, marts.pick_listings):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            fn(raw_b).explain()
+        assert "Exchange hashpartitioning(id" not in buf.getvalue(), buf.getvalue()
+    cols = marts.FACT_COLUMNS
+    assert rows(pipeline.build_fact(raw_b, world["cities"], world["counties"]), *cols) == \
+        rows(pipeline.build_fact(world["raw"], world["cities"], world["counties"]), *cols)
+    pruned = files.read_raw_table(spark, "raw_bucketed_t", feeds=["Coffee"])
+    assert {r["feed"] for r in pruned.collect()} == {"Coffee"}
+
+
+def test_jobs_with_bucketed_table(spark, tmp):
+    from foodgrid.plans import jobs
+    land = landing(tmp)
+    cities = FX.write(tmp, "cities.csv", FX.CITY_CSV)
+    counties = FX.write(tmp, "counties.csv", FX.COUNTY_CSV)
+    jobs.ingest(spark, land, cities, "raw_jobs_t", buckets=4)
+    out = jobs.model(spark, "raw_jobs_t", cities, counties, os.path.join(tmp, "models_t"))
+    assert spark.read.parquet(out["fact_all"]).count() == 10
