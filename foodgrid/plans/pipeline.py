@@ -8,7 +8,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions.taxonomy import DEFAULT_TAXONOMY, Taxonomy
@@ -41,8 +40,3 @@ def build_models(raw: DataFrame, cities: DataFrame, counties: DataFrame) -> dict
         "dim_counties": marts.dim_counties(counties),
         "fact_all": build_fact(raw, cities, counties),
     }
-
-
-def count_rows(df: DataFrame) -> DataFrame:
-    """Helper for reports: number of rows as a one-row DataFrame."""
-    return df.agg(F.count(F.lit(1)).alias("n"))

@@ -35,8 +35,15 @@ def query(name: str):
 _PLANS: dict = {}
 
 
+def _session_key(spark) -> tuple:
+    try:
+        return (spark.sparkContext.applicationId, id(spark))
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        return ("session", id(spark))
+
+
 def _shared(name: str, spark, d, build):
-    key = (spark.sparkContext.applicationId, id(spark), d, name)
+    key = (*_session_key(spark), d, name)
     if key not in _PLANS:
         _PLANS[key] = build()
     return _PLANS[key]

@@ -34,10 +34,9 @@ def build_session(app: str = "foodgrid", master: str | None = None,
           .config("spark.sql.sources.partitionOverwriteMode", "dynamic"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    if checkpoint_dir:
-        b = b.config("spark.checkpoint.dir", checkpoint_dir)
     spark = b.getOrCreate()
     sc = spark.sparkContext
+    # The cluster's own setting wins; ours only fills a gap (tests, bench).
     if checkpoint_dir and not sc.getConf().get("spark.checkpoint.dir", None) \
             and not sc.getCheckpointDir():
         sc.setCheckpointDir(checkpoint_dir)

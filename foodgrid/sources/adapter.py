@@ -147,10 +147,12 @@ def stored_businesses(spark: SparkSession, sf_dir: str) -> DataFrame:
     (same result, more work).
     """
     biz = businesses(spark, sf_dir)
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None):
-        return cut_lineage(biz)
-    return biz
+    try:
+        sc = spark.sparkContext
+        configured = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        configured = None
+    return cut_lineage(biz) if configured else biz
 
 
 def search_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
