@@ -235,7 +235,7 @@ def test_older_relational_path(spark, world):
     tmp = world["tmp"]
     legacy = writers.legacy_raw_rows(world["hits"])
     assert legacy.columns[:15] == list(writers.LEGACY_RAW_COLUMNS)
-    raw_path, out_path = os.path.join(tmp, "yelp_cafe"), os.path.join(tmp, "yelp_cafe_cleaned")
+    raw_path, out_path = os.path.join(tmp, "legacy_raw"), os.path.join(tmp, "legacy_clean")
     first = writers.insert_if_absent(spark.createDataFrame([], "id string"), legacy,
                                      [asc("term"), asc("location_index")],
                                      columns=list(writers.LEGACY_RAW_COLUMNS))
