@@ -111,12 +111,14 @@ def q_stg_desserts(spark, d):
 
 @query("dim_coordinates")
 def q_dim_coordinates(spark, d):
-    return marts.dim_coordinates(cities(spark, d))
+    """O27 over the long location list (one per customer)."""
+    return marts.dim_coordinates(A.search_locations(spark, d))
 
 
 @query("dim_counties")
 def q_dim_counties(spark, d):
-    return marts.dim_counties(counties(spark, d))
+    """O28 over a county list with one entity per customer."""
+    return marts.dim_counties(A.customer_counties(spark, d))
 
 
 @query("clean_all")

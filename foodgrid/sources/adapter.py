@@ -245,3 +245,28 @@ def search_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.lit(32.5) + (k % 997).cast("double") / F.lit(1000.0)).alias("Latitude"),
                     (F.lit(-124.0) + (k % 991).cast("double") / F.lit(1000.0)).alias("Longitude"),
                     k.cast("long").alias("position"))
+
+
+def customer_counties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A D2 county list that grows with the data: one entity per customer
+    (the location of :func:`search_locations`), county = its region.
+    ``nation``/``region`` have 25/5 rows by the benchmark's definition."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    r = table(spark, sf_dir, "region")
+    geo = F.broadcast(n.join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"]))
+    j = c.join(geo, c["c_nationkey"] == geo["n_nationkey"])
+    k = F.col("c_custkey")
+    return j.select(
+        F.concat(F.lit("City of "), F.col("c_name")).alias("Entity Name"),
+        k.cast("long").alias("Entity ID"),
+        F.lit("City").alias("Entity Type"),
+        F.col("r_name").alias("County Name"),
+        F.col("c_name").alias("City"),
+        F.lit("CA").alias("State"),
+        F.concat(F.lit("9"), F.lpad(_s(k % 10000), 4, "0")).alias("Zip"),
+        (k.cast("long") * 10).alias("Estimated Population"),
+        F.lit("General Law").alias("Class Data"),
+        F.lit(630).cast("long").alias("Fiscal Year End"),
+        F.lit(20240131).cast("long").alias("Paper Report Due Date"),
+        F.lit(20240131).cast("long").alias("Electronic Report Due Date"))
