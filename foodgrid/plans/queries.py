@@ -12,8 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import clean, marts, staging
+from ..functions import columns as C
+from ..functions import taxonomy as TX
+from ..operators import clean, marts, quality, staging
+from ..operators import keyterm as K
+from ..operators.dedup import asc, first_per_key
+from ..sinks import writers
 from ..sources import adapter as A
+from ..sources import files, search
 from . import pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,13 +134,6 @@ def q_clean_all(spark, d):
 
 # --- sources ------------------------------------------------------------------------
 
-from ..functions import columns as C  # noqa: E402
-from ..functions import taxonomy as TX  # noqa: E402
-from ..operators import keyterm as K, quality  # noqa: E402
-from ..operators.dedup import asc, first_per_key  # noqa: E402
-from ..sinks import writers  # noqa: E402
-from ..sources import files, search  # noqa: E402
-
 DECLARED_FEEDS = staging.RESTAURANT_FEEDS + staging.CAFE_FEEDS + staging.DESSERT_FEEDS
 
 
