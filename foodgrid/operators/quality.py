@@ -48,12 +48,22 @@ def load_counts(raw: DataFrame, terms: list[str] | None = None, term_col: str =
     order (term order of the run, then location), reset per run only.
     Without ``terms`` the run order is the term name.
 
-    The running frame works on the per-pair counts (one row per request
-    pair, bounded by the request plan), never on the rows themselves.
+    A two-level prefix sum: a running window per term (partitioned by term,
+    over that term's locations) plus the totals of the terms before it (one
+    row per term; an aggregate of the loaded rows, so AQE broadcasts it from
+    its measured size rather than a probe paying a second pass).  No window
+    ever puts all pairs into one task.
     """
     order = (F.array_position(F.array(*[F.lit(t) for t in terms]), F.col(term_col))
-             if terms else F.lit(0))
+             if terms else F.lit(0)).cast("int")
     counts = (raw.groupBy(term_col, location_col).agg(F.count(F.lit(1)).alias("row_count"))
-                 .withColumn("term_order", order.cast("int")))
-    w = Window.orderBy("term_order", term_col, location_col).rowsBetween(Window.unboundedPreceding, 0)
-    return counts.withColumn("total_rows", F.sum("row_count").over(w)).drop("term_order")
+                 .withColumn("_term_order", order))
+    per_term = counts.groupBy("_term_order", term_col).agg(F.sum("row_count").alias("_term_rows"))
+    earlier = Window.orderBy("_term_order", term_col).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_term.select("_term_order", term_col, F.coalesce(
+        F.sum("_term_rows").over(earlier), F.lit(0)).alias("_before"))
+    within = (Window.partitionBy("_term_order", term_col).orderBy(location_col)
+                    .rowsBetween(Window.unboundedPreceding, 0))
+    return (counts.join(offsets, ["_term_order", term_col])
+                  .withColumn("total_rows", F.col("_before") + F.sum("row_count").over(within))
+                  .select(term_col, location_col, "row_count", "total_rows"))
