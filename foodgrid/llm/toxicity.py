@@ -48,7 +48,7 @@ BLOCK = 1 << 20
 
 # FIXED VALUES: look-alikes of Latin letters and digits used for letters.
 HOMOGLYPHS = {
-    "а": "a", "в": "b", "е": "e", "з": "e", "и": "u", "к": "k", "м": "m", "н": "h", "о": "o",
+    "а": "a", "в": "b", "д": "d", "е": "e", "з": "e", "и": "u", "к": "k", "м": "m", "н": "h", "о": "o",
     "р": "p", "с": "c", "т": "t", "у": "y", "х": "x", "ѕ": "s", "і": "i", "ј": "j", "ԁ": "d",
     "ӏ": "l", "ԛ": "q", "ԝ": "w", "ь": "b", "α": "a", "β": "b", "γ": "y", "ε": "e", "η": "n",
     "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "ω": "w",
