@@ -240,10 +240,10 @@ def decode(rows: DataFrame, path: str) -> DataFrame:
         .mapInArrow(run, "doc_id long, bytes binary")
 
 
-def round_trip(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: digests of the ids that
-    :meth:`Codec.encode` gives and of the bytes :meth:`Codec.decode` makes of
-    them, in one pass, so that ids need not travel."""
+def round_trip(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 and (``keep_ids``) ids:
+    digests of the ids that :meth:`Codec.encode` gives and of the bytes
+    :meth:`Codec.decode` makes of them, in one pass."""
     shared = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
 
     def run(batches):
@@ -257,8 +257,10 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
                 [pa.array(d, pa.int64()), pa.array(np.diff(at), pa.int64()),
                  pa.array([hashlib.sha256(x.encode()).hexdigest() for x in listed], pa.string()),
                  pa.array([hashlib.sha256(c.decode(ids[a:b])).hexdigest() for a, b in spans],
-                          pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                          pa.string())]
+                + [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32()))] * keep_ids,
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * keep_ids)
 
     return _input(docs).mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        + ", ids array<int>" * keep_ids)

@@ -39,9 +39,10 @@ TOKEN_UNIT = 1 << 10    # fractions of a token in the Newton sums
 
 
 def sizes(docs: DataFrame) -> DataFrame:
+    text = F.coalesce(docs["text"], F.lit(""))
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["source"].alias("source"),
-                       F.regexp_count(F.coalesce(docs["text"], F.lit("")), F.lit(WORD_PATTERN))
-                       .cast("long").alias("size"))
+                       F.regexp_count(text, F.lit(WORD_PATTERN)).cast("long").alias("size"),
+                       F.xxhash64(docs["doc_id"].cast("long"), text).alias("rid"))
 
 
 def share_targets(totals: list[tuple], cap: int = MAX_COPIES,
@@ -105,10 +106,10 @@ def solve_rates(spark, hist: DataFrame, sources: list[dict], steps: int = 60,
     return sources
 
 
-def mix(docs: DataFrame, sized: DataFrame | None = None) -> DataFrame:
-    """doc_id, source, size, source_size, target, rate, copies, taken per row."""
+def mix(docs: DataFrame) -> DataFrame:
+    """doc_id, source, size, source_size, target, rate, copies, taken, rid per row."""
     spark = docs.sparkSession
-    rows = sized if sized is not None else stored(sizes(docs), "sizes")
+    rows = stored(sizes(docs), "sizes")
     totals = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
     # one row per source, not per document; Python orders strings by code point
     found = sorted(((x["source"], x["size"], x["n"]) for x in totals.collect()),
@@ -120,7 +121,7 @@ def mix(docs: DataFrame, sized: DataFrame | None = None) -> DataFrame:
                                   "name string, sid long")
     salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt")
     keyed = rows.join(F.broadcast(names), rows["source"].eqNullSafe(names["name"])) \
-        .select("doc_id", "source", "sid", "size", salt)
+        .select("doc_id", "rid", "source", "sid", "size", salt)
     cells = stored(keyed.groupBy("sid", "size", "salt").agg(F.count(F.lit(1)).alias("n")), "cells")
     solve_rates(spark, cells.groupBy("sid", "size").agg(F.sum("n").alias("n")), sources)
     solved = spark.createDataFrame(
@@ -135,23 +136,25 @@ def mix(docs: DataFrame, sized: DataFrame | None = None) -> DataFrame:
     cells = cells.withColumn("before", F.sum(F.col("n") * F.col("part")).over(along)
                              - F.col("n") * F.col("part")) \
         .select("sid", "size", "salt", "source_size", "target", "rate", "whole", "part", "before")
-    place = F.row_number().over(Window.partitionBy("sid", "size", "salt").orderBy("doc_id"))
+    place = F.row_number().over(Window.partitionBy("sid", "size", "salt").orderBy("doc_id", "rid"))
     run = F.col("before") + (F.col("place") - 1) * F.col("part") + UNIT // 2
     extra = F.expr(f"(run + part) div {UNIT} - run div {UNIT}")
     out = keyed.withColumn("place", place).join(cells, ["sid", "size", "salt"]) \
         .withColumn("run", run).withColumn("copies", (F.col("whole") + extra).cast("long"))
     return out.select("doc_id", "source", "size", "source_size", "target", "rate", "copies",
-                      (F.col("copies") * F.col("size")).alias("taken"))
+                      (F.col("copies") * F.col("size")).alias("taken"), "rid")
 
 
 def repeat_by_mix(docs: DataFrame) -> DataFrame:
     """The documents, each repeated by its copies (0: gone), with their columns.
 
-    ``docs`` needs one row per doc_id, as exact deduplication leaves it.
+    Rows equal in doc_id and text get the same number of copies, the least of theirs.
     """
-    copies = mix(docs).select(F.col("doc_id").alias("__id"), F.col("copies").alias("__copies"))
-    n = F.col("__copies").cast("int")
-    return (docs.join(copies, docs["doc_id"].cast("long").eqNullSafe(F.col("__id")))
+    row = F.xxhash64(docs["doc_id"].cast("long"), F.coalesce(docs["text"], F.lit("")))
+    copies = mix(docs).groupBy(F.col("doc_id").alias("__id"), F.col("rid").alias("__rid")) \
+        .agg(F.min("copies").cast("int").alias("__copies"))
+    n = F.col("__copies")
+    return (docs.join(copies, (row == F.col("__rid")) & docs["doc_id"].cast("long").eqNullSafe(F.col("__id")))
             .filter(n > 0)
             .select(*[docs[c] for c in docs.columns],
                     F.explode(F.sequence(F.lit(1), n)).alias("__copy")).drop("__copy"))

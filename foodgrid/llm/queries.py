@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, exact_dedup, mixing, packed_ids, sharding, syncmers, toxicity
+from . import (byte_bpe, exact_dedup, mixing, near_dedup, packed_ids, sharding, subtree_dedup, suffix_dedup,
+               syncmers, toxicity)
 from .base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +40,11 @@ def op2_packed_ids(spark, d):
     return packed_ids.read_digests(spark, folder)
 
 
+@query
+def op3_suffix_dedup(spark, d):
+    return suffix_dedup.remove_repeats(table(spark, d, "documents"), keep_text=False)
+
+
 @query
 def op4_toxicity(spark, d):
     docs = table(spark, d, "documents")
@@ -50,6 +56,11 @@ def op5_exact_dedup(spark, d):
     return exact_dedup.exact_dedup(table(spark, d, "documents"))
 
 
+@query
+def op6_subtree_dedup(spark, d):
+    return subtree_dedup.remove_repeats(table(spark, d, "documents"), keep_text=False)
+
+
 @query
 def op7_sharding(spark, d):
     return sharding.shard_by_bytes(table(spark, d, "documents"))
@@ -64,3 +75,8 @@ def op8_byte_bpe(spark, d):
 def op9_mixing(spark, d):
     return mixing.mix(table(spark, d, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "rate", "copies")
+
+
+@query
+def op10_minhash_bayes(spark, d):
+    return near_dedup.groups(table(spark, d, "documents"), width=2, similarity=0.8).drop("rid")
