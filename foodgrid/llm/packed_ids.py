@@ -41,6 +41,7 @@ from .pretokens import distinct_pieces
 BLOCK = 1024            # ids in a block; a multiple of 32
 CHUNK = 1 << 17         # ids after which a chunk is closed
 CHARACTERS = 1 << 20    # characters encoded at once
+WORDS = 2000            # words in one call of the library
 MEMORY = 1_000_000      # words a worker remembers (about 200 MB)
 FILE_SCHEMA = ("part int, chunk int, first long, doc_ids array<long>, ends array<long>, "
                "bits int, offsets array<long>, payload binary")
@@ -103,11 +104,24 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        names = self.library.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(names.values()) + 1, bool)
+        self.ends_word[[i for t, i in names.items() if t.endswith("</w>")]] = True
         self.memory: dict[bytes, list[int]] = {}
 
     def whole(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
+    def encode_words(self, words: list[bytes]) -> dict[bytes, list[int]]:
+        """Ids of each word: many words in one call, told apart by the ids that end one."""
+        ids = self.library.encode(" ".join(w.decode() for w in words), add_special_tokens=False).ids
+        flat = np.array(ids, np.int64)
+        ends = (np.flatnonzero(self.ends_word[flat]) + 1).tolist()
+        if len(ends) != len(words) or ends[-1] != len(ids):  # a word without an end of its own
+            got = self.library.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+            return dict(zip(words, [g.ids for g in got], strict=True))
+        return {w: ids[a:b] for w, a, b in zip(words, [0, *ends[:-1]], ends, strict=True)}
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         import unicodedata
         plain, own = [], {}
@@ -124,9 +138,8 @@ class WordEncoder:
         if len(memory) > MEMORY:
             memory.clear()
         new = [p for p in pieces if p not in memory]
-        if new:
-            got = self.library.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)
-            memory.update(zip(new, [g.ids for g in got], strict=True))
+        for k in range(0, len(new), WORDS):
+            memory.update(self.encode_words(new[k:k + WORDS]))
         ids = [memory[p] for p in pieces]
         count = np.array([len(x) for x in ids], np.int64)
         flat = np.array([x for y in ids for x in y], np.int64)

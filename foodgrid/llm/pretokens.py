@@ -88,17 +88,26 @@ def block_arrays(texts: list[str]):
     return raw, data, codes, bounds, place
 
 
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """BASE**i and BASE**-i for i < n, kept for blocks to come (16 bytes a place
+    of the largest block)."""
+    if len(_POWERS[0]) < n:
+        for k, base in enumerate((int(BASE), pow(int(BASE), -1, 2**64))):
+            x = np.full(n, np.uint64(base), np.uint64)
+            x[0] = 1
+            _POWERS[k] = np.multiply.accumulate(x)
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
 def piece_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each byte piece, from two running sums."""
     n = len(data)
-    powers = np.full(n, BASE, np.uint64)
-    powers[:1] = 1
-    np.multiply.accumulate(powers, out=powers)
+    forth, back = powers(n)
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum(BYTE_CODE[data] * powers, out=total[1:])
-    back = np.full(n, np.uint64(pow(int(BASE), -1, 2**64)), np.uint64)
-    back[:1] = 1
-    np.multiply.accumulate(back, out=back)
+    np.cumsum(BYTE_CODE[data] * forth, out=total[1:])
     h = (total[ends] - total[starts]) * back[starts]
     return mix(h ^ ((ends - starts).astype(np.uint64) << np.uint64(48)))
 
