@@ -233,7 +233,7 @@ def stars(members: DataFrame) -> DataFrame:
         if not none:
             yield rows(1, [last], [head], [head])
 
-    made = stored(members.distinct().repartitionByRange("band", "rid").sortWithinPartitions("band", "rid")
+    made = stored(members.repartitionByRange("band", "rid").sortWithinPartitions("band", "rid")
                   .mapInArrow(run, STARS), "stars")
     ends = made.filter("kind = 1").select("band", "a")   # two rows per partition
     least = ends.groupBy("band").agg(F.min("a").alias("a"))
@@ -437,8 +437,9 @@ def groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFram
                      pa.array([s.tobytes() for s in shingle_sets(x["text"], width)], pa.binary())],
                     ["root", "node", "s"])
 
-    # one document of each node's class brings the set
-    chosen = rows.join(roots, rows["rid"] == roots["node"]).select("root", "node", "text") \
+    # One document of each node's class brings the set.  Both sides grow with
+    # the corpus: never a broadcast, at no size.
+    chosen = rows.join(roots.hint("merge"), rows["rid"] == roots["node"]).select("root", "node", "text") \
         .mapInArrow(to_sets, "root long, node long, s binary")
     links = verified_links(stored(chosen.dropDuplicates(["node"]), "sets"), percent)
     found = components(links)
