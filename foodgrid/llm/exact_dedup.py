@@ -20,7 +20,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import lower_ascii, scratch_dir
+from .base import lower_ascii, scratch_dir, stored
 
 #: A digest with over 1/HOT_SHARE of all rows is hot: at most HOT_SHARE such exist.
 HOT_SHARE = 1000
@@ -69,7 +69,7 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None, buckets: int
     """
     spark = docs.sparkSession
     index = index or DigestIndex(spark, buckets=buckets)
-    rows = digests(docs)
+    rows = stored(digests(docs), "digests")  # each text is digested once
     index.ingest(group_digests(rows))
     table = index.table()
     # A digest with a third of all rows must not meet in one task: the hot
