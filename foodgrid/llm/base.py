@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 #: ``[^\x20\x09-\x0D]+``, the words of every operator here (Java and Python).
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
+EDGES_PER_FILE = 100_000
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -73,6 +74,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     e = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")) \
         .filter("a <> b").distinct()
     e = stored(e, "edges")
+    # a table of few edges is kept in few files: a round then costs few tasks
+    files = max(4, e.count() // EDGES_PER_FILE)
     before = None
     for _ in range(max_rounds):
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -85,7 +88,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         low = down.groupBy("a").agg(F.min("b").alias("m"))
         j = down.join(low, "a")
         e = stored(j.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
-                   .unionByName(low.select("a", F.col("m").alias("b"))).distinct(), "edges")
+                   .unionByName(low.select("a", F.col("m").alias("b"))).distinct().coalesce(files), "edges")
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             return e.select(F.col("a").alias("node"), F.col("b").alias("root")) \

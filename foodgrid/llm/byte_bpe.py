@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .pretokens import distinct_pieces, piece_hashes
-from .textarrays import mix
+from .textarrays import mix, tidy
 
 #: Characters encoded at once, and results a worker remembers.
 BLOCK, MEMORY = 1 << 21, 400_000
@@ -220,7 +220,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                  pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32()))],
                 ["doc_id", "ids"])
 
-    return _input(docs).mapInArrow(run, "doc_id long, ids array<int>")
+    return _input(docs).mapInArrow(tidy(run), "doc_id long, ids array<int>")
 
 
 def decode(rows: DataFrame, path: str) -> DataFrame:
@@ -237,7 +237,7 @@ def decode(rows: DataFrame, path: str) -> DataFrame:
                                        pa.binary())], ["doc_id", "bytes"])
 
     return rows.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids")) \
-        .mapInArrow(run, "doc_id long, bytes binary")
+        .mapInArrow(tidy(run), "doc_id long, bytes binary")
 
 
 def round_trip(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
@@ -261,6 +261,5 @@ def round_trip(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
                 + [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32()))] * keep_ids,
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * keep_ids)
 
-    return _input(docs).mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return _input(docs).mapInArrow(tidy(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
         + ", ids array<int>" * keep_ids)

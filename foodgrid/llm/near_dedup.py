@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from .base import components, same_row, stored, texts
 from .repeats import row_blocks
-from .textarrays import gram_hash, mix, utf8, words
+from .textarrays import gram_hash, mix, tidy, utf8, words
 
 BANDS, ROWS = 64, 8
 SMALL = 64          # sets up to 5/4 of this get bands of independent hashes too
@@ -56,7 +56,7 @@ MISS = 1e-9         # posterior chance at which a pair is given up
 GROUP = 2048        # documents in one block
 HUBS = 16
 EDGE_BYTES = 128    # signature bytes an edge is judged by
-SEEN = 500_000      # sets a task remembers, so as not to send copies again
+SEEN = 100_000      # sets a task remembers, so as not to send copies again
 
 
 # --- sets and signatures ----------------------------------------------------------
@@ -158,7 +158,7 @@ def sketches(rows: DataFrame, width: int) -> DataFrame:
                      pa.array(k2, pa.int64()), pa.array(sig, pa.binary()),
                      pa.array(bands, pa.list_(pa.int64()))], [c.split()[0] for c in SKETCH.split(", ")])
 
-    return rows.select("doc_id", "rid", "text").mapInArrow(run, SKETCH)
+    return rows.select("doc_id", "rid", "text").mapInArrow(tidy(run), SKETCH)
 
 
 # --- posterior bounds -------------------------------------------------------------
@@ -234,7 +234,7 @@ def stars(members: DataFrame) -> DataFrame:
             yield rows(1, [last], [head], [head])
 
     made = stored(members.repartitionByRange("band", "rid").sortWithinPartitions("band", "rid")
-                  .mapInArrow(run, STARS), "stars")
+                  .mapInArrow(tidy(run), STARS), "stars")
     ends = made.filter("kind = 1").select("band", "a")   # two rows per partition
     least = ends.groupBy("band").agg(F.min("a").alias("a"))
     across = ends.withColumnRenamed("a", "b").join(least, "band").filter("a <> b").distinct()
@@ -263,7 +263,7 @@ def judged(edges: DataFrame, sketch: DataFrame, similarity: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b["a"], b["b"], pa.array(near), pa.array(sure)],
                                              ["a", "b", "near", "sure"])
 
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long, near boolean, sure boolean")
+    return both.select("a", "b", "x", "y").mapInArrow(tidy(run), "a long, b long, near boolean, sure boolean")
 
 
 def candidate_edges(sketch: DataFrame, similarity: float) -> DataFrame:
@@ -382,7 +382,7 @@ def link_blocks(rows: DataFrame, percent: int, only_extra: bool) -> DataFrame:
                  pa.array([held[j][0] for _, j in got], pa.int64())], ["a", "b"])
 
     return rows.repartition("root", "block").sortWithinPartitions("root", "block", "node") \
-        .mapInArrow(run, LINKS)
+        .mapInArrow(tidy(run), LINKS)
 
 
 def verified_links(nodes: DataFrame, percent: int) -> DataFrame:
@@ -440,7 +440,7 @@ def groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFram
     # One document of each node's class brings the set.  Both sides grow with
     # the corpus: never a broadcast, at no size.
     chosen = rows.join(roots.hint("merge"), rows["rid"] == roots["node"]).select("root", "node", "text") \
-        .mapInArrow(to_sets, "root long, node long, s binary")
+        .mapInArrow(tidy(to_sets), "root long, node long, s binary")
     links = verified_links(stored(chosen.dropDuplicates(["node"]), "sets"), percent)
     found = components(links)
     named = of.join(found, "node", "left").withColumn("group", F.coalesce("root", "node"))

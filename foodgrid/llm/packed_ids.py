@@ -37,12 +37,13 @@ from pyspark.sql import functions as F
 from .base import scratch_dir
 from .byte_bpe import text_blocks
 from .pretokens import distinct_pieces
+from .textarrays import tidy
 
 BLOCK = 1024            # ids in a block; a multiple of 32
 CHUNK = 1 << 17         # ids after which a chunk is closed
 CHARACTERS = 1 << 20    # characters encoded at once
 WORDS = 2000            # words in one call of the library
-MEMORY = 1_000_000      # words a worker remembers (about 200 MB)
+MEMORY = 800_000        # words a worker remembers (about 170 MB)
 FILE_SCHEMA = ("part int, chunk int, first long, doc_ids array<long>, ends array<long>, "
                "bits int, offsets array<long>, payload binary")
 
@@ -201,7 +202,7 @@ def write_packed(docs: DataFrame, folder: str, tokenizer: str, vocabulary: int,
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"),
                        F.coalesce(docs["text"], F.lit("")).alias("text"))
     (rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-         .mapInArrow(run, FILE_SCHEMA).write.option("compression", "none").parquet(folder))
+         .mapInArrow(tidy(run), FILE_SCHEMA).write.option("compression", "none").parquet(folder))
 
 
 def part_starts(files: DataFrame) -> DataFrame:
@@ -227,7 +228,7 @@ def read_packed(spark, folder: str) -> DataFrame:
                                               pa.array(flat.astype(np.int32), pa.int32()))],
                     ["part", "doc_id", "at", "ids"])
 
-    rows = files.mapInArrow(run, "part int, doc_id long, at long, ids array<int>")
+    rows = files.mapInArrow(tidy(run), "part int, doc_id long, at long, ids array<int>")
     return rows.join(F.broadcast(part_starts(files)), "part") \
         .select("doc_id", (F.col("part_start") + F.col("at")).alias("start"), "ids")
 
@@ -251,7 +252,7 @@ def read_digests(spark, folder: str) -> DataFrame:
                                zip(begin, r["ends"], strict=True)], pa.int64())],
                     ["part", "doc_id", "at", "n_tokens", "ids_crc32"])
 
-    rows = files.mapInArrow(run, "part int, doc_id long, at long, n_tokens long, ids_crc32 long")
+    rows = files.mapInArrow(tidy(run), "part int, doc_id long, at long, n_tokens long, ids_crc32 long")
     return rows.join(F.broadcast(part_starts(files)), "part") \
         .select("doc_id", (F.col("part_start") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 

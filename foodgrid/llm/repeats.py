@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import same_row, stored, texts
-from .textarrays import blocks, gram_hash, mix, utf8, window_min, words
+from .textarrays import blocks, gram_hash, mix, tidy, utf8, window_min, words
 
 #: Seeds with more classes than this are too wide for one group of suffixes.
 WIDE = 4000
@@ -121,7 +121,7 @@ def runs(docs: DataFrame, units, window: int, k: int) -> DataFrame:
                          pa.array(a.astype(np.int32)), pa.array(n.astype(np.int32))],
                         [c.split()[0] for c in RUNS.split(", ")])
 
-    return docs.select("doc_id", "rid", "text").mapInArrow(run, RUNS)
+    return docs.select("doc_id", "rid", "text").mapInArrow(tidy(run), RUNS)
 
 
 class _Sorted:
@@ -200,7 +200,7 @@ def classes(found: DataFrame, within_document: bool) -> DataFrame:
         yield from rows(state.end())
 
     order = ["seed", "touched", "doc_id", "rid", "a"]
-    return found.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, FOUND)
+    return found.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(tidy(run), FOUND)
 
 
 def with_lists(docs: DataFrame, found: DataFrame, name: str, *columns) -> DataFrame:
@@ -236,7 +236,7 @@ def pieces(docs: DataFrame, candidates: DataFrame, units, window: int) -> DataFr
                         ["seed", "doc_id", "rid", "a", "n", "piece"])
 
     return with_lists(docs, candidates, "found", "seed", "a", "n").filter("found is not null") \
-        .mapInArrow(run, "seed long, doc_id long, rid long, a int, n int, piece binary")
+        .mapInArrow(tidy(run), "seed long, doc_id long, rid long, a int, n int, piece binary")
 
 
 def wide_repeats(wide: DataFrame, units, window: int, within_document: bool) -> DataFrame:
@@ -260,7 +260,7 @@ def wide_repeats(wide: DataFrame, units, window: int, within_document: bool) ->
                  pa.array((b["a"].to_numpy()[row] + within).astype(np.int32))],
                 ["g", "h", "doc_id", "rid", "a"])
 
-    each = wide.mapInArrow(run, "g long, h long, doc_id long, rid long, a int")
+    each = wide.mapInArrow(tidy(run), "g long, h long, doc_id long, rid long, a int")
     place = F.struct("doc_id", "rid", "a")
     first = each.groupBy("g", "h").agg(F.min(place).alias("first"), F.max(place).alias("last")) \
         .filter("first <> last")
@@ -290,7 +290,7 @@ def repeated(docs: DataFrame, units, window: int, k: int, within_document: bool,
     cut = stored(pieces(rows, table.filter(F.col("kind") == CANDIDATE), units, window), "pieces")
     few, many = split_wide(cut, wide)
     sorted_ = few.repartition("seed").sortWithinPartitions("seed") \
-        .mapInArrow(sort, "doc_id long, rid long, a int, n int")
+        .mapInArrow(tidy(sort), "doc_id long, rid long, a int, n int")
     return rows, copies.unionByName(sorted_).unionByName(
         wide_repeats(many, units, window, within_document))
 

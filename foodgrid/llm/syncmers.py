@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textarrays import gram_hash, mix, window_min
+from .textarrays import gram_hash, mix, tidy, window_min
 
 K, S, ANCHORS = 16, 6, 64
 SEGMENT = 1 << 19     # code points hashed at once
@@ -158,7 +158,7 @@ def fingerprints(docs: DataFrame, k: int = K, s: int = S, m: int = ANCHORS) -> D
 
     text = F.coalesce(docs["text"], F.lit(""))
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), text.alias("text")) \
-        .mapInArrow(run, "doc_id long, fingerprint string")
+        .mapInArrow(tidy(run), "doc_id long, fingerprint string")
 
 
 def in_order_with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
@@ -256,4 +256,4 @@ def with_edited(docs: DataFrame, k: int = K, s: int = S, m: int = ANCHORS) -> Da
         if some:
             yield out(some)
 
-    return in_order_with_next(docs).mapInArrow(run, SCHEMA)
+    return in_order_with_next(docs).mapInArrow(tidy(run), SCHEMA)

@@ -6,6 +6,9 @@ hashes and k-gram hashes cost a few array passes, not a Python step per word.
 
 from __future__ import annotations
 
+import ctypes
+import functools
+
 import numpy as np
 import pyarrow as pa
 
@@ -24,6 +27,21 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
 BYTE_CODE = mix(np.arange(256, dtype=np.uint64), 7)
 
 
+def tidy(run):
+    """A function of Arrow batches that gives freed memory back when its task
+    ends; workers live on for later tasks of other stages."""
+    @functools.wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim:
+                trim(0)
+    return wrapped
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, bounds) of a string column without nulls; bounds has n + 1 entries."""
     if isinstance(column, pa.ChunkedArray):

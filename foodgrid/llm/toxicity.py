@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .byte_bpe import text_blocks
+from .textarrays import tidy
 
 TRAIN_ROWS = 20_000     # labelled rows used at most
 MAX_ENTRIES = 5_000     # lexicon entries and exceptions kept at most, each
@@ -172,7 +173,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
         return Model()
 
     def contexts(batches):
-        for _, some in text_blocks(batches, BLOCK):
+        for _, some in text_blocks(batches, BLOCK // 4):
             out = set()
             for t in some:
                 w = fold(t).split()
@@ -181,7 +182,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array([e for e, _ in out], pa.string()),
                                               pa.array([h for _, h in out], pa.int64())], ["e", "h"])
 
-    seen = train.filter("toxic = 1").select("doc_id", "text").mapInArrow(contexts, "e string, h long") \
+    seen = train.filter("toxic = 1").select("doc_id", "text").mapInArrow(tidy(contexts), "e string, h long") \
         .distinct().groupBy("e").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= MIN_CONTEXTS)
     # the entries of most contexts; a bounded number
     tried = {r["e"] for r in seen.orderBy(F.desc("n"), "e").limit(20 * MAX_ENTRIES).collect()}
@@ -197,7 +198,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
                     [pa.array(list(c), pa.string()), pa.array([y] * len(c), pa.int32()),
                      pa.array(list(c.values()), pa.int64())], ["e", "toxic", "n"])
 
-    table = train.mapInArrow(presence, "e string, toxic int, n long").groupBy("e").agg(
+    table = train.mapInArrow(tidy(presence), "e string, toxic int, n long").groupBy("e").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
         F.sum(F.when(F.col("toxic") == 1, 0).otherwise(F.col("n"))).alias("b")).collect()
     odds = lambda a, b: math.log((a + 0.5) / (toxic + 1) / ((b + 0.5) / (clean + 1)))
@@ -219,7 +220,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
                  pa.array(list(c.values()), pa.int64())], ["p", "toxic", "n"])
 
     n = lambda y: F.sum(F.when(F.col("toxic") == y, F.col("n")).otherwise(0))
-    benign = train.mapInArrow(phrases, "p string, toxic int, n long").groupBy("p") \
+    benign = train.mapInArrow(tidy(phrases), "p string, toxic int, n long").groupBy("p") \
         .agg(n(1).alias("a"), n(0).alias("b")).filter("b >= 3") \
         .filter((F.col("a") + 0.5) * (clean + 1) < (F.col("b") + 0.5) * (toxic + 1)) \
         .orderBy(F.desc("b"), "p").limit(MAX_ENTRIES).collect()
@@ -234,7 +235,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
                  b["toxic"]], ["x", "z", "y"])
 
     # one small row per training row, at most ``rows`` of them
-    points = train.mapInArrow(observed, "x double, z double, y int").orderBy("x", "z", "y").toPandas()
+    points = train.mapInArrow(tidy(observed), "x double, z double, y int").orderBy("x", "z", "y").toPandas()
     return Model(chosen, model.exceptions,
                  fit_curve(points[["x", "z"]].to_numpy(), points["y"].to_numpy()), False)
 
@@ -273,7 +274,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
 
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"),
                        F.coalesce(docs["text"], F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, score double, hits int").select(
+    return rows.mapInArrow(tidy(run), "doc_id long, score double, hits int").select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"), "hits")
 
