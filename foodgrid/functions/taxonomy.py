@@ -93,29 +93,6 @@ def literal_array(values) -> Column:
     return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
 
-def taxonomy_table(spark, taxonomy: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
-    """The taxonomy as a ``(set_name, alias)`` DataFrame."""
-    rows = ([("allow", a) for a in taxonomy.allow]
-            + [("deny", a) for a in taxonomy.deny]
-            + [("ethnic", a) for a in taxonomy.ethnic])
-    return spark.createDataFrame(rows, "set_name string, alias string")
-
-
-def taxonomy_from_table(df: DataFrame, max_rows: int = 100_000) -> Taxonomy:
-    """Build a :class:`Taxonomy` from a ``(set_name, alias)`` table.
-
-    The sets become constants in the plan, so their size is checked first.
-    """
-    small = df.select("set_name", "alias").limit(max_rows + 1).collect()
-    if len(small) > max_rows:
-        raise ValueError(f"taxonomy has more than {max_rows} rows")
-    by = {"allow": [], "deny": [], "ethnic": []}
-    for r in small:
-        by.setdefault(r["set_name"], []).append(r["alias"])
-    return Taxonomy(tuple(sorted(set(by["allow"]))), tuple(sorted(set(by["deny"]))),
-                    tuple(sorted(set(by["ethnic"]))))
-
-
 def classify_alias(alias: Column, taxonomy: Taxonomy = DEFAULT_TAXONOMY) -> Column:
     """Which sets an alias belongs to, as a struct of three booleans."""
     return F.struct(

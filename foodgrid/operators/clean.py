@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions.taxonomy import DEFAULT_TAXONOMY, Taxonomy
 from ..schemas import LEGACY_CLEAN_COLUMNS, RAW_COLUMNS
-from ..session import is_small
 
 
 def with_price(df: DataFrame) -> DataFrame:
@@ -57,14 +56,10 @@ def with_flat_coordinates(df: DataFrame) -> DataFrame:
 def keep_known_cities(df: DataFrame, cities: DataFrame, state: str = "CA",
                       city_col: str = "location.city", name_col: str = "Name") -> DataFrame:
     """State matches and the raw city (before normalisation, case
-    sensitive) is in the city list.  A semi join against the city list,
-    broadcast when the list is proven small."""
+    sensitive) is in the city list.  A semi join; the planner sizes the list."""
     names = cities.select(F.col(name_col).alias("_city")).filter(F.col("_city").isNotNull())
     keyed = df.filter(F.col("location.state") == F.lit(state)).withColumn("_city", F.col(city_col))
-    # The probe reads the list itself (it stops early); the distinct names
-    # are never more rows than that.
-    side = F.broadcast(names.distinct()) if is_small(names) else names.distinct()
-    return keyed.join(side, "_city", "left_semi").drop("_city")
+    return keyed.join(names.distinct(), "_city", "left_semi").drop("_city")
 
 
 def keep_zip_prefix(df: DataFrame, state: str = "CA", prefix: str = "9") -> DataFrame:
@@ -88,45 +83,31 @@ def strip_address(df: DataFrame) -> DataFrame:
     return df.withColumn("address", C.lstrip_address("address"))
 
 
-def fill_coordinates(df: DataFrame, gazetteer: DataFrame | None,
-                     max_broadcast_rows: int = 200_000) -> DataFrame:
+def fill_coordinates(df: DataFrame, gazetteer: DataFrame | None) -> DataFrame:
     """Fill latitude/longitude from a gazetteer by address.
 
     Only rows with *both* coordinates NULL are filled (a row with one missing
     is untouched), and a miss keeps them NULL.  The gazetteer is first reduced
     to one row per address (map-side combined), so a duplicate address can
-    never multiply a business.  A gazetteer proven small is broadcast and the
-    join runs in one pass; a large one is joined only to the rows that need a
-    fill, so the rest of the table is never shuffled (and NULL join keys never
-    pile up in one shuffle partition).
+    never multiply a business.  One left join at every size: rows that need no
+    fill carry a key that no address has, spread like their addresses, so they
+    neither match nor pile up in one partition.
     """
     if gazetteer is None:
         return df
     need = F.col("latitude").isNull() & F.col("longitude").isNull()
-    cols = df.columns
-    entries = gazetteer.filter(F.col("address").isNotNull())
-    # Probe the entries, not the aggregate: the probe stops early on a scan,
-    # and one row per address is never more rows than the entries.
-    small = is_small(entries, max_broadcast_rows)
-    hits = (entries.groupBy("address")
+    hits = (gazetteer.filter(F.col("address").isNotNull()).groupBy("address")
                      .agg(F.min(F.struct("latitude", "longitude")).alias("_g"))
                      .select(F.col("address").alias("_gaddr"),
                              F.col("_g.latitude").alias("_glat"),
                              F.col("_g.longitude").alias("_glon")))
-    if small:
-        flagged = df.withColumn("_need", need)
-        key = F.when(F.col("_need"), F.col("address"))
-        filled = F.col("_need") & F.col("_gaddr").isNotNull()
-        return (flagged.join(F.broadcast(hits), key == F.col("_gaddr"), "left")
-                  .withColumn("latitude", F.when(filled, F.col("_glat")).otherwise(F.col("latitude")))
-                  .withColumn("longitude", F.when(filled, F.col("_glon")).otherwise(F.col("longitude")))
-                  .select(*cols))
-    missing = df.filter(need)
-    filled = (missing.join(hits, missing["address"] == F.col("_gaddr"), "left")
-                     .withColumn("latitude", F.col("_glat"))
-                     .withColumn("longitude", F.col("_glon"))
-                     .select(*cols))
-    return df.filter(~need).unionByName(filled)
+    key = F.when(need & F.col("address").isNotNull(), F.col("address")).otherwise(
+        F.concat(F.lit("\u0000"), F.coalesce(F.col("address"), F.lit(""))))
+    return (df.withColumn("_need", need).withColumn("_key", key)
+              .join(hits, F.col("_key") == F.col("_gaddr"), "left")
+              .withColumn("latitude", F.when(F.col("_need"), F.col("_glat")).otherwise(F.col("latitude")))
+              .withColumn("longitude", F.when(F.col("_need"), F.col("_glon")).otherwise(F.col("longitude")))
+              .select(*df.columns))
 
 
 def clean_businesses(df: DataFrame, cities: DataFrame, taxonomy: Taxonomy = DEFAULT_TAXONOMY,

@@ -49,10 +49,36 @@ def _order_fields(order: list[Order]) -> list[Column]:
     return out
 
 
+def _rest(order: list[Order], payload: list[str]) -> list[str]:
+    """Payload columns that are not sort keys: the keys carry the others."""
+    keys = {o.column for o in order}
+    return [c for c in payload if c not in keys]
+
+
 def ranked_struct(df: DataFrame, order: list[Order], payload: list[str] | None = None) -> Column:
-    """``struct(order keys..., payload...)`` whose minimum is the first row."""
+    """``struct(order keys..., other payload...)`` whose minimum is the first
+    row.  No column is carried twice: :func:`restored` reads the payload back."""
     payload = payload if payload is not None else df.columns
-    return F.struct(*_order_fields(order), F.struct(*[F.col(c) for c in payload]).alias("row"))
+    kinds = dict(df.dtypes)
+    for o in order:
+        if o.descending and not kinds[o.column].startswith(
+                ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")):
+            raise TypeError(f"descending order needs a number, {o.column} is {kinds[o.column]}")
+    return F.struct(*_order_fields(order), *[F.col(c) for c in _rest(order, payload)])
+
+
+def restored(best: Column, order: list[Order], payload: list[str]) -> Column:
+    """The payload as a struct, from a :func:`ranked_struct`."""
+    at = {o.column: (i, o.descending) for i, o in enumerate(order)}
+    fields = []
+    for c in payload:
+        if c in at:
+            i, down = at[c]
+            v = best.getField(f"_k{i}")
+            fields.append((-v if down else v).alias(c))
+        else:
+            fields.append(best.getField(c).alias(c))
+    return F.struct(*fields)
 
 
 def first_per_key(df: DataFrame, key: str | list[str], order: list[Order],
@@ -64,7 +90,8 @@ def first_per_key(df: DataFrame, key: str | list[str], order: list[Order],
     best = ranked_struct(df, order, payload)
     return (df.groupBy(*keys)
               .agg(F.min(best).alias("_best"))
-              .select(*[F.col("_best.row." + c).alias(c) for c in payload]))
+              .select(restored(F.col("_best"), order, payload).alias("row"))
+              .select(*[F.col("row").getField(c).alias(c) for c in payload]))
 
 
 def first_per_key_window(df: DataFrame, key: str | list[str], order: list[Order]) -> DataFrame:

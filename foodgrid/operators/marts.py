@@ -21,8 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..schemas import FACT_COLUMNS, STAGING_COLUMNS
-from ..session import broadcast_if_small
-from .dedup import asc, first_per_key, ranked_struct
+from .dedup import asc, first_per_key, ranked_struct, restored
 from .staging import (CAFE_FEEDS, DESSERT_FEEDS, RESTAURANT_FEEDS, STAGING_ORDER,
                       non_null_ids, staged_columns)
 
@@ -106,13 +105,13 @@ def fact_columns(listings: DataFrame) -> DataFrame:
 
 
 def join_city_dim(facts: DataFrame, dim_coords: DataFrame) -> DataFrame:
-    """Inner equi-join on city with the coordinate dimension (broadcast
-    when proven small; no shuffle of the fact on the skewed city key)."""
+    """Inner equi-join on city with the coordinate dimension (the
+    planner broadcasts it while its measured size allows)."""
     d = dim_coords.select(F.col("city").alias("city_city"),
                           F.col("latitude").alias("city_latitude"),
                           F.col("longitude").alias("city_longitude"),
                           F.col("coordinate").alias("city_coordinate"))
-    return facts.join(broadcast_if_small(d), facts["shop_city"] == d["city_city"], "inner")
+    return facts.join(d, facts["shop_city"] == d["city_city"], "inner")
 
 
 def join_county_dim(facts: DataFrame, dim_cnty: DataFrame) -> DataFrame:
@@ -120,7 +119,7 @@ def join_county_dim(facts: DataFrame, dim_cnty: DataFrame) -> DataFrame:
     per city multiply the fact, no row drops it (as modelled)."""
     d = dim_cnty.select(F.col("city").alias("county_city"), F.col("county"),
                         F.col("zipcode").alias("county_zipcode"))
-    return facts.join(broadcast_if_small(d), facts["shop_city"] == d["county_city"], "inner")
+    return facts.join(d, facts["shop_city"] == d["county_city"], "inner")
 
 
 def fact_from_listings(listings: DataFrame, dim_coords: DataFrame, dim_cnty: DataFrame) -> DataFrame:
@@ -149,14 +148,16 @@ def pick_listings(raw: DataFrame) -> DataFrame:
         F.min(F.when(feed.isin(list(RESTAURANT_FEEDS)), best)).alias("r"),
         F.min(F.when(feed.isin(list(CAFE_FEEDS)), best)).alias("c"),
         F.min(F.when(feed.isin(list(DESSERT_FEEDS)), best)).alias("d"))
+    row = lambda c: F.when(F.col(c).isNotNull(), restored(F.col(c), STAGING_ORDER, STAGING_COLUMNS))
+    per_id = per_id.select(*[row(c).alias(c) for c in "rcd"])
     d_ok = F.col("d").isNotNull() & F.coalesce(
-        C.dessert_keep(F.col("d.row.categories"), F.col("d.row.alias")), F.lit(False))
+        C.dessert_keep(F.col("d.categories"), F.col("d.alias")), F.lit(False))
     c_ok = F.col("c").isNotNull() & F.coalesce(
-        C.cafe_keep(F.col("c.row.categories"), F.col("c.row.name")), F.lit(False))
-    chosen = (F.when(d_ok, F.struct(F.col("d.row").alias("row"), F.lit("desserts").alias("type")))
-               .when(c_ok, F.struct(F.col("c.row").alias("row"), F.lit("cafe").alias("type")))
+        C.cafe_keep(F.col("c.categories"), F.col("c.name")), F.lit(False))
+    chosen = (F.when(d_ok, F.struct(F.col("d").alias("row"), F.lit("desserts").alias("type")))
+               .when(c_ok, F.struct(F.col("c").alias("row"), F.lit("cafe").alias("type")))
                .when(F.col("r").isNotNull(),
-                     F.struct(F.col("r.row").alias("row"), F.lit("restaurants").alias("type"))))
+                     F.struct(F.col("r").alias("row"), F.lit("restaurants").alias("type"))))
     return (per_id.select(chosen.alias("_pick"))
                   .filter(F.col("_pick").isNotNull())
                   .select(*[F.col("_pick.row." + c).alias(c) for c in STAGING_COLUMNS],

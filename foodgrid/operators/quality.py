@@ -43,10 +43,11 @@ def assert_not_null(df: DataFrame, column: str = "id", severity: str = "warn") -
 
 
 def load_counts(raw: DataFrame, terms: list[str] | None = None, term_col: str = "term",
-                location_col: str = "location_index") -> DataFrame:
+                location_col: str = "location_index", pairs: DataFrame | None = None) -> DataFrame:
     """Rows loaded per (term, location) and the running total in load
     order (term order of the run, then location), reset per run only.
-    Without ``terms`` the run order is the term name.
+    Without ``terms`` the run order is the term name.  ``pairs`` are the pairs
+    the run asked for: one that landed no row, or lost them all, counts 0.
 
     A two-level prefix sum: a running window per term (partitioned by term,
     over that term's locations) plus the totals of the terms before it (one
@@ -56,8 +57,12 @@ def load_counts(raw: DataFrame, terms: list[str] | None = None, term_col: str =
     """
     order = (F.array_position(F.array(*[F.lit(t) for t in terms]), F.col(term_col))
              if terms else F.lit(0)).cast("int")
-    counts = (raw.groupBy(term_col, location_col).agg(F.count(F.lit(1)).alias("row_count"))
-                 .withColumn("_term_order", order))
+    counts = raw.groupBy(term_col, location_col).agg(F.count(F.lit(1)).alias("row_count"))
+    if pairs is not None:
+        counts = (pairs.select(term_col, location_col).distinct()
+                       .join(counts, [term_col, location_col], "left")
+                       .withColumn("row_count", F.coalesce("row_count", F.lit(0))))
+    counts = counts.withColumn("_term_order", order)
     per_term = counts.groupBy("_term_order", term_col).agg(F.sum("row_count").alias("_term_rows"))
     earlier = Window.orderBy("_term_order", term_col).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_term.select("_term_order", term_col, F.coalesce(

@@ -57,10 +57,11 @@ def select_feeds(raw: DataFrame, feeds) -> DataFrame:
     return raw.filter(F.col("feed").isin(list(feeds)))
 
 
-def stage(raw: DataFrame, feeds, limit: int | None = None) -> DataFrame:
-    """One staging view.  ``limit`` is the dev-run row cap (O3), off by
+def stage(raw: DataFrame, feeds=None, limit: int | None = None) -> DataFrame:
+    """One staging view, over all feeds by default.  ``limit`` is the dev-run row cap (O3), off by
     default; when on, rows are ordered by id so the cap is deterministic."""
-    typed = non_null_ids(select_feeds(raw, feeds)).select(*staged_columns(raw))
+    rows = raw if feeds is None else select_feeds(raw, feeds)
+    typed = non_null_ids(rows).select(*staged_columns(raw))
     out = first_per_key(typed, "id", STAGING_ORDER)
     if limit is not None:
         out = out.orderBy("id").limit(limit)

@@ -26,15 +26,15 @@ def _is_path(raw: str) -> bool:
 
 
 def ingest(spark: SparkSession, landing_dir: str, cities_csv: str, raw: str,
-           gazetteer_path: str | None = None, report: bool = False,
-           buckets: int = 512) -> DataFrame | None:
+           gazetteer_path: str | None = None, counts: str | None = None,
+           buckets: int = 512) -> None:
     """Clean every landing file in one scan and append to the raw table.
 
     ``raw`` is a path (parquet partitioned by feed) or a catalog table name
     (also bucketed by id into ``buckets``, so model builds need no shuffle
-    of it).  With ``report`` it also returns the per-(term, location) load
-    counts with the running total; that is a second pass over the landing
-    data, so it is off by default.
+    of it).  With ``counts``, a path, the load counts of every (term, location)
+    with the running total are written there as a table; that is a second
+    pass over the landing data, so it is off by default.
     """
     cities = files.read_city_locations(spark, cities_csv, position=False)
     gaz = spark.read.parquet(gazetteer_path) if gazetteer_path else None
@@ -44,9 +44,9 @@ def ingest(spark: SparkSession, landing_dir: str, cities_csv: str, raw: str,
         writers.append_raw(rows, raw)
     else:
         writers.append_raw_table(rows, raw, buckets)
-    if not report:
-        return None
-    return quality.load_counts(rows)
+    if counts:
+        pairs = hits.select("term", "location_index")
+        writers.materialize(quality.load_counts(rows, pairs=pairs), counts)
 
 
 def model(spark: SparkSession, raw: str, cities_csv: str, counties_csv: str,
@@ -55,7 +55,8 @@ def model(spark: SparkSession, raw: str, cities_csv: str, counties_csv: str,
     table (a path or a bucketed catalog table, see :func:`ingest`).
 
     The staging views are temporary views (no data moves); dimensions and
-    the fact are rebuilt in full.  The id tests run with severity warn.
+    the fact are rebuilt in full.  With ``dev_limit`` (O3) the fact is built
+    from the capped views, so views and fact agree.  The id tests run with severity warn.
     """
     raw = files.read_raw(spark, raw) if _is_path(raw) else files.read_raw_table(spark, raw)
     cities = files.read_city_locations(spark, cities_csv, position=False)
@@ -69,7 +70,9 @@ def model(spark: SparkSession, raw: str, cities_csv: str, counties_csv: str,
         quality.assert_not_null(df, "id", "warn")
     tables = {"dim_coordinates": marts.dim_coordinates(cities),
               "dim_counties": marts.dim_counties(counties),
-              "fact_all": pipeline.build_fact(raw, cities, counties)}
+              "fact_all": pipeline.build_fact(raw, cities, counties) if dev_limit is None else
+              marts.fact_stepwise(views["stg_restaurants"], views["stg_cafes"], views["stg_desserts"],
+                                  marts.dim_coordinates(cities), marts.dim_counties(counties))}
     out = {}
     for name, df in tables.items():
         path = os.path.join(out_dir, name)
@@ -92,7 +95,7 @@ def main(argv=None) -> None:
     sub = ap.add_subparsers(dest="cmd", required=True)
     a = sub.add_parser("ingest")
     a.add_argument("landing_dir"), a.add_argument("cities_csv"), a.add_argument("raw")
-    a.add_argument("--gazetteer"), a.add_argument("--buckets", type=int, default=512)
+    a.add_argument("--gazetteer"), a.add_argument("--counts"), a.add_argument("--buckets", type=int, default=512)
     m = sub.add_parser("model")
     m.add_argument("raw"), m.add_argument("cities_csv"), m.add_argument("counties_csv")
     m.add_argument("out_dir"), m.add_argument("--dev-limit", type=int)
@@ -101,7 +104,7 @@ def main(argv=None) -> None:
     spark = build_session("foodgrid-" + args.cmd)
     if args.cmd == "ingest":
         ingest(spark, args.landing_dir, args.cities_csv, args.raw, args.gazetteer,
-               report=True, buckets=args.buckets).show(50)
+               args.counts, args.buckets)
     else:
         print(model(spark, args.raw, args.cities_csv, args.counties_csv, args.out_dir,
                     args.dev_limit))

@@ -159,8 +159,8 @@ def q_request_plan(spark, d):
 
 @query("location_slice")
 def q_location_slice(spark, d):
-    """O1 with the default slice [0, 459)."""
-    return search.location_slice(A.search_locations(spark, d))
+    """O1 with the slice [0, 459)."""
+    return search.location_slice(A.search_locations(spark, d), *search.LOCATION_SLICE)
 
 
 @query("location_stride")
@@ -178,9 +178,9 @@ def landed_page_rows(spark, d) -> DataFrame:
     h = hits(spark, d).drop("term", "location_index")
     j = o.join(h, (o["o_orderkey"] == h["l_orderkey"]) & (o["o_orderkey"] % 7 != 3), "left")
     loc = F.expr("o_orderkey div 22")
-    terms = F.array(*[F.lit(t) for t in search.SEARCH_TERMS[:5]])
+    terms = F.array(*[F.lit(t) for t in search.SEARCH_TERMS])
     return j.select(
-        F.element_at(terms, (loc % 5 + 1).cast("int")).alias("term"),
+        F.element_at(terms, (loc % len(search.SEARCH_TERMS) + 1).cast("int")).alias("term"),
         loc.cast("int").alias("location_index"),
         ((F.col("o_orderkey") % 22) * search.PAGE_SIZE).cast("int").alias("offset"),
         *[c for c in h.columns if c != "l_orderkey"])
@@ -316,7 +316,7 @@ def q_geo_fill(spark, d):
 @query("dedup_by_id")
 def q_dedup_by_id(spark, d):
     """O20 over every feed of the raw table."""
-    return staging.stage(raw(spark, d), ["Restaurants", "Food", "Coffee", "Desserts", "Bakeries"])
+    return staging.stage(raw(spark, d))
 
 
 @query("stg_casts")
@@ -412,21 +412,22 @@ def q_fact_county_join(spark, d):
 @query("dq_unique")
 def q_dq_unique(spark, d):
     """O31 unique(id) on the raw table: the repeated ids and their counts."""
-    return quality.assert_unique(raw(spark, d), "id", severity="warn")
+    return quality.unique_violations(raw(spark, d), "id")
 
 
 @query("dq_not_null")
 def q_dq_not_null(spark, d):
     """O31 not_null on the raw table's price column (warn)."""
-    v = quality.assert_not_null(raw(spark, d), "price", severity="warn")
+    v = quality.not_null_violations(raw(spark, d), "price")
     return v.select("id", "feed", "review_count")
 
 
 @query("load_counts")
 def q_load_counts(spark, d):
-    """Rows loaded per (term, location) and the running total."""
+    """Rows loaded per requested (term, location), 0 included, and the running total."""
     r = pipeline.raw_rows(hits(spark, d), cities(spark, d), passthrough=["term", "location_index"])
-    return quality.load_counts(r, search.SEARCH_TERMS)
+    return quality.load_counts(r, search.SEARCH_TERMS,
+                               pairs=search.request_pairs(cities(spark, d)))
 
 
 # --- keyterm (older analysis) ---------------------------------------------------------

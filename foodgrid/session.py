@@ -5,13 +5,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Dimensions (city list, county list, gazetteer) are broadcast only when a
-# bounded count proves them small; beyond this a shuffle join is planned and
-# AQE may still convert it at runtime from measured sizes.
-DEFAULT_BROADCAST_MAX_ROWS = 200_000
-
 
 def build_session(app: str = "foodgrid", master: str | None = None,
                   shuffle_partitions: int | None = None,
@@ -62,17 +55,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(shared_dir(df.sparkSession, "checkpoints"))
     return df.checkpoint(eager=True)
-
-
-def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> bool:
-    """Bounded size check: reads at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only when the bounded count proves the side small.
-
-    Otherwise the frame is returned unhinted and the planner shuffles (AQE
-    can still switch to a broadcast from runtime statistics).
-    """
-    return F.broadcast(df) if is_small(df, max_rows) else df

@@ -15,11 +15,15 @@ from ..operators.dedup import Order, first_per_key
 from ..schemas import LEGACY_RAW_COLUMNS, RAW, RAW_REQUIRED
 
 
-def write_landing(hits: DataFrame, path: str) -> None:
-    """NDJSON per (term, location_index).  Dynamic partition overwrite:
+def write_landing(hits: DataFrame, path: str, salts: int = 4, rows_per_file: int = 1_000_000) -> None:
+    """NDJSON per (term, location_index), each pair in at most ``salts``
+    tasks, so files do not multiply with tasks and a hot pair is split.  Dynamic partition overwrite:
     re-landing a pair replaces that pair's files only, as the 'w' mode of
     the original per-file writer did."""
-    (hits.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    salt = F.pmod(F.xxhash64(F.to_json(F.struct(*hits.columns))), F.lit(salts))
+    (hits.repartition("term", "location_index", salt)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .option("maxRecordsPerFile", rows_per_file)
          .partitionBy("term", "location_index").json(path))
 
 

@@ -24,10 +24,11 @@ SEARCH_TERMS = ["Restaurants", "Food", "Coffee & Tea", "Juice Bars & Smoothies",
                 "Bakeries", "Bubble Tea"]
 
 
-def location_slice(locations: DataFrame, start: int = LOCATION_SLICE[0],
-                   end: int = LOCATION_SLICE[1], position: str = "position") -> DataFrame:
-    """O1: ``locations[start:end]`` by stored file position."""
-    return locations.filter((F.col(position) >= start) & (F.col(position) < end))
+def location_slice(locations: DataFrame, start: int = 0, end: int | None = None,
+                   position: str = "position") -> DataFrame:
+    """O1: ``locations[start:end]`` by stored file position; by default to the list's end."""
+    out = locations.filter(F.col(position) >= start)
+    return out if end is None else out.filter(F.col(position) < end)
 
 
 def location_stride(locations: DataFrame, step: int = LEGACY_STRIDE,
@@ -36,6 +37,12 @@ def location_stride(locations: DataFrame, step: int = LEGACY_STRIDE,
     return locations.filter(F.col(position) % step == 0)
 
 
+def request_pairs(locations: DataFrame, terms=SEARCH_TERMS, position: str = "position") -> DataFrame:
+    """Every (term, location_index) a run asks for."""
+    return locations.select(F.explode(F.array(*[F.lit(t) for t in terms])).alias("term"),
+                            F.col(position).cast("int").alias("location_index"))
+
+
 def request_plan(locations: DataFrame, terms=SEARCH_TERMS, radius: int = RADIUS_METERS,
                  page_size: int = PAGE_SIZE, cap: int = RESULT_CAP,
                  position: str = "position") -> DataFrame:

@@ -194,35 +194,24 @@ def test_unnest_and_limit(world):
     assert [x["id"] for x in staging.stg_restaurants(world["raw"], limit=2).collect()] == ["f1", "r1"]
 
 
-def test_streaming_load_matches_batch(spark, world):
-    from foodgrid.streaming.landing_stream import read_streamed_raw, start_raw_load
-    tmp = world["tmp"]
-    # Static sides of a streaming query carry no positional ids.
-    cities = files.read_city_locations(spark, os.path.join(tmp, "cities.csv"), position=False)
-    q = start_raw_load(spark, os.path.join(tmp, "landing"), os.path.join(tmp, "sraw"),
-                       os.path.join(tmp, "sckpt"), cities, world["gaz"])
-    q.awaitTermination(120)
-    streamed = read_streamed_raw(spark, os.path.join(tmp, "sraw"))
-    cols = ["id", "feed", "city", "address", "latitude"]
-    assert rows(streamed, *cols) == rows(world["raw"], *cols)
-    # A second run finds no new files and adds nothing.
-    q2 = start_raw_load(spark, os.path.join(tmp, "landing"), os.path.join(tmp, "sraw"),
-                        os.path.join(tmp, "sckpt"), cities, world["gaz"])
-    q2.awaitTermination(120)
-    assert read_streamed_raw(spark, os.path.join(tmp, "sraw")).count() == streamed.count()
-
-
 def test_jobs_ingest_and_model(spark, tmp):
     from foodgrid.plans import jobs
     land = landing(tmp)
     cities = FX.write(tmp, "cities.csv", FX.CITY_CSV)
     counties = FX.write(tmp, "counties.csv", FX.COUNTY_CSV)
     raw = os.path.join(tmp, "raw")
-    counts = jobs.ingest(spark, land, cities, raw, report=True)
+    jobs.ingest(spark, land, cities, raw, counts=os.path.join(tmp, "counts"))
+    counts = spark.read.parquet(os.path.join(tmp, "counts"))
     assert counts.agg(F.max("total_rows")).first()[0] == files.read_raw(spark, raw).count()
+    landed = files.read_landing(spark, land).select("term", "location_index").distinct()
+    assert counts.count() == landed.count()
     out = jobs.model(spark, raw, cities, counties, os.path.join(tmp, "models"))
     fact = spark.read.parquet(out["fact_all"])
     assert fact.count() == 10 and spark.table("stg_cafes").count() > 0
+    capped = jobs.model(spark, raw, cities, counties, os.path.join(tmp, "dev"), dev_limit=2)
+    views = [spark.table(v).select("id") for v in ("stg_restaurants", "stg_cafes", "stg_desserts")]
+    seen = {r["id"] for v in views for r in v.collect()}
+    assert {r["id"] for r in spark.read.parquet(capped["fact_all"]).collect()} <= seen and len(seen) <= 6
     jobs.copy_reference_files(spark, cities, counties, os.path.join(tmp, "lake"))
     assert spark.read.option("header", True).csv(os.path.join(tmp, "lake", "city_locations")).count() == 5
 
@@ -317,17 +306,3 @@ def test_jobs_with_bucketed_table(spark, tmp):
     jobs.ingest(spark, land, cities, "raw_jobs_t", buckets=4)
     out = jobs.model(spark, "raw_jobs_t", cities, counties, os.path.join(tmp, "models_t"))
     assert spark.read.parquet(out["fact_all"]).count() == 10
-
-
-def test_streaming_sink_replay_is_idempotent(spark, world):
-    """A micro-batch replayed after a failure rewrites its own partition."""
-    from foodgrid.streaming.landing_stream import _batch_writer, read_streamed_raw
-    path = os.path.join(world["tmp"], "replay")
-    batch = world["raw"].drop("location_index")
-    write = _batch_writer(path)
-    write(batch, 7)
-    write(batch, 7)          # replay of the same epoch
-    write(batch.limit(0), 8)
-    out = read_streamed_raw(spark, path)
-    assert out.count() == batch.count()
-    assert {r["load_batch"] for r in out.select("load_batch").distinct().collect()} == {7}
