@@ -3,8 +3,7 @@
 The cleaning rules use three sets of category aliases: an allow-list of
 food and bar categories, a deny-list of shop types that are never kept, and
 the subset of cuisines reported as ``ethnic_category``.  They are carried in
-a :class:`Taxonomy` value so a caller can pass their own (for example read
-from a ``(set_name, alias)`` table with :func:`taxonomy_from_table`); the
+a :class:`Taxonomy` value so a caller can pass their own; the
 defaults below are the fixed values the results must match.
 """
 

@@ -35,7 +35,7 @@ def query(name: str):
 
 # --- shared inputs ------------------------------------------------------------
 #
-# Inputs are plans, not data: they are built (and their size probes run)
+# Inputs are plans, not data: they are built
 # once per session and table folder, then shared by every query.
 
 _PLANS: dict = {}
