@@ -12,4 +12,22 @@ SQL = {
               from t group by text_sha256)
         select t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id as kept, t.text_sha256
         from t join g using (text_sha256)""",
+    # a window is named by its words; a word goes when a window over it starts in a smaller document
+    "op6_subtree_dedup": r"""
+        with docs as (
+            select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+        word as (select doc_id, unnest(ws) as w, generate_subscripts(ws, 1) as j from docs),
+        windows as (
+            select doc_id, i, array_to_string(ws[i:i + 12], ' ') as k
+            from (select doc_id, ws, unnest(range(1, len(ws) - 11)) as i from docs where len(ws) > 12)),
+        first as (select k, min(doc_id) as least from windows group by k),
+        gone as (
+            select distinct doc_id, i + unnest(range(0, 13)) as j
+            from windows join first using (k) where least < doc_id),
+        kept as (
+            select doc_id, string_agg(w, ' ' order by j) as t, count(*) as n
+            from word anti join gone using (doc_id, j) group by doc_id)
+        select d.doc_id, len(d.ws) as n_words, len(d.ws) - coalesce(n, 0) as n_removed,
+               sha256(coalesce(t, '')) as kept_sha256
+        from docs d left join kept using (doc_id)""",
 }
