@@ -92,19 +92,3 @@ def first_per_key(df: DataFrame, key: str | list[str], order: list[Order],
               .agg(F.min(best).alias("_best"))
               .select(restored(F.col("_best"), order, payload).alias("row"))
               .select(*[F.col("row").getField(c).alias(c) for c in payload]))
-
-
-def first_per_key_window(df: DataFrame, key: str | list[str], order: list[Order]) -> DataFrame:
-    """Same result via ``row_number() = 1`` (planned with a partial
-    WindowGroupLimit before the exchange).  Kept for comparison."""
-    from pyspark.sql import Window
-    keys = [key] if isinstance(key, str) else list(key)
-    sort = []
-    for o in order:
-        c = F.col(o.column)
-        if o.descending:
-            sort.append(c.desc_nulls_last() if o.nulls_last else c.desc_nulls_first())
-        else:
-            sort.append(c.asc_nulls_last() if o.nulls_last else c.asc_nulls_first())
-    w = Window.partitionBy(*keys).orderBy(*sort)
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")

@@ -137,8 +137,10 @@ def fact_stepwise(stg_r: DataFrame, stg_c: DataFrame, stg_d: DataFrame,
     return fact_from_listings(listings_all(typed_union(r, d, c)), dim_coords, dim_cnty)
 
 
-def pick_listings(raw: DataFrame) -> DataFrame:
-    """Staging + O29-O35 fused into one aggregation by id (see module doc)."""
+def branches_by_id(raw: DataFrame) -> DataFrame:
+    """Per id the staged restaurant, cafe and dessert rows ``r``, ``c``, ``d``
+    (NULL where there is none or its rule drops it): one scan of the raw
+    table and one aggregation (see module doc)."""
     typed = non_null_ids(raw.filter(F.col("feed").isin(
         list(RESTAURANT_FEEDS + CAFE_FEEDS + DESSERT_FEEDS)))) \
         .select(F.col("feed"), *staged_columns(raw))
@@ -149,19 +151,36 @@ def pick_listings(raw: DataFrame) -> DataFrame:
         F.min(F.when(feed.isin(list(CAFE_FEEDS)), best)).alias("c"),
         F.min(F.when(feed.isin(list(DESSERT_FEEDS)), best)).alias("d"))
     row = lambda c: F.when(F.col(c).isNotNull(), restored(F.col(c), STAGING_ORDER, STAGING_COLUMNS))
-    per_id = per_id.select(*[row(c).alias(c) for c in "rcd"])
-    d_ok = F.col("d").isNotNull() & F.coalesce(
-        C.dessert_keep(F.col("d.categories"), F.col("d.alias")), F.lit(False))
-    c_ok = F.col("c").isNotNull() & F.coalesce(
-        C.cafe_keep(F.col("c.categories"), F.col("c.name")), F.lit(False))
-    chosen = (F.when(d_ok, F.struct(F.col("d").alias("row"), F.lit("desserts").alias("type")))
-               .when(c_ok, F.struct(F.col("c").alias("row"), F.lit("cafe").alias("type")))
-               .when(F.col("r").isNotNull(),
-                     F.struct(F.col("r").alias("row"), F.lit("restaurants").alias("type"))))
-    return (per_id.select(chosen.alias("_pick"))
-                  .filter(F.col("_pick").isNotNull())
-                  .select(*[F.col("_pick.row." + c).alias(c) for c in STAGING_COLUMNS],
-                          F.col("_pick.type").alias("type")))
+    return per_id.select(*[row(c).alias(c) for c in "rcd"]).select(
+        "r", F.when(C.cafe_keep(F.col("c.categories"), F.col("c.name")), F.col("c")).alias("c"),
+        F.when(C.dessert_keep(F.col("d.categories"), F.col("d.alias")), F.col("d")).alias("d"))
+
+
+def _typed(row: str, type_: str) -> F.Column:
+    return F.struct(F.col(row).alias("row"), F.lit(type_).alias("type"))
+
+
+def _unpacked(picks: DataFrame) -> DataFrame:
+    return picks.select(*[F.col("_pick.row." + c).alias(c) for c in STAGING_COLUMNS],
+                        F.col("_pick.type").alias("type"))
+
+
+def typed_from_raw(raw: DataFrame) -> DataFrame:
+    """O32-O34 in one scan: every dessert and cafe row that passed its rule,
+    and the restaurant rows of ids without either."""
+    alone = F.col("c").isNull() & F.col("d").isNull()
+    rows = F.array(_typed("d", "desserts"), _typed("c", "cafe"),
+                   F.when(alone, _typed("r", "restaurants")))
+    return _unpacked(branches_by_id(raw).select(F.explode(rows).alias("_pick"))
+                     .filter(F.col("_pick.row").isNotNull()))
+
+
+def pick_listings(raw: DataFrame) -> DataFrame:
+    """Staging + O29-O35 fused into one aggregation by id (see module doc)."""
+    chosen = (F.when(F.col("d").isNotNull(), _typed("d", "desserts"))
+               .when(F.col("c").isNotNull(), _typed("c", "cafe"))
+               .when(F.col("r").isNotNull(), _typed("r", "restaurants")))
+    return _unpacked(branches_by_id(raw).select(chosen.alias("_pick")).filter(F.col("_pick").isNotNull()))
 
 
 def fact_from_raw(raw: DataFrame, cities: DataFrame, counties: DataFrame) -> DataFrame:

@@ -26,13 +26,11 @@ def _is_path(raw: str) -> bool:
 
 
 def ingest(spark: SparkSession, landing_dir: str, cities_csv: str, raw: str,
-           gazetteer_path: str | None = None, counts: str | None = None,
-           buckets: int = 512) -> None:
+           gazetteer_path: str | None = None, counts: str | None = None) -> None:
     """Clean every landing file in one scan and append to the raw table.
 
-    ``raw`` is a path (parquet partitioned by feed) or a catalog table name
-    (also bucketed by id into ``buckets``, so model builds need no shuffle
-    of it).  With ``counts``, a path, the load counts of every (term, location)
+    ``raw`` is a path or a catalog table name, partitioned by feed.  The
+    required columns are checked inside the write.  With ``counts``, a path, the load counts of every (term, location)
     with the running total are written there as a table; that is a second
     pass over the landing data, so it is off by default.
     """
@@ -43,7 +41,7 @@ def ingest(spark: SparkSession, landing_dir: str, cities_csv: str, raw: str,
     if _is_path(raw):
         writers.append_raw(rows, raw)
     else:
-        writers.append_raw_table(rows, raw, buckets)
+        writers.append_raw_table(rows, raw)
     if counts:
         pairs = hits.select("term", "location_index")
         writers.materialize(quality.load_counts(rows, pairs=pairs), counts)
@@ -52,7 +50,7 @@ def ingest(spark: SparkSession, landing_dir: str, cities_csv: str, raw: str,
 def model(spark: SparkSession, raw: str, cities_csv: str, counties_csv: str,
           out_dir: str, dev_limit: int | None = None) -> dict[str, str]:
     """Build the staging views and the dimension and fact tables from the raw
-    table (a path or a bucketed catalog table, see :func:`ingest`).
+    table (a path or a catalog table, see :func:`ingest`).
 
     The staging views are temporary views (no data moves); dimensions and
     the fact are rebuilt in full.  With ``dev_limit`` (O3) the fact is built
@@ -66,8 +64,7 @@ def model(spark: SparkSession, raw: str, cities_csv: str, counties_csv: str,
              "stg_desserts": staging.stg_desserts(raw, dev_limit)}
     for name, df in views.items():
         writers.as_view(df, name)
-        quality.assert_unique(df, "id", "warn")
-        quality.assert_not_null(df, "id", "warn")
+    quality.assert_ids(views, "id", "warn")
     tables = {"dim_coordinates": marts.dim_coordinates(cities),
               "dim_counties": marts.dim_counties(counties),
               "fact_all": pipeline.build_fact(raw, cities, counties) if dev_limit is None else
@@ -95,7 +92,7 @@ def main(argv=None) -> None:
     sub = ap.add_subparsers(dest="cmd", required=True)
     a = sub.add_parser("ingest")
     a.add_argument("landing_dir"), a.add_argument("cities_csv"), a.add_argument("raw")
-    a.add_argument("--gazetteer"), a.add_argument("--counts"), a.add_argument("--buckets", type=int, default=512)
+    a.add_argument("--gazetteer"), a.add_argument("--counts")
     m = sub.add_parser("model")
     m.add_argument("raw"), m.add_argument("cities_csv"), m.add_argument("counties_csv")
     m.add_argument("out_dir"), m.add_argument("--dev-limit", type=int)
@@ -104,7 +101,7 @@ def main(argv=None) -> None:
     spark = build_session("foodgrid-" + args.cmd)
     if args.cmd == "ingest":
         ingest(spark, args.landing_dir, args.cities_csv, args.raw, args.gazetteer,
-               args.counts, args.buckets)
+               args.counts)
     else:
         print(model(spark, args.raw, args.cities_csv, args.counties_csv, args.out_dir,
                     args.dev_limit))

@@ -28,15 +28,3 @@ def raw_rows(hits: DataFrame, cities: DataFrame, taxonomy: Taxonomy = DEFAULT_TA
 def build_fact(raw: DataFrame, cities: DataFrame, counties: DataFrame) -> DataFrame:
     """Raw table -> fact table (fused single-shuffle plan)."""
     return marts.fact_from_raw(raw, cities, counties)
-
-
-def build_models(raw: DataFrame, cities: DataFrame, counties: DataFrame) -> dict[str, DataFrame]:
-    """All modelled relations, lazily (nothing runs until an action)."""
-    from ..operators import staging
-    r, c, d = staging.stg_restaurants(raw), staging.stg_cafes(raw), staging.stg_desserts(raw)
-    return {
-        "stg_restaurants": r, "stg_cafes": c, "stg_desserts": d,
-        "dim_coordinates": marts.dim_coordinates(cities),
-        "dim_counties": marts.dim_counties(counties),
-        "fact_all": build_fact(raw, cities, counties),
-    }

@@ -34,24 +34,3 @@ def build_session(app: str = "foodgrid", master: str | None = None,
             and not sc.getCheckpointDir():
         sc.setCheckpointDir(checkpoint_dir)
     return spark
-
-
-def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A folder under the cluster's shared ``spark.checkpoint.dir``.
-
-    Never falls back to a machine-local temp folder: on a cluster every
-    executor must see the path.  Raises when the setting is missing.
-    """
-    sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not base:
-        raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
-    return os.path.join(base, *parts)
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(shared_dir(df.sparkSession, "checkpoints"))
-    return df.checkpoint(eager=True)

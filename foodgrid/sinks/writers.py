@@ -7,11 +7,10 @@ raise on failure instead of printing and carrying on.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import columns as C
-from ..operators.dedup import Order, first_per_key
+from ..operators.dedup import Order, asc, first_per_key
 from ..schemas import LEGACY_RAW_COLUMNS, RAW, RAW_REQUIRED
 
 
@@ -34,49 +33,30 @@ def encode_ndjson(df: DataFrame) -> DataFrame:
                                {"ignoreNullFields": "false"}).alias("value"))
 
 
-def with_feed(df: DataFrame, term_col: str = "term") -> DataFrame:
-    """Routing column ``feed`` = first word of the search term; one raw
-    table partitioned by feed replaces one table per term."""
-    return df.withColumn("feed", C.first_word(term_col))
+def with_required(df: DataFrame, required=RAW_REQUIRED) -> DataFrame:
+    """REQUIRED columns: a NULL there fails the write that meets it (no pass
+    of its own)."""
+    return df.withColumns({c: F.coalesce(F.col(c), F.raise_error(F.lit(f"NULL in required column {c}")))
+                           for c in required})
 
 
-def check_required(df: DataFrame, required=RAW_REQUIRED) -> None:
-    """REQUIRED columns: fail the load when any row has a NULL there (a
-    bounded probe: it stops at the first offending row)."""
-    cond = None
-    for c in required:
-        cond = F.col(c).isNull() if cond is None else cond | F.col(c).isNull()
-    if df.filter(cond).limit(1).count() > 0:
-        raise ValueError(f"NULL in required column(s) {list(required)}")
+def _raw_writer(df: DataFrame):
+    out = with_required(df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW.fields]))
+    return out.write.mode("append").format("parquet").partitionBy("feed")
 
 
-def append_raw(df: DataFrame, path: str, check: bool = True) -> None:
+def append_raw(df: DataFrame, path: str) -> None:
     """Append cleaned rows to the raw table with the fixed schema.
 
     Appends are not idempotent (a rerun duplicates rows, which staging
     de-duplicates), exactly like the warehouse load default."""
-    out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW.fields])
-    if check:
-        check_required(out)
-    out.write.mode("append").partitionBy("feed").parquet(path)
+    _raw_writer(df).save(path)
 
 
-def append_raw_table(df: DataFrame, table: str, buckets: int, check: bool = True) -> None:
-    """S13 into a catalog table bucketed by ``id`` (and partitioned by feed).
-
-    Every staging view and the fact group by id; on a table bucketed by id
-    that grouping needs no shuffle, so the largest table is never exchanged
-    when the models are rebuilt.  The new rows are hash-partitioned into
-    ``buckets`` tasks first (the same hash as the buckets), so each append
-    writes one file per bucket and feed instead of one per task and bucket.
-    """
-    out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW.fields])
-    if check:
-        check_required(out)
-    (out.repartition(buckets, "id")
-        .write.mode("append").format("parquet")
-        .partitionBy("feed").bucketBy(buckets, "id").sortBy("id")
-        .saveAsTable(table))
+def append_raw_table(df: DataFrame, table: str) -> None:
+    """S13 into a catalog table partitioned by feed.  It is not bucketed by
+    id: a bucket of a hot id would be one write task and later one read task."""
+    _raw_writer(df).saveAsTable(table)
 
 
 def materialize(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -118,6 +98,15 @@ def insert_if_absent(target: DataFrame, batch: DataFrame, arrival: list[Order],
     return first.join(target.select(key), key, "left_anti")
 
 
+def loaded_if_absent(rows: DataFrame, in_target: Column, arrival: list[Order],
+                     key: str = "id", columns: list[str] | None = None) -> DataFrame:
+    """The table after such a load, where target and batch come from one
+    input: rows flagged ``in_target`` come first, then arrival.  One
+    aggregate over one scan."""
+    flagged = rows.withColumn("_later", F.when(in_target, F.lit(0)).otherwise(F.lit(1)))
+    return first_per_key(flagged, key, [asc("_later"), *arrival], payload=columns or rows.columns)
+
+
 def append_if_absent(target_path: str, batch: DataFrame, arrival: list[Order],
                      key: str = "id", fmt: str = "parquet") -> None:
     """Append the new rows to a table.  The target's key set is read before

@@ -4,14 +4,19 @@ The benchmark data has no business listings, so they are derived (every
 query's work grows with the tables):
 
 * search hits (D3 records)  <- ``lineitem`` join ``part`` (a part is a
-  business, each of its line items one search hit, so an id repeats ~30x);
-* city list (D1)            <- ``nation``;
-* county list (D2)          <- ``nation`` join ``region``, nation 0 left out
-  (the inner join drops it) and nation 1 listed twice with two zip codes
-  (the join multiplies it);
-* gazetteer (F8)            <- ``part`` rows whose hits lack coordinates;
+  business, each of its line items one search hit, so an id repeats ~30x and
+  its hits differ in price, url, address and review count);
+* city list (D1)            <- ``customer``, some names with odd spelling;
+* county list (D2)          <- ``customer`` with its nation's region, some
+  cities left out (the inner join drops them), some listed twice with two zip
+  codes (the join multiplies them);
+* gazetteer (F8)            <- half of the parts whose hits lack coordinates;
 * search locations          <- ``customer`` (a long location list for the
   request plan and the slices).
+
+Every cleaning and labelling rule decides some rows: addresses have missing
+and empty parts, cities double spaces, commas and trailing blanks, zip codes
+other first digits, and the category lists reach every rule.
 """
 
 from __future__ import annotations
@@ -22,30 +27,42 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..session import cut_lineage
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-# FIXED VALUES of the adapter: category lists by p_partkey % 13, titles of the
+# FIXED VALUES of the adapter: category lists by p_partkey % 37, titles of the
 # aliases used, and the search term by line number.
 CATEGORY_LISTS = [
     "restaurants", "mexican,tacos", "coffee", "coffee,desserts", "cafes,breakfast_brunch",
     "bubbletea", "desserts,icecream", "pizza,italian", "grocery,food", "gyms",
-    "desserts,burgers", "japanese,sushi,bars", "steak",
+    "desserts,burgers", "japanese,sushi,bars", "steak", "coffee,coffeeroasteries",
+    "desserts,wine_bars", "hotdogs,icecream", "desserts,breweries", "brewpubs",
+    "coffee,sandwiches", "foodtrucks,desserts", "sandwiches,coffee", "farmersmarket,bakeries",
+    "poke", "pretzels,desserts", "chicken_wings", "desserts,juicebars,coffee",
+    "vietnamese,juicebars,bubbletea", "vietnamese,juicebars,desserts", "vietnamese",
+    "meats,bakeries", "wineries", "winetastingroom", "drugstores,tea", "convenience,coffee",
+    "cafes", "juicebars", "italian,italian,thai",
 ]
 CATEGORY_TITLES = {
-    "restaurants": "Restaurants", "mexican": "Mexican", "tacos": "Tacos",
-    "coffee": "Coffee & Tea", "desserts": "Desserts", "cafes": "Cafes",
-    "breakfast_brunch": "Breakfast & Brunch", "bubbletea": "Bubble Tea",
-    "icecream": "Ice Cream & Frozen Yogurt", "pizza": "Pizza", "italian": "Italian",
-    "grocery": "Grocery", "food": "Food", "gyms": "Gyms", "burgers": "Burgers",
-    "japanese": "Japanese", "sushi": "Sushi Bars", "bars": "Bars", "steak": "Steakhouses",
+    "bakeries": "Bakeries", "bars": "Bars", "breakfast_brunch": "Breakfast & Brunch",
+    "breweries": "Breweries", "brewpubs": "Brewpubs", "bubbletea": "Bubble Tea",
+    "burgers": "Burgers", "cafes": "Cafes", "chicken_wings": "Chicken Wings",
+    "coffee": "Coffee & Tea", "coffeeroasteries": "Coffee Roasteries",
+    "convenience": "Convenience Stores", "desserts": "Desserts", "drugstores": "Drug Stores",
+    "farmersmarket": "Farmers Market", "food": "Food", "foodtrucks": "Food Trucks",
+    "grocery": "Grocery", "gyms": "Gyms", "hotdogs": "Fast Food",
+    "icecream": "Ice Cream & Frozen Yogurt", "italian": "Italian", "japanese": "Japanese",
+    "juicebars": "Juice Bars & Smoothies", "meats": "Meat Shops", "mexican": "Mexican",
+    "pizza": "Pizza", "poke": "Poke", "pretzels": "Pretzels", "restaurants": "Restaurants",
+    "sandwiches": "Sandwiches", "steak": "Steakhouses", "sushi": "Sushi Bars", "tacos": "Tacos",
+    "tea": "Tea Rooms", "thai": "Thai", "vietnamese": "Vietnamese", "wine_bars": "Wine Bars",
+    "wineries": "Wineries", "winetastingroom": "Wine Tasting Room",
 }
 TERMS_BY_LINE = [(2, "Restaurants"), (3, "Food"), (5, "Coffee & Tea"), (6, "Desserts")]
-OTHER_TERM = "Bakeries"
+OTHER_TERMS = ["Bakeries", "Juice Bars & Smoothies", "Bubble Tea"]
 
 
 def _s(c: Column) -> Column:
@@ -60,109 +77,94 @@ def _case_mod(key: Column, n: int, values: list) -> Column:
     return expr
 
 
-def _term(line: Column) -> Column:
+def _term(line: Column, order: Column) -> Column:
     expr = None
     for upto, term in TERMS_BY_LINE:
         expr = F.when(line <= upto, F.lit(term)) if expr is None else expr.when(line <= upto, F.lit(term))
-    return expr.otherwise(F.lit(OTHER_TERM))
-
-
-def business_fields(p: Column, p_name: Column, p_size: Column, quantity: Column) -> dict:
-    """Flat business attributes of part ``p`` (shared by hits and gazetteer)."""
-    pid = _s(p)
-    alias = F.concat(F.replace(p_name, F.lit(" "), F.lit("-")), F.lit("-"), pid)
-    no_coord = (p % 50) == 0
-    return {
-        "id": F.concat(F.lit("b"), pid),
-        "alias": alias,
-        "name": F.when((p % 10) == 3, F.concat(F.lit("Cafe "), p_name)).otherwise(p_name),
-        "review_count": quantity.cast("int"),
-        "cats": _case_mod(p, 13, CATEGORY_LISTS),
-        "rating": F.lit(1.0) + (p_size % 9).cast("double") / F.lit(2.0),
-        "price": _case_mod(p, 4, [None, "$", "$$", "$$$"]),
-        "latitude": F.when(no_coord, F.lit(None)).otherwise(
-            F.lit(33.0) + (p % 997).cast("double") / F.lit(1000.0)),
-        "longitude": F.when(no_coord, F.lit(None)).otherwise(
-            F.lit(-118.0) - (p % 991).cast("double") / F.lit(1000.0)),
-        "address1": F.concat(_s(p % 900 + 1), F.lit(" Main St")),
-        "address2": F.when((p % 3) == 0, F.lit(None)).when((p % 3) == 1, F.lit(""))
-                     .otherwise(F.concat(F.lit("Ste "), _s(p % 7))),
-        "city": F.concat(F.lit("NATION_"), _s(p % 27)),
-        "state": F.when((p % 11) == 0, F.lit("NV")).otherwise(F.lit("CA")),
-        "zip_code": F.concat(F.lit("9"), _s(p % 27 + 1000)),
-    }
-
-
-def _location(f: dict) -> Column:
-    return F.struct(f["address1"].alias("address1"), f["address2"].alias("address2"),
-                    f["city"].alias("city"), f["state"].alias("state"),
-                    f["zip_code"].alias("zip_code"))
+    return expr.otherwise(_case_mod(order, len(OTHER_TERMS), OTHER_TERMS))
+
+
+def city_name(k: Column) -> Column:
+    """City ``k`` as landed: one in ten of the cities used is spelled with two
+    spaces, one with a comma, one with a trailing blank."""
+    plain = F.concat(F.lit("City "), _s(k))
+    return (F.when(k % 100 == 10, F.concat(F.lit("City  "), _s(k)))
+             .when(k % 100 == 20, F.concat(plain, F.lit(",")))
+             .when(k % 100 == 30, F.concat(plain, F.lit(" ")))
+             .otherwise(plain))
+
+
+def _location(p: Column) -> Column:
+    """Location of part ``p`` (shared by hits and gazetteer).  Three parts
+    stand for four customers, so city keys stay inside ``customer``."""
+    city = F.floor(p * 3 / 40).cast("long") * 10
+    return F.struct(
+        F.when(p % 19 == 0, F.lit(None)).when(p % 29 == 0, F.lit(""))
+         .otherwise(F.concat(_s(p % 900 + 1), F.lit(" Main St"))).alias("address1"),
+        F.when(p % 3 == 0, F.lit(None)).when(p % 3 == 1, F.lit(""))
+         .otherwise(F.concat(F.lit("Ste "), _s(p % 7))).alias("address2"),
+        F.when(p % 27 == 0, F.lit("Nowhere")).otherwise(city_name(city)).alias("city"),
+        F.when(p % 11 == 0, F.lit("NV")).otherwise(F.lit("CA")).alias("state"),
+        F.when(p % 23 == 0, F.lit(None)).when(p % 17 == 0, F.concat(F.lit("8"), _s(p % 27 + 1000)))
+         .otherwise(F.concat(F.lit("9"), _s(p % 27 + 1000))).alias("zip_code"))
 
 
 def businesses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per part: every attribute of the business that does not depend
-    on the individual search hit, computed once per business."""
+    on the individual search hit, computed once per business.
+
+    ``b_key`` is the part key as text.  Joined by it, a filter on an attribute
+    stays on this side: with the number itself as the key, the optimizer
+    would rewrite every such filter in terms of ``l_partkey`` and evaluate it
+    once per line item as well (30x the rows).
+    """
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
-    p = F.col("p_partkey")
-    f = business_fields(p, F.col("p_name"), F.col("p_size"), F.lit(0))
+    p, name = F.col("p_partkey"), F.col("p_name")
+    no_lat, no_lon = p % 25 == 0, p % 50 == 0
+    pid = F.concat(F.lit("b"), _s(p))
+    alias = F.when((p % 10 == 4) & (p % 3 == 0), F.lit("pho")).otherwise(
+        F.concat(F.replace(name, F.lit(" "), F.lit("-")), F.lit("-"), _s(p)))
     return part.select(
-        p.alias("b_partkey"),
-        f["id"].alias("id"),
-        f["alias"].alias("alias"),
-        f["name"].alias("name"),
-        F.concat(F.lit("img/"), f["id"], F.lit(".jpg")).alias("image_url"),
+        _s(p).alias("b_key"),
+        pid.alias("id"),
+        alias.alias("alias"),
+        F.when(p % 10 == 3, F.concat(F.lit("Cafe "), name))
+         .when(p % 10 == 4, F.concat(F.lit("Pho "), name))
+         .when(p % 10 == 5, F.concat(F.lit("Coffee "), name)).otherwise(name).alias("name"),
+        F.concat(F.lit("img/"), pid, F.lit(".jpg")).alias("image_url"),
         F.lit(False).alias("is_closed"),
-        F.concat(F.lit("biz/"), f["alias"]).alias("url"),
+        F.concat(F.lit("biz/"), alias).alias("url"),
         _categories(p).alias("categories"),
-        f["rating"].alias("rating"),
-        F.struct(f["latitude"].cast("double").alias("latitude"),
-                 f["longitude"].cast("double").alias("longitude")).alias("coordinates"),
+        (F.lit(1.0) + (F.col("p_size") % 9).cast("double") / F.lit(2.0)).alias("rating"),
+        F.struct(F.when(no_lat, F.lit(None)).otherwise(
+                     F.lit(33.0) + (p % 997).cast("double") / F.lit(1000.0)).cast("double").alias("latitude"),
+                 F.when(no_lon, F.lit(None)).otherwise(
+                     F.lit(-118.0) - (p % 991).cast("double") / F.lit(1000.0)).cast("double").alias("longitude")
+                 ).alias("coordinates"),
         F.when((p % 2) == 0, F.array(F.lit("pickup"), F.lit("delivery")))
          .otherwise(F.array().cast("array<string>")).alias("transactions"),
-        f["price"].alias("price"),
-        _location(f).alias("location"),
+        _case_mod(p, 4, [None, "$", "$$", "$$$"]).alias("price"),
+        _location(p).alias("location"),
         F.concat(F.lit("+1555"), F.lpad(_s(p % 10000000), 7, "0")).alias("phone"),
         F.concat(F.lit("(555) "), F.lpad(_s(p % 10000000), 7, "0")).alias("display_phone"))
 
 
 def _categories(p: Column) -> Column:
-    """``array<struct<alias,title>>`` by ``p % 13``: each branch is a literal
+    """``array<struct<alias,title>>`` by ``p % 37``: each branch is a literal
     array, so the optimizer folds any function of it (aliases, set tests)
     branch by branch instead of evaluating it per row."""
-    branches = [F.array(*[F.struct(F.lit(a).alias("alias"),
-                                   F.lit(CATEGORY_TITLES.get(a, a.title())).alias("title"))
+    branches = [F.array(*[F.struct(F.lit(a).alias("alias"), F.lit(CATEGORY_TITLES[a]).alias("title"))
                           for a in cats.split(",")])
                 for cats in CATEGORY_LISTS]
-    return _case_mod(p, 13, branches)
-
-
-def stored_businesses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The business records as stored data, like landed records.
-
-    Derived from the join key, their attributes would otherwise stay
-    expressions of ``p_partkey``; the optimizer then re-derives every filter
-    on them for ``l_partkey`` and evaluates it once per line item (30x the
-    rows).  A reliable checkpoint in the cluster's shared checkpoint folder
-    cuts that lineage.  Without a configured folder the plain plan runs
-    (same result, more work).
-    """
-    biz = businesses(spark, sf_dir)
-    try:
-        sc = spark.sparkContext
-        configured = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    except Exception:  # sessions without a local SparkContext (Spark Connect)
-        configured = None
-    return cut_lineage(biz) if configured else biz
+    return _case_mod(p, len(CATEGORY_LISTS), branches)
 
 
 def search_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D3 records with ``term`` and ``location_index`` (the searched city).
 
-    Business attributes come from :func:`stored_businesses` (one row per part) and
-    only the per-hit fields from ``lineitem``.  Filters on business
-    attributes therefore run once per business on the part side: they
-    reference computed part-side columns, so the optimizer cannot copy them
-    onto the line items through the join key.
+    Business attributes come from :func:`businesses` and only the per-hit
+    fields from ``lineitem``: the review count (often tied, sometimes NULL),
+    and changes of url, price and address, so hits of one id differ.
 
     ``part`` grows with the data (one row per 30 hits), so it is joined the
     way it must be at scale: a sort-merge join on the part key, whose skewed
@@ -171,57 +173,68 @@ def search_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     single large row group would otherwise feed one task).
     """
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
-    biz = stored_businesses(spark, sf_dir)
-    j = li.join(biz.hint("merge"), li["l_partkey"] == biz["b_partkey"])
-    cols = [c for c in biz.columns if c != "b_partkey"]
+        "l_orderkey", _s(F.col("l_partkey")).alias("l_key"), "l_suppkey", "l_linenumber", "l_quantity")
+    biz = businesses(spark, sf_dir)
+    order, line, loc = F.col("l_orderkey"), F.col("l_linenumber"), F.col("location")
+    hit = {
+        "url": F.concat(F.col("url"), F.lit("?v="), _s(order % 3)),
+        "price": F.when(line % 2 == 1, F.col("price")),
+        "location": F.struct(
+            F.when(order % 4 == 1, F.concat(loc["address1"], F.lit(" #2")))
+             .otherwise(loc["address1"]).alias("address1"),
+            *[loc[c].alias(c) for c in ("address2", "city", "state", "zip_code")]),
+    }
+    j = li.join(biz.hint("merge"), li["l_key"] == biz["b_key"])
+    cols = [hit.get(c, F.col(c)).alias(c) for c in biz.columns if c != "b_key"]
     return j.select(
-        *[F.col(c) for c in cols[:6]],
-        F.col("l_quantity").cast("int").cast("bigint").alias("review_count"),
-        *[F.col(c) for c in cols[6:]],
-        (F.col("l_linenumber").cast("double") * F.lit(250.0)).alias("distance"),
-        _term(F.col("l_linenumber")).alias("term"),
-        (F.col("l_suppkey") % 25).cast("int").alias("location_index"),
-        F.col("l_orderkey"),
-    )
+        *cols[:6],
+        F.when(F.col("l_quantity") > 1, F.floor(F.col("l_quantity") / 10)).cast("bigint").alias("review_count"),
+        *cols[6:],
+        (line.cast("double") * F.lit(250.0)).alias("distance"),
+        _term(line, order).alias("term"),
+        F.col("l_suppkey").cast("int").alias("location_index"),
+        order)
 
 
 def city_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D1 from ``nation`` with its file position."""
-    n = table(spark, sf_dir, "nation")
-    k = F.col("n_nationkey").cast("double")
-    return n.select(F.col("n_name").alias("Name"),
-                    (F.lit(32.0) + k / F.lit(10.0)).alias("Latitude"),
-                    (F.lit(-115.0) - k / F.lit(10.0)).alias("Longitude"),
-                    F.col("n_nationkey").cast("long").alias("position"))
+    """D1, one city per customer with its position; half of the oddly spelled
+    names are listed in their plain spelling too."""
+    k = F.col("c_custkey").cast("long")
+    plain = F.concat(F.lit("City "), _s(k))
+    names = F.when((city_name(k) != plain) & (k % 200 < 100), F.array(city_name(k), plain)) \
+             .otherwise(F.array(city_name(k)))
+    return table(spark, sf_dir, "customer").select(
+        F.explode(names).alias("Name"),
+        (F.lit(32.5) + (k % 997).cast("double") / F.lit(1000.0)).alias("Latitude"),
+        (F.lit(-124.0) + (k % 991).cast("double") / F.lit(1000.0)).alias("Longitude"),
+        k.alias("position"))
 
 
 def county_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D2 from ``nation`` join ``region``."""
-    n = table(spark, sf_dir, "nation").filter(F.col("n_nationkey") != 0)
+    """D2, one entity per customer, county = its region; keys ``k % 40 = 0``
+    are left out and ``k % 40 = 10`` have two zip codes.  ``nation`` and
+    ``region`` have 25 and 5 rows by the benchmark's definition."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey").filter("c_custkey % 40 <> 0")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = table(spark, sf_dir, "region")
-    # region has five rows by the benchmark's definition: a fixed size bound.
-    j = n.join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"])
-    k = F.col("n_nationkey")
-
-    def rows(zip_col: Column) -> DataFrame:
-        return j.select(
-            F.concat(F.lit("City of "), F.col("n_name")).alias("Entity Name"),
-            k.cast("long").alias("Entity ID"),
-            F.lit("City").alias("Entity Type"),
-            F.col("r_name").alias("County Name"),
-            F.col("n_name").alias("City"),
-            F.lit("CA").alias("State"),
-            zip_col.alias("Zip"),
-            (k.cast("long") * 1000).alias("Estimated Population"),
-            F.lit("General Law").alias("Class Data"),
-            F.lit(630).cast("long").alias("Fiscal Year End"),
-            F.lit(20240131).cast("long").alias("Paper Report Due Date"),
-            F.lit(20240131).cast("long").alias("Electronic Report Due Date"))
-
-    main = rows(F.concat(F.lit("9"), F.lpad(_s(k), 4, "0")))
-    second = rows(F.concat(F.lit("9"), F.lpad(_s(k + 5000), 4, "0"))).filter(F.col("Entity ID") == 1)
-    return main.unionByName(second)
+    geo = F.broadcast(n.join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"]))
+    j = c.join(geo, c["c_nationkey"] == geo["n_nationkey"])
+    k = F.col("c_custkey").cast("long")
+    zips = F.when(k % 40 == 10, F.array(k % 10000, (k + 5000) % 10000)).otherwise(F.array(k % 10000))
+    city = F.concat(F.lit("City "), _s(k))
+    return j.select("*", F.explode(zips).alias("zip")).select(
+        F.concat(F.lit("City of "), city).alias("Entity Name"),
+        k.alias("Entity ID"),
+        F.lit("City").alias("Entity Type"),
+        F.col("r_name").alias("County Name"),
+        city.alias("City"),
+        F.lit("CA").alias("State"),
+        F.concat(F.lit("9"), F.lpad(_s(F.col("zip")), 4, "0")).alias("Zip"),
+        (k * 10).alias("Estimated Population"),
+        F.lit("General Law").alias("Class Data"),
+        F.lit(630).cast("long").alias("Fiscal Year End"),
+        F.lit(20240131).cast("long").alias("Paper Report Due Date"),
+        F.lit(20240131).cast("long").alias("Electronic Report Due Date"))
 
 
 def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,9 +242,8 @@ def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
     (p_partkey % 100 == 0); the other half stays unresolved."""
     part = table(spark, sf_dir, "part").filter((F.col("p_partkey") % 100) == 0)
     p = F.col("p_partkey")
-    f = business_fields(p, F.col("p_name"), F.col("p_size"), F.lit(0))
     return part.select(
-        C.build_address(_location(f)).alias("address"),
+        C.build_address(_location(p)).alias("address"),
         (F.lit(36.0) + (p % 89).cast("double") / F.lit(100.0)).alias("latitude"),
         (F.lit(-120.0) - (p % 83).cast("double") / F.lit(100.0)).alias("longitude"))
 
@@ -245,28 +257,3 @@ def search_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.lit(32.5) + (k % 997).cast("double") / F.lit(1000.0)).alias("Latitude"),
                     (F.lit(-124.0) + (k % 991).cast("double") / F.lit(1000.0)).alias("Longitude"),
                     k.cast("long").alias("position"))
-
-
-def customer_counties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A D2 county list that grows with the data: one entity per customer
-    (the location of :func:`search_locations`), county = its region.
-    ``nation``/``region`` have 25/5 rows by the benchmark's definition."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    r = table(spark, sf_dir, "region")
-    geo = F.broadcast(n.join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"]))
-    j = c.join(geo, c["c_nationkey"] == geo["n_nationkey"])
-    k = F.col("c_custkey")
-    return j.select(
-        F.concat(F.lit("City of "), F.col("c_name")).alias("Entity Name"),
-        k.cast("long").alias("Entity ID"),
-        F.lit("City").alias("Entity Type"),
-        F.col("r_name").alias("County Name"),
-        F.col("c_name").alias("City"),
-        F.lit("CA").alias("State"),
-        F.concat(F.lit("9"), F.lpad(_s(k % 10000), 4, "0")).alias("Zip"),
-        (k.cast("long") * 10).alias("Estimated Population"),
-        F.lit("General Law").alias("Class Data"),
-        F.lit(630).cast("long").alias("Fiscal Year End"),
-        F.lit(20240131).cast("long").alias("Paper Report Due Date"),
-        F.lit(20240131).cast("long").alias("Electronic Report Due Date"))

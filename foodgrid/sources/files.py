@@ -68,11 +68,14 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
     df = (spark.read.schema(BUSINESS).option("multiLine", True)
           .option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(path))
     fname = F.url_decode(F.col("_metadata.file_name"))
-    return df.select(
-        "*",
-        F.regexp_extract(fname, LANDING_NAME, 1).alias("term"),
-        F.regexp_extract(fname, LANDING_NAME, 2).alias("search_location"),
-        F.regexp_extract(fname, LANDING_NAME, 3).cast("int").alias("location_index"))
+    return df.select("*", *landing_name_parts(fname))
+
+
+def landing_name_parts(name) -> list:
+    """``term``, ``search_location`` and ``location_index`` of a landing file name."""
+    return [F.regexp_extract(name, LANDING_NAME, 1).alias("term"),
+            F.regexp_extract(name, LANDING_NAME, 2).alias("search_location"),
+            F.regexp_extract(name, LANDING_NAME, 3).cast("int").alias("location_index")]
 
 
 def read_landing_partitioned(spark: SparkSession, path: str) -> DataFrame:
@@ -91,7 +94,7 @@ def read_raw(spark: SparkSession, path: str, feeds=None) -> DataFrame:
 
 
 def read_raw_table(spark: SparkSession, table: str, feeds=None) -> DataFrame:
-    """S5 for the bucketed catalog table written by
+    """S5 for the catalog table written by
     :func:`foodgrid.sinks.writers.append_raw_table`."""
     df = spark.table(table)
     return df.filter(F.col("feed").isin(list(feeds))) if feeds else df

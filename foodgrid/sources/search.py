@@ -95,12 +95,16 @@ def assemble_page_rows(rows: DataFrame, cap: int = RESULT_CAP, keys=("term", "lo
     AQE decides from the measured size whether the per-pair table is
     broadcast; a hot pair on a shuffled join is split by AQE's skew handling.
     """
+    empty = (rows.groupBy(*keys, "offset").agg(F.count(F.col(present)).alias("_n"))
+                 .filter(F.col("_n") == 0))
+    return stop_at_empty(rows.filter(F.col(present).isNotNull()), empty, cap, keys)
+
+
+def stop_at_empty(rows: DataFrame, empty: DataFrame, cap: int = RESULT_CAP,
+                  keys=("term", "location_index")) -> DataFrame:
+    """Business rows before the first page listed in ``empty`` and below the cap."""
     keys = list(keys)
-    sizes = (rows.groupBy(*keys, "offset")
-                 .agg(F.count(F.col(present)).alias("_n"))
-                 .filter(F.col("_n") == 0)
-                 .groupBy(*keys).agg(F.min("offset").alias("_first_empty")))
+    first = empty.groupBy(*keys).agg(F.min("offset").alias("_first_empty"))
     stop = F.least(F.coalesce(F.col("_first_empty"), F.lit(cap)), F.lit(cap))
-    return (rows.join(sizes, keys, "left")
-                .filter((F.col("offset") < stop) & F.col(present).isNotNull())
-                .drop("_first_empty"))
+    return (rows.filter(F.col("offset") < cap).join(first, keys, "left")
+                .filter(F.col("offset") < stop).drop("_first_empty"))

@@ -3,10 +3,11 @@
 import os
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from foodgrid.operators import keyterm, marts, quality, staging
-from foodgrid.operators.dedup import first_per_key, first_per_key_window
+from foodgrid.operators.dedup import first_per_key
 from foodgrid.plans import pipeline
 from foodgrid.sinks import writers
 from foodgrid.sources import files
@@ -140,7 +141,9 @@ def test_dedup_idempotent_and_window_agrees(world):
     typed = world["raw"].select(*staging.staged_columns(world["raw"]))
     once = first_per_key(typed, "id", staging.STAGING_ORDER)
     twice = first_per_key(once, "id", staging.STAGING_ORDER)
-    win = first_per_key_window(typed, "id", staging.STAGING_ORDER)
+    sort = [F.col("review_count").desc_nulls_last()] + [
+        F.col(c).asc_nulls_first() for c in staging.STAGING_COLUMNS if c not in ("id", "review_count")]
+    win = typed.withColumn("n", F.row_number().over(Window.partitionBy("id").orderBy(*sort))).filter("n = 1")
     cols = staging.STAGING_COLUMNS
     assert rows(once, *cols) == rows(twice, *cols) == rows(win, *cols)
 
@@ -278,31 +281,59 @@ def asc_(c):
     return asc(c)
 
 
-def test_bucketed_raw_table_needs_no_shuffle_for_models(spark, world):
-    import contextlib
-    import io
+def test_raw_catalog_table(spark, world):
     out = world["raw"].drop("location_index")
-    writers.append_raw_table(out, "raw_bucketed_t", buckets=4)
-    writers.append_raw_table(out, "raw_bucketed_t", buckets=4)   # rerun duplicates rows
-    raw_b = files.read_raw_table(spark, "raw_bucketed_t")
-    assert raw_b.count() == 2 * out.count()
-    for fn in (staging.stg_restaurants, marts.pick_listings):
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            fn(raw_b).explain()
-        assert "Exchange hashpartitioning(id" not in buf.getvalue(), buf.getvalue()
+    writers.append_raw_table(out, "raw_t")
+    writers.append_raw_table(out, "raw_t")   # rerun duplicates rows
+    stored = files.read_raw_table(spark, "raw_t")
+    assert stored.count() == 2 * out.count()
     cols = marts.FACT_COLUMNS
-    assert rows(pipeline.build_fact(raw_b, world["cities"], world["counties"]), *cols) == \
+    assert rows(pipeline.build_fact(stored, world["cities"], world["counties"]), *cols) == \
         rows(pipeline.build_fact(world["raw"], world["cities"], world["counties"]), *cols)
-    pruned = files.read_raw_table(spark, "raw_bucketed_t", feeds=["Coffee"])
+    pruned = files.read_raw_table(spark, "raw_t", feeds=["Coffee"])
     assert {r["feed"] for r in pruned.collect()} == {"Coffee"}
 
 
-def test_jobs_with_bucketed_table(spark, tmp):
+def test_jobs_with_catalog_table(spark, tmp):
     from foodgrid.plans import jobs
     land = landing(tmp)
     cities = FX.write(tmp, "cities.csv", FX.CITY_CSV)
     counties = FX.write(tmp, "counties.csv", FX.COUNTY_CSV)
-    jobs.ingest(spark, land, cities, "raw_jobs_t", buckets=4)
+    jobs.ingest(spark, land, cities, "raw_jobs_t")
     out = jobs.model(spark, "raw_jobs_t", cities, counties, os.path.join(tmp, "models_t"))
     assert spark.read.parquet(out["fact_all"]).count() == 10
+
+
+def test_typed_rows_in_one_scan_equal_the_steps(world):
+    r = world["raw"]
+    d, c = marts.desserts_filtered(staging.stg_desserts(r)), marts.cafes_filtered(staging.stg_cafes(r))
+    left = marts.restaurants_anti(staging.stg_restaurants(r), marts.exclusion_ids(d, c))
+    steps = marts.typed_union(left, d, c)
+    assert rows(marts.typed_from_raw(r), *steps.columns) == rows(steps, *steps.columns)
+
+
+def test_id_report_of_several_models(spark):
+    a = spark.createDataFrame([("x",), ("x",), (None,), (None,)], "id string")
+    b = spark.createDataFrame([("x",), ("y",)], "id string")
+    got = {r[0]: tuple(r[1:]) for r in quality.id_report({"a": a, "b": b}).collect()}
+    assert got == {"a": (1, 2), "b": (0, 0)}
+    with pytest.raises(AssertionError):
+        quality.assert_ids({"a": a, "b": b}, severity="error")
+
+
+def test_running_total_across_location_blocks(spark):
+    df = spark.createDataFrame([(t, i * 1500) for t in ("B", "A") for i in range(9)],
+                               "term string, location_index int")
+    out = quality.load_counts(df, ["B", "A"]).collect()
+    got = sorted(out, key=lambda r: r["total_rows"])
+    assert [(r["term"], r["location_index"]) for r in got] == \
+        [(t, i * 1500) for t in ("B", "A") for i in range(9)]
+    assert [r["total_rows"] for r in got] == list(range(1, 19))
+
+
+def test_loaded_if_absent_equals_target_and_new_rows(spark):
+    from foodgrid.operators.dedup import asc
+    df = spark.createDataFrame([("a", True, 5), ("a", False, 1), ("b", False, 3), ("b", False, 2)],
+                               "id string, kept boolean, arrival int")
+    got = writers.loaded_if_absent(df, F.col("kept"), [asc("arrival")], columns=["id", "arrival"])
+    assert rows(got, "id", "arrival") == [("a", 5), ("b", 2)]

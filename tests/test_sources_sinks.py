@@ -130,7 +130,7 @@ def test_required_columns_raise(spark, tmp):
     bad = spark.createDataFrame([(None, "a", "n")], "id string, alias string, name string")
     bad = bad.select(*[F.col(f.name) if f.name in bad.columns else
                        F.lit(None).cast(f.dataType).alias(f.name) for f in RAW.fields])
-    with pytest.raises(ValueError):
+    with pytest.raises(Exception, match="NULL in required column id"):
         writers.append_raw(bad.withColumn("feed", F.lit("Food")), os.path.join(tmp, "raw"))
 
 
