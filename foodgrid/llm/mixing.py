@@ -14,9 +14,11 @@ no hot source; sums are whole numbers, so reruns agree to the last copy.
 Rates are rounded into copies systematically: along each source ordered by
 (size, salt, doc_id) a document takes one more copy than the whole part where
 the running sum of fractions passes a whole number, so a source's words miss
-their target by about one document.  The running sum is a window over the
-histogram plus an offset inside a (source, size, salt) cell, never a window
-over a whole source.  DataFrame functions only.
+their target by about one document.  The running sum has four levels, none of
+which grows with a source's documents: blocks of ``SIZE_BLOCK`` sizes, sizes in
+a block, salts of a size, and documents of a (source, size, salt) cell, which
+holds about ``CELL`` copies of a single size at most (there are as many salts
+as that takes).  DataFrame functions only.
 
 Defined cases: null text has size 0; a null source is a source, ordered last;
 a document of size 0 keeps rate 1; a source without words has target 0;
@@ -33,8 +35,10 @@ from .base import WORD_PATTERN, stored
 
 MAX_COPIES = 3
 WEIGHTS = (1, 2, 3)
-SALTS = 64
-UNIT = 1 << 30          # fractions of a copy, as whole numbers
+SALTS = 64              # at least
+CELL = 1 << 18          # documents of one size in a cell, if all had that size
+SIZE_BLOCK = 1024
+UNIT = 1 << 24          # fractions of a copy, as whole numbers: sums stay below 2**63 for 5e11 documents
 TOKEN_UNIT = 1 << 10    # fractions of a token in the Newton sums
 
 
@@ -85,7 +89,7 @@ def solve_rates(spark, hist: DataFrame, sources: list[dict], steps: int = 60,
         state = spark.createDataFrame([(s["sid"], s["mean"], s["m"]) for s in open_],
                                       "sid long, mean double, m double")
         r = _rate(F.col("size"), F.col("mean"), F.col("m"))
-        whole = lambda c: F.sum(F.round(c * TOKEN_UNIT).cast("long").cast("decimal(20,0)"))
+        whole = lambda c: F.sum(F.round(c * TOKEN_UNIT).cast("decimal(28,0)"))
         sums = (hist.join(F.broadcast(state), "sid").withColumn("r", r)
                 .groupBy("sid").agg(
                     whole(F.col("n") * F.col("size") * F.col("r")).alias("g"),
@@ -119,22 +123,33 @@ def mix(docs: DataFrame) -> DataFrame:
                for i, ((a, b, n), t) in enumerate(zip(found, targets, strict=True))]
     names = spark.createDataFrame([(s["source"], s["sid"]) for s in sources],
                                   "name string, sid long")
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt")
+    salts = max(SALTS, sum(n for _, _, n in found) // CELL)
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(salts)).alias("salt")
     keyed = rows.join(F.broadcast(names), rows["source"].eqNullSafe(names["name"])) \
         .select("doc_id", "rid", "source", "sid", "size", salt)
     cells = stored(keyed.groupBy("sid", "size", "salt").agg(F.count(F.lit(1)).alias("n")), "cells")
-    solve_rates(spark, cells.groupBy("sid", "size").agg(F.sum("n").alias("n")), sources)
+    hist = stored(cells.groupBy("sid", "size").agg(F.sum("n").alias("n")), "hist")
+    solve_rates(spark, hist, sources)
     solved = spark.createDataFrame(
         [(s["sid"], s["size"], float(s["target"]), s["mean"], s["m"]) for s in sources],
         "sid long, source_size long, target double, mean double, m double")
-    cells = cells.join(F.broadcast(solved), "sid") \
+    rated = hist.join(F.broadcast(solved), "sid") \
         .withColumn("rate", _rate(F.col("size"), F.col("mean"), F.col("m"))) \
         .withColumn("whole", F.floor("rate")) \
-        .withColumn("part", F.round((F.col("rate") - F.col("whole")) * UNIT).cast("long"))
-    along = Window.partitionBy("sid").orderBy("size", "salt").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    cells = cells.withColumn("before", F.sum(F.col("n") * F.col("part")).over(along)
-                             - F.col("n") * F.col("part")) \
+        .withColumn("part", F.round((F.col("rate") - F.col("whole")) * UNIT).cast("long")) \
+        .withColumn("block", F.expr(f"size div {SIZE_BLOCK}")).withColumn("sum", F.col("n") * F.col("part"))
+
+    def before(of, order, *within):  # running sum, without the row itself
+        along = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return F.sum(of).over(along) - F.col(of)
+
+    blocks = rated.groupBy("sid", "block").agg(F.sum("sum").alias("all")) \
+        .select("sid", "block", before("all", "block", "sid").alias("block_before"))
+    rated = rated.withColumn("size_before", before("sum", "size", "sid", "block")).join(blocks, ["sid", "block"]) \
+        .select("sid", "size", "source_size", "target", "rate", "whole", "part",
+                (F.col("block_before") + F.col("size_before")).alias("start"))
+    cells = cells.withColumn("cell_before", before("n", "salt", "sid", "size")).join(rated, ["sid", "size"]) \
+        .withColumn("before", F.col("start") + F.col("cell_before") * F.col("part")) \
         .select("sid", "size", "salt", "source_size", "target", "rate", "whole", "part", "before")
     place = F.row_number().over(Window.partitionBy("sid", "size", "salt").orderBy("doc_id", "rid"))
     run = F.col("before") + (F.col("place") - 1) * F.col("part") + UNIT // 2
