@@ -43,7 +43,7 @@ BLOCK = 1024            # ids in a block; a multiple of 32
 CHUNK = 1 << 17         # ids after which a chunk is closed
 CHARACTERS = 1 << 20    # characters encoded at once
 WORDS = 2000            # words in one call of the library
-MEMORY = 800_000        # words a worker remembers (about 170 MB)
+MEMORY = 800_000        # words a worker remembers (about 120 MB)
 FILE_SCHEMA = ("part int, chunk int, first long, doc_ids array<long>, ends array<long>, "
                "bits int, offsets array<long>, payload binary")
 
@@ -108,20 +108,36 @@ class WordEncoder:
         names = self.library.get_vocab(with_added_tokens=True)
         self.ends_word = np.zeros(max(names.values()) + 1, bool)
         self.ends_word[[i for t, i in names.items() if t.endswith("</w>")]] = True
-        self.memory: dict[bytes, list[int]] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Words met so far: their numbers, and where the ids of each lie in ``flat``."""
+        self.memory: dict[bytes, int] = {}
+        self.flat, self.first, self.count = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def whole(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
-    def encode_words(self, words: list[bytes]) -> dict[bytes, list[int]]:
-        """Ids of each word: many words in one call, told apart by the ids that end one."""
-        ids = self.library.encode(" ".join(w.decode() for w in words), add_special_tokens=False).ids
-        flat = np.array(ids, np.int64)
-        ends = (np.flatnonzero(self.ends_word[flat]) + 1).tolist()
+    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many of each word): many words in one call, told apart by
+        the ids that end one."""
+        ids = np.array(self.library.encode(" ".join(w.decode() for w in words),
+                                           add_special_tokens=False).ids, np.int32)
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
         if len(ends) != len(words) or ends[-1] != len(ids):  # a word without an end of its own
             got = self.library.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-            return dict(zip(words, [g.ids for g in got], strict=True))
-        return {w: ids[a:b] for w, a, b in zip(words, [0, *ends[:-1]], ends, strict=True)}
+            return (np.array([x for g in got for x in g.ids], np.int32),
+                    np.array([len(g.ids) for g in got], np.int32))
+        return ids, np.diff(ends, prepend=0).astype(np.int32)
+
+    def learn(self, words: list[bytes]) -> None:
+        """Encode words that are new and remember them."""
+        got = [self.encode_words(words[k:k + WORDS]) for k in range(0, len(words), WORDS)]
+        count = np.concatenate([c for _, c in got])
+        self.first = np.append(self.first, len(self.flat) + np.cumsum(count, dtype=np.int64) - count)
+        self.count = np.append(self.count, count)
+        self.flat = np.concatenate([self.flat, *(x for x, _ in got)])
+        self.memory.update(zip(words, range(len(self.memory), len(self.first)), strict=True))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         import unicodedata
@@ -135,19 +151,15 @@ class WordEncoder:
         pieces, index, at = distinct_pieces(plain, keep_space=False)
         if not pieces:
             return [own.get(i, np.zeros(0, np.int64)) for i in range(len(texts))]
-        memory = self.memory
-        if len(memory) > MEMORY:
-            memory.clear()
-        new = [p for p in pieces if p not in memory]
-        for k in range(0, len(new), WORDS):
-            memory.update(self.encode_words(new[k:k + WORDS]))
-        ids = [memory[p] for p in pieces]
-        count = np.array([len(x) for x in ids], np.int64)
-        flat = np.array([x for y in ids for x in y], np.int64)
-        first = np.cumsum(count) - count
-        each = count[index]
-        upto = np.cumsum(each)
-        out = flat[np.repeat(first[index] - (upto - each), each) + np.arange(upto[-1])]
+        if len(self.memory) > MEMORY:
+            self.forget()
+        new = [p for p in pieces if p not in self.memory]
+        if new:
+            self.learn(new)
+        word = np.fromiter(map(self.memory.__getitem__, pieces), np.int64, len(pieces))[index]
+        each = self.count[word]
+        upto = np.cumsum(each, dtype=np.int64)
+        out = self.flat[np.repeat(self.first[word] - (upto - each), each) + np.arange(upto[-1])]
         ends = np.append(0, upto)[at]
         return [own[i] if i in own else out[ends[i]:ends[i + 1]] for i in range(len(texts))]
 
