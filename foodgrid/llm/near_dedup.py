@@ -16,8 +16,10 @@ component of links.
 3. Components of the edges left are the candidates: linked documents are in
    one candidate component.  Each document's set is sent to its component
    once.  Components of more than ``GROUP`` documents are cut into blocks,
-   with a few hub documents in every block to join them; documents that are
-   then not in their component's main group are compared with every block.
+   with a few hub documents in every block to join them.  Of the documents that
+   are then not in their component's main group, up to ``GROUP`` are compared
+   with every block; more are compared where they share a band, the bucket cut
+   into chunks of ``GROUP`` and a block being two chunks.
 4. In a block a document is compared with the earlier ones of other groups:
    signatures batch by batch, pruning a pair as soon as the posterior chance
    that it reaches the similarity is below ``MISS``; what survives is verified
@@ -305,11 +307,12 @@ def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 
 def link(sets: list[np.ndarray], group: list[int], percent: int,
-         only: np.ndarray | None = None) -> list[tuple[int, int]]:
+         only: np.ndarray | None = None, across: bool = False) -> list[tuple[int, int]]:
     """Links (i, j) that join all documents linked through any of ``sets``.
 
     ``group``: documents with equal numbers are joined already.  ``only``:
-    mask of the documents of which one must be in a pair (else all pairs).
+    mask of the documents of which one must be in a pair (else all pairs);
+    with ``across`` exactly one.
     """
     n, similarity = len(sets), percent / 100
     root = list(range(n))
@@ -331,40 +334,54 @@ def link(sets: list[np.ndarray], group: list[int], percent: int,
     out = []
     order = np.argsort(size, kind="stable")
     place = np.sort(size)
+    few = int(np.searchsorted(place, PLAIN))   # sets compared with all smaller ones at once
+    _, codes = np.unique(np.concatenate([sets[i] for i in order[:few]] or [np.zeros(0, np.uint64)]),
+                         return_inverse=True)
+    start = np.append(0, np.cumsum(place[:few]))
+    has = np.zeros(len(codes), np.int32)
     for k, i in enumerate(order.tolist()):
         # sizes alone rule out documents much smaller than this one
         low = int(np.searchsorted(place, math.ceil(similarity * size[i] - 1e-9)))
         cand = order[low:k]
-        if only is not None and not only[i]:
-            cand = cand[only[cand]]
         if not len(cand):
             continue
+        if k < few:
+            mine = codes[start[k]:start[k + 1]]
+            has[mine] = 1
+            both = np.add.reduceat(has[codes[start[low]:start[k]]], start[low:k] - start[low])
+            has[mine] = 0
+            cand = cand[100 * both >= percent * (size[i] + size[cand] - both)]
+        if only is not None and not only[i]:
+            cand = cand[only[cand]]
+        elif across:
+            cand = cand[~only[cand]]
         mine = find(i)
-        cand = cand[[find(j) != mine for j in cand.tolist()]]
+        cand = cand[[find(j) != mine for j in cand.tolist()]] if len(cand) else cand
         if not len(cand):
             continue
         if size[i] >= PLAIN:
             keep, score = survivors(sig[i], sig[cand], similarity)
             cand = cand[keep][np.argsort(-score, kind="stable")]
         for j in cand.tolist():
-            if find(j) != find(i) and linked(sets[i], sets[j], percent):
+            if find(j) != find(i) and (k < few or linked(sets[i], sets[j], percent)):
                 root[find(j)] = find(i)
                 out.append((i, j))
     return out
 
 
-SETS = "root long, block int, node long, grp long, extra boolean, s binary"
+SETS = "root long, block string, node long, grp long, extra boolean, across boolean, s binary"
 LINKS = "a long, b long"
 
 
-def link_blocks(rows: DataFrame, percent: int, only_extra: bool) -> DataFrame:
-    """Links in each (root, block) of ``rows`` (``SETS``), one block in memory."""
+def link_blocks(rows: DataFrame, percent: int) -> DataFrame:
+    """Links in each (root, block) of ``rows`` (``SETS``), one block in memory:
+    of pairs with an ``extra`` document, in an ``across`` block exactly one."""
     def run(batches):
         def blocks():
             held, last = [], None
             for b in batches:
                 for root, block, *x in zip(*(b[c].to_pylist() for c in
-                                             ("root", "block", "node", "grp", "extra", "s")), strict=True):
+                                             ("root", "block", "node", "grp", "extra", "across", "s")), strict=True):
                     if (root, block) != last and held:
                         yield held
                         held = []
@@ -374,9 +391,8 @@ def link_blocks(rows: DataFrame, percent: int, only_extra: bool) -> DataFrame:
                 yield held
 
         for held in blocks():
-            sets = [np.frombuffer(x[3], np.uint64) for x in held]
-            only = np.array([x[2] for x in held]) if only_extra else None
-            got = link(sets, [x[1] for x in held], percent, only)
+            sets = [np.frombuffer(x[4], np.uint64) for x in held]
+            got = link(sets, [x[1] for x in held], percent, np.array([x[2] for x in held]), held[0][3])
             yield pa.RecordBatch.from_arrays(
                 [pa.array([held[i][0] for i, _ in got], pa.int64()),
                  pa.array([held[j][0] for _, j in got], pa.int64())], ["a", "b"])
@@ -385,13 +401,40 @@ def link_blocks(rows: DataFrame, percent: int, only_extra: bool) -> DataFrame:
         .mapInArrow(tidy(run), LINKS)
 
 
-def verified_links(nodes: DataFrame, percent: int) -> DataFrame:
-    """Verified links (a, b) that join each group; ``nodes``: (root, node, s)."""
+def bucket_blocks(told: DataFrame, bands: DataFrame) -> DataFrame:
+    """(root, block, node, grp, extra, across) that brings every extra document
+    of ``told`` together with the documents of other groups that share a band
+    with it.  A bucket of more than ``GROUP`` is cut into chunks, and a block is
+    a chunk of extras, or one with another chunk: two chunks at most."""
+    of = bands.join(told.select("node"), "node", "left_semi").dropDuplicates(["node"]) \
+        .select("node", F.explode("bands").alias("band")).distinct()
+    members = stored(told.select("root", "node", "grp", "extra").join(of, "node"), "members")
+    chunks = lambda n: F.ceil(n / GROUP).cast("int")
+    e, m = F.count_if("extra"), F.count_if(~F.col("extra"))
+    whole = e + m <= GROUP
+    per = members.groupBy("root", "band").agg(
+        F.when(whole, F.lit(1)).otherwise(chunks(e)).alias("es"),
+        F.when(whole, F.lit(0)).otherwise(chunks(m)).alias("ms"),
+        e.alias("e"), F.min("grp").alias("least"), F.max("grp").alias("most"))
+    per = per.filter("e > 0 and least <> most").drop("e", "least", "most")
+    salt = F.xxhash64("node", "band")
+    main = ~F.col("extra") & (F.col("ms") > 0)
+    chunk = F.when(main, F.col("es") + F.pmod(salt, F.col("ms"))).otherwise(F.pmod(salt, F.col("es"))).cast("int")
+    others = F.sequence(F.lit(0), F.when(main, F.col("es")).otherwise(F.col("es") + F.col("ms")) - 1)
+    low, high = F.least("chunk", "other"), F.greatest("chunk", "other")
+    return members.join(per, ["root", "band"]).withColumn("chunk", chunk).withColumn("other", F.explode(others)) \
+        .select("root", F.concat_ws(":", "band", low, high).alias("block"), "node", "grp",
+                (F.col("chunk") == low).alias("extra"), (low < high).alias("across"))
+
+
+def verified_links(nodes: DataFrame, bands: DataFrame, percent: int) -> DataFrame:
+    """Verified links (a, b) that join each group; ``nodes``: (root, node, s),
+    ``bands``: (node, bands), a node at least once."""
     many = F.col("blocks") > 1
     per = nodes.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("blocks"))
     placed = nodes.join(per, "root").withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    plain = placed.withColumn("grp", F.col("node")).withColumn("extra", F.lit(False))
+    plain = placed.withColumn("grp", F.col("node")).withColumn("extra", F.lit(True)).withColumn("across", F.lit(False))
     cols = [c.split()[0] for c in SETS.split(", ")]
     large = plain.filter(many)
     # the few documents whose hash is among the lowest of a large component
@@ -399,19 +442,27 @@ def verified_links(nodes: DataFrame, percent: int) -> DataFrame:
     hub = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(1 << 30)) / F.lit(float(1 << 30)) < chance
     hubs = large.filter(hub).withColumn("own", F.col("block")) \
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter("block <> own")
-    first = stored(link_blocks(plain.select(*cols).unionByName(hubs.select(*cols)), percent, False), "links")
+    first = stored(link_blocks(plain.select(*cols).unionByName(hubs.select(*cols)), percent), "links")
     if large.isEmpty():
         return first
     groups = components(first)
-    grp = F.coalesce("g", F.col("node"))
-    labelled = large.drop("grp").join(groups.select(F.col("node").alias("gn"), F.col("root").alias("g")),
-                                      F.col("node") == F.col("gn"), "left").withColumn("grp", grp)
+    labelled = large.select("root", "node", "blocks", "block").join(
+        groups.select(F.col("node").alias("gn"), F.col("root").alias("g")), F.col("node") == F.col("gn"), "left") \
+        .select("root", "node", "blocks", "block", F.coalesce("g", "node").alias("grp"))
+    labelled = stored(labelled, "labelled")
     sizes = labelled.groupBy("root", "grp").agg(F.count(F.lit(1)).alias("m"))
-    main = sizes.groupBy("root").agg(F.max_by("grp", F.struct("m", "grp")).alias("main"))
-    told = labelled.join(main, "root")
-    out = told.filter("grp <> main").withColumn("extra", F.lit(True))
-    every = out.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    second = link_blocks(told.filter("grp = main").select(*cols).unionByName(every.select(*cols)), percent, True)
+    main = sizes.groupBy("root").agg(F.max_by("grp", F.struct("m", "grp")).alias("main"),
+                                     (F.sum("m") - F.max("m")).alias("extras"))
+    told = labelled.join(main, "root").withColumn("extra", F.col("grp") != F.col("main"))
+    few = told.filter(F.col("extras").between(1, GROUP))
+    every = few.filter("extra").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    # two extras are compared in block 0 only
+    placed = few.filter("not extra").unionByName(every).withColumn("across", F.col("block") > 0) \
+        .withColumn("block", F.col("block").cast("string")).select(*cols[:-1])
+    wide = told.filter(F.col("extras") > GROUP)
+    if not wide.isEmpty():
+        placed = placed.unionByName(bucket_blocks(wide, bands))
+    second = link_blocks(placed.join(nodes.select("node", "s").hint("merge"), "node").select(*cols), percent)
     return first.unionByName(stored(second, "links"))
 
 
@@ -441,7 +492,8 @@ def groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFram
     # the corpus: never a broadcast, at no size.
     chosen = rows.join(roots.hint("merge"), rows["rid"] == roots["node"]).select("root", "node", "text") \
         .mapInArrow(tidy(to_sets), "root long, node long, s binary")
-    links = verified_links(stored(chosen.dropDuplicates(["node"]), "sets"), percent)
+    bands = sketch.filter("bands is not null").select("rid", "bands").join(node, "rid").select("node", "bands")
+    links = verified_links(stored(chosen.dropDuplicates(["node"]), "sets"), bands, percent)
     found = components(links)
     named = of.join(found, "node", "left").withColumn("group", F.coalesce("root", "node"))
     least = named.groupBy("group").agg(F.min("doc_id").alias("component_id"))

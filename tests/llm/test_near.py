@@ -82,6 +82,25 @@ def test_near_copies(spark, seed, group, monkeypatch):
     check(near_dedup.groups(df, 2).collect(), rows, 2)
 
 
+def test_no_block_holds_all_of_a_component_without_main_group(spark, monkeypatch):
+    """Short texts on one template, likeness about a half: one candidate component, few links."""
+    rng = random.Random(7)
+    form = [f"t{i}" for i in range(40)]
+    rows = [(i, " ".join(form + [f"o{rng.randrange(90_000)}" for _ in range(20)])) for i in range(400)]
+    rows += [(400 + i, rows[i * 9][1].replace(" o", " z", 2)) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    most, plain = [], near_dedup.link_blocks
+
+    def watched(blocks, *rest):
+        most.append(blocks.groupBy("root", "block").count().agg({"count": "max"}).first()[0])
+        return plain(blocks, *rest)
+
+    monkeypatch.setattr(near_dedup, "GROUP", 32)
+    monkeypatch.setattr(near_dedup, "link_blocks", watched)
+    check(near_dedup.groups(df, 2).collect(), rows, 2)
+    assert len(most) == 2 and max(most) < 4 * 32, most
+
+
 def test_common_passage_does_not_link(spark):
     rng = random.Random(5)
     passage = " ".join(f"p{rng.randrange(300)}" for _ in range(150))
