@@ -11,7 +11,8 @@ that match by chance elsewhere in the text do not count).
 
 Defined cases: null text is empty; the fingerprint of an empty text is the
 empty string; a text with fewer than k code points has one anchor, of the
-whole text; two empty fingerprints have likeness 1, one empty and one not 0;
+whole text; a longer one without any syncmer (at most 9 k-mers) has all its
+k-mers as anchors; two empty fingerprints have likeness 1, one empty and one not 0;
 equal texts have equal fingerprints and likeness 1.  In ``with_edited`` the
 next document is the one with the next doc_id (null first; rows of one doc_id
 in order of their text), the last one's next is the first; a single document
@@ -44,12 +45,21 @@ def code_points(text: str) -> np.ndarray:
 
 def _anchors(codes: np.ndarray, k: int, s: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash, position) of the closed syncmers of ``codes``."""
+    return _kmers(codes, k, _syncmers(codes, k, s))
+
+
+def _syncmers(codes: np.ndarray, k: int, s: int) -> np.ndarray:
+    """The positions of the closed syncmers of ``codes``."""
     inner = mix(gram_hash(codes.astype(np.uint64), s), 1)
     width = k - s + 1
     low = window_min(inner, width)
     n = len(low)
-    at = np.flatnonzero((inner[:n] == low) | (inner[width - 1:width - 1 + n] == low))
-    # a k-mer's hash, from its overlapping halves: only where it is a syncmer
+    return np.flatnonzero((inner[:n] == low) | (inner[width - 1:width - 1 + n] == low))
+
+
+def _kmers(codes: np.ndarray, k: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, position) of the k-mers of ``codes`` at ``at``."""
+    # a k-mer's hash, from its overlapping halves: only where it is asked for
     whole = gram_hash(codes.astype(np.uint64), k)[at]
     return (mix(whole, 2) >> np.uint64(32)).astype(np.uint32), at
 
@@ -81,7 +91,10 @@ def sketch(texts: list[str], k: int = K, s: int = S, m: int = ANCHORS) -> list[t
         begin = 0
         for i, c in todo:
             a, b = np.searchsorted(at, (begin, begin + len(c) - k + 1))
-            u, p = _smallest(h[a:b], at[a:b], m)
+            if a < b:
+                u, p = _smallest(h[a:b], at[a:b], m)
+            else:  # too short to be sure of a syncmer, and has none
+                u, p = _smallest(*_kmers(c, k, np.arange(len(c) - k + 1)), m)
             out[i] = u[np.argsort(p, kind="stable")]
             begin += len(c)
         todo.clear()

@@ -73,6 +73,18 @@ def test_sketch_is_the_smallest_syncmers_in_text_order():
             assert got.tolist() == want
 
 
+def test_short_texts_without_syncmers_differ():
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(n)) for n in range(16, 25) for _ in range(40)]
+    assert sum(not brute_anchors(t, 16, 6) for t in texts) > 50
+    got = syncmers.sketch(texts)
+    assert len({syncmers.to_text(a) for a in got} | {""}) == len(texts) + 1
+    none = [a for t, a in zip(texts, got, strict=True) if not brute_anchors(t, 16, 6)]
+    assert max(syncmers.likeness_of(a, b) for i, a in enumerate(none) for b in none[:i]) < 1
+    one = next(t for t in texts if len(t) == 20 and not brute_anchors(t, 16, 6))
+    assert all(len(a) for a in syncmers.sketch([one, one[:18], one[1:]]))
+
+
 def test_op1_matches_definition(spark, rows):
     got = by_id(queries.op1_syncmer_fingerprints(spark, SF))
     ids = [r[0] for r in rows]
