@@ -62,6 +62,17 @@ def same_row(a: DataFrame, b: DataFrame):
     return (a["rid"] == b["rid"]) & a["doc_id"].eqNullSafe(b["doc_id"])
 
 
+def one_each(docs: DataFrame, *keys) -> DataFrame:
+    """One row of those equal in ``keys``, the same in every run, with all
+    columns.  Rows are combined before the shuffle: a repeated one costs a row
+    per map task."""
+    order = F.xxhash64(*[docs[c] for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind])
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("__row"), order.alias("__order"),
+                       *[k.alias(f"__key{i}") for i, k in enumerate(keys)])
+    return rows.groupBy(*[f"__key{i}" for i in range(len(keys))]) \
+        .agg(F.min_by("__row", "__order").alias("__row")).select("__row.*")
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges`` (a, b: long): rows (node, root) for
     every node of an edge, ``root`` the smallest node reachable.

@@ -20,7 +20,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import lower_ascii, scratch_dir, stored
+from .base import lower_ascii, one_each, scratch_dir, stored
 
 #: A digest with over 1/HOT_SHARE of all rows is hot: at most HOT_SHARE such exist.
 HOT_SHARE = 1000
@@ -49,11 +49,14 @@ class DigestIndex:
             .bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.name))
 
 
+def digest(docs: DataFrame):
+    """SHA-256 of the text, A-Z lower-cased."""
+    return F.unhex(F.sha2(lower_ascii(F.coalesce(docs["text"], F.lit(""))), 256))
+
+
 def digests(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest) of every row: SHA-256 of the text, A-Z lower-cased."""
-    text = lower_ascii(F.coalesce(docs["text"], F.lit("")))
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"),
-                       F.unhex(F.sha2(text, 256)).alias("digest"))
+    """(doc_id, digest) of every row."""
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), digest(docs).alias("digest"))
 
 
 def group_digests(rows: DataFrame) -> DataFrame:
@@ -88,8 +91,12 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None, buckets: int
 
 
 def drop_exact_copies(docs: DataFrame, buckets: int = 64) -> DataFrame:
-    """The documents that stay, with all their columns (one row per kept id)."""
+    """The documents that stay, with all their columns (one row per digest)."""
     index = DigestIndex(docs.sparkSession, buckets=buckets)
-    index.ingest(group_digests(digests(docs)))
-    keep = index.table().select(F.col("keep_id").alias("__keep"))
-    return docs.join(keep, docs["doc_id"].cast("long").eqNullSafe(F.col("__keep")), "left_semi")
+    rows = stored(digests(docs).groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("n")), "digests")
+    index.ingest(rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.sum("n").alias("group_size")))
+    if not rows.filter("n > 1").isEmpty():
+        docs = one_each(docs, docs["doc_id"].cast("long"), digest(docs))
+    keep = index.table().select(F.col("keep_id").alias("__keep"), F.col("digest").alias("__digest"))
+    return docs.join(keep, (digest(docs) == F.col("__digest"))
+                     & docs["doc_id"].cast("long").eqNullSafe(F.col("__keep")), "left_semi")

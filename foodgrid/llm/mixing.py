@@ -31,11 +31,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import WORD_PATTERN, stored
+from .base import WORD_PATTERN, one_each, stored
 
 MAX_COPIES = 3
 WEIGHTS = (1, 2, 3)
 SALTS = 64              # at least
+DEALT = 1 << 10         # copies of one row made in a task, where rows were repeated
 CELL = 1 << 18          # documents of one size in a cell, if all had that size
 SIZE_BLOCK = 1024
 UNIT = 1 << 24          # fractions of a copy, as whole numbers: sums stay below 2**63 for 5e11 documents
@@ -163,13 +164,20 @@ def mix(docs: DataFrame) -> DataFrame:
 def repeat_by_mix(docs: DataFrame) -> DataFrame:
     """The documents, each repeated by its copies (0: gone), with their columns.
 
-    Rows equal in doc_id and text get the same number of copies, the least of theirs.
+    Rows equal in doc_id and text are one row, with the sum of their copies.
     """
+    copies = stored(mix(docs).groupBy(F.col("doc_id").alias("__id"), F.col("rid").alias("__rid")).agg(
+        F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows")), "copies")
+    repeated = not copies.filter("__rows > 1").isEmpty()
+    if repeated:
+        docs = one_each(docs, docs["doc_id"].cast("long"), F.coalesce(docs["text"], F.lit("")))
     row = F.xxhash64(docs["doc_id"].cast("long"), F.coalesce(docs["text"], F.lit("")))
-    copies = mix(docs).groupBy(F.col("doc_id").alias("__id"), F.col("rid").alias("__rid")) \
-        .agg(F.min("copies").cast("int").alias("__copies"))
     n = F.col("__copies")
-    return (docs.join(copies, (row == F.col("__rid")) & docs["doc_id"].cast("long").eqNullSafe(F.col("__id")))
-            .filter(n > 0)
-            .select(*[docs[c] for c in docs.columns],
-                    F.explode(F.sequence(F.lit(1), n)).alias("__copy")).drop("__copy"))
+    taken = docs.join(copies, (row == F.col("__rid")) & docs["doc_id"].cast("long").eqNullSafe(F.col("__id"))) \
+        .filter(n > 0).select(*[docs[c] for c in docs.columns], "__rid", "__copies")
+    if repeated:  # a row's copies may be very many: DEALT of them at a time
+        dealt = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / DEALT)))
+        taken = taken.withColumn("__part", dealt).repartition("__rid", "__part") \
+            .withColumn("__copies", F.least(F.lit(DEALT).cast("long"), n - F.col("__part") * DEALT)).drop("__part")
+    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), n))) \
+        .drop("__rid", "__copies", "__copy")

@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import components, same_row, stored, texts
+from .base import components, one_each, same_row, stored, texts
 from .repeats import row_blocks
 from .textarrays import gram_hash, mix, tidy, utf8, words
 
@@ -468,6 +468,11 @@ def verified_links(nodes: DataFrame, bands: DataFrame, percent: int) -> DataFram
 
 def groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """doc_id, rid, n_shingles, component_id, kept of every row."""
+    return grouped(docs, width, similarity).drop("group")
+
+
+def grouped(docs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """``groups`` with the ``group`` of every row, null where the set is empty."""
     percent = round(similarity * 100)
     rows = texts(docs)
     sketch = stored(sketches(rows, width), "sketch")
@@ -498,18 +503,25 @@ def groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFram
     named = of.join(found, "node", "left").withColumn("group", F.coalesce("root", "node"))
     least = named.groupBy("group").agg(F.min("doc_id").alias("component_id"))
     labels = named.select("doc_id", "rid", "group").distinct().join(least, "group")
-    labels = labels.select("doc_id", "rid", "component_id")
+    labels = labels.select("doc_id", "rid", "component_id", "group")
     base = sketch.select("doc_id", "rid", F.col("n").cast("long").alias("n_shingles"))
     out = base.join(labels, same_row(base, labels), "left")
     own = F.when(F.col("n_shingles") == 0, base["doc_id"]).otherwise(labels["component_id"])
     return out.select(base["doc_id"], base["rid"], "n_shingles", own.alias("component_id"),
-                      base["doc_id"].eqNullSafe(own).alias("kept"))
+                      base["doc_id"].eqNullSafe(own).alias("kept"), "group")
 
 
 def drop_near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The documents that stay, with all their columns: one of each group."""
-    keep = groups(docs, width, similarity).filter("kept").select(
-        F.col("doc_id").alias("__doc"), F.col("rid").alias("__rid")).distinct()
+    """The documents that stay, with all their columns: one row of each group,
+    and one of the rows without words that are equal in doc_id and text."""
+    kept = grouped(docs, width, similarity).filter("kept") \
+        .groupBy("group", "doc_id", "rid").agg(F.count(F.lit(1)).alias("n"))
+    alone = F.when(F.col("group").isNull(), F.col("rid")).alias("alone")
+    keep = stored(kept.groupBy("group", "doc_id", alone).agg(
+        F.min("rid").alias("__rid"), F.max("n").alias("__n")).withColumnRenamed("doc_id", "__doc")
+        .select("__doc", "__rid", "__n"), "keep")
+    if not keep.filter("__n > 1").isEmpty():
+        docs = one_each(docs, docs["doc_id"].cast("long"), F.coalesce(docs["text"], F.lit("")))
     rid = F.xxhash64(docs["doc_id"].cast("long"), F.coalesce(docs["text"], F.lit("")))
     return docs.join(keep, (rid == F.col("__rid")) & docs["doc_id"].cast("long").eqNullSafe(F.col("__doc")),
                      "left_semi")

@@ -59,6 +59,33 @@ def test_pipeline_stage_by_stage(spark, docs):
         assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_repeated_rows_are_one(spark):
+    hot = [(7, "the same row again and again and again", "a")] * 300
+    rest = [(i, " ".join(f"w{i * 50 + k}" for k in range(5 + i % 9)), "ab"[i % 2]) for i in range(100, 400)]
+    odd = [(1, "a text that is copied", "a"), (2, "A text that is copied", "a"), (2, "its own other text", "b"),
+           (None, "no id", "b"), (None, "no id", "b")]
+    df = spark.createDataFrame(hot + rest + odd, "doc_id long, text string, source string").repartition(5)
+    stages = dict(corpus_pipeline.STAGES)
+    got = [tuple(r) for r in stages["exact_dedup"](spark, df, SF).collect()]
+    want = [hot[0], *rest, *odd[1:4]]
+    assert Counter(got) == Counter(want)
+    # two texts of one doc_id (and of one group) are one row as well
+    near = " ".join(f"n{i}" for i in range(60))
+    close = spark.createDataFrame([(3, near, "a"), (3, near + " end", "b"), (4, near + " e", "a")], df.schema)
+    got = [tuple(r) for r in stages["near_dedup"](spark, df.unionByName(close), SF).collect()]
+    count = Counter(r[0] for r in got)
+    assert (count[7], count[3], count[4], count[1], count[2], count[None]) == (1, 1, 0, 1, 1, 1)
+    assert len(got) == len(rest) + 5
+    # nothing vanishes in the mix, and each source meets its target
+    mixed = [tuple(r) for r in stages["mixing"](spark, df, SF).collect()]
+    assert set(mixed) <= {*hot, *rest, *odd}
+    per = defaultdict(int)
+    for _, t, s in [*hot, *rest, *odd]:
+        per[s] += len(WORDS.findall(t))
+    for s, t in zip("ab", mixing.share_targets(sorted(per.items())), strict=True):
+        assert abs(sum(len(WORDS.findall(r[1])) for r in mixed if r[2] == s) - t) <= 2 * 13
+
+
 @pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
 def test_stages_take_odd_and_empty_tables(spark, odd, none, name):
     stage = dict(corpus_pipeline.STAGES)[name]
