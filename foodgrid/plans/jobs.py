@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import marts, quality, staging
 from ..sinks import writers
-from ..sources import files
+from ..sources import files, search
 from . import pipeline
 
 
@@ -26,13 +26,18 @@ def _is_path(raw: str) -> bool:
 
 
 def ingest(spark: SparkSession, landing_dir: str, cities_csv: str, raw: str,
-           gazetteer_path: str | None = None, counts: str | None = None) -> None:
+           gazetteer_path: str | None = None, counts: str | None = None,
+           terms: list[str] | None = None) -> None:
     """Clean every landing file in one scan and append to the raw table.
 
     ``raw`` is a path or a catalog table name, partitioned by feed.  The
-    required columns are checked inside the write.  With ``counts``, a path, the load counts of every (term, location)
-    with the running total are written there as a table; that is a second
-    pass over the landing data, so it is off by default.
+    required columns are checked inside the write.  With ``counts``, a path,
+    the load counts of every (term, location) with the running total are
+    written there as a table; that is a second pass over the landing data, so
+    it is off by default.  ``terms`` are the terms the run searched, in run
+    order: every one of them counts at every location of the list, 0 where
+    nothing landed.  Without them only pairs with a landed row are known, and
+    the total goes by term name.
     """
     cities = files.read_city_locations(spark, cities_csv, position=False)
     gaz = spark.read.parquet(gazetteer_path) if gazetteer_path else None
@@ -44,7 +49,10 @@ def ingest(spark: SparkSession, landing_dir: str, cities_csv: str, raw: str,
         writers.append_raw_table(rows, raw)
     if counts:
         pairs = hits.select("term", "location_index")
-        writers.materialize(quality.load_counts(rows, pairs=pairs), counts)
+        if terms:
+            plan = search.request_pairs(files.read_city_locations(spark, cities_csv), terms)
+            pairs = plan.unionByName(pairs)
+        writers.materialize(quality.load_counts(rows, terms, pairs=pairs), counts)
 
 
 def model(spark: SparkSession, raw: str, cities_csv: str, counties_csv: str,
@@ -101,7 +109,7 @@ def main(argv=None) -> None:
     spark = build_session("foodgrid-" + args.cmd)
     if args.cmd == "ingest":
         ingest(spark, args.landing_dir, args.cities_csv, args.raw, args.gazetteer,
-               args.counts)
+               args.counts, search.SEARCH_TERMS)
     else:
         print(model(spark, args.raw, args.cities_csv, args.counties_csv, args.out_dir,
                     args.dev_limit))

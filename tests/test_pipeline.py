@@ -219,6 +219,27 @@ def test_jobs_ingest_and_model(spark, tmp):
     assert spark.read.option("header", True).csv(os.path.join(tmp, "lake", "city_locations")).count() == 5
 
 
+def test_ingest_counts_pairs_that_landed_nothing(spark, tmp, monkeypatch):
+    from foodgrid import session
+    from foodgrid.plans import jobs
+    from foodgrid.sources import search
+    land, cities = landing(tmp), FX.write(tmp, "cities.csv", FX.CITY_CSV)
+    raw, path = os.path.join(tmp, "raw"), os.path.join(tmp, "counts")
+    monkeypatch.setattr(session, "build_session", lambda *_: spark)
+    jobs.main(["ingest", land, cities, raw, "--counts", path])
+    got = {(r["term"], r["location_index"]): (r["row_count"], r["total_rows"])
+           for r in spark.read.parquet(path).collect()}
+    assert set(got) == {(t, i) for t in search.SEARCH_TERMS for i in range(5)}
+    total = files.read_raw(spark, raw).count()
+    assert got["Bakeries", 1] == (0, total)
+    running = 0
+    for t in search.SEARCH_TERMS:
+        for i in range(5):
+            running += got[t, i][0]
+            assert got[t, i][1] == running
+    assert running == total
+
+
 def test_older_relational_path(spark, world):
     """Raw 15-column rows with JSON text -> path-backed table -> older clean
     (state + zip prefix, no ethnic column) -> insert-if-absent twice."""
