@@ -57,6 +57,15 @@ def texts(docs: DataFrame) -> DataFrame:
                        F.xxhash64(docs["doc_id"].cast("long"), text).alias("rid"))
 
 
+def unused(docs: DataFrame, *stems: str) -> list[str]:
+    """Column names that begin with ``stems`` and that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for stem in stems:
+        out.append(next(n for n in (stem + "_" * i for i in range(len(taken) + 1)) if n.lower() not in taken))
+    return out
+
+
 def same_row(a: DataFrame, b: DataFrame):
     """Join condition on row identity (doc_id may be null)."""
     return (a["rid"] == b["rid"]) & a["doc_id"].eqNullSafe(b["doc_id"])

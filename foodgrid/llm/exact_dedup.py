@@ -20,7 +20,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import lower_ascii, one_each, scratch_dir, stored
+from .base import lower_ascii, one_each, scratch_dir, stored, unused
 
 #: A digest with over 1/HOT_SHARE of all rows is hot: at most HOT_SHARE such exist.
 HOT_SHARE = 1000
@@ -97,6 +97,7 @@ def drop_exact_copies(docs: DataFrame, buckets: int = 64) -> DataFrame:
     index.ingest(rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.sum("n").alias("group_size")))
     if not rows.filter("n > 1").isEmpty():
         docs = one_each(docs, docs["doc_id"].cast("long"), digest(docs))
-    keep = index.table().select(F.col("keep_id").alias("__keep"), F.col("digest").alias("__digest"))
-    return docs.join(keep, (digest(docs) == F.col("__digest"))
-                     & docs["doc_id"].cast("long").eqNullSafe(F.col("__keep")), "left_semi")
+    kept, of = unused(docs, "kept_id", "kept_digest")
+    keep = index.table().select(F.col("keep_id").alias(kept), F.col("digest").alias(of))
+    return docs.join(keep, (digest(docs) == F.col(of))
+                     & docs["doc_id"].cast("long").eqNullSafe(F.col(kept)), "left_semi")

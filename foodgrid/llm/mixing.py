@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import WORD_PATTERN, one_each, stored
+from .base import WORD_PATTERN, one_each, stored, unused
 
 MAX_COPIES = 3
 WEIGHTS = (1, 2, 3)
@@ -166,18 +166,18 @@ def repeat_by_mix(docs: DataFrame) -> DataFrame:
 
     Rows equal in doc_id and text are one row, with the sum of their copies.
     """
-    copies = stored(mix(docs).groupBy(F.col("doc_id").alias("__id"), F.col("rid").alias("__rid")).agg(
-        F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows")), "copies")
-    repeated = not copies.filter("__rows > 1").isEmpty()
+    at, of, times, rows, part, copy = unused(docs, "mix_id", "mix_rid", "mix_copies", "mix_rows", "mix_part", "mix_copy")
+    copies = stored(mix(docs).groupBy(F.col("doc_id").alias(at), F.col("rid").alias(of)).agg(
+        F.sum("copies").alias(times), F.count(F.lit(1)).alias(rows)), "copies")
+    repeated = not copies.filter(F.col(rows) > 1).isEmpty()
     if repeated:
         docs = one_each(docs, docs["doc_id"].cast("long"), F.coalesce(docs["text"], F.lit("")))
     row = F.xxhash64(docs["doc_id"].cast("long"), F.coalesce(docs["text"], F.lit("")))
-    n = F.col("__copies")
-    taken = docs.join(copies, (row == F.col("__rid")) & docs["doc_id"].cast("long").eqNullSafe(F.col("__id"))) \
-        .filter(n > 0).select(*[docs[c] for c in docs.columns], "__rid", "__copies")
+    n = F.col(times)
+    taken = docs.join(copies, (row == F.col(of)) & docs["doc_id"].cast("long").eqNullSafe(F.col(at))) \
+        .filter(n > 0).select(*[docs[c] for c in docs.columns], of, times)
     if repeated:  # a row's copies may be very many: DEALT of them at a time
         dealt = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / DEALT)))
-        taken = taken.withColumn("__part", dealt).repartition("__rid", "__part") \
-            .withColumn("__copies", F.least(F.lit(DEALT).cast("long"), n - F.col("__part") * DEALT)).drop("__part")
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), n))) \
-        .drop("__rid", "__copies", "__copy")
+        taken = taken.withColumn(part, dealt).repartition(of, part) \
+            .withColumn(times, F.least(F.lit(DEALT).cast("long"), n - F.col(part) * DEALT)).drop(part)
+    return taken.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), n))).drop(of, times, copy)

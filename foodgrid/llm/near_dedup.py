@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import components, one_each, same_row, stored, texts
+from .base import components, one_each, same_row, stored, texts, unused
 from .repeats import row_blocks
 from .textarrays import gram_hash, mix, tidy, utf8, words
 
@@ -523,5 +523,6 @@ def drop_near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8) -
     if not keep.filter("__n > 1").isEmpty():
         docs = one_each(docs, docs["doc_id"].cast("long"), F.coalesce(docs["text"], F.lit("")))
     rid = F.xxhash64(docs["doc_id"].cast("long"), F.coalesce(docs["text"], F.lit("")))
-    return docs.join(keep, (rid == F.col("__rid")) & docs["doc_id"].cast("long").eqNullSafe(F.col("__doc")),
-                     "left_semi")
+    kept, of = unused(docs, "kept_id", "kept_rid")
+    keep = keep.select(F.col("__doc").alias(kept), F.col("__rid").alias(of))
+    return docs.join(keep, (rid == F.col(of)) & docs["doc_id"].cast("long").eqNullSafe(F.col(kept)), "left_semi")

@@ -92,3 +92,16 @@ def test_stages_take_odd_and_empty_tables(spark, odd, none, name):
     got = stage(spark, odd, SF).collect()
     assert {r["doc_id"] for r in got} <= {r[0] for r in ODD}
     assert stage(spark, none, SF).collect() == []
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES[:-1]])
+def test_stages_keep_columns_with_internal_names(spark, odd, name):
+    own = ["__rid", "__copies", "__keep", "__digest", "__part", "__copy", "__doc", "__n", "__row", "__order",
+           "__id", "__key0", "kept_id", "kept_digest", "KEPT_RID", "mix_rid", "mix_copies", "node", "root", "group"]
+    more = odd.selectExpr("*", *[f"concat('{c}', doc_id) as `{c}`" for c in own])
+    stage = dict(corpus_pipeline.STAGES)[name]
+    got, plain = stage(spark, more, SF), stage(spark, odd, SF)
+    assert got.columns == more.columns
+    assert Counter(got.select(odd.columns).collect()) == Counter(plain.collect())
+    for r in got.collect():
+        assert all(r[c] == (None if r["doc_id"] is None else f"{c}{r['doc_id']}") for c in own)
