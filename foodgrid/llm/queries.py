@@ -1,5 +1,5 @@
 """The registered queries of the corpus operators: ``opN_<name>``, each over
-the whole ``documents`` table with production parameters."""
+the whole ``documents`` (op11: ``pages``) table with production parameters."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (byte_bpe, exact_dedup, mixing, near_dedup, packed_ids, sharding, subtree_dedup, suffix_dedup,
-               syncmers, toxicity)
+from . import (byte_bpe, exact_dedup, fill_in_middle, mixing, near_dedup, packed_ids, sharding, source_divergence,
+               subtree_dedup, suffix_dedup, syncmers, toxicity, url_rules)
 from .base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +80,18 @@ def op9_mixing(spark, d):
 @query
 def op10_minhash_bayes(spark, d):
     return near_dedup.groups(table(spark, d, "documents"), width=2, similarity=0.8).drop("rid")
+
+
+@query
+def op11_url_rules(spark, d):
+    return url_rules.judge(table(spark, d, "pages"), url_rules.rule_table(spark, url_rules.RULES))
+
+
+@query
+def op12_fill_in_middle(spark, d):
+    return fill_in_middle.digests(table(spark, d, "documents"))
+
+
+@query
+def op13_source_divergence(spark, d):
+    return source_divergence.audit(table(spark, d, "documents"))
