@@ -14,9 +14,10 @@ in whole numbers.  Pairs of sources are compared sparsely: per pair the terms
 that neither has add V * |p0 - q0|, and blocks of at most ``BLOCK`` by ``BLOCK``
 sources and ``TERMS`` terms correct that for the terms that one of them has.
 
-Vocabularies are fitted in slices of the tokens by hash, each of about
-``SLICE_TERMS`` distinct tokens at most by an approximate count over all
-documents, since a fitted vocabulary passes the driver and is broadcast.
+Vocabularies are fitted in slices of the tokens by hash, of about
+``SLICE_TERMS`` kept terms at most, since a fitted vocabulary passes the driver
+and is broadcast.  How many slices that takes is told by one in ``SAMPLED`` of the
+terms, followed through all documents; the slices change no result.
 
 Defined cases: null text, lang and source are empty texts; a group without
 kept terms takes part with p of count 0 everywhere; a language without kept terms
@@ -30,17 +31,20 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import lower_ascii, scratch_dir, stored
+from .base import scratch_dir, stored
+from .textarrays import BYTE_CODE, blocks, mix, tidy, utf8
 
-TERM_PATTERN = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_DOCS, TOP = 30, 50
 SCALE, SMOOTH = 1_000_000_000, 5
 ALL_TERMS = 2**31 - 1          # vocabSize: no term is cut
-SLICE_TERMS = 2_000_000
+SLICE_TERMS, SAMPLED = 1_000_000, 1024
+LIMIT = 4 << 20                # bytes of text cut into terms at once
+HELD = 1 << 20                 # sums held in a task
 BLOCK, TERMS = 64, 512
 CHUNK = 64                     # terms compared at once in a block
 #: Between language and term: no term has it, so the last one splits a token.
@@ -48,12 +52,63 @@ SEP = "\u0000"
 PARTIALS = "lang string, sid long, other long, value long"
 
 
+TERM_BYTE = np.zeros(256, bool)   # letters, and all bytes of code points above 127
+TERM_BYTE[65:91] = TERM_BYTE[97:123] = TERM_BYTE[128:] = True
+
+
+def tokens_of(data: np.ndarray, bounds: np.ndarray, prefixes: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The tokens of each text, as lists, and which of all tokens belong to the
+    sampled terms.  ``prefixes``: what stands before each text's terms."""
+    solid = np.zeros(len(data) + 1, bool)
+    solid[:-1] = TERM_BYTE[data]
+    first = np.zeros(len(data) + 1, bool)
+    first[0], first[1:] = True, ~solid[:-1]
+    first[bounds] = True
+    first &= solid
+    starts = np.flatnonzero(first)
+    kept = data[solid[:-1]]
+    kept = kept + np.uint8(32) * ((kept >= 65) & (kept <= 90))
+    at = np.concatenate([np.cumsum(solid[:-1], dtype=np.int64)[starts] - 1, [len(kept)]])   # of terms in kept
+    rows = np.searchsorted(starts, bounds)
+    which: dict[bytes, int] = {}
+    kind = np.repeat([which.setdefault(p, len(which)) for p in prefixes], np.diff(rows)).astype(np.int64)
+    ahead = np.array([len(p) for p in which], np.int64)[kind] if len(kind) else kind
+    offsets = np.concatenate([[0], np.cumsum(np.diff(at) + ahead)])
+    out = np.empty(offsets[-1], np.uint8)
+    for i, j in blocks(at, LIMIT):
+        out[np.arange(at[i], at[j]) + np.repeat(offsets[i:j] + ahead[i:j] - at[i:j], np.diff(at[i:j + 1]))] = \
+            kept[at[i]:at[j]]
+    for prefix, k in which.items():
+        begin = offsets[:-1][kind == k]
+        for i, byte in enumerate(prefix):
+            out[begin + i] = byte
+    sampled = np.zeros(0, bool)
+    if len(starts):
+        sampled = mix(np.add.reduceat(BYTE_CODE[kept], at[:-1])) % np.uint64(SAMPLED) == 0
+    tokens = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(out)).cast(pa.string())
+    return pa.ListArray.from_arrays(pa.array(rows, pa.int32()), tokens), sampled
+
+
 def term_rows(docs: DataFrame) -> DataFrame:
-    """(lang, source, tokens) of every row; a token is its language, ``SEP`` and the term."""
-    text, lang, source = (F.coalesce(docs[c].cast("string"), F.lit("")) for c in ("text", "lang", "source"))
-    terms = F.regexp_extract_all(lower_ascii(text), F.lit(TERM_PATTERN), F.lit(0))
-    return docs.select(lang.alias("lang"), source.alias("source"),
-                       F.transform(terms, lambda t: F.concat(lang, F.lit(SEP), t)).alias("tokens"))
+    """(lang, source, tokens, some) of every row; a token is its language,
+    ``SEP`` and the term, ``some`` has those of the sampled terms."""
+    text, lang, source = (F.coalesce(docs[c].cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source"))
+
+    def run(batches):
+        for b in batches:
+            data, bounds = utf8(b["text"])
+            prefixes = [(x + SEP).encode() for x in b["lang"].to_pylist()]
+            for i, j in blocks(bounds, LIMIT):
+                tokens, sampled = tokens_of(data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i], prefixes[i:j])
+                at = tokens.offsets.to_numpy()
+                some = pa.ListArray.from_arrays(
+                    pa.array(np.concatenate([[0], np.cumsum(sampled)])[at], pa.int32()),
+                    tokens.values.filter(pa.array(sampled)))
+                yield pa.RecordBatch.from_arrays([b["lang"].slice(i, j - i), b["source"].slice(i, j - i), tokens, some],
+                                                 ["lang", "source", "tokens", "some"])
+
+    return docs.select(text, lang, source).mapInArrow(
+        tidy(run), "lang string, source string, tokens array<string>, some array<string>")
 
 
 def fit(rows: DataFrame, min_docs: int) -> tuple[CountVectorizerModel, DataFrame]:
@@ -75,15 +130,47 @@ def fit(rows: DataFrame, min_docs: int) -> tuple[CountVectorizerModel, DataFrame
     return model, words.select(F.col("idx").cast("long").alias("idx"), lang.alias("lang"), term.alias("term"))
 
 
+def summed(batches):
+    """Sums (lang, source, idx, count) of sparse vectors (lang, source, idx
+    array, n array), combined over a task's batches while they are few."""
+    group: dict[tuple, int] = {}
+    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def out():
+        names = list(group)
+        of, idx = keys >> 32, keys & 0xFFFFFFFF
+        for x in range(0, len(keys), 1 << 17):
+            part = slice(x, x + (1 << 17))
+            who = of[part].tolist()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([names[i][0] for i in who], pa.string()), pa.array([names[i][1] for i in who], pa.string()),
+                 pa.array(idx[part]), pa.array(counts[part])], ["lang", "source", "idx", "count"])
+
+    for b in batches:
+        of = np.array([group.setdefault(x, len(group)) for x in
+                       zip(b["lang"].to_pylist(), b["source"].to_pylist(), strict=True)], np.int64)
+        size = np.diff(b["idx"].offsets.to_numpy())
+        idx = b["idx"].flatten().to_numpy().astype(np.int64)
+        new = (np.repeat(of, size) << 32) | idx
+        n = b["n"].flatten().to_numpy().astype(np.int64)
+        keys, at = np.unique(np.concatenate([keys, new]), return_inverse=True)
+        sums = np.zeros(len(keys), np.int64)
+        np.add.at(sums, at, np.concatenate([counts, n]))
+        counts = sums
+        if len(keys) > HELD:
+            yield from out()
+            group.clear()
+            keys, counts = keys[:0], counts[:0]
+    yield from out()
+
+
 def slice_counts(rows: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame]:
     """Counts (lang, source, idx, count) and vocabulary (idx, lang, term) of one slice."""
     model, words = fit(rows, min_docs)
     vector = F.unwrap_udt("vector")
-    entries = model.transform(rows).select(
-        "lang", "source", F.arrays_zip(vector["indices"].alias("idx"), vector["values"].alias("n")).alias("v"))
-    counts = entries.select("lang", "source", F.explode("v").alias("v")).groupBy("lang", "source", "v.idx") \
-        .agg(F.sum(F.col("v.n").cast("long")).alias("count"))
-    return counts.withColumn("idx", F.col("idx").cast("long")), words
+    counts = model.transform(rows).select("lang", "source", vector["indices"].alias("idx"), vector["values"].alias("n")) \
+        .mapInArrow(tidy(summed), "lang string, source string, idx long, count long")
+    return counts.groupBy("lang", "source", "idx").agg(F.sum("count").alias("count")), words
 
 
 def counted(docs: DataFrame, min_docs: int = MIN_DOCS, slices: int | None = None) -> tuple[DataFrame, ...]:
@@ -94,8 +181,9 @@ def counted(docs: DataFrame, min_docs: int = MIN_DOCS, slices: int | None = None
     if most > ALL_TERMS:
         raise OverflowError("CountVectorizer counts at most 2**31 - 1 documents of a language")
     if slices is None:
-        seen = rows.select(F.explode("tokens").alias("t")).agg(F.approx_count_distinct("t")).first()[0]
-        slices = max(1, -(-seen // SLICE_TERMS))
+        some = rows.select(F.explode(F.array_distinct("some")).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n"))
+        slices = 1 + some.filter(F.col("n") >= min_docs).count() * SAMPLED // SLICE_TERMS
+    rows = rows.drop("some")
     counts = words = None
     for i in range(slices):
         part = rows if slices == 1 else rows.withColumn(

@@ -197,10 +197,20 @@ def as_docs(spark, rows):
 def test_divergence_matches_its_definition(spark, sources, monkeypatch, slices):
     monkeypatch.setattr(div, "BLOCK", 2)
     monkeypatch.setattr(div, "TERMS", 5)
+    monkeypatch.setattr(div, "LIMIT", 40)
     got = div.audit(as_docs(spark, sources), min_docs=3, top=4, slices=slices).collect()
     assert sorted(map(tuple, got)) == divergence(sources, 3, 4)
 
 
+def test_tokens_of_a_block(monkeypatch):
+    monkeypatch.setattr(div, "LIMIT", 5)
+    texts = ["Ab c", "", "..", "é漢x_y", "A", "[a]{b}\x7f", "x" * 30]
+    data, bounds = utf8(pa.array(texts))
+    got, sampled = div.tokens_of(data, bounds, [b"en\0", b"", b"q\0", b"en\0", b"", b"\0", "é\0".encode()])
+    want = [["en\0ab", "en\0c"], [], [], ["en\0é漢x", "en\0y"], ["a"], ["\0a", "\0b"], ["é\0" + "x" * 30]]
+    assert got.to_pylist() == want and len(sampled) == 8
+
+
 def test_divergence_without_kept_terms_or_rows(spark, none):
     few = [("a b", "en", "x"), ("c", "en", "y"), (None, "en", None)]
     got = sorted(map(tuple, div.audit(as_docs(spark, few)).collect()))
