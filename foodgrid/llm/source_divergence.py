@@ -14,6 +14,9 @@ in whole numbers.  Pairs of sources are compared sparsely: per pair the terms
 that neither has add V * |p0 - q0|, and blocks of at most ``BLOCK`` by ``BLOCK``
 sources and ``TERMS`` terms correct that for the terms that one of them has.
 
+What a vocabulary needs of the documents is prepared in arrays: each task
+lists its tokens as often as documents have them, up to ``MIN_DOCS``
+(:func:`supports`), which leaves every minDF decision as it is.
 Vocabularies are fitted in slices of the tokens by hash, of about
 ``SLICE_TERMS`` kept terms at most, since a fitted vocabulary passes the driver
 and is broadcast.  How many slices that takes is told by one in ``SAMPLED`` of the
@@ -23,8 +26,7 @@ Defined cases: null text, lang and source are empty texts; a group without
 kept terms takes part with p of count 0 everywhere; a language without kept terms
 gives its pairs with value 0 and no term rows; a single source gives no pairs;
 repeated rows are documents of their own; an empty table gives no rows; other
-columns are ignored.  A language may have 2**31 - 1 documents, since
-CountVectorizer counts documents in 32 bits; beyond that the run fails.
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -44,7 +46,8 @@ SCALE, SMOOTH = 1_000_000_000, 5
 ALL_TERMS = 2**31 - 1          # vocabSize: no term is cut
 SLICE_TERMS, SAMPLED = 1_000_000, 1024
 LIMIT = 4 << 20                # bytes of text cut into terms at once
-HELD = 1 << 20                 # sums held in a task
+HELD = 1 << 20                 # tokens or sums held in a task
+ROW = 1 << 15                  # tokens in a row for the vocabulary
 BLOCK, TERMS = 64, 512
 CHUNK = 64                     # terms compared at once in a block
 #: Between language and term: no term has it, so the last one splits a token.
@@ -89,33 +92,75 @@ def tokens_of(data: np.ndarray, bounds: np.ndarray, prefixes: list[bytes]) -> tu
     return pa.ListArray.from_arrays(pa.array(rows, pa.int32()), tokens), sampled
 
 
+def token_batches(batches):
+    """(batch, tokens, sampled) of bounded pieces of (text, lang, ...) batches."""
+    for b in batches:
+        data, bounds = utf8(b["text"])
+        prefixes = [(x + SEP).encode() for x in b["lang"].to_pylist()]
+        for i, j in blocks(bounds, LIMIT):
+            yield b.slice(i, j - i), *tokens_of(data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i], prefixes[i:j])
+
+
+def _input(docs: DataFrame) -> DataFrame:
+    return docs.select(*[F.coalesce(docs[c].cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
+
+
 def term_rows(docs: DataFrame) -> DataFrame:
-    """(lang, source, tokens, some) of every row; a token is its language,
-    ``SEP`` and the term, ``some`` has those of the sampled terms."""
-    text, lang, source = (F.coalesce(docs[c].cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source"))
+    """(lang, source, tokens) of every row; a token is its language, ``SEP`` and the term."""
+
+    def run(batches):
+        for b, tokens, _ in token_batches(batches):
+            yield pa.RecordBatch.from_arrays([b["lang"], b["source"], tokens], ["lang", "source", "tokens"])
+
+    return _input(docs).mapInArrow(tidy(run), "lang string, source string, tokens array<string>")
+
+
+def supports(docs: DataFrame, min_docs: int) -> DataFrame:
+    """(tokens, some): rows for the vocabulary alone.  A task counts in how many
+    of its documents each token is, and puts the token into as many rows, but
+    not over ``min_docs``: a token is in ``min_docs`` documents exactly if it is
+    in ``min_docs`` of these rows.  ``some`` are a row's tokens of sampled terms."""
 
     def run(batches):
-        for b in batches:
-            data, bounds = utf8(b["text"])
-            prefixes = [(x + SEP).encode() for x in b["lang"].to_pylist()]
-            for i, j in blocks(bounds, LIMIT):
-                tokens, sampled = tokens_of(data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i], prefixes[i:j])
-                at = tokens.offsets.to_numpy()
-                some = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([[0], np.cumsum(sampled)])[at], pa.int32()),
-                    tokens.values.filter(pa.array(sampled)))
-                yield pa.RecordBatch.from_arrays([b["lang"].slice(i, j - i), b["source"].slice(i, j - i), tokens, some],
-                                                 ["lang", "source", "tokens", "some"])
-
-    return docs.select(text, lang, source).mapInArrow(
-        tidy(run), "lang string, source string, tokens array<string>, some array<string>")
+        held, size = [], 0
+
+        def out():
+            t = pa.concat_tables(held).group_by("t").aggregate([("n", "sum"), ("some", "max")])
+            n, some = t["n_sum"].to_numpy(), t["some_max"].to_numpy(zero_copy_only=False)
+            terms = t["t"].combine_chunks()
+            for k in range(1, min_docs + 1):
+                at = np.flatnonzero(n >= k)
+                for x in range(0, len(at), ROW):
+                    part = at[x:x + ROW]
+                    rows = [terms.take(pa.array(p)) for p in (part, part[some[part]])]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.ListArray.from_arrays(pa.array([0, len(r)], pa.int32()), r) for r in rows], ["tokens", "some"])
+
+        for _, tokens, sampled in token_batches(batches):
+            coded = tokens.flatten().dictionary_encode()
+            code, terms = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+            if not len(terms):
+                continue
+            row = np.repeat(np.arange(len(tokens)), np.diff(tokens.offsets.to_numpy()))
+            own = np.unique(row * len(terms) + code) % len(terms)
+            flag = np.zeros(len(terms), bool)
+            flag[code[sampled]] = True
+            held.append(pa.table({"t": terms, "n": np.bincount(own, minlength=len(terms)), "some": flag}))
+            size += len(terms)
+            if size > HELD:
+                yield from out()
+                held, size = [], 0
+        if held:
+            yield from out()
+
+    return _input(docs).mapInArrow(tidy(run), "tokens array<string>, some array<string>")
 
 
 def fit(rows: DataFrame, min_docs: int) -> tuple[CountVectorizerModel, DataFrame]:
     """The model of the tokens in at least ``min_docs`` rows, and its vocabulary (idx, lang, term).
 
     ``min_docs`` rows of a token of its own keep an empty vocabulary from
-    failing; no row of the table has it (a token has ``SEP`` in it), and it is left out again.
+    failing; no text has it (a token has ``SEP`` in it), and it is left out again.
     """
     spark = rows.sparkSession
     own = spark.range(min_docs).select(F.array(F.lit("own")).alias("tokens"))
@@ -137,14 +182,14 @@ def summed(batches):
     keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def out():
-        names = list(group)
+        lang, source = (pa.array([g[i] for g in group], pa.string()) for i in (0, 1))
         of, idx = keys >> 32, keys & 0xFFFFFFFF
         for x in range(0, len(keys), 1 << 17):
             part = slice(x, x + (1 << 17))
-            who = of[part].tolist()
+            who = pa.array(of[part])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([names[i][0] for i in who], pa.string()), pa.array([names[i][1] for i in who], pa.string()),
-                 pa.array(idx[part]), pa.array(counts[part])], ["lang", "source", "idx", "count"])
+                [lang.take(who), source.take(who), pa.array(idx[part]), pa.array(counts[part])],
+                ["lang", "source", "idx", "count"])
 
     for b in batches:
         of = np.array([group.setdefault(x, len(group)) for x in
@@ -164,34 +209,32 @@ def summed(batches):
     yield from out()
 
 
-def slice_counts(rows: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame]:
-    """Counts (lang, source, idx, count) and vocabulary (idx, lang, term) of one slice."""
-    model, words = fit(rows, min_docs)
+def slice_counts(rows: DataFrame, model: CountVectorizerModel) -> DataFrame:
+    """(lang, source, idx, count): the summed vectors of the documents."""
     vector = F.unwrap_udt("vector")
-    counts = model.transform(rows).select("lang", "source", vector["indices"].alias("idx"), vector["values"].alias("n")) \
-        .mapInArrow(tidy(summed), "lang string, source string, idx long, count long")
-    return counts.groupBy("lang", "source", "idx").agg(F.sum("count").alias("count")), words
+    return model.transform(rows) \
+        .select("lang", "source", vector["indices"].alias("idx"), vector["values"].alias("n")) \
+        .mapInArrow(tidy(summed), "lang string, source string, idx long, count long") \
+        .groupBy("lang", "source", "idx").agg(F.sum("count").alias("count"))
 
 
 def counted(docs: DataFrame, min_docs: int = MIN_DOCS, slices: int | None = None) -> tuple[DataFrame, ...]:
     """(counts, vocabulary, groups): counts (lang, source, idx, count), (idx, lang, term) and the
     occurring (lang, source)."""
-    rows = stored(term_rows(docs), "terms")
-    most = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    if most > ALL_TERMS:
-        raise OverflowError("CountVectorizer counts at most 2**31 - 1 documents of a language")
+    seen = stored(supports(docs, min_docs), "supports")
     if slices is None:
-        some = rows.select(F.explode(F.array_distinct("some")).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n"))
+        some = seen.select(F.explode("some").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n"))
         slices = 1 + some.filter(F.col("n") >= min_docs).count() * SAMPLED // SLICE_TERMS
-    rows = rows.drop("some")
+    rows = term_rows(docs)
     counts = words = None
     for i in range(slices):
-        part = rows if slices == 1 else rows.withColumn(
-            "tokens", F.expr(f"filter(tokens, t -> pmod(xxhash64(t), {slices}) = {i})"))
+        own = F.expr("tokens" if slices == 1 else f"filter(tokens, t -> pmod(xxhash64(t), {slices}) = {i})")
+        model, w = fit(seen.withColumn("tokens", own), min_docs)
+        c = slice_counts(rows.withColumn("tokens", own), model)
         number = F.col("idx") * slices + i      # none twice
-        c, w = (stored(x.withColumn("idx", number), "slice") for x in slice_counts(part, min_docs))
+        c, w = (stored(x.withColumn("idx", number), "slice") for x in (c, w))
         counts, words = (c, w) if counts is None else (counts.unionByName(c), words.unionByName(w))
-    return counts, words, rows.select("lang", "source").distinct()
+    return counts, words, _input(docs).select("lang", "source").distinct()
 
 
 def _share(count: str, n: str = "n", v: str = "v") -> Column:
