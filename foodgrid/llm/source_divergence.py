@@ -57,52 +57,60 @@ PARTIALS = "lang string, sid long, other long, value long"
 
 TERM_BYTE = np.zeros(256, bool)   # letters, and all bytes of code points above 127
 TERM_BYTE[65:91] = TERM_BYTE[97:123] = TERM_BYTE[128:] = True
-
-
-def tokens_of(data: np.ndarray, bounds: np.ndarray, prefixes: list[bytes]) -> tuple[pa.Array, np.ndarray]:
-    """The tokens of each text, as lists, and which of all tokens belong to the
-    sampled terms.  ``prefixes``: what stands before each text's terms."""
-    solid = np.zeros(len(data) + 1, bool)
-    solid[:-1] = TERM_BYTE[data]
-    first = np.zeros(len(data) + 1, bool)
-    first[0], first[1:] = True, ~solid[:-1]
-    first[bounds] = True
-    first &= solid
-    starts = np.flatnonzero(first)
-    kept = data[solid[:-1]]
-    kept = kept + np.uint8(32) * ((kept >= 65) & (kept <= 90))
-    at = np.concatenate([np.cumsum(solid[:-1], dtype=np.int64)[starts] - 1, [len(kept)]])   # of terms in kept
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+#: Closes every text of a batch, so that no term crosses texts.
+END = "\n"
+
+
+def tokens_of(data: np.ndarray, bounds: np.ndarray, prefixes: list[bytes],
+              sample: bool = False) -> tuple[pa.Array, np.ndarray]:
+    """The tokens of each text (closed by ``END``), as lists, and which of all
+    tokens belong to the sampled terms.  ``prefixes``: what stands before each text's terms."""
+    solid = TERM_BYTE[data]
+    turns = np.flatnonzero(solid[1:] != solid[:-1]) + 1
+    if len(solid) and solid[0]:
+        turns = np.concatenate([[0], turns])
+    starts, sizes = turns[::2], turns[1::2] - turns[::2]
+    kept = LOWER[data[solid]]
+    at = np.concatenate([[0], np.cumsum(sizes)])   # of terms in kept
     rows = np.searchsorted(starts, bounds)
     which: dict[bytes, int] = {}
     kind = np.repeat([which.setdefault(p, len(which)) for p in prefixes], np.diff(rows)).astype(np.int64)
     ahead = np.array([len(p) for p in which], np.int64)[kind] if len(kind) else kind
-    offsets = np.concatenate([[0], np.cumsum(np.diff(at) + ahead)])
+    offsets = at + np.concatenate([[0], np.cumsum(ahead)])
     out = np.empty(offsets[-1], np.uint8)
     for i, j in blocks(at, LIMIT):
-        out[np.arange(at[i], at[j]) + np.repeat(offsets[i:j] + ahead[i:j] - at[i:j], np.diff(at[i:j + 1]))] = \
-            kept[at[i]:at[j]]
+        step = np.ones(at[j] - at[i], np.int64)     # a term's first byte also steps over its prefix
+        step[at[i:j] - at[i]] += ahead[i:j]
+        step[:1] += offsets[i] - 1
+        out[np.cumsum(step)] = kept[at[i]:at[j]]
     for prefix, k in which.items():
-        begin = offsets[:-1][kind == k]
+        begin = offsets[:-1][kind == k] if len(which) > 1 else offsets[:-1]
         for i, byte in enumerate(prefix):
             out[begin + i] = byte
-    sampled = np.zeros(0, bool)
-    if len(starts):
-        sampled = mix(np.add.reduceat(BYTE_CODE[kept], at[:-1])) % np.uint64(SAMPLED) == 0
+    # cheap and the same for equal terms; any one of them may decide, since it only counts slices
+    sampled = np.zeros(len(starts), bool)
+    if sample and len(starts):
+        ends = BYTE_CODE[kept[at[:-1]]] + BYTE_CODE[kept[at[1:] - 1]] * BYTE_CODE[kept[at[:-1] + sizes // 2]]
+        sampled = mix(ends + sizes.astype(np.uint64)) % np.uint64(SAMPLED) == 0
     tokens = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(out)).cast(pa.string())
     return pa.ListArray.from_arrays(pa.array(rows, pa.int32()), tokens), sampled
 
 
-def token_batches(batches):
+def token_batches(batches, sample: bool = False):
     """(batch, tokens, sampled) of bounded pieces of (text, lang, ...) batches."""
     for b in batches:
         data, bounds = utf8(b["text"])
         prefixes = [(x + SEP).encode() for x in b["lang"].to_pylist()]
         for i, j in blocks(bounds, LIMIT):
-            yield b.slice(i, j - i), *tokens_of(data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i], prefixes[i:j])
+            yield b.slice(i, j - i), *tokens_of(data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i],
+                                                prefixes[i:j], sample)
 
 
 def _input(docs: DataFrame) -> DataFrame:
-    return docs.select(*[F.coalesce(docs[c].cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
+    text, lang, source = (F.coalesce(docs[c].cast("string"), F.lit("")) for c in ("text", "lang", "source"))
+    return docs.select(F.concat(text, F.lit(END)).alias("text"), lang.alias("lang"), source.alias("source"))
 
 
 def term_rows(docs: DataFrame) -> DataFrame:
@@ -136,13 +144,13 @@ def supports(docs: DataFrame, min_docs: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.ListArray.from_arrays(pa.array([0, len(r)], pa.int32()), r) for r in rows], ["tokens", "some"])
 
-        for _, tokens, sampled in token_batches(batches):
+        for _, tokens, sampled in token_batches(batches, sample=True):
             coded = tokens.flatten().dictionary_encode()
             code, terms = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
             if not len(terms):
                 continue
             row = np.repeat(np.arange(len(tokens)), np.diff(tokens.offsets.to_numpy()))
-            own = np.unique(row * len(terms) + code) % len(terms)
+            own = pd.unique(row * len(terms) + code) % len(terms)
             flag = np.zeros(len(terms), bool)
             flag[code[sampled]] = True
             held.append(pa.table({"t": terms, "n": np.bincount(own, minlength=len(terms)), "some": flag}))
@@ -238,11 +246,14 @@ def counted(docs: DataFrame, min_docs: int = MIN_DOCS, slices: int | None = None
 
 
 def _share(count: str, n: str = "n", v: str = "v") -> Column:
-    """p of a term with ``count``; decimals, so no count is too large."""
+    """p of a term with ``count``; in decimals where whole numbers of 64 bits would not hold it."""
     wide = f"cast({SCALE} as decimal(10,0)) * (cast({count} as decimal(20,0)) + {SMOOTH})"
-    return F.expr(f"case when {v} = 0 then 0 else 1 + ({wide}) div "
-                  f"(cast({n} as decimal(20,0)) + cast({SMOOTH} as decimal(1,0)) * cast({v} as decimal(19,0))) end") \
-        .cast("long")
+    all_ = f"(cast({n} as decimal(20,0)) + cast({SMOOTH} as decimal(1,0)) * cast({v} as decimal(19,0)))"
+    most = 2**62 // SCALE
+    return F.expr(f"case when {v} = 0 then 0 "
+                  f"when {count} < {most} and {n} < {2**61} and {v} < {2**58} "
+                  f"then 1 + ({SCALE}L * ({count} + {SMOOTH})) div ({n} + {SMOOTH}L * {v}) "
+                  f"else 1 + ({wide}) div {all_} end").cast("long")
 
 
 def compare_blocks(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:

@@ -205,7 +205,7 @@ def test_divergence_matches_its_definition(spark, sources, monkeypatch, slices):
 def test_tokens_of_a_block(monkeypatch):
     monkeypatch.setattr(div, "LIMIT", 5)
     texts = ["Ab c", "", "..", "é漢x_y", "A", "[a]{b}\x7f", "x" * 30]
-    data, bounds = utf8(pa.array(texts))
+    data, bounds = utf8(pa.array([t + div.END for t in texts]))
     got, sampled = div.tokens_of(data, bounds, [b"en\0", b"", b"q\0", b"en\0", b"", b"\0", "é\0".encode()])
     want = [["en\0ab", "en\0c"], [], [], ["en\0é漢x", "en\0y"], ["a"], ["\0a", "\0b"], ["é\0" + "x" * 30]]
     assert got.to_pylist() == want and len(sampled) == 8
