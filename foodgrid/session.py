@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
 
-from pyspark.sql import DataFrame, SparkSession
 
 def build_session(app: str = "foodgrid", master: str | None = None,
                   shuffle_partitions: int | None = None,
@@ -36,3 +39,18 @@ def build_session(app: str = "foodgrid", master: str | None = None,
             and not sc.getCheckpointDir():
         sc.setCheckpointDir(checkpoint_dir)
     return spark
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the cluster's ``spark.checkpoint.dir``.  Where that
+    is unset only a local session gets a local folder: executors of a cluster
+    would not see it."""
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) \
+        or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not base:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors see")
+        base = tempfile.mkdtemp(prefix="foodgrid-")
+        sc.setCheckpointDir(base)
+    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")

@@ -6,8 +6,6 @@ load that dies leaves files that no record names.  One writer at a time.
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -15,21 +13,6 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the cluster's ``spark.checkpoint.dir``.  Where that
-    is unset only a local session gets a local folder: executors of a cluster
-    would not see it."""
-    sc = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) \
-        or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not base:
-        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors see")
-        base = tempfile.mkdtemp(prefix="foodgrid-")
-        sc.setCheckpointDir(base)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
-
-
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that this library wrote and no record names any more."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -12,18 +12,51 @@ from pyspark.sql import functions as F
 
 from ..operators.dedup import Order, asc, first_per_key
 from ..schemas import LEGACY_RAW_COLUMNS, RAW, RAW_REQUIRED
+from ..session import shared_folder
+from .commits import remove
 
 
-def write_landing(hits: DataFrame, path: str, salts: int = 4, rows_per_file: int = 1_000_000) -> None:
-    """NDJSON per (term, location_index), each pair in at most ``salts``
-    tasks, so files do not multiply with tasks and a hot pair is split.  Dynamic partition overwrite:
-    re-landing a pair replaces that pair's files only, as the 'w' mode of
-    the original per-file writer did."""
-    salt = F.pmod(F.xxhash64(F.to_json(F.struct(*hits.columns))), F.lit(salts))
-    (hits.repartition("term", "location_index", salt)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .option("maxRecordsPerFile", rows_per_file)
-         .partitionBy("term", "location_index").json(path))
+PAIR = ("term", "location_index")
+TARGET_BYTES = 128 << 20
+
+
+def pair_files(hits: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
+    """How many files each (term, location_index) takes, from the JSON text it holds."""
+    text = F.octet_length(F.to_json(F.struct(*hits.columns))) + 1
+    return hits.groupBy(*PAIR).agg(F.sum(text).alias("pair_bytes"), F.count(F.lit(1)).alias("pair_rows")).select(
+        *PAIR, F.ceil(F.col("pair_bytes") / target_bytes).cast("int").alias("pair_files"), "pair_bytes", "pair_rows")
+
+
+def write_landing(hits: DataFrame, path: str, target_bytes: int = TARGET_BYTES) -> None:
+    """NDJSON per (term, location_index) in files of about ``target_bytes``.
+
+    The pairs' sizes are measured first, so a small pair is one file and a hot
+    one is split over as many tasks as it has files, in proportion.  Dynamic
+    partition overwrite: re-landing a pair replaces that pair's files only,
+    as the 'w' mode of the original per-file writer did.
+    """
+    spark = hits.sparkSession
+    measured = pair_files(hits, target_bytes)
+    folder = shared_folder(spark, "pairs")
+    measured.write.parquet(folder)
+    measured = spark.read.schema(measured.schema).parquet(folder)
+    all_ = measured.agg(F.sum("pair_files"), F.sum("pair_bytes"), F.sum("pair_rows")).first()
+    if all_[0] is None:
+        return
+    tasks = max(1, min(all_[0], int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    sized = hits.withColumn("landing_salt", F.xxhash64(F.to_json(F.struct(*hits.columns))))
+    on = F.lit(True)
+    sizes = measured.select(*[F.col(c).alias(f"of_{c}") for c in PAIR], "pair_files")
+    for c in PAIR:
+        on = on & sized[c].eqNullSafe(sizes[f"of_{c}"])
+    salted = sized.join(sizes, on).select(*[sized[c] for c in hits.columns], F.pmod(
+        "landing_salt", "pair_files").alias("landing_salt"))
+    # files of one pair that meet in a task are cut apart again by their rows
+    (salted.repartition(tasks, *PAIR, "landing_salt").drop("landing_salt")
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .option("maxRecordsPerFile", max(1, target_bytes * all_[2] // all_[1]))
+           .partitionBy(*PAIR).json(path))
+    remove(spark, folder)
 
 
 def encode_ndjson(df: DataFrame) -> DataFrame:
