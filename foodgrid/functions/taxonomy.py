@@ -63,6 +63,14 @@ FOOD_AND_BAR_ALIASES = """
     wine_bars wineries winetastingroom wraps yucatan
 """.split()
 
+# Bars among them; ``winebars`` is listed as a bar and as food, but not among the food and bars.
+BAR_ALIASES = """
+    bars beerbar beergardens breweries brewpubs champagne_bars cocktailbars divebars gastropubs
+    gaybars irish_pubs meaderies pubs sportsbars tapas tikibars vermouthbars whiskeybars winebars
+    wineries winetastingroom
+""".split()
+FOOD_AND_BAR = "winebars"
+
 # Label used when a business has no ethnic alias.
 NO_ETHNIC_LABEL = "Not Specified"
 # ---------------------------------------------------------------------------
@@ -99,3 +107,52 @@ def classify_alias(alias: Column, taxonomy: Taxonomy = DEFAULT_TAXONOMY) -> Colu
         F.array_contains(taxonomy.deny_col(), alias).alias("is_denied"),
         F.array_contains(taxonomy.ethnic_col(), alias).alias("is_ethnic"),
     )
+
+
+#: The seven sets, in the order of their bits.
+SETS = ("all", "nonfood", "definitely_no", "food_and_bars", "food", "bars", "ethnicities")
+
+
+def taxonomy_table(spark: SparkSession, taxonomy: Taxonomy = DEFAULT_TAXONOMY,
+                   nonfood: DataFrame | None = None) -> DataFrame:
+    """(set_name, alias) of the seven sets: fixed values, and what follows from
+    them.  Food is what is left of food and bars without the bars; ``nonfood``
+    (alias), a list too long to be kept here, is a table; all is food and bars, and it."""
+    allow = list(taxonomy.allow)
+    food = [a for a in [*allow, FOOD_AND_BAR] if a not in BAR_ALIASES or a == FOOD_AND_BAR]
+    known = {"definitely_no": taxonomy.deny, "food_and_bars": allow, "food": food, "bars": BAR_ALIASES,
+             "ethnicities": taxonomy.ethnic, "all": allow}
+    rows = None
+    for name, aliases in known.items():
+        part = spark.range(1).select(F.lit(name).alias("set_name"), F.explode(literal_array(aliases)).alias("alias"))
+        rows = part if rows is None else rows.unionByName(part)
+    if nonfood is not None:
+        for name in ("nonfood", "all"):
+            rows = rows.unionByName(nonfood.select(F.lit(name).alias("set_name"), "alias"))
+    return rows.distinct()
+
+
+def alias_masks(sets: DataFrame) -> DataFrame:
+    """(alias, mask): one bit for each of ``SETS`` that has the alias."""
+    bit = F.lit(0)
+    for i, name in enumerate(SETS):
+        bit = F.when(F.col("set_name") == name, F.lit(1 << i)).otherwise(bit)
+    return sets.groupBy("alias").agg(F.bit_or(bit).alias("mask")).filter("alias is not null")
+
+
+def with_class_mask(df: DataFrame, sets: DataFrame, aliases: str = "categories", name: str = "class_mask") -> DataFrame:
+    """``df`` with the sets its aliases meet, as one mask: an alias is in a set if
+    its bit is there, a row meets a set if any alias does (none: 0).
+
+    Each distinct alias list is looked up once; the lists are few beside the rows.
+    """
+    key = F.to_json(F.coalesce(F.col(aliases), F.array().cast("array<string>")))
+    keyed = df.withColumn("_list", key)
+    lists = keyed.select("_list").distinct()
+    each = lists.select("_list", F.explode(F.from_json("_list", "array<string>")).alias("alias"))
+    masks = each.join(alias_masks(sets), "alias").groupBy("_list").agg(F.bit_or("mask").alias(name))
+    return keyed.join(masks, "_list", "left").drop("_list").withColumn(name, F.coalesce(name, F.lit(0)))
+
+
+def meets(mask: str, set_name: str) -> Column:
+    return F.col(mask).bitwiseAND(F.lit(1 << SETS.index(set_name))) != 0

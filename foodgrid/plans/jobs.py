@@ -13,10 +13,14 @@ from __future__ import annotations
 import argparse
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import marts, quality, staging
+from ..schemas import RAW, RAW_REQUIRED
 from ..sinks import writers
+from ..sinks.ledger import LedgeredTable
+from ..sinks.versions import VersionedTable
 from ..sources import files, search
 from . import pipeline
 
@@ -35,9 +39,8 @@ def ingest(spark: SparkSession, landing_dir: str, cities_csv: str, raw: str,
     the load counts of every (term, location) with the running total are
     written there as a table; that is a second pass over the landing data, so
     it is off by default.  ``terms`` are the terms the run searched, in run
-    order: every one of them counts at every location of the list, 0 where
-    nothing landed.  Without them only pairs with a landed row are known, and
-    the total goes by term name.
+    order, by default all of them: every one counts at every location of the
+    list, 0 where nothing landed.
     """
     cities = files.read_city_locations(spark, cities_csv, position=False)
     gaz = spark.read.parquet(gazetteer_path) if gazetteer_path else None
@@ -48,23 +51,49 @@ def ingest(spark: SparkSession, landing_dir: str, cities_csv: str, raw: str,
     else:
         writers.append_raw_table(rows, raw)
     if counts:
-        pairs = hits.select("term", "location_index")
-        if terms:
-            plan = search.request_pairs(files.read_city_locations(spark, cities_csv), terms)
-            pairs = plan.unionByName(pairs)
+        terms = list(terms or search.SEARCH_TERMS)
+        plan = search.request_pairs(files.read_city_locations(spark, cities_csv), terms)
+        pairs = plan.unionByName(hits.select("term", "location_index"))
         writers.materialize(quality.load_counts(rows, terms, pairs=pairs), counts)
 
 
+RAW_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RAW.fields)
+
+
+def raw_ledger(spark: SparkSession, path: str) -> LedgeredTable:
+    """The raw table with a ledger at ``path``; its ``rows()`` are the raw rows to model."""
+    return LedgeredTable(spark, path, RAW_DDL, required=tuple(RAW_REQUIRED))
+
+
+def ingest_new(spark: SparkSession, landing_dir: str, cities_csv: str, path: str,
+               gazetteer_path: str | None = None) -> int:
+    """S13 that can be repeated: clean the landing files that the ledger of the raw
+    table at ``path`` does not have yet, or has in another state, and append
+    their rows; returns how many files that were."""
+    cities = files.read_city_locations(spark, cities_csv, position=False)
+    gaz = spark.read.parquet(gazetteer_path) if gazetteer_path else None
+    read = lambda paths: files.read_landing(spark, paths).withColumn(
+        "file_path", F.col("_metadata.file_path"))
+    clean = lambda hits: pipeline.raw_rows(hits, cities, gazetteer=gaz, passthrough=["file_path"])
+    return raw_ledger(spark, path).load(landing_dir, read, clean)
+
+
 def model(spark: SparkSession, raw: str, cities_csv: str, counties_csv: str,
-          out_dir: str, dev_limit: int | None = None) -> dict[str, str]:
+          out_dir: str, dev_limit: int | None = None, ledger: bool = False,
+          versions: bool = False) -> dict[str, str]:
     """Build the staging views and the dimension and fact tables from the raw
     table (a path or a catalog table, see :func:`ingest`).
 
     The staging views are temporary views (no data moves); dimensions and
     the fact are rebuilt in full.  With ``dev_limit`` (O3) the fact is built
     from the capped views, so views and fact agree.  The id tests run with severity warn.
+    With ``ledger`` the raw table is one of :func:`ingest_new`; with ``versions``
+    each table is a :class:`VersionedTable`, so a build that fails leaves the old one.
     """
-    raw = files.read_raw(spark, raw) if _is_path(raw) else files.read_raw_table(spark, raw)
+    if ledger:
+        raw = raw_ledger(spark, raw).rows().drop("batch")
+    else:
+        raw = files.read_raw(spark, raw) if _is_path(raw) else files.read_raw_table(spark, raw)
     cities = files.read_city_locations(spark, cities_csv, position=False)
     counties = files.read_county_cities(spark, counties_csv)
     views = {"stg_restaurants": staging.stg_restaurants(raw, dev_limit),
@@ -81,7 +110,10 @@ def model(spark: SparkSession, raw: str, cities_csv: str, counties_csv: str,
     out = {}
     for name, df in tables.items():
         path = os.path.join(out_dir, name)
-        writers.materialize(df, path)
+        if versions:
+            VersionedTable(spark, path).rebuild(df)
+        else:
+            writers.materialize(df, path)
         out[name] = path
     return out
 
@@ -101,18 +133,22 @@ def main(argv=None) -> None:
     a = sub.add_parser("ingest")
     a.add_argument("landing_dir"), a.add_argument("cities_csv"), a.add_argument("raw")
     a.add_argument("--gazetteer"), a.add_argument("--counts")
+    a.add_argument("--ledger", action="store_true", help="load new and changed files only")
     m = sub.add_parser("model")
     m.add_argument("raw"), m.add_argument("cities_csv"), m.add_argument("counties_csv")
     m.add_argument("out_dir"), m.add_argument("--dev-limit", type=int)
+    m.add_argument("--ledger", action="store_true"), m.add_argument("--versions", action="store_true")
     args = ap.parse_args(argv)
     from ..session import build_session
     spark = build_session("foodgrid-" + args.cmd)
-    if args.cmd == "ingest":
+    if args.cmd == "ingest" and args.ledger:
+        print(ingest_new(spark, args.landing_dir, args.cities_csv, args.raw, args.gazetteer))
+    elif args.cmd == "ingest":
         ingest(spark, args.landing_dir, args.cities_csv, args.raw, args.gazetteer,
                args.counts, search.SEARCH_TERMS)
     else:
         print(model(spark, args.raw, args.cities_csv, args.counties_csv, args.out_dir,
-                    args.dev_limit))
+                    args.dev_limit, args.ledger, args.versions))
 
 
 if __name__ == "__main__":

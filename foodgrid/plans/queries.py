@@ -7,8 +7,10 @@ independent SQL oracle can be compared value by value.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +19,12 @@ from ..functions import taxonomy as TX
 from ..operators import clean, marts, quality, staging
 from ..operators import keyterm as K
 from ..operators.dedup import asc
+from ..schemas import BUSINESS, CITY_LOCATIONS, RAW
+from ..session import shared_folder
 from ..sinks import writers
+from ..sinks.keyed import KeyedTable
+from ..sinks.ledger import LedgeredTable, by_folder
+from ..sinks.versions import VersionedTable
 from ..sources import adapter as A
 from ..sources import files, search
 from . import pipeline
@@ -439,3 +446,137 @@ def q_view_read(spark, d):
     """The cafe model registered as a view, then read by SQL."""
     writers.as_view(staging.stg_cafes(raw(spark, d)), "stg_cafes_view")
     return spark.sql("select id, name, city, review_count from stg_cafes_view where price is not null")
+
+
+# --- loads with files, below the session's shared folder --------------------------------
+
+LEGACY_KINDS = {"is_closed": "boolean", "review_count": "bigint", "rating": "double"}
+LEGACY_DDL = ", ".join(f"{c} {LEGACY_KINDS.get(c, 'string')}" for c in writers.LEGACY_RAW_COLUMNS)
+RAW_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RAW.fields)
+
+
+@query("append_if_absent")
+def q_append_if_absent(spark, d):
+    """S17/S18 with the key index: the Restaurants hits as they are, then twice the
+    same load of the first arrivals of all other ids; the second adds nothing."""
+    rows = _legacy_hits(spark, d)
+    target = KeyedTable(spark, shared_folder(spark, "keyed"), LEGACY_DDL)
+    target.append_all(rows.filter(F.col("term") == "Restaurants"))
+    for _ in range(2):
+        target.append(rows.filter(F.col("term") != "Restaurants"), ARRIVAL)
+    return target.rows().select(*writers.LEGACY_RAW_COLUMNS, "load")
+
+
+def _landed(spark, d):
+    """The hits with one pair of (term, location) for every 20th location."""
+    fields = [f.name for f in BUSINESS.fields]
+    return hits(spark, d).withColumn("location_index", F.col("location_index") % 20) \
+        .select(*fields, "term", "location_index", "l_orderkey")
+
+
+@query("append_ledger")
+def q_append_ledger(spark, d):
+    """S13 with the ledger: two thirds of the hits land and are loaded, twice;
+    then every tenth location lands anew, whole, and only those pairs are read."""
+    folder, order = shared_folder(spark, "landing"), F.col("l_orderkey")
+    table = LedgeredTable(spark, shared_folder(spark, "raw"), RAW_DDL, by_folder, tuple(writers.RAW_REQUIRED))
+    read = lambda paths: files.read_landing_partitioned(spark, folder, paths).select(
+        "*", F.col("_metadata.file_path").alias("file_path"))
+    clean_ = lambda h: pipeline.raw_rows(h, cities(spark, d), gazetteer=gazetteer(spark, d),
+                                         passthrough=["file_path"])
+    writers.write_landing(_landed(spark, d).filter(order % 3 != 0).drop("l_orderkey"), folder)
+    table.load(folder, read, clean_)
+    table.load(folder, read, clean_)
+    writers.write_landing(_landed(spark, d).filter(F.col("location_index") % 10 == 0).drop("l_orderkey"), folder)
+    table.load(folder, read, clean_)
+    return _json_arrays(table.rows())
+
+
+@query("landing_overwrite")
+def q_landing_overwrite(spark, d):
+    """Every pair lands, then every tenth location again with half of its hits."""
+    folder, landed = shared_folder(spark, "landing"), _landed(spark, d)
+    writers.write_landing(landed.drop("l_orderkey"), folder)
+    writers.write_landing(landed.filter((F.col("location_index") % 10 == 0) & (F.col("l_orderkey") % 2 == 0))
+                          .drop("l_orderkey"), folder)
+    return files.read_landing_partitioned(spark, folder).select("id", "url", "price", "term", "location_index")
+
+
+@query("table_rebuild")
+def q_table_rebuild(spark, d):
+    """The city dimension built from half of the list, rebuilt from all of it,
+    and then a build that fails on its way: the rows of the second stay."""
+    table = VersionedTable(spark, shared_folder(spark, "dim_coordinates"))
+    table.rebuild(marts.dim_coordinates(cities(spark, d).filter("position % 2 = 0")))
+    table.rebuild(marts.dim_coordinates(cities(spark, d)))
+    torn = marts.dim_coordinates(cities(spark, d)).withColumn(
+        "latitude", F.coalesce("latitude", F.lit(0.0)) + F.raise_error(F.lit("a build that fails")).cast("double"))
+    with contextlib.suppress(PySparkException):
+        table.rebuild(torn)
+    return table.read()
+
+
+@query("file_positions")
+def q_file_positions(spark, d):
+    """The location list as five CSV files, read back with file positions."""
+    folder = shared_folder(spark, "cities")
+    listed = A.search_locations(spark, d).repartitionByRange(5, "position").sortWithinPartitions("position")
+    listed.drop("position").write.option("header", True).csv(folder)
+    return files.read_city_locations(spark, folder)
+
+
+@query("list_quarantine")
+def q_list_quarantine(spark, d):
+    """A list with rows that cannot be typed; good and rejected rows from one scan."""
+    folder, k = shared_folder(spark, "list"), F.col("position")
+    lat = F.when(k % 50 == 0, F.lit("abc")).otherwise((k % 90).cast("string"))
+    line = F.when(k % 70 == 0, F.concat_ws(",", "Name", lat)).otherwise(
+        F.concat_ws(",", "Name", lat, (-k % 180).cast("string")))
+    A.search_locations(spark, d).select(line.alias("value")).write.text(f"{folder}/in")
+    good, bad, _ = files.load_checked(spark, f"{folder}/in", CITY_LOCATIONS, f"{folder}/out", header=False)
+    none = F.lit(None).cast("string")
+    return good.withColumns({"line": none, "reason": none}).unionByName(bad)
+
+
+@query("range_fetch")
+def q_range_fetch(spark, d):
+    """S6 on a Parquet stand-in: a third of the orders share one key, some have
+    none; each range is a read of its own, and every row comes exactly once."""
+    k = F.col("o_orderkey")
+    key = F.when(k % 3 == 0, F.lit(7)).when(k % 50 == 1, F.lit(None)).otherwise(F.col("o_custkey")).alias("fetch_key")
+    orders = lambda: A.table(spark, d, "orders").select("o_orderkey", key)
+    conditions = files.key_ranges(orders(), "fetch_key", 8)
+    return files.fetch_ranges(lambda c: orders().filter(c), conditions)
+
+
+@query("category_flags")
+def q_category_flags(spark, d):
+    """Which of the seven sets each hit's categories meet.  The table of the
+    non-food set is derived: the aliases seen that are not food or bars."""
+    h = _aliased(spark, d)
+    seen = h.select(F.explode("categories").alias("alias")).distinct()
+    nonfood = seen.filter(~F.col("alias").isin(list(TX.DEFAULT_TAXONOMY.allow)))
+    flagged = TX.with_class_mask(h, TX.taxonomy_table(spark, nonfood=nonfood))
+    return flagged.select("id", "term", *[TX.meets("class_mask", s).alias(f"meets_{s}") for s in TX.SETS])
+
+
+@query("price_batches")
+def q_price_batches(spark, d):
+    """A batch whose records have no price, and one whose records do."""
+    h = hits(spark, d).select("id", "term", "price", "l_orderkey")
+    odd = F.col("l_orderkey") % 2 == 1
+    both = clean.with_price(h.filter(~odd).drop("price")).unionByName(clean.with_price(h.filter(odd)))
+    return both.select("id", "term", "price")
+
+
+@query("anti_join_steps")
+def q_anti_join_steps(spark, d):
+    """O32-O34 as they are modelled: the raw table is written, three views are
+    staged from it, then exclusion set, anti join and typed union."""
+    folder = shared_folder(spark, "raw")
+    writers.append_raw(raw(spark, d), folder)
+    table = files.read_raw(spark, folder)
+    sweets = marts.desserts_filtered(staging.stg_desserts(table))
+    coffee = marts.cafes_filtered(staging.stg_cafes(table))
+    rest = marts.restaurants_anti(staging.stg_restaurants(table), marts.exclusion_ids(sweets, coffee))
+    return marts.typed_union(rest, sweets, coffee)

@@ -6,6 +6,8 @@ the same types whatever subset of files is present.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,7 +53,7 @@ def read_city_locations(spark: SparkSession, path: str, position: bool = True) -
     return with_position(df) if position else df
 
 
-def checked_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def checked_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
     """A typed CSV whose bad rows are told, not fatal: the schema's columns,
     ``line`` (the text of a bad row, else null) and ``reason`` (null for a good row).
 
@@ -61,7 +63,7 @@ def checked_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     """
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema] +
                         [T.StructField("line", T.StringType())])
-    raw = (spark.read.schema(text).option("header", True).option("mode", "PERMISSIVE")
+    raw = (spark.read.schema(text).option("header", header).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", "line").option("encoding", "UTF-8").csv(path))
     quoted = lambda n: F.col("`" + n.replace("`", "``") + "`")
     typed = {f.name: quoted(f.name).try_cast(f.dataType) for f in schema}
@@ -75,10 +77,11 @@ def checked_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return raw.select(*[c.alias(n) for n, c in typed.items()], line.alias("line"), reason.alias("reason"))
 
 
-def load_checked(spark: SparkSession, path: str, schema: T.StructType, out: str) -> tuple[DataFrame, DataFrame, dict]:
+def load_checked(spark: SparkSession, path: str, schema: T.StructType, out: str,
+                 header: bool = True) -> tuple[DataFrame, DataFrame, dict]:
     """The list at ``path`` stored at ``out``, good rows and rejected
     ones apart, from one scan.  Returns (good, rejected, rows of each)."""
-    checked_csv(spark, path, schema).withColumn("accepted", F.col("reason").isNull()) \
+    checked_csv(spark, path, schema, header).withColumn("accepted", F.col("reason").isNull()) \
         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("accepted").parquet(out)
     ddl = T.StructType([*schema.fields, T.StructField("line", T.StringType()), T.StructField("reason", T.StringType()),
                         T.StructField("accepted", T.BooleanType())])
@@ -154,6 +157,14 @@ def key_ranges(keys: DataFrame, column: str, ranges: int, accuracy: int = 10_000
     return [*parts, f"{column} is null"]
 
 
+def fetch_ranges(fetch: Callable[[str], DataFrame], conditions: list[str]) -> DataFrame:
+    """The rows that ``fetch`` returns for each condition, one read of its own each."""
+    out = fetch(conditions[0])
+    for c in conditions[1:]:
+        out = out.unionByName(fetch(c))
+    return out
+
+
 def read_ranges(table: DataFrame, column: str, ranges: int) -> DataFrame:
     """S6 on any table: its rows by :func:`key_ranges`, with the number of their
     ``key_range``.  It stands for the fetch of a database, where each range is one query."""

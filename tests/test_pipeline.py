@@ -206,8 +206,8 @@ def test_jobs_ingest_and_model(spark, tmp):
     jobs.ingest(spark, land, cities, raw, counts=os.path.join(tmp, "counts"))
     counts = spark.read.parquet(os.path.join(tmp, "counts"))
     assert counts.agg(F.max("total_rows")).first()[0] == files.read_raw(spark, raw).count()
-    landed = files.read_landing(spark, land).select("term", "location_index").distinct()
-    assert counts.count() == landed.count()
+    from foodgrid.sources import search
+    assert counts.count() == 5 * len(search.SEARCH_TERMS)       # the whole plan, by default
     out = jobs.model(spark, raw, cities, counties, os.path.join(tmp, "models"))
     fact = spark.read.parquet(out["fact_all"])
     assert fact.count() == 10 and spark.table("stg_cafes").count() > 0
@@ -219,6 +219,47 @@ def test_jobs_ingest_and_model(spark, tmp):
     assert spark.read.option("header", True).csv(os.path.join(tmp, "lake", "city_locations")).count() == 5
 
 
+def test_jobs_with_ledger_and_versions(spark, tmp):
+    from foodgrid.plans import jobs
+    from foodgrid.sinks.versions import VersionedTable
+    land = landing(tmp)
+    cities = FX.write(tmp, "cities.csv", FX.CITY_CSV)
+    counties = FX.write(tmp, "counties.csv", FX.COUNTY_CSV)
+    raw, plain = os.path.join(tmp, "ledgered"), os.path.join(tmp, "raw")
+    n = jobs.ingest_new(spark, land, cities, raw)
+    assert n == 5 and jobs.ingest_new(spark, land, cities, raw) == 0
+    jobs.ingest(spark, land, cities, plain)
+    text = lambda df: sorted(str(r) for r in df.collect())
+    rows = jobs.raw_ledger(spark, raw).rows()
+    assert text(rows.drop("batch")) == text(files.read_raw(spark, plain).select(rows.drop("batch").columns))
+    out = jobs.model(spark, raw, cities, counties, os.path.join(tmp, "models"), ledger=True, versions=True)
+    other = jobs.model(spark, plain, cities, counties, os.path.join(tmp, "plain"))
+    for name in out:
+        table = VersionedTable(spark, out[name])
+        assert text(table.read()) == text(spark.read.parquet(other[name]))
+
+
+def test_the_seven_category_sets(spark):
+    from foodgrid.functions import taxonomy as TX
+    nonfood = spark.createDataFrame([("grocery",), ("convenience",), ("drugstores",), ("gyms",)], "alias string")
+    sets = {}
+    for r in TX.taxonomy_table(spark, nonfood=nonfood).collect():
+        sets.setdefault(r["set_name"], set()).add(r["alias"])
+    assert set(sets) == set(TX.SETS)
+    assert [len(sets[s]) for s in ("definitely_no", "food_and_bars", "food", "bars", "ethnicities")] == [3, 211, 192, 21, 104]
+    assert sets["all"] == sets["food_and_bars"] | sets["nonfood"] and not sets["food_and_bars"] & sets["nonfood"]
+    assert sets["definitely_no"] <= sets["nonfood"] and sets["ethnicities"] <= sets["food_and_bars"]
+    assert sets["food"] | sets["bars"] == sets["food_and_bars"] | {"winebars"}
+    assert sets["food"] & sets["bars"] == {"winebars"}
+    df = spark.createDataFrame([(1, ["pubs", "gyms"]), (2, ["thai", "thai"]), (3, []), (4, None), (5, ["never seen"]),
+                                (6, ["winebars", None])], "id int, categories array<string>")
+    flagged = TX.with_class_mask(df, TX.taxonomy_table(spark, nonfood=nonfood))
+    got = {r["id"]: {s for s in TX.SETS if r[s]} for r in flagged.select(
+        "id", *[TX.meets("class_mask", s).alias(s) for s in TX.SETS]).collect()}
+    assert got == {1: {"all", "nonfood", "food_and_bars", "bars"}, 2: {"all", "food_and_bars", "food", "ethnicities"},
+                   3: set(), 4: set(), 5: set(), 6: {"food", "bars"}}
+
+
 def test_ingest_counts_pairs_that_landed_nothing(spark, tmp, monkeypatch):
     from foodgrid import session
     from foodgrid.plans import jobs
