@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .taxonomy import DEFAULT_TAXONOMY, NO_ETHNIC_LABEL, Taxonomy, literal_array
+from .taxonomy import DEFAULT_TAXONOMY, NO_ETHNIC_LABEL, Taxonomy
 
 # Characters Python's str.rstrip() removes (the str.isspace set; all lie
 # below U+3001).  Java's \s covers only the ASCII subset, so the set is built
@@ -29,35 +29,38 @@ def category_aliases(categories) -> Column:
     return _c(categories).getField("alias")
 
 
-def any_in(values, members) -> Column:
-    """True when any element of ``values`` is in ``members`` (a list).
+def _in(members) -> str:
+    """``IN`` list of a set, as SQL text: one call to the JVM, not one for each member."""
+    return "in (" + ", ".join("'" + m.replace("\\", "\\\\").replace("'", "\\'") + "'" for m in members) + ")"
+
+
+def any_in(values: str, members) -> Column:
+    """True when any element of the column ``values`` is in ``members`` (a list).
 
     ``x IN (literals)`` becomes a hash-set lookup (InSet) in the optimizer.
     A NULL element is "not in the set", as in the Python rule, so the NULL
     that ``exists`` yields for it collapses to false.
     """
-    members = list(members)
-    return F.coalesce(F.exists(_c(values), lambda x: x.isin(*members)), F.lit(False))
+    return F.expr(f"coalesce(exists({values}, x -> x {_in(members)}), false)")
 
 
-def allowed(aliases, taxonomy: Taxonomy = DEFAULT_TAXONOMY) -> Column:
+def allowed(aliases: str, taxonomy: Taxonomy = DEFAULT_TAXONOMY) -> Column:
     """Keep when any alias is a food or bar category."""
     return any_in(aliases, taxonomy.allow)
 
 
-def not_denied(aliases, taxonomy: Taxonomy = DEFAULT_TAXONOMY) -> Column:
+def not_denied(aliases: str, taxonomy: Taxonomy = DEFAULT_TAXONOMY) -> Column:
     """Drop when any alias is on the deny-list."""
     return ~any_in(aliases, taxonomy.deny)
 
 
-def ethnic_subset(aliases, taxonomy: Taxonomy = DEFAULT_TAXONOMY) -> Column:
+def ethnic_subset(aliases: str, taxonomy: Taxonomy = DEFAULT_TAXONOMY) -> Column:
     """Ethnic aliases in original order, duplicates kept, or the label.
 
     ``filter`` (not ``array_intersect``, which de-duplicates).
     """
-    eth = list(taxonomy.ethnic)
-    sub = F.filter(_c(aliases), lambda x: F.coalesce(x.isin(*eth), F.lit(False)))
-    return F.when(F.size(sub) > 0, sub).otherwise(literal_array([NO_ETHNIC_LABEL]))
+    sub = f"filter({aliases}, x -> coalesce(x {_in(taxonomy.ethnic)}, false))"
+    return F.expr(f"if(size({sub}) > 0, {sub}, array('{NO_ETHNIC_LABEL}'))")
 
 
 def array_to_string(arr, sep: str = ", ") -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions.taxonomy import DEFAULT_TAXONOMY, Taxonomy
 from ..schemas import LEGACY_CLEAN_COLUMNS, RAW_COLUMNS
+from ..session import fits_broadcast
 
 
 def with_price(df: DataFrame) -> DataFrame:
@@ -89,25 +90,43 @@ def fill_coordinates(df: DataFrame, gazetteer: DataFrame | None) -> DataFrame:
     Only rows with *both* coordinates NULL are filled (a row with one missing
     is untouched), and a miss keeps them NULL.  The gazetteer is first reduced
     to one row per address (map-side combined), so a duplicate address can
-    never multiply a business.  One left join at every size: rows that need no
-    fill carry a key that no address has, spread like their addresses, so they
-    neither match nor pile up in one partition.
+    never multiply a business.
+
+    Beside a gazetteer that the planner's own estimate says can be broadcast, it is
+    one left join without a shuffle of ``df``: rows that need no fill carry a key
+    that no address has, spread like their addresses.  Beside a larger one
+    only the rows that need a fill take part in a join (:func:`_fill_narrow`).
     """
     if gazetteer is None:
         return df
-    need = F.col("latitude").isNull() & F.col("longitude").isNull()
-    hits = (gazetteer.filter(F.col("address").isNotNull()).groupBy("address")
-                     .agg(F.min(F.struct("latitude", "longitude")).alias("_g"))
-                     .select(F.col("address").alias("_gaddr"),
-                             F.col("_g.latitude").alias("_glat"),
-                             F.col("_g.longitude").alias("_glon")))
-    key = F.when(need & F.col("address").isNotNull(), F.col("address")).otherwise(
-        F.concat(F.lit("\u0000"), F.coalesce(F.col("address"), F.lit(""))))
-    return (df.withColumn("_need", need).withColumn("_key", key)
-              .join(hits, F.col("_key") == F.col("_gaddr"), "left")
-              .withColumn("latitude", F.when(F.col("_need"), F.col("_glat")).otherwise(F.col("latitude")))
-              .withColumn("longitude", F.when(F.col("_need"), F.col("_glon")).otherwise(F.col("longitude")))
-              .select(*df.columns))
+    wanted = F.col("latitude").isNull() & F.col("longitude").isNull() & F.col("address").isNotNull()
+    known = gazetteer.filter(F.col("address").isNotNull())
+    if not fits_broadcast(known):
+        return _fill_narrow(df, known, wanted)
+    key = F.when(wanted, F.col("address")).otherwise(F.concat(F.lit("\u0000"), F.coalesce("address", F.lit(""))))
+    return _filled(df.withColumn("_key", key), _one_each(known), "_key").select(*df.columns)
+
+
+def _one_each(gazetteer: DataFrame) -> DataFrame:
+    return gazetteer.groupBy("address").agg(F.min(F.struct("latitude", "longitude")).alias("_g")) \
+        .select(F.col("address").alias("_gaddr"), "_g")
+
+
+def _filled(df: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """``df`` with the coordinates of ``found`` where ``key`` is there."""
+    hit = F.col("_gaddr").isNotNull()
+    return df.join(found, F.col(key) == F.col("_gaddr"), "left").withColumns(
+        {c: F.when(hit, F.col("_g")[c]).otherwise(F.col(c)) for c in ("latitude", "longitude")})
+
+
+def _fill_narrow(df: DataFrame, gazetteer: DataFrame, wanted: F.Column) -> DataFrame:
+    """The fill beside a gazetteer too large to broadcast: the addresses that
+    are wanted meet it, and only the rows that want one are shuffled to the
+    result; all others pass.  The input is read once more for each of the two."""
+    need = df.filter(wanted)
+    found = _one_each(gazetteer.join(need.select("address").distinct(), "address", "left_semi"))
+    filled = _filled(need, found, "address").select(*df.columns)
+    return df.filter(~wanted).unionByName(filled)
 
 
 def clean_businesses(df: DataFrame, cities: DataFrame, taxonomy: Taxonomy = DEFAULT_TAXONOMY,

@@ -32,7 +32,7 @@ def desc(c: str, nulls_last: bool = True) -> Order:
     return Order(c, True, nulls_last)
 
 
-def _order_fields(order: list[Order]) -> list[Column]:
+def _order_fields(order: list[Order]) -> list[str]:
     """Encode sort keys so that ascending struct comparison realises them.
 
     Struct comparison puts NULL first; a leading null flag moves NULLs last,
@@ -40,12 +40,9 @@ def _order_fields(order: list[Order]) -> list[Column]:
     """
     out = []
     for i, o in enumerate(order):
-        c = F.col(o.column)
         if o.nulls_last:
-            out.append(c.isNull().alias(f"_n{i}"))
-        if o.descending:
-            c = -c
-        out.append(c.alias(f"_k{i}"))
+            out.append(f"`{o.column}` is null as _n{i}")
+        out.append(f"{'-' if o.descending else ''}`{o.column}` as _k{i}")
     return out
 
 
@@ -64,21 +61,18 @@ def ranked_struct(df: DataFrame, order: list[Order], payload: list[str] | None =
         if o.descending and not kinds[o.column].startswith(
                 ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")):
             raise TypeError(f"descending order needs a number, {o.column} is {kinds[o.column]}")
-    return F.struct(*_order_fields(order), *[F.col(c) for c in _rest(order, payload)])
+    return F.expr(f"struct({', '.join([*_order_fields(order), *[f'`{c}`' for c in _rest(order, payload)]])})")
 
 
-def restored(best: Column, order: list[Order], payload: list[str]) -> Column:
-    """The payload as a struct, from a :func:`ranked_struct`."""
+def restored(best: str, order: list[Order], payload: list[str]) -> str:
+    """The payload as a struct (SQL text), from the :func:`ranked_struct` in column ``best``."""
     at = {o.column: (i, o.descending) for i, o in enumerate(order)}
     fields = []
     for c in payload:
-        if c in at:
-            i, down = at[c]
-            v = best.getField(f"_k{i}")
-            fields.append((-v if down else v).alias(c))
-        else:
-            fields.append(best.getField(c).alias(c))
-    return F.struct(*fields)
+        i, down = at.get(c, (None, False))
+        value = f"{best}.`{c}`" if i is None else f"{'-' if down else ''}{best}._k{i}"
+        fields.append(f"{value} as `{c}`")
+    return f"struct({', '.join(fields)})"
 
 
 def first_per_key(df: DataFrame, key: str | list[str], order: list[Order],
@@ -90,5 +84,21 @@ def first_per_key(df: DataFrame, key: str | list[str], order: list[Order],
     best = ranked_struct(df, order, payload)
     return (df.groupBy(*keys)
               .agg(F.min(best).alias("_best"))
-              .select(restored(F.col("_best"), order, payload).alias("row"))
-              .select(*[F.col("row").getField(c).alias(c) for c in payload]))
+              .selectExpr(f"{restored('_best', order, payload)} as row").select("row.*"))
+
+
+def leading_rows(df: DataFrame, keys: list[str], lead: str) -> DataFrame:
+    """The rows that hold the greatest ``lead`` of their keys (all of them where
+    it is always NULL): the only ones that can win a pick that orders by it first.
+
+    The first phase of a pick over a stored table.  It reads the keys and one
+    number; its buffer has a fixed width, so a hash aggregate holds it and nothing
+    is sorted.  The whole rows meet its result once, and what is picked from then
+    on are the few rows that share the greatest value.  A hot key is one row per
+    task in the aggregate, and its rows are split by the skewed join.
+    """
+    best = df.groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys]).agg(F.max(lead).alias("_lead"))
+    on = F.col(lead).eqNullSafe(F.col("_lead"))
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    return df.join(best, on).select(*[df[c] for c in df.columns])

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..schemas import FACT_COLUMNS, STAGING_COLUMNS
-from .dedup import asc, first_per_key, ranked_struct, restored
+from .dedup import asc, first_per_key, leading_rows, ranked_struct, restored
 from .staging import (CAFE_FEEDS, DESSERT_FEEDS, RESTAURANT_FEEDS, STAGING_ORDER,
                       non_null_ids, staged_columns)
 
@@ -137,21 +137,25 @@ def fact_stepwise(stg_r: DataFrame, stg_c: DataFrame, stg_d: DataFrame,
     return fact_from_listings(listings_all(typed_union(r, d, c)), dim_coords, dim_cnty)
 
 
-def branches_by_id(raw: DataFrame) -> DataFrame:
+def branches_by_id(raw: DataFrame, narrow: bool = False) -> DataFrame:
     """Per id the staged restaurant, cafe and dessert rows ``r``, ``c``, ``d``
     (NULL where there is none or its rule drops it): one scan of the raw
-    table and one aggregation (see module doc)."""
-    typed = non_null_ids(raw.filter(F.col("feed").isin(
-        list(RESTAURANT_FEEDS + CAFE_FEEDS + DESSERT_FEEDS)))) \
-        .select(F.col("feed"), *staged_columns(raw))
+    table and one aggregation (see module doc).  ``narrow``, for a stored raw
+    table, aggregates the rows that can win alone (see ``leading_rows``)."""
+    rows = non_null_ids(raw.filter(F.col("feed").isin(list(RESTAURANT_FEEDS + CAFE_FEEDS + DESSERT_FEEDS))))
+    if narrow:
+        branch = F.when(F.col("feed").isin(list(CAFE_FEEDS)), 1).when(F.col("feed").isin(list(DESSERT_FEEDS)), 2) \
+            .otherwise(0)
+        rows = leading_rows(rows.withColumn("_branch", branch), ["id", "_branch"], STAGING_ORDER[0].column)
+    typed = rows.select(F.col("feed"), *staged_columns(raw))
     best = ranked_struct(typed, STAGING_ORDER, STAGING_COLUMNS)
     feed = F.col("feed")
     per_id = typed.groupBy("id").agg(
         F.min(F.when(feed.isin(list(RESTAURANT_FEEDS)), best)).alias("r"),
         F.min(F.when(feed.isin(list(CAFE_FEEDS)), best)).alias("c"),
         F.min(F.when(feed.isin(list(DESSERT_FEEDS)), best)).alias("d"))
-    row = lambda c: F.when(F.col(c).isNotNull(), restored(F.col(c), STAGING_ORDER, STAGING_COLUMNS))
-    return per_id.select(*[row(c).alias(c) for c in "rcd"]).select(
+    row = lambda c: f"if({c} is not null, {restored(c, STAGING_ORDER, STAGING_COLUMNS)}, null) as {c}"
+    return per_id.selectExpr(*[row(c) for c in "rcd"]).select(
         "r", F.when(C.cafe_keep(F.col("c.categories"), F.col("c.name")), F.col("c")).alias("c"),
         F.when(C.dessert_keep(F.col("d.categories"), F.col("d.alias")), F.col("d")).alias("d"))
 
@@ -161,8 +165,7 @@ def _typed(row: str, type_: str) -> F.Column:
 
 
 def _unpacked(picks: DataFrame) -> DataFrame:
-    return picks.select(*[F.col("_pick.row." + c).alias(c) for c in STAGING_COLUMNS],
-                        F.col("_pick.type").alias("type"))
+    return picks.select("_pick.row.*", "_pick.type")
 
 
 def typed_from_raw(raw: DataFrame) -> DataFrame:
@@ -175,14 +178,14 @@ def typed_from_raw(raw: DataFrame) -> DataFrame:
                      .filter(F.col("_pick.row").isNotNull()))
 
 
-def pick_listings(raw: DataFrame) -> DataFrame:
+def pick_listings(raw: DataFrame, narrow: bool = False) -> DataFrame:
     """Staging + O29-O35 fused into one aggregation by id (see module doc)."""
     chosen = (F.when(F.col("d").isNotNull(), _typed("d", "desserts"))
                .when(F.col("c").isNotNull(), _typed("c", "cafe"))
                .when(F.col("r").isNotNull(), _typed("r", "restaurants")))
-    return _unpacked(branches_by_id(raw).select(chosen.alias("_pick")).filter(F.col("_pick").isNotNull()))
+    return _unpacked(branches_by_id(raw, narrow).select(chosen.alias("_pick")).filter(F.col("_pick").isNotNull()))
 
 
-def fact_from_raw(raw: DataFrame, cities: DataFrame, counties: DataFrame) -> DataFrame:
+def fact_from_raw(raw: DataFrame, cities: DataFrame, counties: DataFrame, narrow: bool = False) -> DataFrame:
     """O38 flagship: raw table + city list + county list -> 22-column fact."""
-    return fact_from_listings(pick_listings(raw), dim_coordinates(cities), dim_counties(counties))
+    return fact_from_listings(pick_listings(raw, narrow), dim_coordinates(cities), dim_counties(counties))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..schemas import NUMERIC, STAGING_COLUMNS
-from .dedup import Order, asc, desc, first_per_key
+from .dedup import Order, asc, desc, first_per_key, leading_rows
 
 # Feeds (first word of the search term) read by each staging view.
 RESTAURANT_FEEDS = ("Restaurants", "Food")
@@ -57,27 +57,30 @@ def select_feeds(raw: DataFrame, feeds) -> DataFrame:
     return raw.filter(F.col("feed").isin(list(feeds)))
 
 
-def stage(raw: DataFrame, feeds=None, limit: int | None = None) -> DataFrame:
+def stage(raw: DataFrame, feeds=None, limit: int | None = None, narrow: bool = False) -> DataFrame:
     """One staging view, over all feeds by default.  ``limit`` is the dev-run row cap (O3), off by
-    default; when on, rows are ordered by id so the cap is deterministic."""
-    rows = raw if feeds is None else select_feeds(raw, feeds)
-    typed = non_null_ids(rows).select(*staged_columns(raw))
+    default; when on, rows are ordered by id so the cap is deterministic.  ``narrow``, for a
+    stored raw table, first finds the rows that can win from ids and review counts alone."""
+    rows = non_null_ids(raw if feeds is None else select_feeds(raw, feeds))
+    if narrow:
+        rows = leading_rows(rows, ["id"], STAGING_ORDER[0].column)
+    typed = rows.select(*staged_columns(raw))
     out = first_per_key(typed, "id", STAGING_ORDER)
     if limit is not None:
         out = out.orderBy("id").limit(limit)
     return out
 
 
-def stg_restaurants(raw: DataFrame, limit: int | None = None) -> DataFrame:
-    return stage(raw, RESTAURANT_FEEDS, limit)
+def stg_restaurants(raw: DataFrame, limit: int | None = None, narrow: bool = False) -> DataFrame:
+    return stage(raw, RESTAURANT_FEEDS, limit, narrow)
 
 
-def stg_cafes(raw: DataFrame, limit: int | None = None) -> DataFrame:
-    return stage(raw, CAFE_FEEDS, limit)
+def stg_cafes(raw: DataFrame, limit: int | None = None, narrow: bool = False) -> DataFrame:
+    return stage(raw, CAFE_FEEDS, limit, narrow)
 
 
-def stg_desserts(raw: DataFrame, limit: int | None = None) -> DataFrame:
-    return stage(raw, DESSERT_FEEDS, limit)
+def stg_desserts(raw: DataFrame, limit: int | None = None, narrow: bool = False) -> DataFrame:
+    return stage(raw, DESSERT_FEEDS, limit, narrow)
 
 
 def unnest_categories(df: DataFrame, column: str = "categories", sep: str = ", ") -> DataFrame:

@@ -580,3 +580,12 @@ def q_anti_join_steps(spark, d):
     coffee = marts.cafes_filtered(staging.stg_cafes(table))
     rest = marts.restaurants_anti(staging.stg_restaurants(table), marts.exclusion_ids(sweets, coffee))
     return marts.typed_union(rest, sweets, coffee)
+
+
+@query("dedup_two_phase")
+def q_dedup_two_phase(spark, d):
+    """O20 on a stored raw table: first the greatest review count of each id from two
+    columns, then the pick among the rows that have it."""
+    folder = shared_folder(spark, "raw")
+    writers.append_raw(raw(spark, d), folder)
+    return staging.stage(files.read_raw(spark, folder), narrow=True)

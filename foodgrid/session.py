@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "foodgrid", master: str | None = None,
@@ -54,3 +54,10 @@ def shared_folder(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="foodgrid-")
         sc.setCheckpointDir(base)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the planner's estimate of ``df`` is within its own limit for a
+    broadcast.  It comes from file sizes; no job runs for it."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit

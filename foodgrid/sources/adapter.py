@@ -23,14 +23,26 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 
 
+#: Columns read of each benchmark table; with them no read infers a schema.
+COLUMNS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "part": "p_partkey bigint, p_name string, p_size int",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double",
+    "events": "event_id bigint, event_type string, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spark.read.schema(COLUMNS[name]).parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 # FIXED VALUES of the adapter: category lists by p_partkey % 37, titles of the
@@ -65,48 +77,41 @@ TERMS_BY_LINE = [(2, "Restaurants"), (3, "Food"), (5, "Coffee & Tea"), (6, "Dess
 OTHER_TERMS = ["Bakeries", "Juice Bars & Smoothies", "Bubble Tea"]
 
 
-def _s(c: Column) -> Column:
-    return c.cast("string")
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "\\'") + "'"
 
 
-def _case_mod(key: Column, n: int, values: list) -> Column:
-    expr = None
-    for i, v in enumerate(values):
-        cond = (key % n) == i
-        expr = F.when(cond, F.lit(v)) if expr is None else expr.when(cond, F.lit(v))
-    return expr
+def _by_mod(key: str, values: list) -> str:
+    """``values[key % len(values)]`` (None: null)."""
+    whens = " ".join(f"when {i} then {'null' if v is None else _quoted(v)}" for i, v in enumerate(values))
+    return f"case {key} % {len(values)} {whens} end"
 
 
-def _term(line: Column, order: Column) -> Column:
-    expr = None
-    for upto, term in TERMS_BY_LINE:
-        expr = F.when(line <= upto, F.lit(term)) if expr is None else expr.when(line <= upto, F.lit(term))
-    return expr.otherwise(_case_mod(order, len(OTHER_TERMS), OTHER_TERMS))
+def _term(line: str, order: str) -> str:
+    whens = " ".join(f"when {line} <= {upto} then {_quoted(term)}" for upto, term in TERMS_BY_LINE)
+    return f"case {whens} else {_by_mod(order, OTHER_TERMS)} end"
 
 
-def city_name(k: Column) -> Column:
+def city_name(k: str) -> str:
     """City ``k`` as landed: one in ten of the cities used is spelled with two
     spaces, one with a comma, one with a trailing blank."""
-    plain = F.concat(F.lit("City "), _s(k))
-    return (F.when(k % 100 == 10, F.concat(F.lit("City  "), _s(k)))
-             .when(k % 100 == 20, F.concat(plain, F.lit(",")))
-             .when(k % 100 == 30, F.concat(plain, F.lit(" ")))
-             .otherwise(plain))
-
-
-def _location(p: Column) -> Column:
-    """Location of part ``p`` (shared by hits and gazetteer).  Three parts
-    stand for four customers, so city keys stay inside ``customer``."""
-    city = F.floor(p * 3 / 40).cast("long") * 10
-    return F.struct(
-        F.when(p % 19 == 0, F.lit(None)).when(p % 29 == 0, F.lit(""))
-         .otherwise(F.concat(_s(p % 900 + 1), F.lit(" Main St"))).alias("address1"),
-        F.when(p % 3 == 0, F.lit(None)).when(p % 3 == 1, F.lit(""))
-         .otherwise(F.concat(F.lit("Ste "), _s(p % 7))).alias("address2"),
-        F.when(p % 27 == 0, F.lit("Nowhere")).otherwise(city_name(city)).alias("city"),
-        F.when(p % 11 == 0, F.lit("NV")).otherwise(F.lit("CA")).alias("state"),
-        F.when(p % 23 == 0, F.lit(None)).when(p % 17 == 0, F.concat(F.lit("8"), _s(p % 27 + 1000)))
-         .otherwise(F.concat(F.lit("9"), _s(p % 27 + 1000))).alias("zip_code"))
+    n = f"cast({k} as string)"
+    return (f"case {k} % 100 when 10 then concat('City  ', {n}) when 20 then concat('City ', {n}, ',') "
+            f"when 30 then concat('City ', {n}, ' ') else concat('City ', {n}) end")
+
+
+#: Location of part ``p_partkey`` (shared by hits and gazetteer).  Three parts
+#: stand for four customers, so city keys stay inside ``customer``.
+LOCATION_SQL = f"""named_struct(
+    'address1', case when p_partkey % 19 = 0 then null when p_partkey % 29 = 0 then ''
+                     else concat(cast(p_partkey % 900 + 1 as string), ' Main St') end,
+    'address2', case p_partkey % 3 when 0 then null when 1 then '' else concat('Ste ', cast(p_partkey % 7 as string)) end,
+    'city', case when p_partkey % 27 = 0 then 'Nowhere'
+                 else {city_name("(cast(floor(p_partkey * 3 / 40) as bigint) * 10)")} end,
+    'state', if(p_partkey % 11 = 0, 'NV', 'CA'),
+    'zip_code', case when p_partkey % 23 = 0 then null
+                     when p_partkey % 17 = 0 then concat('8', cast(p_partkey % 27 + 1000 as string))
+                     else concat('9', cast(p_partkey % 27 + 1000 as string)) end)"""
 
 
 def businesses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,51 +121,43 @@ def businesses(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``b_key`` is the part key as text.  Joined by it, a filter on an attribute
     stays on this side: with the number itself as the key, the optimizer
     would rewrite every such filter in terms of ``l_partkey`` and evaluate it
-    once per line item as well (30x the rows).
+    once per line item as well (30x the rows).  The columns are SQL text: one
+    call to the JVM each, and not one for every operator in them.
     """
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
-    p, name = F.col("p_partkey"), F.col("p_name")
-    no_lat, no_lon = p % 25 == 0, p % 50 == 0
-    pid = F.concat(F.lit("b"), _s(p))
-    alias = F.when((p % 10 == 4) & (p % 3 == 0), F.lit("pho")).otherwise(
-        F.concat(F.replace(name, F.lit(" "), F.lit("-")), F.lit("-"), _s(p)))
-    return part.select(
-        _s(p).alias("b_key"),
-        pid.alias("id"),
-        alias.alias("alias"),
-        F.when(p % 10 == 3, F.concat(F.lit("Cafe "), name))
-         .when(p % 10 == 4, F.concat(F.lit("Pho "), name))
-         .when(p % 10 == 5, F.concat(F.lit("Coffee "), name)).otherwise(name).alias("name"),
-        F.concat(F.lit("img/"), pid, F.lit(".jpg")).alias("image_url"),
-        F.lit(False).alias("is_closed"),
-        F.concat(F.lit("biz/"), alias).alias("url"),
-        _categories("p_partkey").alias("categories"),
-        (F.lit(1.0) + (F.col("p_size") % 9).cast("double") / F.lit(2.0)).alias("rating"),
-        F.struct(F.when(no_lat, F.lit(None)).otherwise(
-                     F.lit(33.0) + (p % 997).cast("double") / F.lit(1000.0)).cast("double").alias("latitude"),
-                 F.when(no_lon, F.lit(None)).otherwise(
-                     F.lit(-118.0) - (p % 991).cast("double") / F.lit(1000.0)).cast("double").alias("longitude")
-                 ).alias("coordinates"),
-        F.when((p % 2) == 0, F.array(F.lit("pickup"), F.lit("delivery")))
-         .otherwise(F.array().cast("array<string>")).alias("transactions"),
-        _case_mod(p, 4, [None, "$", "$$", "$$$"]).alias("price"),
-        _location(p).alias("location"),
-        F.concat(F.lit("+1555"), F.lpad(_s(p % 10000000), 7, "0")).alias("phone"),
-        F.concat(F.lit("(555) "), F.lpad(_s(p % 10000000), 7, "0")).alias("display_phone"))
-
-
-def _categories(key: str) -> Column:
+    key = "cast(p_partkey as string)"
+    alias = (f"if(p_partkey % 10 = 4 and p_partkey % 3 = 0, 'pho', "
+             f"concat(replace(p_name, ' ', '-'), '-', {key}))")
+    phone = "lpad(cast(p_partkey % 10000000 as string), 7, '0')"
+    return table(spark, sf_dir, "part").selectExpr(
+        f"{key} as b_key",
+        f"concat('b', {key}) as id",
+        f"{alias} as alias",
+        "case p_partkey % 10 when 3 then concat('Cafe ', p_name) when 4 then concat('Pho ', p_name) "
+        "when 5 then concat('Coffee ', p_name) else p_name end as name",
+        f"concat('img/b', {key}, '.jpg') as image_url",
+        "false as is_closed",
+        f"concat('biz/', {alias}) as url",
+        f"{_categories('p_partkey')} as categories",
+        "1D + cast(p_size % 9 as double) / 2D as rating",
+        "named_struct('latitude', if(p_partkey % 25 = 0, null, 33D + cast(p_partkey % 997 as double) / 1000D), "
+        "'longitude', if(p_partkey % 50 = 0, null, -118D - cast(p_partkey % 991 as double) / 1000D)) as coordinates",
+        "if(p_partkey % 2 = 0, array('pickup', 'delivery'), cast(array() as array<string>)) as transactions",
+        f"{_by_mod('p_partkey', [None, '$', '$$', '$$$'])} as price",
+        f"{LOCATION_SQL} as location",
+        f"concat('+1555', {phone}) as phone",
+        f"concat('(555) ', {phone}) as display_phone")
+
+
+def _categories(key: str) -> str:
     """``array<struct<alias,title>>`` by ``key % 37``: each branch is a literal
     array, so the optimizer folds any function of it (aliases, set tests)
-    branch by branch instead of evaluating it per row.  As text, the 37
-    branches are one call to the JVM and not a thousand."""
-    quoted = lambda t: "'" + t.replace("'", "\\'") + "'"
+    branch by branch instead of evaluating it per row."""
     branches = []
     for i, cats in enumerate(CATEGORY_LISTS):
-        items = ", ".join(f"named_struct('alias', {quoted(a)}, 'title', {quoted(CATEGORY_TITLES[a])})"
+        items = ", ".join(f"named_struct('alias', {_quoted(a)}, 'title', {_quoted(CATEGORY_TITLES[a])})"
                           for a in cats.split(","))
         branches.append(f"when {key} % {len(CATEGORY_LISTS)} = {i} then array({items})")
-    return F.expr(f"case {' '.join(branches)} end")
+    return f"case {' '.join(branches)} end"
 
 
 def search_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,42 +173,36 @@ def search_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     spreads the cleaning work evenly whatever the scan's file layout (a
     single large row group would otherwise feed one task).
     """
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", _s(F.col("l_partkey")).alias("l_key"), "l_suppkey", "l_linenumber", "l_quantity")
+    li = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "cast(l_partkey as string) as l_key", "l_suppkey", "l_linenumber", "l_quantity")
     biz = businesses(spark, sf_dir)
-    order, line, loc = F.col("l_orderkey"), F.col("l_linenumber"), F.col("location")
     hit = {
-        "url": F.concat(F.col("url"), F.lit("?v="), _s(order % 3)),
-        "price": F.when(line % 2 == 1, F.col("price")),
-        "location": F.struct(
-            F.when(order % 4 == 1, F.concat(loc["address1"], F.lit(" #2")))
-             .otherwise(loc["address1"]).alias("address1"),
-            *[loc[c].alias(c) for c in ("address2", "city", "state", "zip_code")]),
+        "url": "concat(url, '?v=', cast(l_orderkey % 3 as string)) as url",
+        "price": "if(l_linenumber % 2 = 1, price, null) as price",
+        "location": "named_struct('address1', if(l_orderkey % 4 = 1, concat(location.address1, ' #2'), "
+                    "location.address1), 'address2', location.address2, 'city', location.city, "
+                    "'state', location.state, 'zip_code', location.zip_code) as location",
     }
-    j = li.join(biz.hint("merge"), li["l_key"] == biz["b_key"])
-    cols = [hit.get(c, F.col(c)).alias(c) for c in biz.columns if c != "b_key"]
-    return j.select(
+    cols = [hit.get(c, c) for c in biz.columns if c != "b_key"]
+    return li.join(biz.hint("merge"), li["l_key"] == biz["b_key"]).selectExpr(
         *cols[:6],
-        F.when(F.col("l_quantity") > 1, F.floor(F.col("l_quantity") / 10)).cast("bigint").alias("review_count"),
+        "if(l_quantity > 1, cast(floor(l_quantity / 10) as bigint), null) as review_count",
         *cols[6:],
-        (line.cast("double") * F.lit(250.0)).alias("distance"),
-        _term(line, order).alias("term"),
-        F.col("l_suppkey").cast("int").alias("location_index"),
-        order)
+        "cast(l_linenumber as double) * 250D as distance",
+        f"{_term('l_linenumber', 'l_orderkey')} as term",
+        "cast(l_suppkey as int) as location_index",
+        "l_orderkey")
 
 
 def city_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D1, one city per customer with its position; half of the oddly spelled
     names are listed in their plain spelling too."""
-    k = F.col("c_custkey").cast("long")
-    plain = F.concat(F.lit("City "), _s(k))
-    names = F.when((city_name(k) != plain) & (k % 200 < 100), F.array(city_name(k), plain)) \
-             .otherwise(F.array(city_name(k)))
-    return table(spark, sf_dir, "customer").select(
-        F.explode(names).alias("Name"),
-        (F.lit(32.5) + (k % 997).cast("double") / F.lit(1000.0)).alias("Latitude"),
-        (F.lit(-124.0) + (k % 991).cast("double") / F.lit(1000.0)).alias("Longitude"),
-        k.alias("position"))
+    plain, listed = "concat('City ', cast(c_custkey as string))", city_name("c_custkey")
+    return table(spark, sf_dir, "customer").selectExpr(
+        f"explode(if({listed} <> {plain} and c_custkey % 200 < 100, array({listed}, {plain}), array({listed}))) as Name",
+        "32.5D + cast(c_custkey % 997 as double) / 1000D as Latitude",
+        "-124D + cast(c_custkey % 991 as double) / 1000D as Longitude",
+        "c_custkey as position")
 
 
 def county_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,41 +214,28 @@ def county_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = table(spark, sf_dir, "region")
     geo = F.broadcast(n.join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"]))
     j = c.join(geo, c["c_nationkey"] == geo["n_nationkey"])
-    k = F.col("c_custkey").cast("long")
-    zips = F.when(k % 40 == 10, F.array(k % 10000, (k + 5000) % 10000)).otherwise(F.array(k % 10000))
-    city = F.concat(F.lit("City "), _s(k))
-    return j.select("*", F.explode(zips).alias("zip")).select(
-        F.concat(F.lit("City of "), city).alias("Entity Name"),
-        k.alias("Entity ID"),
-        F.lit("City").alias("Entity Type"),
-        F.col("r_name").alias("County Name"),
-        city.alias("City"),
-        F.lit("CA").alias("State"),
-        F.concat(F.lit("9"), F.lpad(_s(F.col("zip")), 4, "0")).alias("Zip"),
-        (k * 10).alias("Estimated Population"),
-        F.lit("General Law").alias("Class Data"),
-        F.lit(630).cast("long").alias("Fiscal Year End"),
-        F.lit(20240131).cast("long").alias("Paper Report Due Date"),
-        F.lit(20240131).cast("long").alias("Electronic Report Due Date"))
+    zips = "if(c_custkey % 40 = 10, array(c_custkey % 10000, (c_custkey + 5000) % 10000), array(c_custkey % 10000))"
+    city = "concat('City ', cast(c_custkey as string))"
+    return j.selectExpr("*", f"explode({zips}) as zip").selectExpr(
+        f"concat('City of ', {city}) as `Entity Name`", "c_custkey as `Entity ID`", "'City' as `Entity Type`",
+        "r_name as `County Name`", f"{city} as City", "'CA' as State",
+        "concat('9', lpad(cast(zip as string), 4, '0')) as Zip", "c_custkey * 10 as `Estimated Population`",
+        "'General Law' as `Class Data`", "630L as `Fiscal Year End`", "20240131L as `Paper Report Due Date`",
+        "20240131L as `Electronic Report Due Date`")
 
 
 def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F8: address -> coordinates for half of the parts whose hits have none
     (p_partkey % 100 == 0); the other half stays unresolved."""
-    part = table(spark, sf_dir, "part").filter((F.col("p_partkey") % 100) == 0)
-    p = F.col("p_partkey")
-    return part.select(
-        C.build_address(_location(p)).alias("address"),
-        (F.lit(36.0) + (p % 89).cast("double") / F.lit(100.0)).alias("latitude"),
-        (F.lit(-120.0) - (p % 83).cast("double") / F.lit(100.0)).alias("longitude"))
+    part = table(spark, sf_dir, "part").filter("p_partkey % 100 = 0").selectExpr("p_partkey", f"{LOCATION_SQL} as location")
+    return part.withColumn("address", C.build_address("location")).selectExpr(
+        "address", "36D + cast(p_partkey % 89 as double) / 100D as latitude",
+        "-120D - cast(p_partkey % 83 as double) / 100D as longitude")
 
 
 def search_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A location list that grows with the data: one per customer, with its
     stored position (the customer key)."""
-    c = table(spark, sf_dir, "customer")
-    k = F.col("c_custkey")
-    return c.select(F.col("c_name").alias("Name"),
-                    (F.lit(32.5) + (k % 997).cast("double") / F.lit(1000.0)).alias("Latitude"),
-                    (F.lit(-124.0) + (k % 991).cast("double") / F.lit(1000.0)).alias("Longitude"),
-                    k.cast("long").alias("position"))
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_name as Name", "32.5D + cast(c_custkey % 997 as double) / 1000D as Latitude",
+        "-124D + cast(c_custkey % 991 as double) / 1000D as Longitude", "c_custkey as position")

@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foodgrid.operators import keyterm, marts, quality, staging
 from foodgrid.operators.dedup import first_per_key
@@ -399,3 +400,50 @@ def test_loaded_if_absent_equals_target_and_new_rows(spark):
                                "id string, kept boolean, arrival int")
     got = writers.loaded_if_absent(df, F.col("kept"), [asc("arrival")], columns=["id", "arrival"])
     assert rows(got, "id", "arrival") == [("a", 5), ("b", 2)]
+
+
+def test_two_phase_pick_equals_the_pick_with_a_hot_id(spark):
+    """One id holds a third of the rows; some have no review count at all, some all the same."""
+    from foodgrid.schemas import RAW
+    rows = []
+    for i in range(3000):
+        id_ = "hot" if i % 3 == 0 else f"b{i % 40}" if i % 7 else None
+        count = None if id_ in ("b1", "b2") or i % 11 == 0 else 5 if id_ == "b3" else i % 9
+        rows.append((id_, "a", "n", f"u{i % 13}", count, ["coffee", None][:1 + i % 2], ["x"], 4.5, None if i % 5 else "$",
+                     None if i % 17 == 0 else 37.0, -120.0, "sf", "addr", ["Food", "Coffee", "Desserts", "Other"][i % 4]))
+    raw = spark.createDataFrame([r for r in rows], T.StructType([T.StructField(f.name, f.dataType) for f in RAW]))
+    text = lambda df: sorted(str(r) for r in df.collect())
+    for limit in ("10485760", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            assert text(staging.stage(raw, narrow=True)) == text(staging.stage(raw))
+            assert text(marts.pick_listings(raw, narrow=True)) == text(marts.pick_listings(raw))
+            assert text(marts.pick_listings(raw.limit(0), narrow=True)) == []
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_fill_beside_a_large_gazetteer_shuffles_the_missing_rows_only(spark):
+    from foodgrid.operators import clean
+    rows = [(i, f"a{i % 50}" if i % 9 else None, None if i % 4 == 0 else 1.0, None if i % 8 == 0 else 2.0) for i in range(800)]
+    df = spark.createDataFrame(rows, "id int, address string, latitude double, longitude double")
+    gaz = spark.createDataFrame([(f"a{i}", float(i), -float(i)) for i in range(0, 60, 2)] + [("a2", 0.5, 0.5), (None, 9.0, 9.0)]
+                                + [("a4", None, 3.0)], "address string, latitude double, longitude double")
+    wide = clean.fill_coordinates(df, gaz)
+    small = sorted(map(tuple, wide.collect()), key=str)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        narrow = clean.fill_coordinates(df, gaz)
+        plan = narrow._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, narrow.collect()), key=str) == small
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Union" in plan and "BroadcastExchange" not in plan
+    passing = plan[plan.index("Union"):plan.index("SortMergeJoin")]     # the branch of all other rows
+    assert "Exchange" not in passing and "Filter" in passing
+    want = {}
+    for a, x, y in [(f"a{i}", float(i), -float(i)) for i in range(0, 60, 2)]:
+        want[a] = (x, y)
+    want["a2"], want["a4"] = (0.5, 0.5), (None, 3.0)
+    assert small == sorted([(i, a, *(want.get(a, (None, None)) if x is None and y is None else (x, y)))
+                            for i, a, x, y in rows], key=str)
