@@ -42,6 +42,7 @@ import math
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,11 +54,14 @@ from .textarrays import gram_hash, mix, tidy, utf8, words
 BANDS, ROWS = 64, 8
 SMALL = 64          # sets up to 5/4 of this get bands of independent hashes too
 BATCH = 32          # signature values compared at a time
-PLAIN = 256         # smaller sets are verified without signatures
+PLAIN = 256         # sets from here have signatures of one permutation in bins
+OWN = 427           # sets up to here (PLAIN / 0.6) have signatures of independent hashes
 MISS = 1e-9         # posterior chance at which a pair is given up
 GROUP = 2048        # documents in one block
 HUBS = 16
 EDGE_BYTES = 128    # signature bytes an edge is judged by
+ROUNDS = 4          # of stars; what a bucket has left then is judged in blocks
+CHUNK = 2048        # members of a bucket in a chunk; a block is two chunks
 SEEN = 100_000      # sets a task remembers, so as not to send copies again
 
 
@@ -105,10 +109,19 @@ def one_permutation(s: np.ndarray) -> np.ndarray:
     return out
 
 
+def _hashed(s: np.ndarray, n: int) -> np.ndarray:
+    seeds = mix(np.arange(n, dtype=np.uint64), 26)
+    return mix(s[None, :] ^ seeds[:, None], 27).min(axis=1)
+
+
 def independent(s: np.ndarray) -> np.ndarray:
     """ROWS x BANDS MinHash values of as many hash functions, for small sets."""
-    seeds = mix(np.arange(ROWS * BANDS, dtype=np.uint64), 26)
-    return mix(s[None, :] ^ seeds[:, None], 27).min(axis=1).reshape(ROWS, BANDS)
+    return _hashed(s, ROWS * BANDS).reshape(ROWS, BANDS)
+
+
+def own_signature(s: np.ndarray) -> np.ndarray:
+    """EDGE_BYTES bytes, one of each of as many independent MinHash values."""
+    return (_hashed(s, EDGE_BYTES) & np.uint64(0xFF)).astype(np.uint8)
 
 
 def band_values(sig: np.ndarray, seed: int) -> np.ndarray:
@@ -122,7 +135,7 @@ def signature(s: np.ndarray) -> np.ndarray:
     return (one_permutation(s) & np.uint64(0xFF)).astype(np.uint8).reshape(-1)
 
 
-SKETCH = "doc_id long, rid long, n int, k1 long, k2 long, sig binary, bands array<long>"
+SKETCH = "doc_id long, rid long, n int, k1 long, k2 long, sig binary, own binary, bands array<long>"
 
 
 def sketches(rows: DataFrame, width: int) -> DataFrame:
@@ -132,7 +145,7 @@ def sketches(rows: DataFrame, width: int) -> DataFrame:
         seen: set = set()
         for batch in batches:
             for b in row_blocks(batch):
-                n, k1, k2, sig, bands = [], [], [], [], []
+                n, k1, k2, sig, own, bands = [], [], [], [], [], []
                 for s in shingle_sets(b["text"], width):
                     key = (int(mix(s, 29).sum(dtype=np.uint64).view(np.int64)),
                            int(mix(s, 30).sum(dtype=np.uint64).view(np.int64)))
@@ -141,6 +154,7 @@ def sketches(rows: DataFrame, width: int) -> DataFrame:
                     k2.append(key[1])
                     if not len(s) or key in seen:
                         sig.append(None)
+                        own.append(None)
                         bands.append(None)
                         continue
                     if len(seen) >= SEEN:
@@ -154,10 +168,11 @@ def sketches(rows: DataFrame, width: int) -> DataFrame:
                         got.append(band_values(one, 32))
                     sig.append((one & np.uint64(0xFF)).astype(np.uint8).reshape(-1)[:EDGE_BYTES].tobytes()
                                if len(s) >= PLAIN else None)
+                    own.append(own_signature(s).tobytes() if len(s) <= OWN else None)
                     bands.append(np.concatenate(got).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [b["doc_id"], b["rid"], pa.array(n, pa.int32()), pa.array(k1, pa.int64()),
-                     pa.array(k2, pa.int64()), pa.array(sig, pa.binary()),
+                     pa.array(k2, pa.int64()), pa.array(sig, pa.binary()), pa.array(own, pa.binary()),
                      pa.array(bands, pa.list_(pa.int64()))], [c.split()[0] for c in SKETCH.split(", ")])
 
     return rows.select("doc_id", "rid", "text").mapInArrow(tidy(run), SKETCH)
@@ -243,36 +258,102 @@ def stars(members: DataFrame) -> DataFrame:
     return made.filter("kind = 0").select("band", "a", "b").unionByName(across.select("band", "a", "b"))
 
 
+def _matches(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Equal signature bytes of each pair of rows; a row is the signature of
+    independent hashes, that of bins, and whether it has either.  Sets of which
+    one has only the first and one only the second differ too much in size to be near."""
+    own = x[:, -2] & y[:, -2] > 0
+    bins = (x[:, -1] & y[:, -1] > 0) & ~own
+    n = EDGE_BYTES
+    return np.where(own, (x[:, :n] == y[:, :n]).sum(axis=1),
+                    np.where(bins, (x[:, n:2 * n] == y[:, n:2 * n]).sum(axis=1), 0))
+
+
+def _signatures(own: list, sig: list) -> np.ndarray:
+    none = bytes(EDGE_BYTES)
+    return np.frombuffer(b"".join((o or none) + (s or none) + bytes([o is not None, s is not None])
+                                  for o, s in zip(own, sig, strict=True)), np.uint8).reshape(len(own), -1)
+
+
 def judged(edges: DataFrame, sketch: DataFrame, similarity: float) -> DataFrame:
     """Adds ``near`` (the two could have a common linked document, so 2s - 1
     or more) and ``sure`` (far above the threshold) to edges (a, b)."""
-    one = sketch.filter("bands is not null").groupBy("rid").agg(F.first("sig").alias("sig"))
-    both = edges.join(one.select(F.col("rid").alias("a"), F.col("sig").alias("x")), "a") \
-        .join(one.select(F.col("rid").alias("b"), F.col("sig").alias("y")), "b")
+    one = sketch.filter("bands is not null").groupBy("rid").agg(F.first("sig").alias("sig"), F.first("own").alias("own"))
+    side = lambda c, x, o: one.select(F.col("rid").alias(c), F.col("sig").alias(x), F.col("own").alias(o))
+    both = edges.join(side("a", "x", "ox"), "a").join(side("b", "y", "oy"), "b")
 
     def run(batches):
         low = least_matches(EDGE_BYTES, max(0.0, 2 * similarity - 1), MISS)
         for b in batches:
-            near, sure = [], []
-            for x, y in zip(b["x"].to_pylist(), b["y"].to_pylist(), strict=True):
-                if x is None or y is None:   # too small for signatures: verified on the sets
-                    near.append(True)
-                    sure.append(False)
-                else:
-                    m = int((np.frombuffer(x, np.uint8) == np.frombuffer(y, np.uint8)).sum())
-                    near.append(m >= low)
-                    sure.append(m >= EDGE_BYTES * 0.97)
-            yield pa.RecordBatch.from_arrays([b["a"], b["b"], pa.array(near), pa.array(sure)],
+            if not b.num_rows:
+                continue
+            sides = [_signatures(b[o].to_pylist(), b[x].to_pylist()) for o, x in (("ox", "x"), ("oy", "y"))]
+            m = _matches(*sides)
+            yield pa.RecordBatch.from_arrays([b["a"], b["b"], pa.array(m >= low), pa.array(m >= EDGE_BYTES * 0.97)],
                                              ["a", "b", "near", "sure"])
 
-    return both.select("a", "b", "x", "y").mapInArrow(tidy(run), "a long, b long, near boolean, sure boolean")
+    return both.select("a", "b", "x", "ox", "y", "oy").mapInArrow(
+        tidy(run), "a long, b long, near boolean, sure boolean")
+
+
+def near_in_block(sig: np.ndarray, first: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Pairs (i, j) that join all rows of a block that may be linked.  ``first``:
+    rows of the first of two chunks, which are compared with the second only."""
+    low = least_matches(EDGE_BYTES, similarity, MISS)
+    n = len(sig)
+    root = np.arange(n)
+    across = first.any() and not first.all()
+    left, right = (np.flatnonzero(first), np.flatnonzero(~first)) if across else (np.arange(n), np.arange(n))
+    out = []
+    for k, i in enumerate(left.tolist()):
+        other = right if across else right[k + 1:]
+        other = other[root[other] != root[i]]   # joined already
+        hit = other[_matches(np.broadcast_to(sig[i], (len(other), sig.shape[1])), sig[other]) >= low]
+        for j in hit.tolist():
+            if root[j] != root[i]:
+                out.append((i, j))
+                root[root == root[j]] = root[i]
+    return out
+
+
+def block_edges(members: DataFrame, sketch: DataFrame, similarity: float) -> DataFrame:
+    """Edges (a, b) that join all members (band, rid) of a bucket that may be
+    linked, each pair judged once: a bucket is dealt into chunks of about ``CHUNK``,
+    and every two chunks are a block of one task.  Edges of a block join rows
+    that were apart, so there are fewer than it has rows."""
+    one = sketch.filter("bands is not null").groupBy("rid").agg(F.first("sig").alias("sig"), F.first("own").alias("own"))
+    sizes = members.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
+    chunk = F.pmod(F.xxhash64("rid", F.lit(33)), F.col("chunks")).cast("int")
+    dealt = members.join(sizes, "band").withColumn("chunk", chunk) \
+        .withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)"))) \
+        .filter("chunks = 1 or other <> chunk") \
+        .select("band", "rid", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk")
+    # two chunks together hold each one's own pairs as well: they are left to one block of each
+    own = members.join(sizes.filter("chunks > 1"), "band").withColumn("chunk", chunk) \
+        .select("band", "rid", F.col("chunk").alias("i"), F.col("chunk").alias("j"), "chunk")
+    rows = dealt.unionByName(own).join(one.hint("merge"), "rid")
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.drop_duplicates("rid")
+        rid = pdf["rid"].to_numpy()
+        first = (pdf["chunk"] == key[1]).to_numpy() if key[1] != key[2] else np.ones(len(pdf), bool)
+        absent = lambda c: [None if v is None or isinstance(v, float) else bytes(v) for v in pdf[c]]
+        pairs = near_in_block(_signatures(absent("own"), absent("sig")), first, similarity)
+        return pd.DataFrame({"a": [int(rid[i]) for i, _ in pairs], "b": [int(rid[j]) for _, j in pairs]}, dtype="int64")
+
+    return rows.groupBy("band", "i", "j").applyInPandas(run, "a long, b long")
 
 
 def candidate_edges(sketch: DataFrame, similarity: float) -> DataFrame:
-    """Edges (a, b) that join every two documents that may be linked."""
+    """Edges (a, b) that join every two documents that may be linked.
+
+    Stars settle most buckets in a round or two.  A bucket that a template fills
+    with documents far from each other would take a round for each: after
+    ``ROUNDS`` what is left is judged pair by pair, in blocks.
+    """
     members = sketch.filter("bands is not null").select("rid", F.explode("bands").alias("band"))
     kept = None
-    while True:
+    for _ in range(ROUNDS):
         made = stored(stars(members), "buckets")
         verdict = stored(judged(made.select("a", "b").distinct(), sketch, similarity), "verdict")
         near = verdict.filter("near").select("a", "b")
@@ -288,6 +369,8 @@ def candidate_edges(sketch: DataFrame, similarity: float) -> DataFrame:
         members = left.join(several, "band", "left_semi")
         if members.isEmpty():
             return kept.distinct()
+    rest = stored(block_edges(stored(members, "rest"), sketch, similarity), "blocks")
+    return kept.unionByName(rest).distinct()
 
 
 # --- verification on sets ---------------------------------------------------------

@@ -206,7 +206,7 @@ def summed(batches):
         idx = b["idx"].flatten().to_numpy().astype(np.int64)
         new = (np.repeat(of, size) << 32) | idx
         n = b["n"].flatten().to_numpy().astype(np.int64)
-        keys, at = np.unique(np.concatenate([keys, new]), return_inverse=True)
+        at, keys = pd.factorize(np.concatenate([keys, new]))
         sums = np.zeros(len(keys), np.int64)
         np.add.at(sums, at, np.concatenate([counts, n]))
         counts = sums
@@ -218,12 +218,13 @@ def summed(batches):
 
 
 def slice_counts(rows: DataFrame, model: CountVectorizerModel) -> DataFrame:
-    """(lang, source, idx, count): the summed vectors of the documents."""
+    """(lang, source, idx, count): the summed vectors of the documents (each
+    task's are one row per key already, so they are dealt as they are)."""
     vector = F.unwrap_udt("vector")
     return model.transform(rows) \
         .select("lang", "source", vector["indices"].alias("idx"), vector["values"].alias("n")) \
         .mapInArrow(tidy(summed), "lang string, source string, idx long, count long") \
-        .groupBy("lang", "source", "idx").agg(F.sum("count").alias("count"))
+        .repartition("lang", "source", "idx").groupBy("lang", "source", "idx").agg(F.sum("count").alias("count"))
 
 
 def counted(docs: DataFrame, min_docs: int = MIN_DOCS, slices: int | None = None) -> tuple[DataFrame, ...]:

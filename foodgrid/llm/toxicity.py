@@ -95,6 +95,21 @@ def entries(words: list[str]) -> set[str]:
     return out
 
 
+def word_before(folded: str, at: int) -> str:
+    """The word that ends before the space at ``at`` (none: empty); by places, the text is not copied."""
+    while at > 0 and folded[at - 1] == " ":
+        at -= 1
+    return folded[folded.rfind(" ", 0, at) + 1:at] if at else ""
+
+
+def word_after(folded: str, at: int) -> str:
+    """The word that begins after the space at ``at`` (none: empty)."""
+    while at < len(folded) and folded[at] == " ":
+        at += 1
+    stop = folded.find(" ", at)
+    return folded[at:stop] if stop >= 0 else folded[at:]
+
+
 @dataclass
 class Model:
     lexicon: dict[str, float] = field(default_factory=dict)
@@ -123,9 +138,7 @@ class Model:
         for at, w in sorted(best.items()):
             stop = folded.find(" ", at + 1)
             word = folded[at + 1:stop]
-            before = folded[:at].rstrip()[-60:].rpartition(" ")[2] if at else ""
-            rest = folded[stop:stop + 80].lstrip()
-            yield w, (word, f"{before} {word}", f"{word} {rest.partition(' ')[0]}")
+            yield w, (word, f"{word_before(folded, at)} {word}", f"{word} {word_after(folded, stop)}")
 
     def evidence(self, text: str) -> tuple[float, float, int]:
         """(weight, weight per 100 words as a logarithm, hits)."""
@@ -150,7 +163,8 @@ def held_out(doc_id):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """(doc_id, text, toxic): at most about ``rows`` labelled rows that are not held out."""
+    """(doc_id, text, toxic): at most about ``rows`` labelled rows that are not
+    held out, one for each labelled doc_id (of several texts the one of least hash)."""
     lab = labels.select(labels["doc_id"].cast("long").alias("id"), labels["toxic"].cast("int").alias("toxic")) \
         .filter(F.col("id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("id"))) \
         .groupBy("id").agg(F.max("toxic").alias("toxic"))
@@ -160,7 +174,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
     # bounded by ``rows`` whatever the input, hence broadcast
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text")) \
         .join(F.broadcast(lab), F.col("doc_id") == F.col("id")) \
-        .select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic")
+        .withColumn("text", F.coalesce("text", F.lit(""))).groupBy("doc_id") \
+        .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"), F.max("toxic").alias("toxic"))
 
 
 def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:

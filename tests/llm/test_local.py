@@ -312,3 +312,47 @@ def test_odd_and_empty_tables(run, odd, none):
     got = run(odd).collect()
     assert sorted(str(r["doc_id"]) for r in got) == sorted(str(r[0]) for r in ODD)
     assert run(none).collect() == []
+
+
+def test_toxicity_trains_on_one_row_of_a_repeated_id(spark):
+    """A labelled doc_id may be a third of all rows: the training rows stay bounded."""
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 3 != 1]
+    hot = ids[0]
+    rows = [(i, f"text {i}") for i in range(400)] + [(hot, "again")] * 3000 + [(hot, f"other {i}") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    got = toxicity.training_rows(docs, labels, rows=10_000).collect()
+    assert sorted(r["doc_id"] for r in got) == ids
+    assert toxicity.training_rows(docs, labels, rows=50).count() < 80
+    assert toxicity.training_rows(docs.repartition(7), labels).filter(f"doc_id = {hot}").first() == \
+        next(r for r in got if r["doc_id"] == hot)
+
+
+def test_toxicity_hits_match_a_plain_scan():
+    """Hits and their neighbours against a word-by-word statement; neighbours of any length count."""
+    rng = random.Random(4)
+    words = ["bad", "badly", "good", "b4d", "awful", "x" * 200, "y" * 90, "so", "-", "  "]
+    model = toxicity.Model(lexicon={" bad ": 2.0, " bad": 1.0, " awf": 3.0}, empty=False)
+    for _ in range(200):
+        text = " ".join(rng.choice(words) for _ in range(rng.randrange(12)))
+        flat = toxicity.fold(text).split()
+        want = []
+        for i, w in enumerate(flat):
+            best = max([v for e, v in model.lexicon.items() if (f" {w} " if e.endswith(" ") else f" {w}").startswith(e)],
+                       default=None)
+            if best is not None:
+                before, after = flat[i - 1] if i else "", flat[i + 1] if i + 1 < len(flat) else ""
+                want.append((best, (w, f"{before} {w}", f"{w} {after}")))
+        assert list(model.hits(toxicity.fold(text))) == want
+
+
+def test_toxicity_time_is_linear_in_the_text():
+    import time
+    model = toxicity.Model(lexicon={" bad ": 2.0}, empty=False)
+    took = []
+    for n in (20_000, 160_000):
+        text = "bad " + "one two three four five bad " * (n // 6)
+        t = time.thread_time()
+        model.evidence(text)
+        took.append(time.thread_time() - t)
+    assert took[1] < 8 * took[0] * 4, took

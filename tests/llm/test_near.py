@@ -172,3 +172,44 @@ def test_odd_rows(spark, odd, none):
     assert by[None]["kept"]
     assert near_dedup.groups(none, 2).collect() == []
     assert len(near_dedup.drop_near_copies(odd).columns) == len(odd.columns)
+
+
+def templated(n, seed, shared=27, own=33, groups=9):
+    """Documents on one template (about 45 % of their shingles), some of them near copies."""
+    rng = random.Random(seed)
+    template = " ".join(f"t{i}" for i in range(shared))
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(own)) for _ in range(n)]
+    for g in range(groups):
+        k = rng.randrange(n)
+        words = texts[k].split()
+        words[3 + g % 5] = f"changed{g}"
+        texts[rng.randrange(n)] = " ".join(words)
+    return [(i, f"{template} {t}") for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("chunk", [16, 512])
+def test_templates_settle_in_a_fixed_number_of_rounds(spark, monkeypatch, chunk):
+    rows = templated(500, chunk)
+    rounds = []
+    plain = near_dedup.stars
+    monkeypatch.setattr(near_dedup, "stars", lambda m: (rounds.append(1), plain(m))[1])
+    monkeypatch.setattr(near_dedup, "CHUNK", chunk)
+    monkeypatch.setattr(near_dedup, "ROUNDS", 2)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_dedup.groups(df, 2).collect()
+    check(got, rows, 2)
+    assert len(rounds) <= 2 and sum(not r["kept"] for r in got) > 3
+
+
+def test_block_joins_what_is_near_and_nothing_far():
+    rng = np.random.default_rng(3)
+    sets = [rng.integers(0, 2**63, n).astype(np.uint64) for n in (30, 30, 300, 300, 700, 700)]
+    sets += [np.append(s[:-1], s[:1] + np.uint64(1)) for s in sets]         # a near copy of each
+    sig = near_dedup._signatures(
+        [near_dedup.own_signature(s).tobytes() if len(s) <= near_dedup.OWN else None for s in sets],
+        [near_dedup.signature(s)[:near_dedup.EDGE_BYTES].tobytes() if len(s) >= near_dedup.PLAIN else None for s in sets])
+    want = {(i, i + 6) for i in range(6)}
+    assert set(near_dedup.near_in_block(sig, np.ones(12, bool), 0.8)) == want
+    first = np.arange(12) < 6
+    assert set(near_dedup.near_in_block(sig, first, 0.8)) == want
+    assert near_dedup.near_in_block(sig, np.arange(12) % 6 < 3, 0.8) == []   # the copies are in one chunk
