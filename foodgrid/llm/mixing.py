@@ -13,7 +13,8 @@ no hot source; sums are whole numbers, so reruns agree to the last copy.
 
 Rates are rounded into copies systematically: along each source ordered by
 (size, salt, doc_id) a document takes one more copy than the whole part where
-the running sum of fractions passes a whole number, so a source's words miss
+the running sum of fractions passes a whole number (rows equal in doc_id, text
+and source are one entry with their number, so a row that is a third of all is one row), so a source's words miss
 their target by about one document.  The running sum has four levels, none of
 which grows with a source's documents: blocks of ``SIZE_BLOCK`` sizes, sizes in
 a block, salts of a size, and documents of a (source, size, salt) cell, which
@@ -22,7 +23,7 @@ as that takes).  DataFrame functions only.
 
 Defined cases: null text has size 0; a null source is a source, ordered last;
 a document of size 0 keeps rate 1; a source without words has target 0;
-rows with the same doc_id are rounded as separate rows; an empty table gives
+rows with the same doc_id but other text are rounded apart; an empty table gives
 no rows; other columns are ignored.
 """
 
@@ -113,9 +114,25 @@ def solve_rates(spark, hist: DataFrame, sources: list[dict], steps: int = 60,
 
 def mix(docs: DataFrame) -> DataFrame:
     """doc_id, source, size, source_size, target, rate, copies, taken, rid per row."""
+    groups = mix_groups(docs)
+    columns = ["doc_id", "source", "size", "source_size", "target", "rate", "whole", "extra", "rid", "n"]
+    few = groups.filter(F.col("n") <= DEALT).withColumn("deal", F.lit(0).cast("long")).select(*columns, "deal")
+    many = groups.filter(F.col("n") > DEALT)
+    if not many.isEmpty():   # a row's repeats may be very many: DEALT of them at a time, in any task
+        dealt = many.withColumn("deal", F.explode(F.expr(f"sequence(0L, (n - 1) div {DEALT})")))
+        few = few.unionByName(dealt.select(*columns, "deal").repartition("rid", "deal"))
+    rows = few.withColumn("k", F.explode(F.expr(f"sequence(deal * {DEALT}, least(n, (deal + 1) * {DEALT}) - 1)"))) \
+        .withColumn("copies", F.col("whole") + F.when(F.col("k") < F.col("extra"), 1).otherwise(0))
+    return rows.select("doc_id", "source", "size", "source_size", "target", "rate", "copies",
+                       (F.col("copies") * F.col("size")).alias("taken"), "rid")
+
+
+def mix_groups(docs: DataFrame) -> DataFrame:
+    """One row for the ``n`` rows equal in doc_id, text and source: each takes
+    ``whole`` copies, and ``extra`` of them one more."""
     spark = docs.sparkSession
-    rows = stored(sizes(docs), "sizes")
-    totals = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
+    rows = stored(sizes(docs).groupBy("doc_id", "source", "size", "rid").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    totals = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("size"), F.sum("n").alias("n"))
     # one row per source, not per document; Python orders strings by code point
     found = sorted(((x["source"], x["size"], x["n"]) for x in totals.collect()),
                    key=lambda x: (x[0] is None, x[0] or ""))
@@ -125,10 +142,10 @@ def mix(docs: DataFrame) -> DataFrame:
     names = spark.createDataFrame([(s["source"], s["sid"]) for s in sources],
                                   "name string, sid long")
     salts = max(SALTS, sum(n for _, _, n in found) // CELL)
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(salts)).alias("salt")
+    salt = F.pmod(F.xxhash64("rid"), F.lit(salts)).alias("salt")
     keyed = rows.join(F.broadcast(names), rows["source"].eqNullSafe(names["name"])) \
-        .select("doc_id", "rid", "source", "sid", "size", salt)
-    cells = stored(keyed.groupBy("sid", "size", "salt").agg(F.count(F.lit(1)).alias("n")), "cells")
+        .select("doc_id", "rid", "source", "sid", "size", salt, "n")
+    cells = stored(keyed.groupBy("sid", "size", "salt").agg(F.sum("n").alias("n")), "cells")
     hist = stored(cells.groupBy("sid", "size").agg(F.sum("n").alias("n")), "hist")
     solve_rates(spark, hist, sources)
     solved = spark.createDataFrame(
@@ -152,13 +169,13 @@ def mix(docs: DataFrame) -> DataFrame:
     cells = cells.withColumn("cell_before", before("n", "salt", "sid", "size")).join(rated, ["sid", "size"]) \
         .withColumn("before", F.col("start") + F.col("cell_before") * F.col("part")) \
         .select("sid", "size", "salt", "source_size", "target", "rate", "whole", "part", "before")
-    place = F.row_number().over(Window.partitionBy("sid", "size", "salt").orderBy("doc_id", "rid"))
-    run = F.col("before") + (F.col("place") - 1) * F.col("part") + UNIT // 2
-    extra = F.expr(f"(run + part) div {UNIT} - run div {UNIT}")
-    out = keyed.withColumn("place", place).join(cells, ["sid", "size", "salt"]) \
-        .withColumn("run", run).withColumn("copies", (F.col("whole") + extra).cast("long"))
-    return out.select("doc_id", "source", "size", "source_size", "target", "rate", "copies",
-                      (F.col("copies") * F.col("size")).alias("taken"), "rid")
+    along = Window.partitionBy("sid", "size", "salt").orderBy("doc_id", "rid", "source") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = F.col("before") + F.col("earlier") * F.col("part") + UNIT // 2
+    out = keyed.withColumn("earlier", F.sum("n").over(along) - F.col("n")).join(cells, ["sid", "size", "salt"]) \
+        .withColumn("run", run).withColumn("extra", F.expr(f"(run + n * part) div {UNIT} - run div {UNIT}"))
+    return out.select("doc_id", "rid", "source", "size", "source_size", "target", "rate",
+                      F.col("whole").cast("long").alias("whole"), "extra", "n")
 
 
 def repeat_by_mix(docs: DataFrame) -> DataFrame:
@@ -167,8 +184,8 @@ def repeat_by_mix(docs: DataFrame) -> DataFrame:
     Rows equal in doc_id and text are one row, with the sum of their copies.
     """
     at, of, times, rows, part, copy = unused(docs, "mix_id", "mix_rid", "mix_copies", "mix_rows", "mix_part", "mix_copy")
-    copies = stored(mix(docs).groupBy(F.col("doc_id").alias(at), F.col("rid").alias(of)).agg(
-        F.sum("copies").alias(times), F.count(F.lit(1)).alias(rows)), "copies")
+    copies = stored(mix_groups(docs).groupBy(F.col("doc_id").alias(at), F.col("rid").alias(of)).agg(
+        F.sum(F.col("whole") * F.col("n") + F.col("extra")).alias(times), F.sum("n").alias(rows)), "copies")
     repeated = not copies.filter(F.col(rows) > 1).isEmpty()
     if repeated:
         docs = one_each(docs, docs["doc_id"].cast("long"), F.coalesce(docs["text"], F.lit("")))

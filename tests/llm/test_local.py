@@ -356,3 +356,28 @@ def test_toxicity_time_is_linear_in_the_text():
         model.evidence(text)
         took.append(time.thread_time() - t)
     assert took[1] < 8 * took[0] * 4, took
+
+
+def test_mixing_of_a_row_that_is_a_third_of_all(spark, monkeypatch):
+    """Equal rows are one entry: no cell holds them, and each still gets its own output row."""
+    monkeypatch.setattr(mixing, "DEALT", 64)
+    hot = [(7, "three words here", "a")] * 5000
+    rest = [(i, " ".join(["w"] * (1 + i % 9)), "abc"[i % 3]) for i in range(100, 3100)]
+    nulls = [(None, " ".join(["n"] * (i % 5)) + f" {i}", "b") for i in range(2000)]
+    rows = hot + rest + nulls
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    seen = mixing.mix_groups(df).cache()
+    assert seen.count() == 1 + len(rest) + len(nulls) and seen.agg({"n": "max"}).first()[0] == 5000
+    got = mixing.mix(df).collect()
+    assert Counter((r["doc_id"], r["size"], r["source"]) for r in got) == \
+        Counter((d, len(WORDS.findall(t)), s) for d, t, s in rows)
+    size = defaultdict(int)
+    for _, t, s in rows:
+        size[s] += len(WORDS.findall(t))
+    for s, target in zip("abc", mixing.share_targets(sorted(size.items())), strict=True):
+        assert abs(sum(r["taken"] for r in got if r["source"] == s) - target) <= 20
+        assert all(r["taken"] <= 3 * r["size"] for r in got)
+    copies = Counter(r["copies"] for r in got if r["doc_id"] == 7)
+    assert len(copies) <= 2 and sum(copies.values()) == 5000
+    again = Counter(map(tuple, mixing.mix(df.repartition(3)).collect()))
+    assert again == Counter(map(tuple, got))
