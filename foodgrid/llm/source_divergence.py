@@ -48,7 +48,6 @@ SLICE_TERMS, SAMPLED = 1_000_000, 1024
 LIMIT = 4 << 20                # bytes of text cut into terms at once
 HELD = 1 << 20                 # tokens or sums held in a task
 ROW = 1 << 15                  # tokens in a row for the vocabulary
-TASK_BYTES = 64 << 20          # of files that a task prepares for the vocabulary, where the input has more tasks
 BLOCK, TERMS = 64, 512
 CHUNK = 64                     # terms compared at once in a block
 #: Between language and term: no term has it, so the last one splits a token.
@@ -128,12 +127,7 @@ def supports(docs: DataFrame, min_docs: int) -> DataFrame:
     """(tokens, some): rows for the vocabulary alone.  A task counts in how many
     of its documents each token is, and puts the token into as many rows, but
     not over ``min_docs``: a token is in ``min_docs`` documents exactly if it is
-    in ``min_docs`` of these rows.  ``some`` are a row's tokens of sampled terms.
-    A task of many documents lists a frequent token once for all of them, so
-    small input splits are read together."""
-    spark = docs.sparkSession
-    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))   # an estimate, of files
-    tasks = max(spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+    in ``min_docs`` of these rows.  ``some`` are a row's tokens of sampled terms."""
 
     def run(batches):
         held, size = [], 0
@@ -161,17 +155,13 @@ def supports(docs: DataFrame, min_docs: int) -> DataFrame:
             flag[code[sampled]] = True
             held.append(pa.table({"t": terms, "n": np.bincount(own, minlength=len(terms)), "some": flag}))
             size += len(terms)
-            if size > 4 * HELD:     # the blocks of a task have most of their tokens in common
-                held = [pa.concat_tables(held).group_by("t").aggregate([("n", "sum"), ("some", "max")])
-                        .rename_columns(["t", "n", "some"])]
-                size = len(held[0])
-                if size > HELD:
-                    yield from out()
-                    held, size = [], 0
+            if size > HELD:
+                yield from out()
+                held, size = [], 0
         if held:
             yield from out()
 
-    return _input(docs).coalesce(min(tasks, 1 << 20)).mapInArrow(tidy(run), "tokens array<string>, some array<string>")
+    return _input(docs).mapInArrow(tidy(run), "tokens array<string>, some array<string>")
 
 
 def fit(rows: DataFrame, min_docs: int) -> tuple[CountVectorizerModel, DataFrame]:
