@@ -1,4 +1,4 @@
-"""Physical-plan summary of every registered query.
+"""Physical-plan summary of every listings query, as the table in PLANS.md.
 
     python tools/plan_report.py [sf_dir]
 
@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import contextlib
 import io
-import json
 import os
 import re
 import sys
@@ -39,19 +38,24 @@ def main() -> None:
     os.environ.setdefault("PYSPARK_SUBMIT_ARGS",
                           "--conf spark.ui.showConsoleProgress=false pyspark-shell")
     from foodgrid.session import build_session
-    import __spark_entry__ as E
+    from foodgrid.plans import queries as Q
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("plans", master="local[8]", shuffle_partitions=8,
-                          checkpoint_dir="/tmp/foodgrid-plan-ckpt")
+    spark = build_session("plans", master="local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
-    out = {}
-    for name, q in sorted(E.queries().items()):
+    columns = ["shuffles", "broadcasts", "smj", "bhj", "aggregates", "windows", "single_partition"]
+    print("| query | shuffles | broadcasts | SMJ | BHJ | aggregates | windows | single-partition |")
+    print("|" + "---|" * 8)
+    bad = []
+    for name, q in sorted(Q.REGISTRY.items()):
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             q(spark, sf_dir).explain()
-        out[name] = summarize(buf.getvalue())
-        print(name, json.dumps(out[name]), flush=True)
+        got = summarize(buf.getvalue())
+        bad += [name] * bool(got["cartesian_or_nlj"] or got["python"])
+        print(f"| {name} | " + " | ".join(str(got[c]) for c in columns) + " |", flush=True)
     spark.stop()
+    if bad:
+        print("cartesian, nested-loop or Python:", bad)
 
 
 if __name__ == "__main__":
