@@ -191,12 +191,13 @@ def summed(batches):
 
     def out():
         lang, source = (pa.array([g[i] for g in group], pa.string()) for i in (0, 1))
-        of, idx = keys >> 32, keys & 0xFFFFFFFF
+        order = np.argsort(keys)    # neighbours alike: smaller shuffle files
+        of, idx, n = keys[order] >> 32, keys[order] & 0xFFFFFFFF, counts[order]
         for x in range(0, len(keys), 1 << 17):
             part = slice(x, x + (1 << 17))
             who = pa.array(of[part])
             yield pa.RecordBatch.from_arrays(
-                [lang.take(who), source.take(who), pa.array(idx[part]), pa.array(counts[part])],
+                [lang.take(who), source.take(who), pa.array(idx[part]), pa.array(n[part])],
                 ["lang", "source", "idx", "count"])
 
     for b in batches:
