@@ -1,7 +1,8 @@
 """Sharding by sampled splitters (operator 7), under the law ``bytes``.
 
-Records are ordered by (xxhash64 of the text, doc_id), so equal texts lie
-together and a hot group can still be cut by id.  A sample, drawn with
+Records are ordered by (xxhash64 of the text, doc_id, salt), so equal texts lie
+together and a hot group can still be cut by id, and rows equal in both by
+the salt, a number that each row gets when the records are written.  A sample, drawn with
 probability in proportion to size, gives quantile boundaries; records are
 range-partitioned by them, and a range that holds more than ``OVERFULL``
 times its share is subdivided with a denser sample of its own until none is.
@@ -11,7 +12,7 @@ shard, whose sizes differ by about one record.
 
 Only ids, sizes and hashes are shuffled.  Defined cases: null text has size 1
 and the crc of the empty text; empty tables give no rows; repeated rows are
-separate records, ties in the order share nothing but their neighbourhood;
+separate records, which may lie in several ranges and shards;
 a null doc_id sorts first; other columns are ignored.
 """
 
@@ -29,24 +30,27 @@ from .base import stored
 #: Sampled keys wanted for each range: the sample has about SAMPLES * ranges rows.
 SAMPLES = 16
 OVERFULL = 2.0
-RECORD = ("key long, doc_id long, size long, text_crc32 long")
+#: The order of the records; boundaries have these three values.
+ORDER = ["key", "doc_id", "salt"]
 
 
 def records(docs: DataFrame) -> DataFrame:
     text = F.coalesce(docs["text"], F.lit(""))
     return docs.select(F.xxhash64(text).alias("key"), docs["doc_id"].cast("long").alias("doc_id"),
                        (F.octet_length(text).cast("long") + 1).alias("size"),
-                       F.crc32(text.cast("binary")).alias("text_crc32"))
+                       F.crc32(text.cast("binary")).alias("text_crc32"),
+                       F.xxhash64(F.monotonically_increasing_id()).alias("salt"))
 
 
 def _draw(rows: DataFrame, wanted: int, total: int) -> list[tuple]:
     """Keys drawn with probability size * wanted / total, at most 1; the draw
-    depends on the record alone, so a retried task draws the same.  About
-    ``wanted`` rows come to the driver, whatever the input."""
+    depends on the stored record alone, so a retried task draws the same.  About
+    ``wanted`` rows come to the driver, whatever the input: equal rows are drawn
+    one by one, by their salts."""
     chance = F.col("size") * F.lit(wanted / max(1, total))
-    u = F.pmod(F.xxhash64("key", "doc_id", F.lit(11)), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    return sorted((x["key"], _low(x["doc_id"])) for x in
-                  rows.filter(u < chance).select("key", "doc_id").collect())
+    u = F.pmod(F.xxhash64(*ORDER, F.lit(11)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    return sorted((x["key"], _low(x["doc_id"]), x["salt"]) for x in
+                  rows.filter(u < chance).select(*ORDER).collect())
 
 
 def _low(doc_id) -> int:
@@ -60,23 +64,25 @@ def splitters(sample: list[tuple], parts: int) -> list[tuple]:
 
 
 def with_range(rows: DataFrame, bounds: list[tuple]) -> DataFrame:
-    """Adds ``range``: how many boundaries are at or below (key, doc_id)."""
-    keys = np.array([b[0] for b in bounds], np.int64)
-    ids = np.array([b[1] for b in bounds], np.int64)
+    """Adds ``range``: how many boundaries are at or below (key, doc_id, salt)."""
+    edges = np.array(bounds, np.int64).reshape(-1, 3).T
 
     @F.pandas_udf("long")
-    def place(key: pd.Series, doc_id: pd.Series) -> pd.Series:
-        k, d = key.to_numpy(np.int64), doc_id.to_numpy(np.int64)
-        out = np.searchsorted(keys, k, side="left")
-        for _ in range(len(keys) + 1):  # boundaries of one key: as many as cut a hot group
-            at = np.minimum(out, max(0, len(keys) - 1))
-            step = (out < len(keys)) & (keys[at] == k) & (ids[at] <= d) if len(keys) else out < 0
-            if not step.any():
-                break
-            out = out + step
-        return pd.Series(out)
-
-    return rows.withColumn("range", place("key", F.coalesce("doc_id", F.lit(_low(None)))))
+    def place(key: pd.Series, doc_id: pd.Series, salt: pd.Series) -> pd.Series:
+        row = [x.to_numpy(np.int64) for x in (key, doc_id, salt)]
+        low = np.zeros(len(key), np.int64)
+        high = np.full(len(key), edges.shape[1], np.int64)
+        while (low < high).any():   # halves every row's interval
+            at = np.minimum((low + high) // 2, edges.shape[1] - 1)
+            below = np.ones(len(key), bool)
+            for e, r in zip(edges[::-1], row[::-1], strict=True):
+                below = (e[at] < r) | ((e[at] == r) & below)
+            todo = low < high
+            low = np.where(todo & below, at + 1, low)
+            high = np.where(todo & ~below, at, high)
+        return pd.Series(low)
+
+    return rows.withColumn("range", place("key", F.coalesce("doc_id", F.lit(_low(None))), "salt"))
 
 
 def shard_by_bytes(docs: DataFrame, shards: int = 16, ranges: int | None = None) -> DataFrame:
@@ -112,9 +118,9 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, ranges: int | None = None)
         offsets.append((x["range"], b, n))
         b, n = b + x["bytes"], n + x["n"]
     offset = spark.createDataFrame(offsets, "range long, bytes_before long, rows_before long")
-    order = Window.partitionBy("range").orderBy("key", "doc_id", "size", "text_crc32") \
+    order = Window.partitionBy("range").orderBy(*ORDER) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # a range has about OVERFULL * share bytes at most: no window sees a hot key whole
+    # a range has about OVERFULL * share bytes at most: no window sees a hot key or row whole
     placed = ranged.repartition("range") \
         .withColumn("upto", F.sum("size").over(order)) \
         .withColumn("place", F.count(F.lit(1)).over(order)) \
