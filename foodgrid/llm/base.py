@@ -28,13 +28,16 @@ def lower_ascii(col):
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder below the cluster's ``spark.checkpoint.dir``.
 
-    Only where that is unset (tests, a laptop) a local folder is made and
-    set for the session.
+    Only where that is unset and the master is local (tests, a laptop) a local
+    folder is made and set for the session; a cluster without one is an error,
+    since its executors could not see the driver's folder.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) \
         or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="corpus-scratch-")
         sc.setCheckpointDir(base)
     return f"{base.rstrip('/')}/corpus-{uuid.uuid4().hex}"

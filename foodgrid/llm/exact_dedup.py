@@ -7,6 +7,11 @@ task), sort-merge anti-joined to the index (which is read bucket by bucket,
 without a shuffle), and what is new is appended.  Only digests and ids are
 shuffled, never texts.  DataFrame functions only.
 
+The index grows over many batches: a digest that it holds already gets one more
+row per batch, with the batch's number of rows and no id, so ``group_size``
+counts the rows of all batches so far and a digest that becomes hot later is seen.
+A digest's rows share a bucket, and are added up there without a shuffle.
+
 Defined cases: null text counts as empty; empty texts are one group; a null
 doc_id is smaller than any other; rows equal in all columns are rows of one
 group (``kept`` is then true for each row that carries the largest id);
@@ -41,10 +46,19 @@ class DigestIndex:
     def table(self) -> DataFrame:
         return self.spark.table(self.name)
 
+    def groups(self) -> DataFrame:
+        """(digest, keep_id, group_size), one row per digest."""
+        return self.table().groupBy("digest").agg(F.max("keep_id").alias("keep_id"),
+                                                  F.sum("group_size").alias("group_size"))
+
     def ingest(self, groups: DataFrame) -> None:
-        """Append the groups (digest, keep_id, group_size) whose digest is new."""
-        new = groups.join(self.table().select("digest").hint("merge"), "digest", "left_anti")
-        (new.select("digest", "keep_id", "group_size").repartition(self.buckets, "digest")
+        """Append the groups (digest, keep_id, group_size) whose digest is new,
+        and what the others add to their digests' sizes."""
+        known = self.table().select("digest").hint("merge")
+        new = groups.join(known, "digest", "left_anti").select("digest", "keep_id", "group_size")
+        more = groups.join(known, "digest", "left_semi") \
+            .select("digest", F.lit(None).cast("long").alias("keep_id"), "group_size")
+        (new.unionByName(more).repartition(self.buckets, "digest")
             .write.format("parquet").mode("append")
             .bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.name))
 
@@ -68,13 +82,14 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None, buckets: int
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
     Against a given index, ``keep_id`` of a digest it already holds is the
-    index's, and no new row of that digest is kept.
+    index's, no row with another id is kept, and ``group_size`` counts the
+    digest's rows of all batches, this one included.
     """
     spark = docs.sparkSession
     index = index or DigestIndex(spark, buckets=buckets)
     rows = stored(digests(docs), "digests")  # each text is digested once
     index.ingest(group_digests(rows))
-    table = index.table()
+    table = index.groups()
     # A digest with a third of all rows must not meet in one task: the hot
     # ones are HOT_SHARE rows at most, so they alone are broadcast.
     total = table.agg(F.sum("group_size")).first()[0] or 0
