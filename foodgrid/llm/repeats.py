@@ -205,8 +205,9 @@ def classes(found: DataFrame, within_document: bool) -> DataFrame:
 
 def with_lists(docs: DataFrame, found: DataFrame, name: str, *columns) -> DataFrame:
     """``docs`` with a list of structs per row (null: none).  A list is no
-    longer than its document."""
-    lists = found.groupBy("doc_id", "rid").agg(F.collect_list(F.struct(*columns)).alias(name))
+    longer than its document: what equal rows of a document found, as often as
+    the row is repeated, counts once."""
+    lists = found.groupBy("doc_id", "rid").agg(F.collect_set(F.struct(*columns)).alias(name))
     return docs.join(lists, same_row(docs, lists), "left").select(
         docs["doc_id"], docs["rid"], docs["text"], lists[name])
 
