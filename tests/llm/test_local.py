@@ -198,6 +198,15 @@ def test_digest_index_persists(spark):
     got = by_id(exact_dedup.exact_dedup(new((9, "a"), (10, "c")), again))
     assert (got[9]["keep_id"], got[9]["kept"]) == (3, False)
     assert (got[10]["keep_id"], got[10]["kept"]) == (10, True)
+    assert (got[9]["group_size"], got[10]["group_size"]) == (3, 1)
+    third = [(20 + i, "A" if i % 2 else "d") for i in range(40)]
+    got = by_id(exact_dedup.exact_dedup(new(*third), again))
+    assert {(g["keep_id"], g["group_size"]) for g in got.values()} == {(3, 23), (58, 20)}
+    assert [d for d, g in got.items() if g["kept"]] == [58]
+    groups = {r["keep_id"]: r["group_size"] for r in again.groups().collect()}
+    assert groups == {3: 23, 2: 1, 10: 1, 58: 20}
+    plan = again.groups()._jdf.queryExecution().toString()
+    assert "Exchange" not in plan.split("== Physical Plan ==")[1]
     plan = new((9, "a")).select(exact_dedup.F.lit(b"x").alias("digest")).join(
         again.table().hint("merge"), "digest", "left_anti")._jdf.queryExecution().toString()
     assert plan.split("== Physical Plan ==")[1].count("Exchange hashpartitioning") <= 1
@@ -233,6 +242,28 @@ def test_shards_split_a_hot_key(spark):
     assert max(Counter(r["split_range"] for r in got).values()) < 200
 
 
+def test_shards_split_a_row_that_is_a_third_of_all(spark, monkeypatch):
+    drawn, draw = [], sharding._draw
+    monkeypatch.setattr(sharding, "_draw", lambda *a: drawn.append(draw(*a)) or drawn[-1])
+    docs = spark.range(30_000).selectExpr("if(id % 3 = 0, 7, id) as doc_id", "if(id % 3 = 0, 'the same row', "
+                                          "concat('text ', id)) as text").repartition(5)
+    got = sharding.shard_by_bytes(docs, ranges=100).collect()
+    check_shards(got, [r["size"] for r in got])
+    assert max(Counter(r["split_range"] for r in got).values()) < 1200     # 300 are an even share
+    assert max(map(len, drawn)) < 2 * sharding.SAMPLES * 100
+    assert len({r["shard"] for r in got if r["doc_id"] == 7}) > 4
+
+
+def test_ranges_count_boundaries_at_or_below(spark):
+    bounds = sorted({(random.Random(i).randrange(3), i % 4, i % 5) for i in range(40)})
+    rows = [(k, d, s) for k in range(-1, 4) for d in (None, 0, 1, 2, 3, 4) for s in range(-1, 6)]
+    df = spark.createDataFrame(rows, "key long, doc_id long, salt long")
+    low = lambda d: -(1 << 63) if d is None else d
+    for some in (bounds, bounds[:1], []):
+        for r in sharding.with_range(df, some).collect():
+            assert r["range"] == sum(b <= (r["key"], low(r["doc_id"]), r["salt"]) for b in some)
+
+
 # --- 8 --------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")

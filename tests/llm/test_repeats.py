@@ -146,3 +146,21 @@ def test_odd_rows(spark, odd, none):
     assert got[5]["n_removed"] == 0 and got[6]["n_removed"] == len(LONG.split())
     got = by_id(suffix_dedup.remove_repeats(odd))
     assert got[10]["kept"] == b"x" and got[6]["kept"] == b"end"
+
+
+def test_lists_do_not_grow_with_repeated_rows(spark):
+    """A row that is a third of all: its list is as long as that of one such row."""
+    rng = random.Random(5)
+    ws = [rng.choice(["aa", "b", "cc", "d"]) + str(rng.randrange(9)) for _ in range(300)]
+    text = " ".join(ws + ws[40:120])
+    rows = [(7, text)] * 500 + [(100 + i, " ".join(ws[i % 90:i % 90 + 40])) for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for module, units, window, k, inside in ((suffix_dedup, repeats.byte_units, 100, 12, True),
+                                             (subtree_dedup, repeats.word_units, 13, 3, False)):
+        own = repeats.texts(docs)
+        found = repeats.classes(repeats.runs(own, units, window, k), inside)
+        lists = repeats.with_lists(own, found, "found", "seed", "a", "n")
+        assert lists.count() == 1500
+        assert lists.selectExpr("max(size(found))").first()[0] <= len(text)
+        once = {tuple(r) for r in module.remove_repeats(docs).filter("doc_id = 7").collect()}
+        assert len(once) == 1      # equal rows, equal results
