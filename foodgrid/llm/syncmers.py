@@ -3,9 +3,12 @@
 A k-mer of code points is a closed syncmer when the smallest hash among its
 s-mers stands at its first or last place.  That depends on the k-mer alone,
 so the same passage gives the same anchors wherever it stands.  The
-fingerprint of a text keeps its ``ANCHORS`` anchors of smallest hash, written
+fingerprint of a text keeps all anchors with a hash below ``ALWAYS`` (one in 16,
+so their number grows with the text, and a passage keeps the same ones in every
+text), and at least its ``ANCHORS`` anchors of smallest hash, written
 as 8 hex digits each in text order.  The likeness of two fingerprints is read
-from the two strings: of the smallest hashes of both together, the share
+from the two strings: of the hashes below ``ALWAYS`` of both together, or the
+``ANCHORS`` smallest if those are more, the share
 found in both in the same order (a longest increasing chain, so anchors
 that match by chance elsewhere in the text do not count).
 
@@ -16,9 +19,9 @@ k-mers as anchors; two empty fingerprints have likeness 1, one empty and one not
 equal texts have equal fingerprints and likeness 1.  In ``with_edited`` the
 next document is the one with the next doc_id (null first; rows of one doc_id
 in order of their text), the last one's next is the first; a single document
-is its own next.  Long texts are hashed in overlapping segments, so memory
-does not grow with the text.  An empty table gives no rows; other columns are
-ignored.
+is its own next.  Long texts are hashed in overlapping segments, so besides
+the text only its anchors (about one in 88 code points) are held.  An empty
+table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ from pyspark.sql import functions as F
 from .textarrays import gram_hash, mix, tidy, window_min
 
 K, S, ANCHORS = 16, 6, 64
+ALWAYS = 1 << 28      # of hashes below 2**32
 SEGMENT = 1 << 19     # code points hashed at once
 SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
           "edited_fingerprint string, near_edited double, near_next double, n_anchors int")
@@ -65,15 +69,17 @@ def _kmers(codes: np.ndarray, k: int, at: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def _smallest(h: np.ndarray, at: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
-    """The m smallest distinct hashes with their first positions."""
+    """The distinct hashes below ``ALWAYS``, the m smallest at least, with their first positions."""
     if len(h) > 4 * m:  # only the lowest part need be sorted
-        cut = np.partition(h, 2 * m)[2 * m]
+        cut = max(np.partition(h, 2 * m)[2 * m], np.uint32(ALWAYS))
         part = h <= cut
         u, first = np.unique(h[part], return_index=True)
+        n = max(m, int(np.searchsorted(u, ALWAYS)))
         if len(u) >= m:
-            return u[:m], at[part][first[:m]]
+            return u[:n], at[part][first[:n]]
     u, first = np.unique(h, return_index=True)
-    return u[:m], at[first[:m]]
+    n = max(m, int(np.searchsorted(u, ALWAYS)))
+    return u[:n], at[first[:n]]
 
 
 def sketch(texts: list[str], k: int = K, s: int = S, m: int = ANCHORS) -> list[tuple]:
@@ -146,11 +152,10 @@ def likeness_of(a: np.ndarray, b: np.ndarray, m: int = ANCHORS) -> float:
     both = sb[at] == sa
     if not both.any():
         return 0.0
-    union = len(a) + len(b) - int(both.sum())
-    size = min(union, m)
-    # the m smallest of both together; beyond them a sketch says nothing
-    limit = np.partition(np.union1d(sa, sb), size - 1)[size - 1]
-    both &= sa <= limit
+    union = np.union1d(sa, sb)
+    # all below ALWAYS, m at least; beyond them a sketch says nothing
+    size = max(min(len(union), m), int(np.searchsorted(union, ALWAYS)))
+    both &= sa <= union[size - 1]
     order = np.argsort(ia[both])
     return _chain(ib[at[both]][order]) / size
 

@@ -69,7 +69,8 @@ def test_sketch_is_the_smallest_syncmers_in_text_order():
     for m in (8, 64):
         for t, got in zip(texts, syncmers.sketch(texts, 16, 6, m), strict=True):
             every = brute_anchors(t, 16, 6) or brute_anchors(t, 16, 16)  # without any: all k-mers
-            want = sorted(sorted(every)[:m], key=every.get)
+            low = sum(h < syncmers.ALWAYS for h in every)
+            want = sorted(sorted(every)[:max(m, low)], key=every.get)
             assert got.tolist() == want
 
 
@@ -85,6 +86,38 @@ def test_short_texts_without_syncmers_differ():
     assert all(len(a) for a in syncmers.sketch([one, one[:18], one[1:]]))
 
 
+def test_long_texts_show_a_shared_passage():
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9)))
+    for _ in range(5):
+        passage = [word() for _ in range(80)]
+        texts = []
+        for n in (20_000, 20_000):
+            ws = [word() for _ in range(n)]
+            at = rng.randrange(n)
+            texts.append(" ".join(ws[:at] + passage + ws[at:]))
+        other = " ".join(word() for _ in range(20_000))
+        a, b, c = syncmers.sketch([*texts, other])
+        assert len(a) > 600
+        assert len(np.intersect1d(a, b)) >= 2 and syncmers.likeness_of(a, b) > 0
+        assert syncmers.likeness_of(a, c) < syncmers.likeness_of(a, b)
+
+
+def test_likeness_counts_the_complete_part():
+    rng = random.Random(4)
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (300, 2000, 30_000)]
+    texts = base + [t[:len(t) // 2] for t in base] + [base[2][:20_000] + base[1]]
+    for a, x in zip(texts, syncmers.sketch(texts), strict=True):
+        for b, y in zip(texts, syncmers.sketch(texts), strict=True):
+            one, two = brute_anchors(a, 16, 6), brute_anchors(b, 16, 6)
+            both = sorted(set(one) | set(two))
+            part = both[:max(64, sum(h < syncmers.ALWAYS for h in both))]
+            common = sum(h in one and h in two for h in part) / len(part)
+            assert syncmers.likeness_of(x, y) <= common + 1e-9
+            if b.startswith(a) or a.startswith(b):
+                assert syncmers.likeness_of(x, y) == pytest.approx(common)
+
+
 def test_op1_matches_definition(spark, rows):
     got = by_id(queries.op1_syncmer_fingerprints(spark, SF))
     ids = [r[0] for r in rows]
