@@ -496,9 +496,9 @@ def q_append_ledger(spark, d):
 def q_landing_overwrite(spark, d):
     """Every pair lands, then every tenth location again with half of its hits."""
     folder, landed = shared_folder(spark, "landing"), _landed(spark, d)
-    writers.write_landing(landed.drop("l_orderkey"), folder)
-    writers.write_landing(landed.filter((F.col("location_index") % 10 == 0) & (F.col("l_orderkey") % 2 == 0))
-                          .drop("l_orderkey"), folder)
+    again = landed.filter((F.col("location_index") % 10 == 0) & (F.col("l_orderkey") % 2 == 0))
+    for rows in (landed, again):
+        writers.write_landing(rows.drop("l_orderkey"), folder, compression="gzip")
     return files.read_landing_partitioned(spark, folder).select("id", "url", "price", "term", "location_index")
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.dedup import Order, asc, first_per_key
 from ..schemas import LEGACY_RAW_COLUMNS, RAW, RAW_REQUIRED
@@ -27,13 +28,27 @@ def pair_files(hits: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
         *PAIR, F.ceil(F.col("pair_bytes") / target_bytes).cast("int").alias("pair_files"), "pair_bytes", "pair_rows")
 
 
-def write_landing(hits: DataFrame, path: str, target_bytes: int = TARGET_BYTES) -> None:
-    """NDJSON per (term, location_index) in files of about ``target_bytes``.
+def _told_by_json(kind: T.DataType) -> bool:
+    """Whether the JSON text of a value gives the value back."""
+    if isinstance(kind, T.StructType):
+        return all(_told_by_json(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return _told_by_json(kind.elementType)
+    return type(kind) in (T.StringType, T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType,
+                          T.FloatType, T.DoubleType)
+
+
+def write_landing(hits: DataFrame, path: str, target_bytes: int = TARGET_BYTES, compression: str = "none") -> None:
+    """NDJSON per (term, location_index) in files of about ``target_bytes`` of text.
 
     The pairs' sizes are measured first, so a small pair is one file and a hot
     one is split over as many tasks as it has files, in proportion.  Dynamic
     partition overwrite: re-landing a pair replaces that pair's files only,
     as the 'w' mode of the original per-file writer did.
+
+    Rows of plain JSON types are shuffled as their JSON text, which is three
+    fifths of the rows' own form; ``compression`` is the JSON writer's: with
+    "gzip" the files are a tenth of the text (a file is not split by its reader).
     """
     spark = hits.sparkSession
     measured = pair_files(hits, target_bytes)
@@ -43,19 +58,27 @@ def write_landing(hits: DataFrame, path: str, target_bytes: int = TARGET_BYTES)
     all_ = measured.agg(F.sum("pair_files"), F.sum("pair_bytes"), F.sum("pair_rows")).first()
     if all_[0] is None:
         return
-    tasks = max(1, min(all_[0], int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    sized = hits.withColumn("landing_salt", F.xxhash64(F.to_json(F.struct(*hits.columns))))
+    # no more tasks than files; no task has much more than a file's share
+    tasks = max(1, min(all_[0], max(int(spark.conf.get("spark.sql.shuffle.partitions")), all_[1] // target_bytes)))
+    fields = T.StructType([f for f in hits.schema if f.name not in PAIR])
+    line = F.to_json(F.struct(*fields.names))
+    as_text = _told_by_json(fields)
+    sized = hits.select(*PAIR, *([line.alias("landing_line")] if as_text else fields.names),
+                        F.xxhash64(line).alias("landing_salt"))
     on = F.lit(True)
     sizes = measured.select(*[F.col(c).alias(f"of_{c}") for c in PAIR], "pair_files")
     for c in PAIR:
         on = on & sized[c].eqNullSafe(sizes[f"of_{c}"])
-    salted = sized.join(sizes, on).select(*[sized[c] for c in hits.columns], F.pmod(
-        "landing_salt", "pair_files").alias("landing_salt"))
+    kept = [sized[c] for c in sized.columns if c != "landing_salt"]
+    dealt = sized.join(sizes, on).select(*kept, F.pmod("landing_salt", "pair_files").alias("landing_salt")) \
+        .repartition(tasks, *PAIR, "landing_salt").drop("landing_salt")
+    if as_text:
+        dealt = dealt.select(*PAIR, F.from_json("landing_line", fields, {"mode": "FAILFAST"}).alias("landing_row")) \
+            .select("landing_row.*", *PAIR)
     # files of one pair that meet in a task are cut apart again by their rows
-    (salted.repartition(tasks, *PAIR, "landing_salt").drop("landing_salt")
-           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .option("maxRecordsPerFile", max(1, target_bytes * all_[2] // all_[1]))
-           .partitionBy(*PAIR).json(path))
+    (dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .option("maxRecordsPerFile", max(1, target_bytes * all_[2] // all_[1])).option("compression", compression)
+          .partitionBy(*PAIR).json(path))
     remove(spark, folder)
 
 
