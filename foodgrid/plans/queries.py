@@ -452,6 +452,7 @@ def q_view_read(spark, d):
 
 LEGACY_KINDS = {"is_closed": "boolean", "review_count": "bigint", "rating": "double"}
 LEGACY_DDL = ", ".join(f"{c} {LEGACY_KINDS.get(c, 'string')}" for c in writers.LEGACY_RAW_COLUMNS)
+LANDED = "*.json.gz"
 RAW_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RAW.fields)
 
 
@@ -484,11 +485,12 @@ def q_append_ledger(spark, d):
         "*", F.col("_metadata.file_path").alias("file_path"))
     clean_ = lambda h: pipeline.raw_rows(h, cities(spark, d), gazetteer=gazetteer(spark, d),
                                          passthrough=["file_path"])
-    writers.write_landing(_landed(spark, d).filter(order % 3 != 0).drop("l_orderkey"), folder)
-    table.load(folder, read, clean_)
-    table.load(folder, read, clean_)
-    writers.write_landing(_landed(spark, d).filter(F.col("location_index") % 10 == 0).drop("l_orderkey"), folder)
-    table.load(folder, read, clean_)
+    land = lambda h: writers.write_landing(h.drop("l_orderkey"), folder, compression="gzip")
+    land(_landed(spark, d).filter(order % 3 != 0))
+    table.load(folder, read, clean_, LANDED)
+    table.load(folder, read, clean_, LANDED)
+    land(_landed(spark, d).filter(F.col("location_index") % 10 == 0))
+    table.load(folder, read, clean_, LANDED)
     return _json_arrays(table.rows())
 
 

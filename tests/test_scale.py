@@ -45,6 +45,7 @@ def test_landing_queries_write_compressed_files(spark, monkeypatch):
     shared = Q.shared_folder
     monkeypatch.setattr(Q, "shared_folder", lambda s, name: made.append(shared(s, name)) or made[-1])
     assert Q.REGISTRY["landing_overwrite"](spark, SF).count() > 0
+    assert Q.REGISTRY["append_ledger"](spark, SF).count() > 0
     for folder in [f.removeprefix("file://") for f in made if os.path.basename(f).startswith("landing-")]:
         found = glob.glob(f"{folder}/**/part-*", recursive=True)
         assert found and all(f.endswith(".json.gz") for f in found)
