@@ -118,18 +118,18 @@ def businesses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per part: every attribute of the business that does not depend
     on the individual search hit, computed once per business.
 
-    ``b_key`` is the part key as text.  Joined by it, a filter on an attribute
-    stays on this side: with the number itself as the key, the optimizer
-    would rewrite every such filter in terms of ``l_partkey`` and evaluate it
-    once per line item as well (30x the rows).  The columns are SQL text: one
-    call to the JVM each, and not one for every operator in them.
+    The ``id`` has the part key as text, ``b_width`` its length.  Joined by them,
+    a filter on an attribute stays on this side: with the number itself as the
+    key, the optimizer would rewrite every such filter in terms of ``l_partkey``
+    and evaluate it once per line item as well (30x the rows).  The columns are
+    SQL text: one call to the JVM each, and not one for every operator in them.
     """
     key = "cast(p_partkey as string)"
     alias = (f"if(p_partkey % 10 = 4 and p_partkey % 3 = 0, 'pho', "
              f"concat(replace(p_name, ' ', '-'), '-', {key}))")
     phone = "lpad(cast(p_partkey % 10000000 as string), 7, '0')"
     return table(spark, sf_dir, "part").selectExpr(
-        f"{key} as b_key",
+        f"length({key}) as b_width",
         f"concat('b', {key}) as id",
         f"{alias} as alias",
         "case p_partkey % 10 when 3 then concat('Cafe ', p_name) when 4 then concat('Pho ', p_name) "
@@ -168,13 +168,20 @@ def search_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     and changes of url, price and address, so hits of one id differ.
 
     ``part`` grows with the data (one row per 30 hits), so it is joined the
-    way it must be at scale: a sort-merge join on the part key, whose skewed
+    way it must be at scale: a sort-merge join on the business id, whose skewed
     keys AQE splits.  Hashing the hits over the shuffle partitions also
     spreads the cleaning work evenly whatever the scan's file layout (a
     single large row group would otherwise feed one task).
+
+    The hits leave the join some 50 times as wide as they came, in its order by
+    id, so a pick by id combines them as they pass; a sort of them by another
+    column holds gigabytes in a task.  The key's length is a second join column:
+    hashed by both, the hits of one id are not taken for gathered already, and a
+    skewed id may still be split.
     """
     li = table(spark, sf_dir, "lineitem").selectExpr(
-        "l_orderkey", "cast(l_partkey as string) as l_key", "l_suppkey", "l_linenumber", "l_quantity")
+        "l_orderkey", "concat('b', cast(l_partkey as string)) as l_id", "l_suppkey", "l_linenumber", "l_quantity",
+        "length(cast(l_partkey as string)) as l_width")
     biz = businesses(spark, sf_dir)
     hit = {
         "url": "concat(url, '?v=', cast(l_orderkey % 3 as string)) as url",
@@ -183,8 +190,8 @@ def search_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "location.address1), 'address2', location.address2, 'city', location.city, "
                     "'state', location.state, 'zip_code', location.zip_code) as location",
     }
-    cols = [hit.get(c, c) for c in biz.columns if c != "b_key"]
-    return li.join(biz.hint("merge"), li["l_key"] == biz["b_key"]).selectExpr(
+    cols = [hit.get(c, c) for c in biz.columns if c != "b_width"]
+    return li.join(biz.hint("merge"), (li["l_id"] == biz["id"]) & (li["l_width"] == biz["b_width"])).selectExpr(
         *cols[:6],
         "if(l_quantity > 1, cast(floor(l_quantity / 10) as bigint), null) as review_count",
         *cols[6:],

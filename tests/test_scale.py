@@ -7,12 +7,52 @@ import os
 
 from pyspark.sql import functions as F
 
+from foodgrid.operators import staging
 from foodgrid.plans import queries as Q
 from foodgrid.sinks import writers
+from foodgrid.sources import adapter as A
 
 SF = "/root/testdata/sf0.001"
 
 
+def _wide_sorts(plan):
+    """Sorts between the hits' join and the first aggregate above it."""
+    lines = [x.strip(" :+-*()0123456789") for x in plan.splitlines()]
+    join = next(i for i, x in enumerate(lines) if x.startswith("SortMergeJoin") and "l_width" in x)
+    below = max(i for i, x in enumerate(lines[:join]) if "partial_min" in x)
+    return [x for x in lines[below:join] if x.startswith("Sort [")]
+
+
+def test_a_pick_by_id_does_not_sort_the_widened_hits(spark):
+    for name in ("fact_all", "dedup_by_id", "insert_if_absent"):
+        plan = Q.REGISTRY[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert _wide_sorts(plan) == [], name
+
+
+def test_the_hits_of_a_hot_business_are_split(spark, tmp):
+    for t in ("part", "lineitem"):
+        rows = spark.read.parquet(f"{SF}/{t}.parquet")
+        if t == "lineitem":
+            rows = rows.crossJoin(spark.range(20).select(F.col("id").alias("copy"))).withColumn(
+                "l_partkey", F.expr("if(copy % 3 = 0, 7L, l_partkey)")).drop("copy").repartition(8)
+        rows.write.parquet(f"{tmp}/{t}.parquet")
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        picked = staging.first_per_key(A.search_hits(spark, tmp).select("id", "name", "review_count", "url"), "id",
+                                       [staging.desc("review_count"), staging.asc("url")])
+        rows = picked.collect()
+        plan = picked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "skew=true" in plan and len(rows) == len({r["id"] for r in rows})
+
+
 HITS = ("id string, name string, n long, x double, tags array<struct<a:string,b:string>>, "
         "at struct<p:string,q:double>, term string, location_index int")
 
