@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,6 +58,23 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
+#: Partition folders that a write task has open at a time; with more it sorts its rows after all.
+OPEN_FOLDERS = 16
+
+
+@contextlib.contextmanager
+def unsorted_partitions(spark: SparkSession) -> Iterator[None]:
+    """Inside, a write by few partition values keeps one file open for each of them
+    and does not sort its rows: a sort holds all rows of a task at their full width."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(OPEN_FOLDERS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether the planner's estimate of ``df`` is within its own limit for a
     broadcast.  It comes from file sizes; no job runs for it."""

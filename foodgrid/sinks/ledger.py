@@ -26,6 +26,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import unsorted_partitions
 from .commits import CommitLog, new_name, number_of, read_or_none
 from .writers import with_required
 
@@ -111,6 +112,7 @@ class LedgeredTable:
         fields = self.spark.createDataFrame([], self.schema).schema
         out = with_required(rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields], "unit"),
                             self.required)
-        out.write.partitionBy("feed").parquet(f"{self.path}/rows/batch={batch}")
+        with unsorted_partitions(self.spark):
+            out.write.partitionBy("feed").parquet(f"{self.path}/rows/batch={batch}")
         self.log.add(batch=batch)
         return todo.count()

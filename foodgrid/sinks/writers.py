@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..operators.dedup import Order, asc, first_per_key
 from ..schemas import LEGACY_RAW_COLUMNS, RAW, RAW_REQUIRED
-from ..session import shared_folder
+from ..session import shared_folder, unsorted_partitions
 from .commits import remove
 
 
@@ -106,13 +106,15 @@ def append_raw(df: DataFrame, path: str) -> None:
 
     Appends are not idempotent (a rerun duplicates rows, which staging
     de-duplicates), exactly like the warehouse load default."""
-    _raw_writer(df).save(path)
+    with unsorted_partitions(df.sparkSession):
+        _raw_writer(df).save(path)
 
 
 def append_raw_table(df: DataFrame, table: str) -> None:
     """S13 into a catalog table partitioned by feed.  It is not bucketed by
     id: a bucket of a hot id would be one write task and later one read task."""
-    _raw_writer(df).saveAsTable(table)
+    with unsorted_partitions(df.sparkSession):
+        _raw_writer(df).saveAsTable(table)
 
 
 def materialize(df: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -53,6 +53,26 @@ def test_the_hits_of_a_hot_business_are_split(spark, tmp):
     assert "skew=true" in plan and len(rows) == len({r["id"] for r in rows})
 
 
+def test_raw_rows_are_not_sorted_by_feed(spark, tmp):
+    from foodgrid.schemas import RAW
+    kinds = {f.name: f.dataType for f in RAW.fields}
+    rows = spark.range(500).select(*[(F.concat(F.lit("f"), F.col("id") % 5) if c == "feed" else
+                                      F.lit("x") if k.simpleString() == "string" else
+                                      F.lit(None)).cast(k).alias(c) for c, k in kinds.items()])
+    rows = rows.withColumns({c: F.lit(1).cast(kinds[c]) for c in writers.RAW_REQUIRED if c not in ("feed",)
+                             and kinds[c].simpleString() != "string"})
+    key, was = "spark.sql.maxConcurrentOutputFileWriters", spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    seen, writer = [], writers._raw_writer
+    writers._raw_writer = lambda df: (seen.append(spark.conf.get(key)), writer(df))[1]
+    try:
+        writers.append_raw(rows, f"{tmp}/raw")
+    finally:
+        writers._raw_writer = writer
+    assert int(seen[0]) > 5 and spark.conf.get(key) == was
+    back = spark.read.schema(RAW).parquet(f"{tmp}/raw")
+    assert back.groupBy("feed").count().filter("count = 100").count() == 5
+
+
 HITS = ("id string, name string, n long, x double, tags array<struct<a:string,b:string>>, "
         "at struct<p:string,q:double>, term string, location_index int")
 
