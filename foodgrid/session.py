@@ -75,8 +75,36 @@ def unsorted_partitions(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The planner's estimate of ``df``.  It comes from file sizes; no job runs for it."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the planner's estimate of ``df`` is within its own limit for a
-    broadcast.  It comes from file sizes; no job runs for it."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+    """Whether the planner's estimate of ``df`` is within its own limit for a broadcast."""
+    return estimated_bytes(df) <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
+#: Estimated bytes of input for one shuffle partition, and the most partitions asked for.
+SHUFFLE_BYTES, MOST_PARTITIONS = 16 << 20, 20_000
+
+
+def sized_shuffles(df: DataFrame) -> DataFrame:
+    """``df``, its session set to shuffle rows of its size in partitions of ``SHUFFLE_BYTES``.
+
+    With a fixed number of partitions, what a task sorts grows with the input.  The
+    number that AQE starts from is raised in proportion (never lowered), and so is
+    the number it coalesces to, by its advisory size.  A session setting and not
+    ``repartition(n)``, whose partitions AQE would not split where a key is skewed.
+    An input that the configured number suits changes nothing.
+    """
+    spark = df.sparkSession
+    conf, size = spark.conf, spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    first, advisory = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", \
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    now = int(conf.get(first, None) or conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(MOST_PARTITIONS, -(-estimated_bytes(df) // SHUFFLE_BYTES))
+    if wanted > int(conf.get("spark.sql.shuffle.partitions")):
+        conf.set(first, str(max(now, wanted)))
+        conf.set(advisory, f"{min(size(conf.get(advisory)), SHUFFLE_BYTES)}b")
+    return df

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..session import sized_shuffles
 
 
 #: Columns read of each benchmark table; with them no read infers a schema.
@@ -177,9 +178,10 @@ def search_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     id, so a pick by id combines them as they pass; a sort of them by another
     column holds gigabytes in a task.  The key's length is a second join column:
     hashed by both, the hits of one id are not taken for gathered already, and a
-    skewed id may still be split.
+    skewed id may still be split.  The line items' size sets the number of shuffle
+    partitions (see ``sized_shuffles``).
     """
-    li = table(spark, sf_dir, "lineitem").selectExpr(
+    li = sized_shuffles(table(spark, sf_dir, "lineitem")).selectExpr(
         "l_orderkey", "concat('b', cast(l_partkey as string)) as l_id", "l_suppkey", "l_linenumber", "l_quantity",
         "length(cast(l_partkey as string)) as l_width")
     biz = businesses(spark, sf_dir)

@@ -4,9 +4,11 @@ import glob
 import gzip
 import json
 import os
+import re
 
 from pyspark.sql import functions as F
 
+from foodgrid import session
 from foodgrid.operators import staging
 from foodgrid.plans import queries as Q
 from foodgrid.sinks import writers
@@ -109,3 +111,32 @@ def test_landing_queries_write_compressed_files(spark, monkeypatch):
     for folder in [f.removeprefix("file://") for f in made if os.path.basename(f).startswith("landing-")]:
         found = glob.glob(f"{folder}/**/part-*", recursive=True)
         assert found and all(f.endswith(".json.gz") for f in found)
+
+
+FIRST, ADVISORY = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                   "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_shuffle_partitions_grow_with_the_input(spark, monkeypatch):
+    def run(name):
+        df = Q.REGISTRY[name](spark, SF)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return {int(n) for n in re.findall(r"hashpartitioning\(l_id.*?, (\d+)\)", plan)}, \
+            sorted(map(str, df.collect()))
+
+    def unset():
+        for c in (FIRST, ADVISORY):
+            spark.conf.unset(c)
+
+    names = ("fact_all", "listings_all", "restaurants_anti")
+    unset()
+    try:
+        few = {n: run(n) for n in names}
+        assert spark.conf.get(FIRST, None) is None   # nothing is set beside a small input
+        monkeypatch.setattr(session, "SHUFFLE_BYTES", 10_000)
+        for n in names:
+            parts, rows = run(n)
+            assert few[n][0] == {4} and min(parts) > 4 and rows == few[n][1], n
+        assert spark.conf.get(ADVISORY) == "10000b"
+    finally:
+        unset()
