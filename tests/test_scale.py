@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from foodgrid import session
 from foodgrid.operators import staging
 from foodgrid.plans import queries as Q
-from foodgrid.sinks import writers
+from foodgrid.sinks import keyed, writers
 from foodgrid.sources import adapter as A
 
 SF = "/root/testdata/sf0.001"
@@ -140,3 +140,14 @@ def test_shuffle_partitions_grow_with_the_input(spark, monkeypatch):
         assert spark.conf.get(ADVISORY) == "10000b"
     finally:
         unset()
+
+
+def test_a_batch_is_not_sorted_to_be_written_by_what_the_filter_says(spark, tmp, monkeypatch):
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    was, seen, read = spark.conf.get(key), [], keyed.seen
+    monkeypatch.setattr(keyed, "seen", lambda k: (seen.append(spark.conf.get(key)), read(k))[1])
+    table = keyed.KeyedTable(spark, f"{tmp}/keyed", "id string, n long", buckets=2)
+    for ids in ("ab", "bc"):
+        table.append(spark.createDataFrame([(i, 1) for i in ids], "id string, n long"), [staging.asc("n")])
+    assert sorted(r["id"] for r in table.rows().collect()) == ["a", "b", "c"]
+    assert [int(n) >= 2 for n in seen] == [True, True] and spark.conf.get(key) == was
