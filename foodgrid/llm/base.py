@@ -103,9 +103,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        # large star: every larger neighbour of a node points to the node's minimum
+        # large star: every larger neighbour of a node points to the node's minimum;
+        # dealt by that neighbour, which the small star groups and joins by as well
         large = (both.filter("b > a").join(least, "a")
-                 .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+                 .select(F.col("b").alias("a"), F.col("m").alias("b")).repartition("a").distinct())
         # small star: the smaller neighbours of a node, and itself, point to the smallest
         down = large.filter("a <> b")
         low = down.groupBy("a").agg(F.min("b").alias("m"))

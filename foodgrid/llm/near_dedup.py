@@ -361,15 +361,16 @@ def candidate_edges(sketch: DataFrame, similarity: float) -> DataFrame:
         if verdict.filter("not near").isEmpty():
             return kept.distinct()
         # Buckets with a member that was dropped: it may be linked to another
-        # one dropped, or to one that is not very near the first member.
+        # one dropped, or to one that is not very near the first member.  They are
+        # read three times from here, so they are written once.
         told = made.join(verdict, ["a", "b"])
-        open_ = told.filter("not near").select("band").distinct()
-        left = told.filter("not sure").join(open_, "band", "left_semi").select("band", F.col("b").alias("rid"))
-        several = left.groupBy("band").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("band")
-        members = left.join(several, "band", "left_semi")
+        several = told.groupBy("band").agg(F.max(~F.col("near")).alias("open"), F.count_if(~F.col("sure")).alias("m")) \
+            .filter("open and m > 1").select("band")
+        members = stored(told.filter("not sure").select("band", F.col("b").alias("rid"))
+                         .join(several, "band", "left_semi"), "members")
         if members.isEmpty():
             return kept.distinct()
-    rest = stored(block_edges(stored(members, "rest"), sketch, similarity), "blocks")
+    rest = stored(block_edges(members, sketch, similarity), "blocks")
     return kept.unionByName(rest).distinct()
 
 

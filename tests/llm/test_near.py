@@ -213,3 +213,37 @@ def test_block_joins_what_is_near_and_nothing_far():
     first = np.arange(12) < 6
     assert set(near_dedup.near_in_block(sig, first, 0.8)) == want
     assert near_dedup.near_in_block(sig, np.arange(12) % 6 < 3, 0.8) == []   # the copies are in one chunk
+
+
+def _planned(monkeypatch, module, run):
+    """(name, plan) of each table that ``run`` stores."""
+    seen, stored = [], base.stored
+
+    def noted(df, name="table"):
+        seen.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return stored(df, name)
+
+    monkeypatch.setattr(module, "stored", noted)
+    run()
+    return seen
+
+
+def test_a_round_of_components_deals_its_edges_once_for_the_small_star(spark, monkeypatch):
+    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (7, 8)], "a long, b long")
+    got = []
+    seen = _planned(monkeypatch, base, lambda: got.extend(base.components(edges).collect()))
+    assert {r["node"]: r["root"] for r in got} == {1: 1, 2: 1, 3: 1, 4: 1, 7: 7, 8: 7}
+    for _, plan in seen[1:]:
+        assert "REPARTITION_BY_COL" in plan
+        pairs = [x for x in plan.splitlines() if "hashpartitioning(a#" in x and ", b#" in x]
+        assert len(pairs) == 1, plan   # for the distinct edges at the end alone
+
+
+def test_the_members_of_a_round_are_written_once(spark, monkeypatch):
+    docs = spark.createDataFrame(templated(120, 5), "doc_id long, text string")
+    sketch = base.stored(near_dedup.sketches(base.texts(docs), 2))
+    seen = _planned(monkeypatch, near_dedup, lambda: near_dedup.candidate_edges(sketch, 0.8))
+    names = [n for n, _ in seen]
+    assert names.count("stars") > 1 and names.count("members") >= names.count("stars") - 1
+    # what a later round sorts by ranges is a table, not the joins that made it
+    assert all("Join" not in plan for n, plan in seen if n == "stars")
