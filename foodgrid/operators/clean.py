@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions.taxonomy import DEFAULT_TAXONOMY, Taxonomy
 from ..schemas import LEGACY_CLEAN_COLUMNS, RAW_COLUMNS
-from ..session import fits_broadcast
+from ..session import fits_broadcast, sized_shuffles
 
 
 def with_price(df: DataFrame) -> DataFrame:
@@ -57,10 +57,16 @@ def with_flat_coordinates(df: DataFrame) -> DataFrame:
 def keep_known_cities(df: DataFrame, cities: DataFrame, state: str = "CA",
                       city_col: str = "location.city", name_col: str = "Name") -> DataFrame:
     """State matches and the raw city (before normalisation, case
-    sensitive) is in the city list.  A semi join; the planner sizes the list."""
+    sensitive) is in the city list.  A semi join; the planner sizes the list.
+
+    A list too large to broadcast is hashed in each partition and the rows pass it: a
+    merge would sort them by city at their full width.  It is shuffled as it is, since
+    AQE does not split a city that many rows name beside an aggregate.
+    """
     names = cities.select(F.col(name_col).alias("_city")).filter(F.col("_city").isNotNull())
+    names = names.distinct() if fits_broadcast(names) else sized_shuffles(names).hint("shuffle_hash")
     keyed = df.filter(F.col("location.state") == F.lit(state)).withColumn("_city", F.col(city_col))
-    return keyed.join(names.distinct(), "_city", "left_semi").drop("_city")
+    return keyed.join(names, "_city", "left_semi").drop("_city")
 
 
 def keep_zip_prefix(df: DataFrame, state: str = "CA", prefix: str = "9") -> DataFrame:

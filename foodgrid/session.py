@@ -86,25 +86,30 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 
 #: Estimated bytes of input for one shuffle partition, and the most partitions asked for.
-SHUFFLE_BYTES, MOST_PARTITIONS = 16 << 20, 20_000
+SHUFFLE_BYTES, MOST_PARTITIONS = 8 << 20, 20_000
 
 
 def sized_shuffles(df: DataFrame) -> DataFrame:
     """``df``, its session set to shuffle rows of its size in partitions of ``SHUFFLE_BYTES``.
 
     With a fixed number of partitions, what a task sorts grows with the input.  The
-    number that AQE starts from is raised in proportion (never lowered), and so is
-    the number it coalesces to, by its advisory size.  A session setting and not
+    number that AQE starts from is raised in proportion (never lowered).  Beside an
+    input of more than one such partition, however many are configured, AQE coalesces
+    to no more than ``SHUFFLE_BYTES`` and takes four times that for skewed: its own
+    sizes suit rows that are not widened after the shuffle.  A session setting and not
     ``repartition(n)``, whose partitions AQE would not split where a key is skewed.
-    An input that the configured number suits changes nothing.
+    An input that the configured number and sizes suit changes nothing.
     """
     spark = df.sparkSession
     conf, size = spark.conf, spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
-    first, advisory = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", \
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    first, adaptive = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive."
     now = int(conf.get(first, None) or conf.get("spark.sql.shuffle.partitions"))
     wanted = min(MOST_PARTITIONS, -(-estimated_bytes(df) // SHUFFLE_BYTES))
-    if wanted > int(conf.get("spark.sql.shuffle.partitions")):
-        conf.set(first, str(max(now, wanted)))
-        conf.set(advisory, f"{min(size(conf.get(advisory)), SHUFFLE_BYTES)}b")
+    if wanted > now:
+        conf.set(first, str(wanted))
+    if wanted > 1:
+        for key, most in ((adaptive + "advisoryPartitionSizeInBytes", SHUFFLE_BYTES),
+                          (adaptive + "skewJoin.skewedPartitionThresholdInBytes", 4 * SHUFFLE_BYTES)):
+            if size(conf.get(key)) > most:
+                conf.set(key, f"{most}b")
     return df

@@ -1,5 +1,6 @@
 """What keeps a task's memory and the bytes moved small: plans and files, on small inputs."""
 
+import contextlib
 import glob
 import gzip
 import json
@@ -9,7 +10,7 @@ import re
 from pyspark.sql import functions as F
 
 from foodgrid import session
-from foodgrid.operators import staging
+from foodgrid.operators import clean, staging
 from foodgrid.plans import queries as Q
 from foodgrid.sinks import keyed, writers
 from foodgrid.sources import adapter as A
@@ -151,3 +152,63 @@ def test_a_batch_is_not_sorted_to_be_written_by_what_the_filter_says(spark, tmp,
         table.append(spark.createDataFrame([(i, 1) for i in ids], "id string, n long"), [staging.asc("n")])
     assert sorted(r["id"] for r in table.rows().collect()) == ["a", "b", "c"]
     assert [int(n) >= 2 for n in seen] == [True, True] and spark.conf.get(key) == was
+
+
+SKEWED = "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"
+
+
+@contextlib.contextmanager
+def _conf(spark, **values):
+    """The settings, and those that ``sized_shuffles`` makes, as they were before."""
+    keys = [FIRST, ADVISORY, SKEWED, *values]
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_many_configured_partitions_are_not_coalesced_to_wide_tasks(spark, monkeypatch):
+    monkeypatch.setattr(session, "SHUFFLE_BYTES", 10_000)
+    with _conf(spark, **{"spark.sql.shuffle.partitions": "200"}):
+        Q.REGISTRY["fact_all"](spark, SF)
+        assert spark.conf.get(FIRST, None) is None   # 200 are enough
+        assert spark.conf.get(ADVISORY) == "10000b" and spark.conf.get(SKEWED) == "40000b"
+
+
+def test_hits_are_not_sorted_by_city_beside_a_city_list_too_large_to_broadcast(spark):
+    names = ("fact_city_join", "fact_county_join", "fact_stepwise", "listings_all", "listings_fused")
+
+    def run(name):
+        df = Q.REGISTRY[name](spark, SF)
+        return df._jdf.queryExecution().executedPlan().toString(), sorted(map(str, df.collect()))
+
+    for name in names:
+        rows = run(name)[1]
+        with _conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "1"}):
+            plan, found = run(name)
+        assert "Sort [_city" not in plan and "ShuffledHashJoin [_city" in plan, name
+        assert rows and found == rows, name
+
+
+def test_a_hot_city_of_the_hits_is_split(spark):
+    cities = spark.range(400).selectExpr("concat('City ', id) as Name")
+    hits = spark.range(0, 40_000, 1, 8).selectExpr(
+        "id", "named_struct('state', 'CA', 'city', if(id % 3 = 0, 'Hot', concat('City ', id % 500))) as location",
+        "sha2(cast(id as string), 512) as wide")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "1", SKEWED: "64k", ADVISORY: "64k", FIRST: "16",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    for listed in (False, True):
+        known = cities.unionByName(spark.sql("select 'Hot' as Name")) if listed else cities
+        with _conf(spark, **conf):
+            kept = clean.keep_known_cities(hits, known)
+            n = kept.count()
+            ids = kept.agg(F.sum("id"), F.max("wide"))
+            ids.collect()
+            plan = ids._jdf.queryExecution().executedPlan().toString()
+        want = [i for i in range(40_000) if (listed if i % 3 == 0 else i % 500 < 400)]
+        assert n == len(want) and ids.first()[0] == sum(want)
+        assert "ShuffledHashJoin(skew=true)" in plan
