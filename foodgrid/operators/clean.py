@@ -118,20 +118,28 @@ def _one_each(gazetteer: DataFrame) -> DataFrame:
         .select(F.col("address").alias("_gaddr"), "_g")
 
 
-def _filled(df: DataFrame, found: DataFrame, key: str) -> DataFrame:
-    """``df`` with the coordinates of ``found`` where ``key`` is there."""
+def _filled(df: DataFrame, found: DataFrame, key: str, *also: F.Column) -> DataFrame:
+    """``df`` with the coordinates of ``found`` where ``key`` (and ``also``) is there."""
     hit = F.col("_gaddr").isNotNull()
-    return df.join(found, F.col(key) == F.col("_gaddr"), "left").withColumns(
+    return df.join(found, [F.col(key) == F.col("_gaddr"), *also], "left").withColumns(
         {c: F.when(hit, F.col("_g")[c]).otherwise(F.col(c)) for c in ("latitude", "longitude")})
 
 
 def _fill_narrow(df: DataFrame, gazetteer: DataFrame, wanted: F.Column) -> DataFrame:
     """The fill beside a gazetteer too large to broadcast: the addresses that
     are wanted meet it, and only the rows that want one are shuffled to the
-    result; all others pass.  The input is read once more for each of the two."""
+    result; all others pass.  The input is read once more for each of the two.
+
+    The result has one narrow row per address and is hashed; the rows pass it, where a
+    merge would sort them at their full width.  The address's length is a second
+    join column: hashed by both, the result is not taken for gathered already, and
+    AQE may split the rows of an address that many share.
+    """
     need = df.filter(wanted)
     found = _one_each(gazetteer.join(need.select("address").distinct(), "address", "left_semi"))
-    filled = _filled(need, found, "address").select(*df.columns)
+    found = found.withColumn("_gwidth", F.length("_gaddr")).hint("shuffle_hash")
+    filled = _filled(need.withColumn("_width", F.length("address")), found, "address",
+                     F.col("_width") == F.col("_gwidth")).select(*df.columns)
     return df.filter(~wanted).unionByName(filled)
 
 

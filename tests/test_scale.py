@@ -212,3 +212,40 @@ def test_a_hot_city_of_the_hits_is_split(spark):
         want = [i for i in range(40_000) if (listed if i % 3 == 0 else i % 500 < 400)]
         assert n == len(want) and ids.first()[0] == sum(want)
         assert "ShuffledHashJoin(skew=true)" in plan
+
+
+def test_hits_are_not_sorted_by_address_and_a_hot_address_is_split(spark):
+    known = spark.range(300).selectExpr("concat(id, ' Main St') as address", "cast(id as double) as latitude",
+                                        "-cast(id as double) as longitude")
+    known = known.unionByName(spark.sql("select 'Hot' as address, 7D as latitude, 8D as longitude"))
+    hits = spark.range(0, 40_000, 1, 8).selectExpr(
+        "id", "if(id % 7 = 1, 5D, null) as latitude", "cast(null as double) as longitude",
+        "if(id % 7 = 2, null, if(id % 3 = 0, 'Hot', concat(id % 400, ' Main St'))) as address",
+        "sha2(cast(id as string), 512) as wide")
+    keys = ["id", "latitude", "longitude", "address"]
+    want = clean.fill_coordinates(hits, known)
+    assert "SortMergeJoin" not in want._jdf.queryExecution().executedPlan().toString()   # broadcast
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "1", SKEWED: "64k", ADVISORY: "64k", FIRST: "16",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    rows = sorted(map(str, want.select(*keys).collect()))
+    with _conf(spark, **conf):
+        filled = clean.fill_coordinates(hits, known)
+        assert sorted(map(str, filled.select(*keys).collect())) == rows
+        ids = filled.agg(F.sum("id"), F.max("wide"), F.sum("latitude"))
+        assert ids.collect()[0][0] == sum(range(40_000))
+        plan = ids._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    joins = [x for x in final.splitlines() if "LeftOuter" in x]
+    assert joins and all("ShuffledHashJoin(skew=true) [address" in x for x in joins)
+
+
+def test_hits_are_not_sorted_by_address_in_the_fact_queries(spark):
+    for name in ("fact_stepwise",):
+        rows = sorted(map(str, Q.REGISTRY[name](spark, SF).collect()))
+        with _conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "1"}):
+            df = Q.REGISTRY[name](spark, SF)
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            found = sorted(map(str, df.collect()))
+        joins = [x for x in plan.splitlines() if "LeftOuter" in x]
+        assert joins and all("ShuffledHashJoin [address" in x for x in joins), name
+        assert rows and found == rows, name
