@@ -240,7 +240,7 @@ def test_hits_are_not_sorted_by_address_and_a_hot_address_is_split(spark):
 
 
 def test_hits_are_not_sorted_by_address_in_the_fact_queries(spark):
-    for name in ("fact_county_join", "fact_stepwise"):
+    for name in ("fact_county_join", "fact_stepwise", "listings_all"):
         rows = sorted(map(str, Q.REGISTRY[name](spark, SF).collect()))
         with _conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "1"}):
             df = Q.REGISTRY[name](spark, SF)
