@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions.taxonomy import DEFAULT_TAXONOMY, Taxonomy
 from ..schemas import LEGACY_CLEAN_COLUMNS, RAW_COLUMNS
-from ..session import fits_broadcast, sized_shuffles
+from ..session import fits_broadcast, fits_partitions, sized_shuffles
 
 
 def with_price(df: DataFrame) -> DataFrame:
@@ -131,13 +131,16 @@ def _fill_narrow(df: DataFrame, gazetteer: DataFrame, wanted: F.Column) -> DataF
     result; all others pass.  The input is read once more for each of the two.
 
     The result has one narrow row per address and is hashed; the rows pass it, where a
-    merge would sort them at their full width.  The address's length is a second
+    merge would sort them at their full width.  A hash cannot spill, so a gazetteer of
+    unknown or too large size is merged after all.  The address's length is a second
     join column: hashed by both, the result is not taken for gathered already, and
     AQE may split the rows of an address that many share.
     """
     need = df.filter(wanted)
     found = _one_each(gazetteer.join(need.select("address").distinct(), "address", "left_semi"))
-    found = found.withColumn("_gwidth", F.length("_gaddr")).hint("shuffle_hash")
+    found = found.withColumn("_gwidth", F.length("_gaddr"))
+    if fits_partitions(gazetteer):
+        found = found.hint("shuffle_hash")
     filled = _filled(need.withColumn("_width", F.length("address")), found, "address",
                      F.col("_width") == F.col("_gwidth")).select(*df.columns)
     return df.filter(~wanted).unionByName(filled)

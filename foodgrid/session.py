@@ -89,6 +89,14 @@ def fits_broadcast(df: DataFrame) -> bool:
 SHUFFLE_BYTES, MOST_PARTITIONS = 8 << 20, 20_000
 
 
+def fits_partitions(df: DataFrame) -> bool:
+    """Whether a shuffle of ``df``, by the planner's estimate, has ``SHUFFLE_BYTES`` a partition at most."""
+    conf = df.sparkSession.conf
+    n = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) \
+        or conf.get("spark.sql.shuffle.partitions")
+    return estimated_bytes(df) <= SHUFFLE_BYTES * int(n)
+
+
 def sized_shuffles(df: DataFrame) -> DataFrame:
     """``df``, its session set to shuffle rows of its size in partitions of ``SHUFFLE_BYTES``.
 
