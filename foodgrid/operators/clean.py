@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions.taxonomy import DEFAULT_TAXONOMY, Taxonomy
 from ..schemas import LEGACY_CLEAN_COLUMNS, RAW_COLUMNS
-from ..session import fits_broadcast, fits_partitions, sized_shuffles
+from ..session import fits_broadcast, fits_partitions, released_shuffles, shared_folder, sized_shuffles
+from ..sinks.keyed import BITS_PER_KEY, BLOCK_BITS, _block, bloom_of, seen
 
 
 def with_price(df: DataFrame) -> DataFrame:
@@ -54,21 +55,59 @@ def with_flat_coordinates(df: DataFrame) -> DataFrame:
               .withColumn("longitude", F.col("coordinates.longitude")))
 
 
-def keep_known_cities(df: DataFrame, cities: DataFrame, state: str = "CA",
-                      city_col: str = "location.city", name_col: str = "Name") -> DataFrame:
+#: Names, listed or not, that a filter of the listed ones is made for (20 MB at most).
+MOST_NAMES = 1 << 24
+
+
+def keep_known_cities(df: DataFrame, cities: DataFrame, state: str = "CA", city_col: str = "location.city",
+                      name_col: str = "Name", narrow: bool = False) -> DataFrame:
     """State matches and the raw city (before normalisation, case
     sensitive) is in the city list.  A semi join; the planner sizes the list.
 
     A list too large to broadcast is hashed in each partition and the rows pass it: a
     merge would sort them by city at their full width.  It is shuffled as it is, since
-    AQE does not split a city that many rows name beside an aggregate.
+    AQE does not split a city that many rows name beside an aggregate.  ``narrow``, for
+    stored rows: such a list is looked up first (:func:`_keep_by_filter`), no row is shuffled.
     """
     names = cities.select(F.col(name_col).alias("_city")).filter(F.col("_city").isNotNull())
-    names = names.distinct() if fits_broadcast(names) else sized_shuffles(names).hint("shuffle_hash")
     keyed = df.filter(F.col("location.state") == F.lit(state)).withColumn("_city", F.col(city_col))
+    if narrow and not fits_broadcast(names):
+        return _keep_by_filter(keyed, sized_shuffles(names)).drop("_city")
+    names = names.distinct() if fits_broadcast(names) else sized_shuffles(names).hint("shuffle_hash")
     return keyed.join(names, "_city", "left_semi").drop("_city")
 
 
+def _keep_by_filter(keyed: DataFrame, names: DataFrame) -> DataFrame:
+    """The rows whose ``_city`` is listed, without a shuffle of the rows.
+
+    The distinct cities of the rows meet the list once and are stored, each with whether it is
+    listed.  The listed ones make a Bloom filter of ``BITS_PER_KEY`` bits a name, which is
+    broadcast; of the others the few that it lets pass are known by name, so the result is
+    exact.  The rows are read once more for their cities.  More names than ``MOST_NAMES`` are
+    not broadcast in any form: the rows are then joined by city after all.
+    """
+    spark = keyed.sparkSession
+    folder = shared_folder(spark, "cities")
+    keyed = keyed.filter(F.col("_city").isNotNull())
+    listed = names.select("_city", F.lit(True).alias("_listed")).distinct()
+    named = keyed.select("_city").distinct().join(listed, "_city", "left") \
+        .select("_city", F.coalesce("_listed", F.lit(False)).alias("_listed"))
+    with released_shuffles(spark):
+        named.write.parquet(folder)
+    named = spark.read.schema(named.schema).parquet(folder)
+    n = {r["_listed"]: r["count"] for r in named.groupBy("_listed").count().collect()}
+    known, others = named.filter("_listed").select("_city"), named.filter("not _listed").select("_city")
+    if max([0, *n.values()]) > MOST_NAMES:
+        return keyed.join(known.hint("shuffle_hash"), "_city", "left_semi")
+    blocks = max(1, -(-n.get(True, 0) * BITS_PER_KEY // BLOCK_BITS))
+    bits = F.broadcast(bloom_of(known, "_city", blocks))
+
+    def passed(df: DataFrame) -> DataFrame:
+        return df.withColumn("block", _block("_city", blocks)).join(bits, "block").filter(seen("_city")) \
+            .drop("block", "bits")
+    return passed(keyed).join(F.broadcast(passed(others)), "_city", "left_anti")
+
+
 def keep_zip_prefix(df: DataFrame, state: str = "CA", prefix: str = "9") -> DataFrame:
     """O13 (older rule): state matches and zip code starts with ``prefix``."""
     return df.filter((F.col("location.state") == F.lit(state))
@@ -148,12 +187,13 @@ def _fill_narrow(df: DataFrame, gazetteer: DataFrame, wanted: F.Column) -> DataF
 
 def clean_businesses(df: DataFrame, cities: DataFrame, taxonomy: Taxonomy = DEFAULT_TAXONOMY,
                      gazetteer: DataFrame | None = None, passthrough: list[str] | None = None,
-                     null_text: str | None = "None", columns: list[str] | None = None) -> DataFrame:
+                     null_text: str | None = "None", columns: list[str] | None = None,
+                     narrow: bool = False) -> DataFrame:
     """O6-O19 end to end: nested API records -> raw rows.
 
     ``passthrough`` columns (e.g. ``term``, ``location_index``) are carried
     next to the 13 raw columns.  Filters come first in the text, and Catalyst
-    pushes the cheap ones to the scan anyway.
+    pushes the cheap ones to the scan anyway.  ``narrow``: see :func:`keep_known_cities`.
     """
     passthrough = passthrough or []
     out = with_price(df)
@@ -162,7 +202,7 @@ def clean_businesses(df: DataFrame, cities: DataFrame, taxonomy: Taxonomy = DEFA
     out = drop_denied(out, taxonomy)
     out = with_ethnic_category(out, taxonomy)
     out = with_flat_coordinates(out)
-    out = keep_known_cities(out, cities)
+    out = keep_known_cities(out, cities, narrow=narrow)
     out = with_city(out)
     out = with_address(out, null_text)
     out = fill_coordinates(out, gazetteer)

@@ -16,12 +16,14 @@ from ..schemas import RAW_COLUMNS
 
 
 def raw_rows(hits: DataFrame, cities: DataFrame, taxonomy: Taxonomy = DEFAULT_TAXONOMY,
-             gazetteer: DataFrame | None = None, passthrough: list[str] | None = None) -> DataFrame:
+             gazetteer: DataFrame | None = None, passthrough: list[str] | None = None,
+             narrow: bool = False) -> DataFrame:
     """Nested hits (with ``term``) -> raw rows with the routing column
-    ``feed`` (first word of the term, S14)."""
+    ``feed`` (first word of the term, S14).  ``narrow``: for stored hits, see
+    :func:`foodgrid.operators.clean.keep_known_cities`."""
     keep = list(passthrough or [])
     extra = ["term"] + [c for c in keep if c != "term"]
-    out = clean.clean_businesses(hits, cities, taxonomy, gazetteer, passthrough=extra)
+    out = clean.clean_businesses(hits, cities, taxonomy, gazetteer, passthrough=extra, narrow=narrow)
     return out.withColumn("feed", C.first_word("term")).select(*RAW_COLUMNS, "feed", *keep)
 
 

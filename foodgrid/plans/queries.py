@@ -484,7 +484,7 @@ def q_append_ledger(spark, d):
     read = lambda paths: files.read_landing_partitioned(spark, folder, paths).select(
         "*", F.col("_metadata.file_path").alias("file_path"))
     clean_ = lambda h: pipeline.raw_rows(h, cities(spark, d), gazetteer=gazetteer(spark, d),
-                                         passthrough=["file_path"])
+                                         passthrough=["file_path"], narrow=True)
     land = lambda h: writers.write_landing(h.drop("l_orderkey"), folder, compression="gzip")
     land(_landed(spark, d).filter(order % 3 != 0))
     table.load(folder, read, clean_, LANDED)

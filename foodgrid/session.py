@@ -63,16 +63,30 @@ OPEN_FOLDERS = 16
 
 
 @contextlib.contextmanager
-def unsorted_partitions(spark: SparkSession) -> Iterator[None]:
-    """Inside, a write by few partition values keeps one file open for each of them
-    and does not sort its rows: a sort holds all rows of a task at their full width."""
-    key = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(OPEN_FOLDERS))
+def _set_to(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def unsorted_partitions(spark: SparkSession) -> contextlib.AbstractContextManager[None]:
+    """Inside, a write by few partition values keeps one file open for each of them
+    and does not sort its rows: a sort holds all rows of a task at their full width."""
+    return _set_to(spark, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FOLDERS))
+
+
+def released_shuffles(spark: SparkSession) -> contextlib.AbstractContextManager[None]:
+    """Inside, the shuffle files of a write are deleted when it ends.  Else they stay until
+    the driver happens to collect its garbage, and those of all steps add up."""
+    return _set_to(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+def read_in_splits(spark: SparkSession, size: int) -> contextlib.AbstractContextManager[None]:
+    """Inside, a task reads files of about ``size`` bytes."""
+    return _set_to(spark, "spark.sql.files.maxPartitionBytes", f"{max(1, size)}b")
 
 
 def estimated_bytes(df: DataFrame) -> int:

@@ -26,7 +26,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import unsorted_partitions
+from ..session import released_shuffles, unsorted_partitions
 from .commits import CommitLog, new_name, number_of, read_or_none
 from .writers import with_required
 
@@ -103,16 +103,17 @@ class LedgeredTable:
         todo, files = self.pending(landing, glob)
         batch = new_name(self.log.entries())
         ledger = f"{self.path}/ledger/batch={batch}"
-        todo.write.parquet(ledger)      # fixed before the files are read: no record names it yet
-        todo = self.spark.read.schema(LEDGER).parquet(ledger)
-        paths = [r["path"] for r in files.join(todo, "unit", "left_semi").select("path").collect()]
+        with released_shuffles(self.spark):
+            todo.write.parquet(ledger)      # fixed before the files are read: no record names it yet
+            todo = self.spark.read.schema(LEDGER).parquet(ledger)
+            paths = [r["path"] for r in files.join(todo, "unit", "left_semi").select("path").collect()]
         if not paths:
             return 0
         rows = clean(read(paths)).withColumn("unit", self.unit(F.col("file_path"))).drop("file_path")
         fields = self.spark.createDataFrame([], self.schema).schema
         out = with_required(rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields], "unit"),
                             self.required)
-        with unsorted_partitions(self.spark):
-            out.write.partitionBy("feed").parquet(f"{self.path}/rows/batch={batch}")
-        self.log.add(batch=batch)
-        return todo.count()
+        with unsorted_partitions(self.spark), released_shuffles(self.spark):
+            out.write.partitionBy("feed").option("compression", "zstd").parquet(f"{self.path}/rows/batch={batch}")
+            self.log.add(batch=batch)
+            return todo.count()

@@ -7,23 +7,28 @@ raise on failure instead of printing and carrying on.
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.dedup import Order, asc, first_per_key
 from ..schemas import LEGACY_RAW_COLUMNS, RAW, RAW_REQUIRED
-from ..session import shared_folder, unsorted_partitions
+from ..session import estimated_bytes, read_in_splits, released_shuffles, shared_folder, unsorted_partitions
 from .commits import remove
 
 
 PAIR = ("term", "location_index")
 TARGET_BYTES = 128 << 20
+#: A landing of more text than this is dealt in so many rounds: a part of its text at a time, however large it is.
+ROUND_BYTES, ROUNDS = 1 << 30, 4
 
 
-def pair_files(hits: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
-    """How many files each (term, location_index) takes, from the JSON text it holds."""
-    text = F.octet_length(F.to_json(F.struct(*hits.columns))) + 1
+def pair_files(hits: DataFrame, target_bytes: int = TARGET_BYTES, line: Column | None = None) -> DataFrame:
+    """How many files each (term, location_index) takes, from the JSON text it holds
+    (``line``: the text of a row, where it is there already)."""
+    text = F.octet_length(F.to_json(F.struct(*hits.columns)) if line is None else line) + 1
     return hits.groupBy(*PAIR).agg(F.sum(text).alias("pair_bytes"), F.count(F.lit(1)).alias("pair_rows")).select(
         *PAIR, F.ceil(F.col("pair_bytes") / target_bytes).cast("int").alias("pair_files"), "pair_bytes", "pair_rows")
 
@@ -38,6 +43,10 @@ def _told_by_json(kind: T.DataType) -> bool:
                           T.FloatType, T.DoubleType)
 
 
+def _round() -> Column:
+    return F.pmod(F.xxhash64(*PAIR), F.lit(ROUNDS)).cast("int").alias("landing_round")
+
+
 def write_landing(hits: DataFrame, path: str, target_bytes: int = TARGET_BYTES, compression: str = "none") -> None:
     """NDJSON per (term, location_index) in files of about ``target_bytes`` of text.
 
@@ -46,40 +55,65 @@ def write_landing(hits: DataFrame, path: str, target_bytes: int = TARGET_BYTES,
     partition overwrite: re-landing a pair replaces that pair's files only,
     as the 'w' mode of the original per-file writer did.
 
-    Rows of plain JSON types are shuffled as their JSON text, which is three
-    fifths of the rows' own form; ``compression`` is the JSON writer's: with
-    "gzip" the files are a tenth of the text (a file is not split by its reader).
+    Rows of plain JSON types are staged as their JSON text, so the hits are evaluated
+    once.  More text than ``ROUND_BYTES`` is dealt in ``ROUNDS`` rounds of whole pairs, each a
+    write of its own, and the disk holds the shuffle of one round at a time; a landing that
+    dies has replaced the pairs of the rounds before, each in whole.  ``compression`` is
+    the JSON writer's: with "gzip" the files are a tenth of the text (a file is not
+    split by its reader).
     """
     spark = hits.sparkSession
-    measured = pair_files(hits, target_bytes)
-    folder = shared_folder(spark, "pairs")
-    measured.write.parquet(folder)
-    measured = spark.read.schema(measured.schema).parquet(folder)
-    all_ = measured.agg(F.sum("pair_files"), F.sum("pair_bytes"), F.sum("pair_rows")).first()
-    if all_[0] is None:
-        return
-    # no more tasks than files; no task has much more than a file's share
-    tasks = max(1, min(all_[0], max(int(spark.conf.get("spark.sql.shuffle.partitions")), all_[1] // target_bytes)))
     fields = T.StructType([f for f in hits.schema if f.name not in PAIR])
-    line = F.to_json(F.struct(*fields.names))
+    folder, stage = shared_folder(spark, "pairs"), shared_folder(spark, "staged")
     as_text = _told_by_json(fields)
-    sized = hits.select(*PAIR, *([line.alias("landing_line")] if as_text else fields.names),
-                        F.xxhash64(line).alias("landing_salt"))
+    line = F.col("landing_line") if as_text else F.to_json(F.struct(*fields.names))
+    try:
+        with released_shuffles(spark):
+            if as_text:
+                lines = hits.select(*PAIR, F.to_json(F.struct(*fields.names)).alias("landing_line"), _round())
+                with unsorted_partitions(spark):
+                    lines.write.partitionBy("landing_round").option("compression", "zstd").parquet(stage)
+                hits = spark.read.schema(lines.schema).parquet(stage)
+            measured = pair_files(hits, target_bytes, line if as_text else None)
+            measured.write.parquet(folder)
+            measured = spark.read.schema(measured.schema).parquet(folder)
+            found = measured.groupBy(_round()).agg(F.sum("pair_files").alias("files"), F.sum("pair_bytes").alias("bytes"),
+                                                   F.sum("pair_rows").alias("n")).collect()
+            text, n = sum(r["bytes"] for r in found), sum(r["n"] for r in found)
+            rounds = [(F.lit(True), sum(r["files"] for r in found), text)] if found else []
+            if as_text and text > ROUND_BYTES:
+                rounds = [(F.col("landing_round") == r["landing_round"], r["files"], r["bytes"]) for r in found]
+            # a task reads a file's share of the text, however well the staged text is compressed
+            split = estimated_bytes(hits) * target_bytes // text if as_text and text else TARGET_BYTES
+            for which, files, size in rounds:
+                # no more tasks than files; no task has much more than a file's share
+                tasks = max(1, min(files, max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                                              size // target_bytes)))
+                with read_in_splits(spark, split) if as_text else contextlib.nullcontext():
+                    (_dealt(hits.filter(which), measured, line, tasks, fields, as_text)
+                     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                     # files of one pair that meet in a task are cut apart again by their rows
+                     .option("maxRecordsPerFile", max(1, target_bytes * n // text)).option("compression", compression)
+                     .partitionBy(*PAIR).json(path))
+    finally:
+        remove(spark, folder)
+        remove(spark, stage)
+
+
+def _dealt(hits: DataFrame, measured: DataFrame, line: Column, tasks: int, fields: T.StructType,
+           as_text: bool) -> DataFrame:
+    """The hits, each in the task of its pair and file, as rows of ``fields`` and the pair."""
     on = F.lit(True)
     sizes = measured.select(*[F.col(c).alias(f"of_{c}") for c in PAIR], "pair_files")
     for c in PAIR:
-        on = on & sized[c].eqNullSafe(sizes[f"of_{c}"])
-    kept = [sized[c] for c in sized.columns if c != "landing_salt"]
-    dealt = sized.join(sizes, on).select(*kept, F.pmod("landing_salt", "pair_files").alias("landing_salt")) \
+        on = on & hits[c].eqNullSafe(sizes[f"of_{c}"])
+    kept = [hits[c] for c in PAIR] + ([line] if as_text else [hits[c] for c in fields.names])
+    dealt = hits.join(sizes, on).select(*kept, F.pmod(F.xxhash64(line), "pair_files").alias("landing_salt")) \
         .repartition(tasks, *PAIR, "landing_salt").drop("landing_salt")
     if as_text:
         dealt = dealt.select(*PAIR, F.from_json("landing_line", fields, {"mode": "FAILFAST"}).alias("landing_row")) \
             .select("landing_row.*", *PAIR)
-    # files of one pair that meet in a task are cut apart again by their rows
-    (dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .option("maxRecordsPerFile", max(1, target_bytes * all_[2] // all_[1])).option("compression", compression)
-          .partitionBy(*PAIR).json(path))
-    remove(spark, folder)
+    return dealt
 
 
 def encode_ndjson(df: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import gzip
 import json
 import os
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from foodgrid import session
 from foodgrid.operators import clean, staging
 from foodgrid.plans import queries as Q
 from foodgrid.sinks import keyed, writers
+from foodgrid.sinks.ledger import LedgeredTable, by_folder
 from foodgrid.sources import adapter as A
 
 SF = "/root/testdata/sf0.001"
@@ -249,3 +251,94 @@ def test_hits_are_not_sorted_by_address_in_the_fact_queries(spark):
         joins = [x for x in plan.splitlines() if "LeftOuter" in x]
         assert joins and all("ShuffledHashJoin [address" in x for x in joins), name
         assert rows and found == rows, name
+
+
+def _shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = [found.apply(i).getName() for i in range(found.size())]
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def _left(spark, before):
+    """Shuffle files made since ``before`` that are still there; their removal is not waited for by Spark."""
+    for _ in range(40):
+        left = _shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.25)
+    return left
+
+
+def test_shuffle_files_of_a_landing_and_a_load_do_not_stay(spark, tmp):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = _shuffle_files(spark), spark.conf.get(key)
+    hits = spark.range(0, 3000, 1, 8).selectExpr("concat(if(id % 2 = 0, 'a', 'b'), id) as id", "repeat('x', 50) as name",
+                                                 "'Food' as term", "cast(id % 5 as int) as location_index")
+    writers.write_landing(hits, f"{tmp}/land")
+    assert _left(spark, before) == set()
+    table = LedgeredTable(spark, f"{tmp}/raw", "id string, name string, feed string", by_folder, ("id",))
+    read = lambda paths: spark.read.schema("id string, name string").json(paths).select(
+        "*", F.col("_metadata.file_path").alias("file_path"))
+    before = _shuffle_files(spark)
+    assert table.load(f"{tmp}/land", read, lambda h: h.repartition(3, "id").withColumn("feed", F.substring("id", 1, 1))) == 5
+    assert _left(spark, before) == set()
+    assert table.rows().count() == 3000 and spark.conf.get(key) == was
+
+
+def test_a_large_landing_is_dealt_in_rounds_of_whole_pairs(spark, tmp, monkeypatch):
+    rows = [(f"{t}{i}", "é" if i % 7 else None, t, i % 6 or None) for t in ("Food", "Coffee & Tea", None) for i in range(300)]
+    hits = spark.createDataFrame(rows, "id string, name string, term string, location_index int")
+    writers.write_landing(hits, f"{tmp}/one")
+    dealt, made, texts = [], [], {}
+    deal, shared = writers._dealt, writers.shared_folder
+    monkeypatch.setattr(writers, "_dealt", lambda h, *a: (dealt.append({tuple(r) for r in h.select(*writers.PAIR).collect()}),
+                                                          deal(h, *a))[1])
+    monkeypatch.setattr(writers, "shared_folder", lambda s, name: made.append(shared(s, name)) or made[-1])
+    monkeypatch.setattr(writers, "ROUND_BYTES", 1000)
+    writers.write_landing(spark.createDataFrame([("old", "o", "Food", 1)], hits.schema), f"{tmp}/rounds")
+    dealt.clear()
+    writers.write_landing(hits, f"{tmp}/rounds")
+    for folder in ("one", "rounds"):
+        texts[folder] = {os.path.dirname(f.removeprefix(f"{tmp}/{folder}/")): sorted(open(f, encoding="utf-8"))
+                         for f in glob.glob(f"{tmp}/{folder}/**/part-*", recursive=True)}
+    assert texts["one"] == texts["rounds"] and len(texts["one"]) == 18
+    assert 1 < len(dealt) <= writers.ROUNDS and sum(map(len, dealt)) == len(set().union(*dealt)) == 18
+    assert made and not any(os.path.exists(f.removeprefix("file://")) for f in made)
+
+
+def test_stored_hits_are_not_shuffled_by_city(spark, monkeypatch):
+    cities = spark.range(3000).selectExpr("if(id % 10 = 0, null, concat('City ', id % 1500)) as Name")
+    hits = spark.range(0, 30_000, 1, 8).selectExpr(
+        "id", "named_struct('state', if(id % 11 = 0, 'NV', 'CA'), 'city', case when id % 3 = 0 then 'City 7' "
+        "when id % 17 = 0 then null when id % 13 = 0 then concat('city ', id % 1500) "
+        "else concat('City ', id % 9000) end) as location", "sha2(cast(id as string), 512) as wide")
+    want = sorted(r["id"] for r in clean.keep_known_cities(hits, cities).select("id").collect())
+    assert 10_000 < len(want) < 30_000
+    with _conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "1"}):
+        kept = clean.keep_known_cities(hits, cities, narrow=True)
+        assert kept.columns == hits.columns and sorted(r["id"] for r in kept.select("id").collect()) == want
+        wide = kept.agg(F.max("wide"))
+        plan = wide._jdf.queryExecution().executedPlan().toString()
+        assert "wide" in plan and not [x for x in plan.splitlines() if "Exchange hashpartitioning(_city" in x]
+        assert [x for x in plan.splitlines() if "BroadcastHashJoin [block" in x]
+        for names, all_ in ((cities.filter("Name = 'none'"), []), (cities.limit(0), [])):
+            assert clean.keep_known_cities(hits, names, narrow=True).collect() == all_
+        monkeypatch.setattr(clean, "MOST_NAMES", 10)
+        many = clean.keep_known_cities(hits, cities, narrow=True)
+        assert "ShuffledHashJoin [_city" in many._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r["id"] for r in many.select("id").collect()) == want
+
+
+def test_ledger_query_beside_a_city_list_too_large_to_broadcast(spark, monkeypatch):
+    rows = sorted(map(str, Q.REGISTRY["append_ledger"](spark, SF).collect()))
+    plans, raw_rows = [], Q.pipeline.raw_rows
+
+    def kept(*a, **k):
+        out = raw_rows(*a, **k)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+    monkeypatch.setattr(Q.pipeline, "raw_rows", kept)
+    with _conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "1"}):
+        found = sorted(map(str, Q.REGISTRY["append_ledger"](spark, SF).collect()))
+    assert rows and found == rows and len(plans) == 2
+    assert not [p for p in plans if "hashpartitioning(_city" in p]
