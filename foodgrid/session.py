@@ -85,8 +85,10 @@ def released_shuffles(spark: SparkSession) -> contextlib.AbstractContextManager[
 
 
 def read_in_splits(spark: SparkSession, size: int) -> contextlib.AbstractContextManager[None]:
-    """Inside, a task reads files of about ``size`` bytes."""
-    return _set_to(spark, "spark.sql.files.maxPartitionBytes", f"{max(1, size)}b")
+    """Inside, a task reads files of about ``size`` bytes, or fewer where that is set."""
+    key = "spark.sql.files.maxPartitionBytes"
+    most = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+    return _set_to(spark, key, f"{max(1, min(size, most))}b")
 
 
 def estimated_bytes(df: DataFrame) -> int:

@@ -80,21 +80,24 @@ def write_landing(hits: DataFrame, path: str, target_bytes: int = TARGET_BYTES,
             found = measured.groupBy(_round()).agg(F.sum("pair_files").alias("files"), F.sum("pair_bytes").alias("bytes"),
                                                    F.sum("pair_rows").alias("n")).collect()
             text, n = sum(r["bytes"] for r in found), sum(r["n"] for r in found)
-            rounds = [(F.lit(True), sum(r["files"] for r in found), text)] if found else []
+            rounds = [(None, sum(r["files"] for r in found), text)] if found else []
             if as_text and text > ROUND_BYTES:
-                rounds = [(F.col("landing_round") == r["landing_round"], r["files"], r["bytes"]) for r in found]
+                rounds = [(r["landing_round"], r["files"], r["bytes"]) for r in found]
             # a task reads a file's share of the text, however well the staged text is compressed
             split = estimated_bytes(hits) * target_bytes // text if as_text and text else TARGET_BYTES
             for which, files, size in rounds:
                 # no more tasks than files; no task has much more than a file's share
                 tasks = max(1, min(files, max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                                               size // target_bytes)))
+                part = hits if which is None else hits.filter(F.col("landing_round") == which)
                 with read_in_splits(spark, split) if as_text else contextlib.nullcontext():
-                    (_dealt(hits.filter(which), measured, line, tasks, fields, as_text)
+                    (_dealt(part, measured, line, tasks, fields, as_text)
                      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                      # files of one pair that meet in a task are cut apart again by their rows
                      .option("maxRecordsPerFile", max(1, target_bytes * n // text)).option("compression", compression)
                      .partitionBy(*PAIR).json(path))
+                if which is not None:
+                    remove(spark, f"{stage}/landing_round={which}")     # landed
     finally:
         remove(spark, folder)
         remove(spark, stage)
